@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nimbus.plans import label_queries, report_queries, weather_queries  # noqa: F401  (registers)
+from nimbus.plans import label_queries, report_queries, text_queries, weather_queries  # noqa: F401  (registers)
 from nimbus.plans.registry import REGISTRY, Query
 
 
