@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nimbus.plans import label_queries, report_queries, text_queries, weather_queries  # noqa: F401  (registers)
+from nimbus.plans import (  # noqa: F401  (registers)
+    conversation_queries, label_queries, report_queries, text_queries, weather_queries,
+)
 from nimbus.plans.registry import REGISTRY, Query
 
 
@@ -13,4 +15,5 @@ def all_queries() -> dict[str, Query]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return REGISTRY["today_tomorrow_union"].fn(spark, sf_dir)
+    """The report dataset: requests x observations -> records -> text and HTML."""
+    return REGISTRY["report_dataset"].fn(spark, sf_dir)
