@@ -81,35 +81,78 @@ P_ORDINAL_OF = rf"(?i)\b({_ORD_ALT})(?:\s+day)?\s+of\s+({_MONTH_ALT}),?\s+(\d{{4
 P_MONTH_YEAR = rf"(?i)\b({_MONTH_ALT}),?\s+(\d{{4}})\b"
 
 
-def _month_day_year(month: Column, day: Column, year: Column) -> Column:
-    text = F.concat_ws(" ", F.initcap(month), day, year)
+def _parse_mdy(match: Column) -> Column:
+    """'july 10th, 2023' (any case, ordinal suffix, optional comma) -> DATE."""
+    t = F.regexp_replace(match, r"(?i)(\d)(st|nd|rd|th)\b", "$1")
+    t = F.regexp_replace(t, r"[,\s]+", " ")
+    return F.try_to_date(F.nullif(F.initcap(F.trim(t)), F.lit("")), "MMMM d yyyy")
+
+
+def _parse_ordinal(match: Column) -> Column:
+    """'first (day) of January, 2023' -> DATE."""
+    word = F.lower(F.regexp_extract(match, r"^(\S+)", 1))
+    day = F.array_position(F.array(*[F.lit(w) for w in ORDINAL_WORDS]), word)
+    rest = F.regexp_extract(match, r"(?i)of\s+(.*)$", 1)
+    rest = F.regexp_replace(rest, r"[,\s]+", " ")
+    text = F.concat_ws(" ", F.initcap(F.split_part(F.trim(rest), F.lit(" "), F.lit(1))), F.nullif(day, F.lit(0)).cast("string"),
+                       F.split_part(F.trim(rest), F.lit(" "), F.lit(2)))
     return F.try_to_date(F.nullif(text, F.lit("")), "MMMM d yyyy")
 
 
+# Staging columns: the raw match of each form, computed once per question.
+MATCH_COLUMNS = ["_q_mdy", "_q_compact", "_q_iso", "_q_ord", "_q_month"]
+
+
+def date_matches(q: Column) -> dict[str, Column]:
+    """One regex evaluation per date form (the matched text, '' when absent)."""
+    return {
+        "_q_mdy": F.regexp_extract(q, P_MONTH_DAY_YEAR, 0),
+        "_q_compact": F.regexp_extract(q, P_COMPACT, 1),
+        "_q_iso": F.regexp_extract(q, P_ISO, 1),
+        "_q_ord": F.regexp_extract(q, P_ORDINAL_OF, 0),
+        "_q_month": F.regexp_extract(q, P_MONTH_YEAR, 0),
+    }
+
+
+def date_from_matches() -> Column:
+    return F.coalesce(
+        _parse_mdy(F.col("_q_mdy")),
+        F.try_to_date(F.nullif(F.col("_q_compact"), F.lit("")), "yyyyMMdd"),
+        F.try_to_date(F.nullif(F.col("_q_iso"), F.lit("")), "yyyy-MM-dd"),
+        _parse_ordinal(F.col("_q_ord")),
+    )
+
+
+def month_from_matches() -> Column:
+    start = F.try_to_date(
+        F.nullif(F.initcap(F.trim(F.regexp_replace(F.col("_q_month"), r"[,\s]+", " "))), F.lit("")), "MMMM yyyy"
+    )
+    return F.when(start.isNotNull(), F.struct(start.alias("month_start"), F.last_day(start).alias("month_end")))
+
+
 def question_date(q: Column | str) -> Column:
     """the date named in a free question, or null.
 
     Forms: 'July 10, 2023', 'June 1st, 2023', '20230913', '2023-09-13',
-    'first (day) of January, 2023'. The first form that matches wins, in that order.
+    'first (day) of January, 2023'. The first form that matches wins, in that
+    order. (For many questions prefer ``routing.with_question_dates``, which
+    stages the matches so each pattern runs once.)
     """
     c = _col(q)
-    mdy = _month_day_year(
-        F.regexp_extract(c, P_MONTH_DAY_YEAR, 1), F.regexp_extract(c, P_MONTH_DAY_YEAR, 2),
-        F.regexp_extract(c, P_MONTH_DAY_YEAR, 3),
-    )
-    compact = F.try_to_date(F.nullif(F.regexp_extract(c, P_COMPACT, 1), F.lit("")), "yyyyMMdd")
-    iso = F.try_to_date(F.nullif(F.regexp_extract(c, P_ISO, 1), F.lit("")), "yyyy-MM-dd")
-    ord_word = F.lower(F.regexp_extract(c, P_ORDINAL_OF, 1))
-    ord_day = F.array_position(F.array(*[F.lit(w) for w in ORDINAL_WORDS]), ord_word)
-    ordinal = _month_day_year(
-        F.regexp_extract(c, P_ORDINAL_OF, 2), F.nullif(ord_day, F.lit(0)).cast("string"),
-        F.regexp_extract(c, P_ORDINAL_OF, 3),
+    m = date_matches(c)
+    return F.coalesce(
+        _parse_mdy(m["_q_mdy"]),
+        F.try_to_date(F.nullif(m["_q_compact"], F.lit("")), "yyyyMMdd"),
+        F.try_to_date(F.nullif(m["_q_iso"], F.lit("")), "yyyy-MM-dd"),
+        _parse_ordinal(m["_q_ord"]),
     )
-    return F.coalesce(mdy, compact, iso, ordinal)
 
 
 def question_month(q: Column | str) -> Column:
     """F20, month only ('February, 2023'): struct(month_start, month_end), or null."""
     c = _col(q)
-    start = _month_day_year(F.regexp_extract(c, P_MONTH_YEAR, 1), F.lit("1"), F.regexp_extract(c, P_MONTH_YEAR, 2))
+    start = F.try_to_date(
+        F.nullif(F.initcap(F.trim(F.regexp_replace(F.regexp_extract(c, P_MONTH_YEAR, 0), r"[,\s]+", " "))), F.lit("")),
+        "MMMM yyyy",
+    )
     return F.when(start.isNotNull(), F.struct(start.alias("month_start"), F.last_day(start).alias("month_end")))

@@ -6,16 +6,18 @@ Here every request of a batch is answered by one plan:
 1. requests carry ``(station, date, next_date)``; the station comes from a
    broadcast join with the fixed 5-row location dimension (J3);
 2. each request is exploded into its section keys, ``(section, date, part)``,
-   the next-day section as one key per part, so the lookup is a single equi
-   left join on ``(station, date, part)`` (J1, J2) - a request without rows
-   survives with an empty section;
-3. one aggregation on ``request_id`` gathers each section's rows into a list
-   sorted by hour (A13); a section holds at most one day of hours, so lists stay
-   small whatever the data size;
+   the next-day section as one key per part, so the lookup is a single inner
+   equi join on ``(station, date, part)`` (J1, J2), plus one placeholder row
+   per request section so a request or section without rows survives empty;
+3. one aggregation keyed by the request gathers each section's rows into a
+   list sorted by hour (A13); a section holds at most one day of hours, so
+   lists stay small whatever the data size;
 4. text (G3) and HTML (G6) are native array expressions on those lists.
 
-Shuffles: the join (or none, when AQE sees a small request side and broadcasts
-it) and the aggregation on ``request_id``. Observations are never collected.
+Shuffles: the join (none when one side is broadcast: the request keys when
+their count is known to be small, else whichever side AQE measures small) and
+the aggregation, whose map-side partial aggregate folds a request's rows
+before the exchange. Observations are never collected.
 """
 
 from __future__ import annotations
@@ -100,13 +102,14 @@ def sample_requests(
 
 def section_keys(requests: DataFrame) -> DataFrame:
     """One row per (request, section, part): four parts of the day on ``date``,
-    and the next day as four keys (all its parts) under section ``tomorrow``."""
+    and the next day as four keys (all its parts) under section ``tomorrow``.
+    All request columns are carried along."""
     d = codes.date_to_int("date")
     nd = codes.date_to_int("next_date")
     parts = [("morning", "Morning"), ("afternoon", "Afternoon"), ("evening", "Evening"), ("night", "Night")]
     keys = [F.struct(F.lit(s).alias("section"), d.alias("key_date"), F.lit(p).alias("key_part")) for s, p in parts]
     keys += [F.struct(F.lit("tomorrow").alias("section"), nd.alias("key_date"), F.lit(p).alias("key_part")) for _, p in parts]
-    return requests.select("request_id", F.col("station").alias("key_station"), F.inline(F.array(*keys)))
+    return requests.select(*requests.columns, F.inline(F.array(*keys)))
 
 
 def _broadcast_if_bounded(df: DataFrame, n_requests: int | None, threshold_bytes: int) -> DataFrame:
@@ -121,45 +124,55 @@ def section_rows(
     n_requests: int | None = None,
     broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
-    """J1 + J2: each request's section keys left-joined to observations.
-
-    ``n_requests`` is the caller's known request count; only with it is the
-    request side broadcast on purpose (its size is then proven). Otherwise the
-    planner and AQE decide from measured sizes; the request side stays on the
-    streamed (left) side of a sort-merge join and observations are buffered,
-    at most one day of hours per key, so a hot station-day costs only time.
+    """J1 + J2: every request section with its observation rows.
+
+    An inner equi join on ``(station, date, part)`` finds the rows; one
+    placeholder row per (request, section) with a null ``hour`` keeps requests
+    and sections without rows (the effect of a left join). The inner join lets
+    either side be the broadcast one: the request keys when the caller passes
+    ``n_requests`` and their size is within ``broadcast_bytes`` (then the
+    observations are streamed, never shuffled, and a table partitioned by
+    station is pruned), otherwise whatever AQE picks from measured sizes.
+    Output: all request columns, ``section``, ``hour`` and the 11 section columns.
     """
+    req_cols = requests.columns
     keys = _broadcast_if_bounded(section_keys(requests), n_requests, broadcast_bytes)
     o = obs.select(
         F.col("station").alias("o_station"), F.col("date").alias("o_date"), "hour",
         *[F.col(c) for c in SECTION_COLUMNS],
     )
     cond = (
-        (keys["key_station"] == o["o_station"])
+        (keys["station"] == o["o_station"])
         & (keys["key_date"] == o["o_date"])
         & (keys["key_part"] == o["Time_Category"])
     )
-    return keys.join(o, cond, "left").select("request_id", "section", "hour", *SECTION_COLUMNS)
+    found = keys.join(o, cond, "inner").select(*req_cols, "section", "hour", *SECTION_COLUMNS)
+    types = {f.name: f.dataType for f in found.schema.fields}
+    placeholders = requests.select(
+        *req_cols,
+        F.explode(F.array(*[F.lit(s) for s in SECTIONS])).alias("section"),
+        *[F.lit(None).cast(types[c]).alias(c) for c in ["hour", *SECTION_COLUMNS]],
+    )
+    return found.unionByName(placeholders)
 
 
-def assemble_report_rows(requests: DataFrame, rows: DataFrame, keep_hour: bool = True) -> DataFrame:
+def assemble_report_rows(rows: DataFrame, keep_hour: bool = True) -> DataFrame:
     """One record per request, one list of rows per section, in hour order.
 
-    A section without rows gives an empty list. The request attributes are joined
-    back by key so the aggregation shuffles only the section rows.
+    One aggregation keyed by the request columns. The rows of a request come
+    from the same input partitions, so the partial (map-side) aggregate already
+    folds them and the shuffle carries about one row per request and task. A
+    section without rows gives an empty list.
     """
+    req_cols = [c for c in rows.columns if c not in ("section", "hour", *SECTION_COLUMNS)]
     row = F.struct("hour", *SECTION_COLUMNS)
     aggs = [
         F.sort_array(F.collect_list(F.when((F.col("section") == s) & F.col("hour").isNotNull(), row))).alias(f"rows_{s}")
         for s in SECTIONS
     ]
-    lists = rows.groupBy("request_id").agg(*aggs)
-    out = requests.join(lists, on="request_id", how="left")
-    for s in SECTIONS:
-        c = F.coalesce(F.col(f"rows_{s}"), F.array().cast(T.ArrayType(row_type(rows))))
-        if not keep_hour:
-            c = F.transform(c, lambda x: x.dropFields("hour"))
-        out = out.withColumn(f"rows_{s}", c)
+    out = rows.groupBy(*req_cols).agg(*aggs)
+    if not keep_hour:
+        out = drop_hours(out)
     return out
 
 
@@ -371,7 +384,7 @@ def report_dataset(
 ) -> DataFrame:
     """The whole report record per request, lazily (sinks write it)."""
     rows = section_rows(requests, obs, n_requests=n_requests)
-    rec = assemble_report_rows(requests, rows)
+    rec = assemble_report_rows(rows)
     rec = generate(rec, fn)
     rec = rec.withColumn("status", report_status(rec))
     rec = drop_hours(rec)

@@ -78,6 +78,12 @@ def norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")))
 
 
+def unit(a: Column) -> Column:
+    """The vector scaled to length 1 (elements null for a zero vector)."""
+    n = norm(a)
+    return F.transform(a, lambda v: F.try_divide(v.cast("double"), n))
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity; null when either vector has zero length."""
     return F.try_divide(dot(a, b), norm(a) * norm(b))
@@ -113,14 +119,16 @@ def top_k(queries: DataFrame, index: DataFrame, k: int, qid: str = "qid", iid: s
         nb = math.ceil(n_total / max_broadcast_queries) * 2  # hash buckets are not exactly even
         keyed = queries.withColumn("_b", F.pmod(F.xxhash64(qid), F.lit(nb)))
         buckets = [keyed.where(F.col("_b") == b).drop("_b") for b in range(nb)]
+    # each vector is normalised once, so a pair costs one dot product
+    idx = index.select(iid, unit(F.col(ivec)).alias("_iv"), *([on] if on else []))
     parts = []
     for qs in buckets:
-        q = F.broadcast(qs.select(qid, qvec, *([on] if on else [])))
+        q = F.broadcast(qs.select(qid, unit(F.col(qvec)).alias("_qv"), *([on] if on else [])))
         if on:
-            pairs = index.join(q, on=on, how="inner")
+            pairs = idx.join(q, on=on, how="inner")
         else:
-            pairs = index.join(q, how="inner")
-        sim = cosine(F.col(qvec), F.col(ivec))
+            pairs = idx.join(q, how="inner")
+        sim = dot(F.col("_qv"), F.col("_iv"))
         parts.append(pairs.select(qid, iid, (F.bround(sim, digits) if digits is not None else sim).alias("similarity")))
     scored = parts[0]
     for p in parts[1:]:

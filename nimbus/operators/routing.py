@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.functions import codes
-from nimbus.functions.text import question_date, question_month
+from nimbus.functions import text
 from nimbus.operators import retrieval
 
 ROUTE_OBSERVATIONS = "observations"
@@ -20,12 +20,17 @@ ROUTE_BOTH = "both"
 
 
 def with_question_dates(df: DataFrame, question: str = "question") -> DataFrame:
-    """add ``q_date`` (a day) and ``month_start`` / ``month_end`` (month only)."""
-    m = question_month(question)
-    d = question_date(question)
-    return df.withColumn("q_date", d).withColumn(
-        "month_start", F.when(d.isNull(), m["month_start"])
-    ).withColumn("month_end", F.when(d.isNull(), m["month_end"]))
+    """add ``q_date`` (a day) and ``month_start`` / ``month_end`` (month only).
+
+    Staged in two projections: the regex matches first, the date parsing on the
+    short matched texts after, so every pattern runs once per question and the
+    generated code stays small."""
+    staged = df.withColumns(text.date_matches(F.col(question)))
+    d = text.date_from_matches()
+    m = text.month_from_matches()
+    return staged.withColumn("q_date", d).withColumn(
+        "month_start", F.when(F.col("q_date").isNull(), m["month_start"])
+    ).withColumn("month_end", F.when(F.col("q_date").isNull(), m["month_end"])).drop(*text.MATCH_COLUMNS)
 
 
 def route(df: DataFrame, question: str = "question") -> DataFrame:

@@ -143,7 +143,7 @@ def q_report_sections(spark, sf_dir):
 )
 def q_report_rows(spark, sf_dir):
     reqs = requests_from_orders(spark, sf_dir)
-    rec = report.assemble_report_rows(reqs, report.section_rows(reqs, observations(spark, sf_dir)))
+    rec = report.assemble_report_rows(report.section_rows(reqs, observations(spark, sf_dir)))
     parts = [
         rec.select("request_id", F.lit(s).alias("section"), F.posexplode(f"rows_{s}").alias("pos", "r"))
         for s in report.SECTIONS

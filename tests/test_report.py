@@ -110,7 +110,7 @@ def test_assembly_keeps_each_observation_once(spark, sf_mid):
             F.monotonically_increasing_id().alias("request_id"), F.col("obs_date").alias("date"), "station")
         .join(report.station_dim(spark), "station").select("request_id", "location", "date"),
         report.station_dim(spark)))
-    rec = report.assemble_report_rows(reqs, report.section_rows(reqs, obs))
+    rec = report.assemble_report_rows(report.section_rows(reqs, obs))
     n_today = rec.select(sum(F.size(f"rows_{s}") for s in report.SECTIONS[:4]).alias("n")).agg(F.sum("n")).collect()[0][0]
     assert n_today == obs.count()
 
