@@ -16,6 +16,9 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,9 +28,10 @@ DEFAULT_MAX_BROADCAST_QUERIES = 20_000
 
 
 def tokens(text: Column | str) -> Column:
-    """White-space tokens of a text (empty pieces dropped)."""
+    """White-space tokens of a text (native split; the empty pieces a leading or
+    trailing blank leaves are removed with ``array_remove``, no lambda)."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(c, r"\s+"), lambda t: t != "")
+    return F.array_remove(F.split(c, r"\s+"), "")
 
 
 def chunk_text(df: DataFrame, text: str = "text", size: int = DEFAULT_CHUNK_TOKENS,
@@ -102,14 +106,74 @@ def _bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
+_SIM_SCHEMA = "{qid} {qtype}, {iid} {itype}, similarity double"
+_TIE_MARGIN = 1e-9
+_QUERY_BLOCK = 512
+
+
+def _as_matrix(vectors) -> np.ndarray:
+    """Array column values of one Arrow batch -> float64 matrix of unit rows
+    (rows of a zero vector become NaN and never rank)."""
+    m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def _scorer(bq, k: int, iid: str, ivec: str, on: str | None, qid: str):
+    """mapInPandas body: score a batch of index rows against the broadcast query
+    matrix and keep, per query, the candidates that can still be in its top k
+    (the k best plus anything tied with the k-th within the rounding margin)."""
+
+    def run(batches):
+        q_ids, q_mat, q_on = bq.value
+        for pdf in batches:
+            pdf = pdf[pdf[ivec].notna()]
+            if pdf.empty:
+                continue
+            x = _as_matrix(pdf[ivec].to_numpy())
+            ids = pdf[iid].to_numpy()
+            labels = pdf[on].to_numpy() if on else None
+            out_q, out_i, out_s = [], [], []
+            for start in range(0, len(q_ids), _QUERY_BLOCK):
+                block = slice(start, start + _QUERY_BLOCK)
+                sims = x @ q_mat[block].T
+                for j, qv in enumerate(q_ids[block]):
+                    col = sims[:, j]
+                    ok = ~np.isnan(col)
+                    if on:
+                        ok &= labels == q_on[block][j]
+                    cand = np.nonzero(ok)[0]
+                    if cand.size == 0:
+                        continue
+                    if cand.size > k:
+                        kth = np.partition(col[cand], cand.size - k)[cand.size - k]
+                        cand = cand[col[cand] >= kth - _TIE_MARGIN]
+                    out_q.append(np.full(cand.size, qv, dtype=object))
+                    out_i.append(ids[cand])
+                    out_s.append(col[cand])
+            if out_q:
+                yield pd.DataFrame({qid: np.concatenate(out_q), iid: np.concatenate(out_i), "similarity": np.concatenate(out_s)})
+
+    return run
+
+
 def top_k(queries: DataFrame, index: DataFrame, k: int, qid: str = "qid", iid: str = "item_id",
           qvec: str = "q_embedding", ivec: str = "embedding", on: str | None = None,
-          max_broadcast_queries: int = DEFAULT_MAX_BROADCAST_QUERIES, digits: int | None = 9) -> DataFrame:
-    """V3 (+ V4 with ``on``): for each query the ``k`` most similar index items.
-
-    ``on`` names a metadata column present on both sides; only items with an
-    equal value are candidates (an equi join instead of all pairs). Ties go to
-    the smaller item id. Output: ``qid, rank, iid, similarity``.
+          max_broadcast_queries: int = DEFAULT_MAX_BROADCAST_QUERIES, digits: int | None = 9,
+          method: str = "numpy") -> DataFrame:
+    """V3 (+ V4 with ``on``): for each query the ``k`` most similar index items
+    (cosine). ``on`` names a metadata column on both sides; only items with an
+    equal value are candidates. Ties go to the smaller item id. Output:
+    ``qid, rank, iid, similarity``.
+
+    The query side is checked to hold at most ``max_broadcast_queries`` rows
+    (a larger one is split into hash buckets of that size, each its own pass).
+    ``method='numpy'``: each task multiplies its Arrow batches of index rows
+    with the broadcast query matrix (BLAS) and keeps per query only the
+    candidates for its top k; ``method='native'``: a broadcast join scored with
+    Spark array expressions (no Python, but interpreted per pair). Both end in
+    the same window: row_number per query, whose partial WindowGroupLimit runs
+    before the shuffle.
     """
     n_q = _bounded_count(queries, max_broadcast_queries)
     if n_q <= max_broadcast_queries:
@@ -119,17 +183,31 @@ def top_k(queries: DataFrame, index: DataFrame, k: int, qid: str = "qid", iid: s
         nb = math.ceil(n_total / max_broadcast_queries) * 2  # hash buckets are not exactly even
         keyed = queries.withColumn("_b", F.pmod(F.xxhash64(qid), F.lit(nb)))
         buckets = [keyed.where(F.col("_b") == b).drop("_b") for b in range(nb)]
-    # each vector is normalised once, so a pair costs one dot product
-    idx = index.select(iid, unit(F.col(ivec)).alias("_iv"), *([on] if on else []))
+    types = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
+    itypes = {f.name: f.dataType.simpleString() for f in index.schema.fields}
     parts = []
     for qs in buckets:
-        q = F.broadcast(qs.select(qid, unit(F.col(qvec)).alias("_qv"), *([on] if on else [])))
-        if on:
-            pairs = idx.join(q, on=on, how="inner")
+        if method == "numpy":
+            # the bucket is size-checked above; it travels like a broadcast join's build side
+            rows = qs.select(qid, unit(F.col(qvec)).alias("_qv"), *([on] if on else [])).collect()
+            rows = [r for r in rows if r["_qv"] is not None and None not in r["_qv"]]
+            if not rows:
+                continue
+            bq = index.sparkSession.sparkContext.broadcast((
+                np.array([r[qid] for r in rows], dtype=object),
+                np.array([r["_qv"] for r in rows], dtype=np.float64),
+                np.array([r[on] for r in rows], dtype=object) if on else None,
+            ))
+            schema = _SIM_SCHEMA.format(qid=qid, qtype=types[qid], iid=iid, itype=itypes[iid])
+            scored = index.select(iid, ivec, *([on] if on else [])).mapInPandas(_scorer(bq, k, iid, ivec, on, qid), schema)
         else:
-            pairs = idx.join(q, how="inner")
-        sim = dot(F.col("_qv"), F.col("_iv"))
-        parts.append(pairs.select(qid, iid, (F.bround(sim, digits) if digits is not None else sim).alias("similarity")))
+            idx = index.select(iid, unit(F.col(ivec)).alias("_iv"), *([on] if on else []))
+            q = F.broadcast(qs.select(qid, unit(F.col(qvec)).alias("_qv"), *([on] if on else [])))
+            pairs = idx.join(q, on=on, how="inner") if on else idx.join(q, how="inner")
+            scored = pairs.select(qid, iid, dot(F.col("_qv"), F.col("_iv")).alias("similarity"))
+        parts.append(scored.select(qid, iid, (F.bround("similarity", digits) if digits is not None else F.col("similarity")).alias("similarity")))
+    if not parts:
+        return index.sparkSession.createDataFrame([], f"{qid} {types[qid]}, rank int, {iid} {itypes[iid]}, similarity double")
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
@@ -139,15 +217,39 @@ def top_k(queries: DataFrame, index: DataFrame, k: int, qid: str = "qid", iid: s
 
 def route_table(questions: DataFrame, catalog: DataFrame, qid: str = "qid", qvec: str = "q_embedding",
                 table: str = "table_name", tvec: str = "embedding", k: int = 1,
-                max_catalog: int = DEFAULT_MAX_BROADCAST_QUERIES) -> DataFrame:
-    """V5: the ``k`` catalog entries (e.g. table descriptions' embeddings) closest to
-    each question. The catalog is the broadcast side, after its size is checked;
-    each question meets every catalog entry once, so the work is linear in the
-    number of questions."""
+                max_catalog: int = DEFAULT_MAX_BROADCAST_QUERIES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """V5: the ``k`` catalog entries (e.g. table descriptions' embeddings) closest
+    to each question, ties to the smaller name. The catalog is broadcast after
+    its size is checked; the questions stream through ``mapInPandas`` in Arrow
+    batches, each batch scored against the whole catalog with one matrix
+    product, so the work is linear in the number of questions and no shuffle
+    is needed."""
     if _bounded_count(catalog, max_catalog) > max_catalog:
         raise ValueError(f"catalog has more than {max_catalog} entries; use top_k with buckets")
-    c = F.broadcast(catalog.select(F.col(table), F.col(tvec).alias("_t")))
-    pairs = questions.select(qid, qvec).join(c, how="inner")
-    scored = pairs.select(qid, table, F.bround(cosine(F.col(qvec), F.col("_t")), 9).alias("similarity"))
-    w = Window.partitionBy(qid).orderBy(F.desc("similarity"), F.asc(table))
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
+    rows = sorted(
+        (r for r in catalog.select(table, unit(F.col(tvec)).alias("_t")).collect() if r["_t"] is not None and None not in r["_t"]),
+        key=lambda r: r[table],
+    )
+    names = np.array([r[table] for r in rows], dtype=object)
+    bc = questions.sparkSession.sparkContext.broadcast((names, np.array([r["_t"] for r in rows], dtype=np.float64)))
+    qtype = dict((f.name, f.dataType.simpleString()) for f in questions.schema.fields)[qid]
+    ttype = dict((f.name, f.dataType.simpleString()) for f in catalog.schema.fields)[table]
+
+    def run(batches):
+        cat_names, cat = bc.value
+        kk = min(k, len(cat_names))
+        for pdf in batches:
+            pdf = pdf[pdf[qvec].notna()]
+            if pdf.empty or kk == 0:
+                continue
+            sims = np.round(_as_matrix(pdf[qvec].to_numpy()) @ cat.T, 9)
+            # stable sort on -similarity keeps the name order among equal scores
+            order = np.argsort(-np.nan_to_num(sims, nan=-np.inf), axis=1, kind="stable")[:, :kk]
+            rr = np.repeat(np.arange(len(pdf)), kk)
+            cc = order.reshape(-1)
+            out = {qid: pdf[qid].to_numpy()[rr], table: cat_names[cc], "similarity": sims[rr, cc]}
+            out.update({c: pdf[c].to_numpy()[rr] for c in keep})
+            yield pd.DataFrame(out)
+
+    extra = "".join(f", {f.name} {f.dataType.simpleString()}" for f in questions.schema.fields if f.name in keep)
+    return questions.select(qid, qvec, *keep).mapInPandas(run, f"{qid} {qtype}, {table} {ttype}, similarity double{extra}")

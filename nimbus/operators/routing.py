@@ -40,29 +40,30 @@ def route(df: DataFrame, question: str = "question") -> DataFrame:
     return dated.withColumn("route", F.when(has_date, ROUTE_OBSERVATIONS).otherwise(ROUTE_ARTICLES))
 
 
-def lookup_counts(routed: DataFrame, obs: DataFrame, qid: str = "qid") -> DataFrame:
-    """Observation rows behind each dated question. Observations are first
-    reduced to one count per day and per month (partial aggregates), and the
-    questions are equi-joined to those, so no question meets raw rows."""
-    per_day = obs.groupBy(F.col("obs_date").alias("day")).agg(F.count(F.lit(1)).alias("n_day"))
-    per_month = per_day.groupBy(F.trunc("day", "month").alias("month")).agg(F.sum("n_day").alias("n_day"))
-    dated = routed.where(F.col("route") == ROUTE_OBSERVATIONS).select(qid, "q_date", "month_start")
-    day_q = dated.where(F.col("q_date").isNotNull())
-    month_q = dated.where(F.col("q_date").isNull())
-    by_day = day_q.join(per_day, day_q["q_date"] == per_day["day"], "left").select(
-        qid, F.coalesce("n_day", F.lit(0)).alias("n_obs_rows"))
-    by_month = month_q.join(per_month, month_q["month_start"] == per_month["month"], "left").select(
-        qid, F.coalesce("n_day", F.lit(0)).alias("n_obs_rows"))
-    return by_day.unionByName(by_month)
+def _per_day_month(obs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    per_day = obs.groupBy(F.col("obs_date").alias("_day")).agg(F.count(F.lit(1)).alias("_n_day"))
+    per_month = per_day.groupBy(F.trunc("_day", "month").alias("_month")).agg(F.sum("_n_day").alias("_n_month"))
+    return per_day, per_month
 
 
 def answer_context(routed: DataFrame, obs: DataFrame, qid: str = "qid") -> DataFrame:
     """V7 (relational part): per question its final route and how many
-    observation rows back it; a dated question without rows is routed to both."""
-    counts = lookup_counts(routed, obs, qid)
-    out = routed.join(counts, qid, "left")
-    final = F.when((F.col("route") == ROUTE_OBSERVATIONS) & (F.col("n_obs_rows") == 0), ROUTE_BOTH).otherwise(F.col("route"))
-    return out.select(qid, final.alias("route"), F.coalesce("n_obs_rows", F.lit(0)).cast("long").alias("n_obs_rows"))
+    observation rows back it; a dated question without rows is routed to both.
+
+    Observations are first reduced to one count per day and per month (partial
+    aggregates; their size is the number of distinct days, not the data size),
+    and every question is left-joined to both by key. No filter sits on the
+    parsed columns, so the date parsing is not copied into pushed-down
+    predicates, and each question is parsed once."""
+    per_day, per_month = _per_day_month(obs)
+    j = routed.join(per_day, routed["q_date"] == per_day["_day"], "left").join(
+        per_month, routed["month_start"] == per_month["_month"], "left"
+    )
+    n = F.when(F.col("route") != ROUTE_OBSERVATIONS, F.lit(0)).when(F.col("q_date").isNotNull(), F.coalesce("_n_day", F.lit(0))).otherwise(
+        F.coalesce("_n_month", F.lit(0))
+    ).cast("long")
+    final = F.when((F.col("route") == ROUTE_OBSERVATIONS) & (n == 0), ROUTE_BOTH).otherwise(F.col("route"))
+    return j.select(qid, final.alias("route"), n.alias("n_obs_rows"))
 
 
 def article_context(questions: DataFrame, chunks: DataFrame, k: int = 3, qid: str = "qid",

@@ -10,6 +10,7 @@ from nimbus.operators import retrieval, routing
 from nimbus.plans.registry import register
 from nimbus.plans.sqltext import WITH_OBS, season_case
 from nimbus.plans.weather_queries import observations
+from nimbus.session import checkpoint_root
 from nimbus.sources import reports
 from nimbus.sources.tables import load
 
@@ -103,10 +104,12 @@ def q_top_k_filtered(spark, sf_dir):
 def q_route_table(spark, sf_dir):
     """Each document routed to the language whose centroid (of hashed
     embeddings) is closest: the catalog has one entry per language."""
-    docs = retrieval.embed_hash(load(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    checkpoint_root(spark)
+    # embedded once, then read twice (catalog and routing): a reliable checkpoint cuts the lineage
+    docs = retrieval.embed_hash(load(spark, sf_dir, "documents").select("doc_id", "lang", "text")).checkpoint()
     catalog = retrieval.centroids(docs, "lang").withColumnRenamed("lang", "table_name")
-    qs = docs.select(F.col("doc_id").alias("qid"), F.col("embedding").alias("q_embedding"))
-    return retrieval.route_table(qs, catalog).join(docs.select(F.col("doc_id").alias("qid"), "lang"), "qid")
+    qs = docs.select(F.col("doc_id").alias("qid"), F.col("embedding").alias("q_embedding"), "lang")
+    return retrieval.route_table(qs, catalog, keep=("lang",))
 
 
 @register(
