@@ -156,65 +156,90 @@ def section_rows(
     return found.unionByName(placeholders)
 
 
-def assemble_report_rows(rows: DataFrame, keep_hour: bool = True) -> DataFrame:
+def _html_row() -> Column:
+    """One observation as an HTML table row (native, built before the shuffle)."""
+    return F.concat(F.lit("<tr>"), *[_cell(F.col(c)) for c in SECTION_COLUMNS], F.lit("</tr>"))
+
+
+def assemble_report_rows(rows: DataFrame, with_html: bool = False, with_summary: bool = False) -> DataFrame:
     """One record per request, one list of rows per section, in hour order.
 
     One aggregation keyed by the request columns. The rows of a request come
     from the same input partitions, so the partial (map-side) aggregate already
     folds them and the shuffle carries about one row per request and task. A
     section without rows gives an empty list.
+
+    Output per section ``s``: ``rows_s`` (the 11 columns, no hour) and
+    ``sec_s`` (sorted ``struct<hour, r[, html]>``). ``with_summary`` adds the
+    section's sky inputs as conditional aggregates of the same pass
+    (``n_s, sun_s, cloud_s, rain_s, snow_s, fog_s, thunder_s, tmin_s, tmax_s,
+    bmax_s``); ``with_html`` carries each row's HTML table row.
     """
     req_cols = [c for c in rows.columns if c not in ("section", "hour", *SECTION_COLUMNS)]
-    row = F.struct("hour", *SECTION_COLUMNS)
-    aggs = [
-        F.sort_array(F.collect_list(F.when((F.col("section") == s) & F.col("hour").isNotNull(), row))).alias(f"rows_{s}")
-        for s in SECTIONS
-    ]
+    fields = [F.col("hour"), F.struct(*SECTION_COLUMNS).alias("r")]
+    if with_html:
+        fields.append(_html_row().alias("html"))
+    item = F.struct(*fields)
+    aggs = []
+    for s in SECTIONS:
+        in_s = (F.col("section") == s) & F.col("hour").isNotNull()
+        aggs.append(F.sort_array(F.collect_list(F.when(in_s, item))).alias(f"sec_{s}"))
+        if with_summary:
+            aggs += [
+                F.count(F.when(in_s, F.lit(1))).alias(f"n_{s}"),
+                F.avg(F.when(in_s, F.col("sunshine"))).alias(f"sun_{s}"),
+                F.avg(F.when(in_s, F.least(F.col("cloudcover"), F.lit(8)))).alias(f"cloud_{s}"),
+                F.max(F.when(in_s, F.col("rain"))).alias(f"rain_{s}"),
+                F.max(F.when(in_s, F.col("snow"))).alias(f"snow_{s}"),
+                F.max(F.when(in_s, F.col("fog"))).alias(f"fog_{s}"),
+                F.max(F.when(in_s, F.col("thunderstorm"))).alias(f"thunder_{s}"),
+                F.min(F.when(in_s, F.col("temperature"))).alias(f"tmin_{s}"),
+                F.max(F.when(in_s, F.col("temperature"))).alias(f"tmax_{s}"),
+                F.max(F.when(in_s, F.col("beaufort"))).alias(f"bmax_{s}"),
+            ]
     out = rows.groupBy(*req_cols).agg(*aggs)
-    if not keep_hour:
-        out = drop_hours(out)
-    return out
-
+    # field access on an array of structs is a native expression (no lambda)
+    return out.withColumns({f"rows_{s}": F.col(f"sec_{s}").getField("r") for s in SECTIONS})
 
-def row_type(rows: DataFrame) -> T.StructType:
-    fields = {f.name: f for f in rows.schema.fields}
-    return T.StructType([T.StructField(c, fields[c].dataType, True) for c in ["hour", *SECTION_COLUMNS]])
 
-
-def drop_hours(df: DataFrame) -> DataFrame:
-    """The reference's record rows carry the 11 section columns, no hour."""
-    for s in SECTIONS:
-        df = df.withColumn(f"rows_{s}", F.transform(f"rows_{s}", lambda x: x.dropFields("hour")))
-    return df
+def internal_columns(df: DataFrame) -> list[str]:
+    prefixes = ("sec_", "n_", "sun_", "cloud_", "rain_", "snow_", "fog_", "thunder_", "tmin_", "tmax_", "bmax_")
+    return [c for c in df.columns if c.startswith(prefixes) and c.split("_", 1)[1] in SECTIONS]
 
 
 # --- text -----------------------------------------------------------------------
 
-def _mean(a: Column, field: str, fn: Callable[[Column], Column] | None = None) -> Column:
-    vals = F.filter(F.transform(a, lambda x: (fn(x[field]) if fn else x[field]).cast("double")), lambda v: v.isNotNull())
-    return F.try_divide(F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + v), F.size(vals))
+def fog_then_sun_flag(sec: Column) -> Column:
+    """Fog at some hour and more sunshine at a later hour of the section: one
+    pass from the last hour back, carrying the largest later sunshine."""
+    init = F.struct(F.lit(None).cast("int").alias("m"), F.lit(False).alias("f"))
+    return F.aggregate(
+        F.reverse(sec),
+        init,
+        lambda acc, x: F.struct(
+            F.greatest(acc["m"], x["r"]["sunshine"]).alias("m"),
+            (acc["f"] | F.coalesce((x["r"]["fog"] == 1) & (acc["m"] > x["r"]["sunshine"]), F.lit(False))).alias("f"),
+        ),
+        lambda acc: acc["f"],
+    )
 
 
-def section_summary(a: Column) -> Column:
-    """Sky, temperature range and strongest wind of one section's rows (with hour)."""
-    s = _mean(a, "sunshine")
-    n = _mean(a, "cloudcover", lambda c: F.least(c, F.lit(8)))
-    flag = lambda f: F.exists(a, lambda x: x[f] == 1)
-    rain, snow, fog, thunder = flag("rain"), flag("snow"), flag("fog"), flag("thunderstorm")
-    fts = F.exists(
-        a, lambda x: (x["fog"] == 1) & F.exists(a, lambda y: (y["hour"] > x["hour"]) & (y["sunshine"] > x["sunshine"]))
-    )
-    some_sun, low_sun = s >= 1, s <= 2
-    high_cloud, some_cloud = n >= 7, n >= 1
+def section_sky(section: str) -> Column:
+    """Sky wording of one section from its summary columns (rules as in
+    ``weather.sky_condition``)."""
     from nimbus.operators.weather import SKY_WORDS as w
 
-    sky = (
+    s, n = F.col(f"sun_{section}"), F.col(f"cloud_{section}")
+    rain, snow, fog, thunder = (F.col(f"{c}_{section}") == 1 for c in ("rain", "snow", "fog", "thunder"))
+    some_sun, low_sun = s >= 1, s <= 2
+    high_cloud, some_cloud = n >= 7, n >= 1
+    return (
         F.when(thunder & rain & some_sun & some_cloud, w[0])
         .when(thunder & some_sun & some_cloud, w[1])
         .when(snow & rain & low_sun, w[2])
         .when(snow & some_sun, w[3])
         .when(snow, w[4])
-        .when(fts, w[5])
+        .when(fog_then_sun_flag(F.col(f"sec_{section}")), w[5])
         .when(fog, w[6])
         .when(rain & (s > 2) & (s < 7) & high_cloud, w[7])
         .when(rain & low_sun, w[8])
@@ -225,31 +250,24 @@ def section_summary(a: Column) -> Column:
         .when(some_sun & some_cloud, w[13])
         .otherwise(w[14])
     )
-    return F.struct(
-        F.size(a).alias("n_rows"),
-        sky.alias("sky"),
-        F.array_min(F.transform(a, lambda x: x["temperature"])).alias("tmin"),
-        F.array_max(F.transform(a, lambda x: x["temperature"])).alias("tmax"),
-        F.array_max(F.transform(a, lambda x: x["beaufort"])).alias("max_beaufort"),
-    )
 
 
-def section_text(section: str, a: Column) -> Column:
+def section_text(section: str) -> Column:
     """'Morning: Sunny, 3 to 7 degrees, Gentle Breeze.' or 'Morning: No data.'"""
-    sm = section_summary(a)
     title = SECTION_TITLES[section]
-    wind = F.coalesce(codes.beaufort_name(sm["max_beaufort"]), F.lit("no wind reading"))
+    wind = F.coalesce(codes.beaufort_name(F.col(f"bmax_{section}")), F.lit("no wind reading"))
     temp = F.concat(
-        F.coalesce(sm["tmin"].cast("string"), F.lit("None")), F.lit(" to "),
-        F.coalesce(sm["tmax"].cast("string"), F.lit("None")), F.lit(" degrees"),
+        F.coalesce(F.col(f"tmin_{section}").cast("string"), F.lit("None")), F.lit(" to "),
+        F.coalesce(F.col(f"tmax_{section}").cast("string"), F.lit("None")), F.lit(" degrees"),
     )
-    text = F.concat(F.lit(f"{title}: "), sm["sky"], F.lit(", "), temp, F.lit(", "), wind, F.lit("."))
-    return F.when(sm["n_rows"] == 0, F.lit(f"{title}: {NO_DATA}.")).otherwise(text)
+    text = F.concat(F.lit(f"{title}: "), section_sky(section), F.lit(", "), temp, F.lit(", "), wind, F.lit("."))
+    return F.when(F.col(f"n_{section}") == 0, F.lit(f"{title}: {NO_DATA}.")).otherwise(text)
 
 
 def template_report(df: DataFrame) -> Column:
-    """G3 default: one deterministic sentence per section, natively computed."""
-    return F.concat_ws(" ", *[section_text(s, F.col(f"rows_{s}")) for s in SECTIONS])
+    """G3 default: one deterministic sentence per section from the summaries
+    (``assemble_report_rows(..., with_summary=True)``)."""
+    return F.concat_ws(" ", *[section_text(s) for s in SECTIONS])
 
 
 def report_status(df: DataFrame) -> Column:
@@ -331,25 +349,25 @@ def _cell(v: Column) -> Column:
     return F.concat(F.lit("<td>"), F.coalesce(v.cast("string"), F.lit("None")), F.lit("</td>"))
 
 
-def section_table(section: str, rows: Column) -> Column:
-    """One section's rows as an HTML table with the 11 fixed headings."""
+def section_table(section: str, sec: Column) -> Column:
+    """One section as an HTML table with the 11 fixed headings; the rows'
+    HTML was built before the aggregation, so this is a native join."""
     head = "".join(f"<th>{h}</th>" for h in TABLE_HEADINGS)
-    body = F.array_join(
-        F.transform(rows, lambda r: F.concat(F.lit("<tr>"), *[_cell(r[c]) for c in SECTION_COLUMNS], F.lit("</tr>"))),
-        "",
-    )
     return F.concat(
-        F.lit(f"<h3>{SECTION_TITLES[section]}</h3><table border='1'><tr>{head}</tr>"), body, F.lit("</table>")
+        F.lit(f"<h3>{SECTION_TITLES[section]}</h3><table border='1'><tr>{head}</tr>"),
+        F.array_join(sec.getField("html"), ""),
+        F.lit("</table>"),
     )
 
 
 def to_html(df: DataFrame) -> Column:
-    """The whole report page (location, heading, report text, five tables)."""
+    """The whole report page (location, heading, report text, five tables).
+    Needs ``assemble_report_rows(..., with_html=True)``."""
     return F.concat(
         F.lit("<html> <p><strong>Location:</strong> "), F.coalesce(F.col("location"), F.lit("None")),
         F.lit("</p><p><strong>Date:</strong> "), F.col("heading"),
         F.lit("</p><p><strong>Report:</strong> "), F.coalesce(F.col("report"), F.lit("None")), F.lit("</p>"),
-        *[section_table(s, F.col(f"rows_{s}")) for s in SECTIONS],
+        *[section_table(s, F.col(f"sec_{s}")) for s in SECTIONS],
         F.lit("</html>"),
     )
 
@@ -375,6 +393,172 @@ def external_id(request_id: Column, suffix: str = DEFAULT_BATCH_SUFFIX) -> Colum
     return F.concat(request_id.cast("string"), F.lit("_"), F.lit(suffix))
 
 
+# --- station-day bundles --------------------------------------------------------------
+
+PARTS = ["Morning", "Afternoon", "Evening", "Night"]
+_DAY = "Day"
+_SECTION_OF_PART = {"Morning": "morning", "Afternoon": "afternoon", "Evening": "evening", "Night": "night"}
+
+
+def day_bundles(obs: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Observations folded to one row per ``(station, date)``.
+
+    For every part of the day and for the whole day (``Day``): ``arr_<p>``
+    (sorted ``struct<hour, r, html>``), ``body_<p>`` (the HTML table body) and
+    ``text_<p>`` (the section sentence; the whole day is titled 'Tomorrow', the
+    only section that uses it). ``keys`` (station, date), when given, restricts
+    the fold to the days some request needs (a left-semi join, so a few hundred
+    requests do not fold a whole archive).
+
+    One aggregation over observations; its output has one row per station-day,
+    so what requests later join to is bounded by the calendar, not by the data
+    volume, and a day that many requests share is folded, rendered and worded
+    once.
+    """
+    if keys is not None:
+        obs = obs.join(keys, ["station", "date"], "left_semi")
+    item = F.struct(F.col("hour"), F.struct(*SECTION_COLUMNS).alias("r"), _html_row().alias("html"))
+    aggs = []
+    for p in [*PARTS, _DAY]:
+        cond = F.col("Time_Category") == p if p != _DAY else F.lit(True)
+        aggs += [
+            F.sort_array(F.collect_list(F.when(cond, item))).alias(f"arr_{p}"),
+            F.count(F.when(cond, F.lit(1))).alias(f"n_{p}"),
+            F.avg(F.when(cond, F.col("sunshine"))).alias(f"sun_{p}"),
+            F.avg(F.when(cond, F.least(F.col("cloudcover"), F.lit(8)))).alias(f"cloud_{p}"),
+            F.max(F.when(cond, F.col("rain"))).alias(f"rain_{p}"),
+            F.max(F.when(cond, F.col("snow"))).alias(f"snow_{p}"),
+            F.max(F.when(cond, F.col("fog"))).alias(f"fog_{p}"),
+            F.max(F.when(cond, F.col("thunderstorm"))).alias(f"thunder_{p}"),
+            F.min(F.when(cond, F.col("temperature"))).alias(f"tmin_{p}"),
+            F.max(F.when(cond, F.col("temperature"))).alias(f"tmax_{p}"),
+            F.max(F.when(cond, F.col("beaufort"))).alias(f"bmax_{p}"),
+        ]
+    b = obs.groupBy("station", "date").agg(*aggs)
+    out = {}
+    for p in [*PARTS, _DAY]:
+        title = p if p != _DAY else SECTION_TITLES["tomorrow"]
+        out[f"body_{p}"] = F.array_join(F.col(f"arr_{p}").getField("html"), "")
+        out[f"text_{p}"] = _section_text_of(p, title)
+    b = b.withColumns(out)
+    keep = ["station", "date"] + [f"{c}_{p}" for p in [*PARTS, _DAY] for c in ("arr", "body", "text")]
+    return b.select(*keep)
+
+
+def _section_text_of(p: str, title: str) -> Column:
+    from nimbus.operators.weather import SKY_WORDS as w
+
+    s, n = F.col(f"sun_{p}"), F.col(f"cloud_{p}")
+    rain, snow, fog, thunder = (F.col(f"{c}_{p}") == 1 for c in ("rain", "snow", "fog", "thunder"))
+    some_sun, low_sun = s >= 1, s <= 2
+    high_cloud, some_cloud = n >= 7, n >= 1
+    sky = (
+        F.when(thunder & rain & some_sun & some_cloud, w[0])
+        .when(thunder & some_sun & some_cloud, w[1])
+        .when(snow & rain & low_sun, w[2])
+        .when(snow & some_sun, w[3])
+        .when(snow, w[4])
+        .when(fog_then_sun_flag(F.col(f"arr_{p}")), w[5])
+        .when(fog, w[6])
+        .when(rain & (s > 2) & (s < 7) & high_cloud, w[7])
+        .when(rain & low_sun, w[8])
+        .when(rain, w[9])
+        .when(s >= 7, w[10])
+        .when((s == 0) & high_cloud, w[11])
+        .when(low_sun & high_cloud, w[12])
+        .when(some_sun & some_cloud, w[13])
+        .otherwise(w[14])
+    )
+    wind = F.coalesce(codes.beaufort_name(F.col(f"bmax_{p}")), F.lit("no wind reading"))
+    temp = F.concat(
+        F.coalesce(F.col(f"tmin_{p}").cast("string"), F.lit("None")), F.lit(" to "),
+        F.coalesce(F.col(f"tmax_{p}").cast("string"), F.lit("None")), F.lit(" degrees"),
+    )
+    text = F.concat(F.lit(f"{title}: "), sky, F.lit(", "), temp, F.lit(", "), wind, F.lit("."))
+    return F.when(F.col(f"n_{p}") == 0, F.lit(f"{title}: {NO_DATA}.")).otherwise(text)
+
+
+def report_records(
+    requests: DataFrame,
+    obs: DataFrame,
+    n_requests: int | None = None,
+    broadcast_bytes: int = 64 << 20,
+    prune: bool | None = None,
+) -> DataFrame:
+    """J1 + J2 + A13 over day bundles: each request takes its day's bundle
+    (four sections) and the next day's (tomorrow) by two equi left joins on
+    ``(station, date)``. Output: the request columns, ``sec_<section>``
+    (sorted ``struct<hour, r, html>``), ``rows_<section>`` (the 11 columns),
+    ``text_<section>`` and ``body_<section>``.
+
+    ``prune`` (default: when ``n_requests`` is known and small) folds only the
+    days requests need; the request keys are then broadcast into a semi join.
+    Otherwise the bundle side is whatever size the calendar gives, and AQE
+    broadcasts it when it measures it small, else both sides are shuffled on
+    ``(station, date)`` (a hot day is one bundle row, so skew stays on the
+    streamed request side, where AQE can split it).
+    """
+    d = codes.date_to_int("date")
+    nd = codes.date_to_int("next_date")
+    if prune is None:
+        prune = n_requests is not None and n_requests * 2 * _SECTION_ROW_BYTES <= broadcast_bytes
+    keys = None
+    if prune:
+        keys = F.broadcast(
+            requests.select("station", d.alias("date"))
+            .unionByName(requests.select("station", nd.alias("date")))
+            .where(F.col("station").isNotNull())
+            .distinct()
+        )
+    b = day_bundles(obs, keys)
+    today = b.select(
+        F.col("station").alias("_t_station"), F.col("date").alias("_t_date"),
+        *[F.col(f"{c}_{p}").alias(f"{c}_{_SECTION_OF_PART[p]}") for p in PARTS for c in ("arr", "body", "text")],
+    )
+    tomorrow = b.select(
+        F.col("station").alias("_m_station"), F.col("date").alias("_m_date"),
+        *[F.col(f"{c}_{_DAY}").alias(f"{c}_tomorrow") for c in ("arr", "body", "text")],
+    )
+    rec = requests.join(today, (requests["station"] == today["_t_station"]) & (d == today["_t_date"]), "left")
+    rec = rec.join(tomorrow, (rec["station"] == tomorrow["_m_station"]) & (nd == tomorrow["_m_date"]), "left")
+    item_type = b.schema["arr_Day"].dataType
+    cols = {}
+    for sct in SECTIONS:
+        arr = F.coalesce(F.col(f"arr_{sct}"), F.array().cast(item_type))
+        title = SECTION_TITLES[sct]
+        cols[f"sec_{sct}"] = arr
+        cols[f"rows_{sct}"] = arr.getField("r")
+        cols[f"text_{sct}"] = F.coalesce(F.col(f"text_{sct}"), F.lit(f"{title}: {NO_DATA}."))
+        cols[f"body_{sct}"] = F.coalesce(F.col(f"body_{sct}"), F.lit(""))
+    rec = rec.withColumns(cols)
+    return rec.drop("_t_station", "_t_date", "_m_station", "_m_date", *[f"arr_{sct}" for sct in SECTIONS])
+
+
+def render(rec: DataFrame, fn: Callable[[pd.DataFrame], pd.Series] | None = None,
+           suffix: str = DEFAULT_BATCH_SUFFIX) -> DataFrame:
+    """G3 + G4 + G6 + F14 on report records: text, status, page, external id."""
+    if fn is None:
+        rec = rec.withColumn("report", F.concat_ws(" ", *[F.col(f"text_{s}") for s in SECTIONS]))
+    else:
+        rec = generate(rec.drop(*[f"sec_{s}" for s in SECTIONS]), fn).join(
+            rec.select("request_id", *[f"sec_{s}" for s in SECTIONS]), "request_id")
+    head = "".join(f"<th>{h}</th>" for h in TABLE_HEADINGS)
+    tables = [
+        F.concat(F.lit(f"<h3>{SECTION_TITLES[s]}</h3><table border='1'><tr>{head}</tr>"), F.col(f"body_{s}"), F.lit("</table>"))
+        for s in SECTIONS
+    ]
+    page = F.concat(
+        F.lit("<html> <p><strong>Location:</strong> "), F.coalesce(F.col("location"), F.lit("None")),
+        F.lit("</p><p><strong>Date:</strong> "), F.col("heading"),
+        F.lit("</p><p><strong>Report:</strong> "), F.coalesce(F.col("report"), F.lit("None")), F.lit("</p>"),
+        *tables, F.lit("</html>"),
+    )
+    rec = rec.withColumn("status", report_status(rec)).withColumn("html_report", page)
+    rec = rec.withColumn("external_id", external_id(F.col("request_id"), suffix))
+    drop = [f"{c}_{s}" for s in SECTIONS for c in ("sec", "text", "body")]
+    return rec.drop(*drop)
+
+
 def report_dataset(
     requests: DataFrame,
     obs: DataFrame,
@@ -382,11 +566,7 @@ def report_dataset(
     suffix: str = DEFAULT_BATCH_SUFFIX,
     n_requests: int | None = None,
 ) -> DataFrame:
-    """The whole report record per request, lazily (sinks write it)."""
-    rows = section_rows(requests, obs, n_requests=n_requests)
-    rec = assemble_report_rows(rows)
-    rec = generate(rec, fn)
-    rec = rec.withColumn("status", report_status(rec))
-    rec = drop_hours(rec)
-    rec = rec.withColumn("html_report", to_html(rec))
-    return rec.withColumn("external_id", external_id(F.col("request_id"), suffix))
+    """The whole report record per request, lazily (sinks write it).
+    Columns: the request columns, ``rows_<section>`` x5, ``report``, ``status``,
+    ``html_report``, ``external_id``."""
+    return render(report_records(requests, obs, n_requests=n_requests), fn, suffix)

@@ -126,11 +126,14 @@ FROM req JOIN rec ON req.request_id = rec.request_id"""
     FROM rows GROUP BY request_id, section""",
 )
 def q_report_sections(spark, sf_dir):
-    rows = report.section_rows(requests_from_orders(spark, sf_dir), observations(spark, sf_dir))
-    return rows.groupBy("request_id", "section").agg(
-        F.count("hour").alias("n_rows"),
-        F.min("temperature").alias("min_temperature"),
-        F.max("temperature").alias("max_temperature"),
+    rec = report.report_records(requests_from_orders(spark, sf_dir), observations(spark, sf_dir))
+    secs = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"rows_{s}").alias("rows")) for s in report.SECTIONS])
+    x = rec.select("request_id", F.explode(secs).alias("x"))
+    return x.select(
+        "request_id", "x.section",
+        F.size("x.rows").cast("long").alias("n_rows"),
+        F.array_min(F.col("x.rows").getField("temperature")).alias("min_temperature"),
+        F.array_max(F.col("x.rows").getField("temperature")).alias("max_temperature"),
     )
 
 
@@ -142,16 +145,12 @@ def q_report_sections(spark, sf_dir):
     FROM rows WHERE hour IS NOT NULL""",
 )
 def q_report_rows(spark, sf_dir):
-    reqs = requests_from_orders(spark, sf_dir)
-    rec = report.assemble_report_rows(report.section_rows(reqs, observations(spark, sf_dir)))
-    parts = [
-        rec.select("request_id", F.lit(s).alias("section"), F.posexplode(f"rows_{s}").alias("pos", "r"))
-        for s in report.SECTIONS
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("request_id", "section", "pos", "r.hour", *[f"r.{c}" for c in SECTION_COLUMNS])
+    rec = report.report_records(requests_from_orders(spark, sf_dir), observations(spark, sf_dir))
+    # one explode over the five sections (a single pass over the records)
+    secs = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"sec_{s}").alias("arr")) for s in report.SECTIONS])
+    x = rec.select("request_id", F.explode(secs).alias("x"))
+    out = x.select("request_id", "x.section", F.posexplode("x.arr").alias("pos", "e"))
+    return out.select("request_id", "section", "pos", "e.hour", *[F.col(f"e.r.{c}").alias(c) for c in SECTION_COLUMNS])
 
 
 @register("report_dataset", "G1 G2 G3 G4 G6 G7 F14 F19", REPORT_RECORD_CTES)
