@@ -153,7 +153,7 @@ def q_report_rows(spark, sf_dir):
     return out.select("request_id", "section", "pos", "e.hour", *[F.col(f"e.r.{c}").alias(c) for c in SECTION_COLUMNS])
 
 
-@register("report_dataset", "G1 G2 G3 G4 G6 G7 F14 F19", REPORT_RECORD_CTES)
+@register("report_dataset", "G3 G4 G6 G7 F14 F19", REPORT_RECORD_CTES)
 def q_report_dataset(spark, sf_dir):
     rec = _records(spark, sf_dir)
     return rec.select(
@@ -169,3 +169,14 @@ def q_report_dataset(spark, sf_dir):
 def q_report_uri(spark, sf_dir):
     pages = load(spark, sf_dir, "pages")
     return pages.select("page_id", report.data_uri(F.col("html")).alias("uri"))
+
+
+@register("report_prompts", "G2 G5")
+def q_report_prompts(spark, sf_dir):
+    """Section prompts and the combined prompt per request (the input a text
+    generator would get), with question / answer / data as Markdown."""
+    rec = report.report_records(requests_from_orders(spark, sf_dir), observations(spark, sf_dir))
+    rec = report.build_prompts(rec.withColumn("report", F.concat_ws(" ", *[F.col(f"text_{s}") for s in report.SECTIONS])))
+    md = report.to_markdown(F.col("heading"), F.col("report"), F.lit("lookup by (station, date, part of day)"),
+                            F.to_json(F.col("rows_morning")))
+    return rec.select("request_id", F.length("prompt").alias("prompt_chars"), md.alias("markdown"))
