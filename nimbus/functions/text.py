@@ -109,17 +109,22 @@ def date_matches(q: Column) -> dict[str, Column]:
         "_q_mdy": F.regexp_extract(q, P_MONTH_DAY_YEAR, 0),
         "_q_compact": F.regexp_extract(q, P_COMPACT, 1),
         "_q_iso": F.regexp_extract(q, P_ISO, 1),
-        "_q_ord": F.regexp_extract(q, P_ORDINAL_OF, 0),
+        # the ordinal form needs the word 'of': skip its 31-way alternation otherwise
+        "_q_ord": F.when(F.lower(q).contains(" of "), F.regexp_extract(q, P_ORDINAL_OF, 0)).otherwise(F.lit("")),
         "_q_month": F.regexp_extract(q, P_MONTH_YEAR, 0),
     }
 
 
 def date_from_matches() -> Column:
+    """Parse only the forms that matched (most questions match one or none)."""
+    def when_found(c: str, parsed: Column) -> Column:
+        return F.when(F.col(c) != "", parsed)
+
     return F.coalesce(
-        _parse_mdy(F.col("_q_mdy")),
-        F.try_to_date(F.nullif(F.col("_q_compact"), F.lit("")), "yyyyMMdd"),
-        F.try_to_date(F.nullif(F.col("_q_iso"), F.lit("")), "yyyy-MM-dd"),
-        _parse_ordinal(F.col("_q_ord")),
+        when_found("_q_mdy", _parse_mdy(F.col("_q_mdy"))),
+        when_found("_q_compact", F.try_to_date(F.col("_q_compact"), "yyyyMMdd")),
+        when_found("_q_iso", F.try_to_date(F.col("_q_iso"), "yyyy-MM-dd")),
+        when_found("_q_ord", _parse_ordinal(F.col("_q_ord"))),
     )
 
 
