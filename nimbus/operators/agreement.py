@@ -93,12 +93,15 @@ def krippendorff_alpha(
     per_value = per_unit.groupBy("column", "value").agg(
         F.sum(F.when(pairable, F.col("n_uc")).otherwise(0.0)).alias("n_c"),
         F.sum(F.when(pairable, d_term).otherwise(0.0)).alias("d"),
+        # a unit's rows carry n_uc / m_u summing to 1, so this sums to the pairable units
+        F.sum(F.when(pairable, F.col("n_uc") / F.col("m_u")).otherwise(0.0)).alias("u"),
     )
     if metric == "nominal":
         final = per_value.groupBy("column").agg(
             F.sum("n_c").alias("N"),
             F.sum(F.col("n_c") * F.col("n_c")).alias("S"),
             F.sum("d").alias("D"),
+            F.round(F.sum("u")).cast("long").alias("n_units"),
         )
         de_num = F.col("N") * F.col("N") - F.col("S")
     else:
@@ -107,11 +110,9 @@ def krippendorff_alpha(
             F.sum(F.col("n_c") * F.col("value")).alias("S1"),
             F.sum(F.col("n_c") * F.col("value") * F.col("value")).alias("S2"),
             F.sum("d").alias("D"),
+            F.round(F.sum("u")).cast("long").alias("n_units"),
         )
         de_num = 2 * (F.col("N") * F.col("S2") - F.col("S1") * F.col("S1"))
-    units = (
-        per_unit.where(pairable).groupBy("column").agg(F.count_distinct("unit").alias("n_units"))
-    )
     n, d = F.col("N"), F.col("D")
     de = F.try_divide(de_num, n * (n - 1))
     do = F.try_divide(d, n)
@@ -121,8 +122,7 @@ def krippendorff_alpha(
         .when(n.isNull() | (n < 2) | de.isNull() | (de == 0), STATUS_INSUFFICIENT)
         .otherwise(STATUS_OK)
     )
-    final = final.join(n_values, "column", "right")
-    out = final.join(units, "column", "left").select(
+    out = final.join(n_values, "column", "right").select(
         "column",
         F.coalesce(F.col("n_units"), F.lit(0)).alias("n_units"),
         F.col("n_values").cast("long").alias("n_values"),
