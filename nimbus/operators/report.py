@@ -325,7 +325,8 @@ def build_prompts(df: DataFrame, guidance: str = DEFAULT_GUIDANCE) -> DataFrame:
         heading = codes.request_text("location", day, F.lit(parts[s]))
         out = out.withColumn(
             f"prompt_{s}",
-            F.concat_ws("\n", heading, F.lit(guidance), F.to_json(F.col(f"rows_{s}"))),
+            F.concat_ws("\n", heading, F.lit(guidance),
+                        F.col(f"json_{s}") if f"json_{s}" in df.columns else F.to_json(F.col(f"rows_{s}"))),
         )
     return out.withColumn(
         "prompt",
@@ -439,9 +440,10 @@ def day_bundles(obs: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     for p in [*PARTS, _DAY]:
         title = p if p != _DAY else SECTION_TITLES["tomorrow"]
         out[f"body_{p}"] = F.array_join(F.col(f"arr_{p}").getField("html"), "")
+        out[f"json_{p}"] = F.to_json(F.col(f"arr_{p}").getField("r"))
         out[f"text_{p}"] = _section_text_of(p, title)
     b = b.withColumns(out)
-    keep = ["station", "date"] + [f"{c}_{p}" for p in [*PARTS, _DAY] for c in ("arr", "body", "text")]
+    keep = ["station", "date"] + [f"{c}_{p}" for p in [*PARTS, _DAY] for c in ("arr", "body", "text", "json")]
     return b.select(*keep)
 
 
@@ -513,11 +515,11 @@ def report_records(
     b = day_bundles(obs, keys)
     today = b.select(
         F.col("station").alias("_t_station"), F.col("date").alias("_t_date"),
-        *[F.col(f"{c}_{p}").alias(f"{c}_{_SECTION_OF_PART[p]}") for p in PARTS for c in ("arr", "body", "text")],
+        *[F.col(f"{c}_{p}").alias(f"{c}_{_SECTION_OF_PART[p]}") for p in PARTS for c in ("arr", "body", "text", "json")],
     )
     tomorrow = b.select(
         F.col("station").alias("_m_station"), F.col("date").alias("_m_date"),
-        *[F.col(f"{c}_{_DAY}").alias(f"{c}_tomorrow") for c in ("arr", "body", "text")],
+        *[F.col(f"{c}_{_DAY}").alias(f"{c}_tomorrow") for c in ("arr", "body", "text", "json")],
     )
     rec = requests.join(today, (requests["station"] == today["_t_station"]) & (d == today["_t_date"]), "left")
     rec = rec.join(tomorrow, (rec["station"] == tomorrow["_m_station"]) & (nd == tomorrow["_m_date"]), "left")
@@ -530,6 +532,7 @@ def report_records(
         cols[f"rows_{sct}"] = arr.getField("r")
         cols[f"text_{sct}"] = F.coalesce(F.col(f"text_{sct}"), F.lit(f"{title}: {NO_DATA}."))
         cols[f"body_{sct}"] = F.coalesce(F.col(f"body_{sct}"), F.lit(""))
+        cols[f"json_{sct}"] = F.coalesce(F.col(f"json_{sct}"), F.lit("[]"))
     rec = rec.withColumns(cols)
     return rec.drop("_t_station", "_t_date", "_m_station", "_m_date", *[f"arr_{sct}" for sct in SECTIONS])
 
@@ -555,7 +558,7 @@ def render(rec: DataFrame, fn: Callable[[pd.DataFrame], pd.Series] | None = None
     )
     rec = rec.withColumn("status", report_status(rec)).withColumn("html_report", page)
     rec = rec.withColumn("external_id", external_id(F.col("request_id"), suffix))
-    drop = [f"{c}_{s}" for s in SECTIONS for c in ("sec", "text", "body")]
+    drop = [f"{c}_{s}" for s in SECTIONS for c in ("sec", "text", "body", "json")]
     return rec.drop(*drop)
 
 

@@ -178,5 +178,5 @@ def q_report_prompts(spark, sf_dir):
     rec = report.report_records(requests_from_orders(spark, sf_dir), observations(spark, sf_dir))
     rec = report.build_prompts(rec.withColumn("report", F.concat_ws(" ", *[F.col(f"text_{s}") for s in report.SECTIONS])))
     md = report.to_markdown(F.col("heading"), F.col("report"), F.lit("lookup by (station, date, part of day)"),
-                            F.to_json(F.col("rows_morning")))
+                            F.col("json_morning"))
     return rec.select("request_id", F.length("prompt").alias("prompt_chars"), md.alias("markdown"))

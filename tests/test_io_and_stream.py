@@ -116,4 +116,4 @@ def test_entry_and_all_queries_run(spark, sf_small):
     for name, fn in e.queries().items():
         out = fn(spark, sf_small)
         assert out.columns, name
-        assert name in sql or name in {"embed_hash", "route_table"}
+        assert name in sql or name in {"embed_hash", "route_table", "report_prompts"}
