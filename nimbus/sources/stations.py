@@ -57,48 +57,56 @@ def observations_from_events(events: DataFrame) -> DataFrame:
     ``event_id``, ``value``, ``event_type`` and ``props.k``. One observation per
     (station, date, hour): the event with the smallest ``event_id``.
 
-    The pick is a ``min_by`` aggregation, not a row_number window: it runs as a
-    partial (map-side) aggregate, so each task ships at most one row per key to
-    the shuffle, however many events fall on a hot station-hour.
+    The pick is a fixed-width ``min(event_id)`` hash aggregate (partial, so each
+    task ships at most one row per station-hour, however hot) followed by a
+    left-semi join on ``(station, date, hour, event_id)``; no sort of the events
+    is needed and the readings are computed for the winning rows only. The
+    winner table has one row per station-hour, so AQE broadcasts it when small.
     """
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    et = F.col("event_type")
-    eid = F.col("event_id")
-    t = (
-        F.when((et == "error") & (k % 10 == 0), F.lit(None).cast("int"))
-        .otherwise(F.floor("value").cast("int") % 400 - 50)
-    )
-    keyed = events.select(
+    stn = (
         F.when(F.col("user_id") % 5 == 0, 260)
         .when(F.col("user_id") % 5 == 1, 370)
         .when(F.col("user_id") % 5 == 2, 344)
         .when(F.col("user_id") % 5 == 3, 240)
         .otherwise(380)
-        .alias("STN"),
+    )
+    key_cols = [
+        stn.alias("STN"),
         (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).alias("YYYYMMDD"),
         (F.hour("ts") + 1).alias("HH"),
-        eid.alias("event_id"),
-        F.struct(
-            F.when(et == "error", 990).otherwise((eid * 10 % 370).cast("int")).alias("DD"),
-            ((F.floor(F.col("value") / 10)).cast("int") * 10).alias("FH"),
-            ((F.floor(F.col("value") / 10)).cast("int") * 10 + 30).alias("FX"),
-            t.alias("T"),
-            (t - 20).alias("T10N"),
-            (t - 35).alias("TD"),
-            (eid % 11).cast("int").alias("SQ"),
-            F.when(et == "view", (eid % 11).cast("int")).otherwise(0).alias("DR"),
-            F.when(et == "view", k % 25 - 1).otherwise(0).alias("RH"),
-            (eid % 90).cast("int").alias("VV"),
-            (eid % 10).cast("int").alias("N"),
-            F.when(k % 7 == 0, 1).otherwise(0).alias("M"),
-            F.when(et == "view", 1).otherwise(0).alias("R"),
-            F.when((et == "signup") & (k % 3 == 0), 1).otherwise(0).alias("S"),
-            F.when((et == "purchase") & (k % 4 == 0), 1).otherwise(0).alias("O"),
-            F.when(k % 10 == 0, 1).otherwise(0).alias("Y"),
-        ).alias("r"),
+    ]
+    keyed = events.select(*key_cols, "event_id")
+    winners = keyed.groupBy("STN", "YYYYMMDD", "HH").agg(F.min("event_id").alias("event_id"))
+    rows = events.select(*key_cols, "event_id", "event_type", "value", "props").join(
+        winners, ["STN", "YYYYMMDD", "HH", "event_id"], "left_semi"
+    )
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    et = F.col("event_type")
+    eid = F.col("event_id")
+    t = (
+        F.when((et == "error") & (k % 10 == 0), F.lit(None).cast("int"))
+        .otherwise(F.floor("value").cast("int") % 400 - 50)
     )
-    picked = keyed.groupBy("STN", "YYYYMMDD", "HH").agg(F.min_by("r", "event_id").alias("r"))
-    return picked.select(*[F.col(c) if c in ("STN", "YYYYMMDD", "HH") else F.col(f"r.{c}").alias(c) for c in RAW_COLUMNS])
+    fh = F.floor(F.col("value") / 10).cast("int") * 10
+    readings = {
+        "DD": F.when(et == "error", 990).otherwise((eid * 10 % 370).cast("int")),
+        "FH": fh,
+        "FX": fh + 30,
+        "T": t,
+        "T10N": t - 20,
+        "TD": t - 35,
+        "SQ": (eid % 11).cast("int"),
+        "DR": F.when(et == "view", (eid % 11).cast("int")).otherwise(0),
+        "RH": F.when(et == "view", k % 25 - 1).otherwise(0),
+        "VV": (eid % 90).cast("int"),
+        "N": (eid % 10).cast("int"),
+        "M": F.when(k % 7 == 0, 1).otherwise(0),
+        "R": F.when(et == "view", 1).otherwise(0),
+        "S": F.when((et == "signup") & (k % 3 == 0), 1).otherwise(0),
+        "O": F.when((et == "purchase") & (k % 4 == 0), 1).otherwise(0),
+        "Y": F.when(k % 10 == 0, 1).otherwise(0),
+    }
+    return rows.select(*[F.col(c) if c in ("STN", "YYYYMMDD", "HH") else readings[c].alias(c) for c in RAW_COLUMNS])
 
 
 # The same adapter in SQL (DuckDB dialect), used by the oracle queries.
