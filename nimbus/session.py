@@ -26,6 +26,30 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, input_bytes: int | None = None) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 1000 executors reading ~100 TB).
+
+    Shuffles start with enough partitions for ~128 MB each at the given input
+    size (at least 3 per core, at most 100k) and AQE coalesces the small ones and splits
+    skewed ones at run time; scans split files at 128 MB; a join side is only
+    broadcast when AQE measures it under 64 MB.
+    """
+    parts = 3 * total_cores
+    if input_bytes:
+        # shuffled bytes are far below scanned bytes after pruning; cap the map-status cost
+        parts = min(max(parts, int(input_bytes // (128 << 20))), 100_000)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
+
+
 def get_spark(
     master: str | None = None,
     app_name: str = "nimbus",
@@ -41,6 +65,8 @@ def get_spark(
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if master and not master.startswith("local"):
+        settings.update(cluster_conf(int(os.environ.get("NIMBUS_TOTAL_CORES", "8000"))))
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
