@@ -114,14 +114,21 @@ def q_route_table(spark, sf_dir):
 
 @register(
     "title_filter", "P15 U2",
-    "SELECT lang, doc_id FROM documents WHERE " + " OR ".join(f"contains(text, '{w}')" for w in TITLE_WORDS),
+    "SELECT 'documents' AS source, doc_id AS item_id FROM documents WHERE "
+    + " OR ".join(f"contains(text, '{w}')" for w in TITLE_WORDS)
+    + " UNION ALL SELECT 'benchmark' AS source, item_id FROM benchmark WHERE "
+    + " OR ".join(f"contains(text, '{w}')" for w in TITLE_WORDS),
 )
 def q_title_filter(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").select("lang", "doc_id", "text")
-    langs = ["de", "en", "es", "fr"]
-    per_group = [reports.title_filter(docs.where(F.col("lang") == g), "text", TITLE_WORDS).select("lang", "doc_id") for g in langs]
-    rest = reports.title_filter(docs.where(~F.col("lang").isin(langs) | F.col("lang").isNull()), "text", TITLE_WORDS)
-    return reports.concat_lists([*per_group, rest.select("lang", "doc_id")])
+    """Items whose text contains any of the words (case-sensitive), from two
+    sources concatenated with duplicates kept; each table is scanned once and
+    the contains-filter is pushed into the scan."""
+    docs = reports.title_filter(load(spark, sf_dir, "documents"), "text", TITLE_WORDS)
+    bench = reports.title_filter(load(spark, sf_dir, "benchmark"), "text", TITLE_WORDS)
+    return reports.concat_lists([
+        docs.select(F.lit("documents").alias("source"), F.col("doc_id").alias("item_id")),
+        bench.select(F.lit("benchmark").alias("source"), "item_id"),
+    ])
 
 
 # --- questions built from orders ------------------------------------------------------
