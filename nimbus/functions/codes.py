@@ -45,6 +45,8 @@ PARTS_OF_DAY = ["Morning", "Afternoon", "Evening", "Night"]
 # Seasons by month: 12, 1, 2 Winter; 3-5 Spring; 6-8 Summer; else Autumn.
 # Wind direction: 0 calm, 990 variable, 90 E, 180 S, 270 W, 360 N, open quadrants
 # NE / SE / SW / NW, anything else 'Invalid direction'.
+# Request heading: HEADING_LOCATION location HEADING_DATE 'Month dd, yyyy' [HEADING_TIME part].
+HEADING_LOCATION, HEADING_DATE, HEADING_TIME = "location - ", ", date - ", ", time - "
 # Unit scaling: temperatures and durations are in tenths; wind speed in 0.1 m/s,
 # turned into km/h by x 0.1 x 18/5.
 # ---------------------------------------------------------------------------
@@ -197,10 +199,10 @@ def hours_from_tenths(c: Column | str) -> Column:
 
 def request_text(location: Column | str, day: Column | str, part: Column | str | None = None) -> Column:
     """Request heading 'location - L, date - Month dd, yyyy[, time - P]'."""
-    base = F.concat(F.lit("location - "), _col(location), F.lit(", date - "), long_date(day))
+    base = F.concat(F.lit(HEADING_LOCATION), _col(location), F.lit(HEADING_DATE), long_date(day))
     if part is None:
         return base
-    return F.concat(base, F.lit(", time - "), _col(part))
+    return F.concat(base, F.lit(HEADING_TIME), _col(part))
 
 
 def parse_request(heading: Column | str) -> Column:

@@ -47,6 +47,19 @@ TABLE_HEADINGS = [
 ]
 LOCATIONS = ["Rotterdam", "De Bilt", "Eindhoven", "Maastricht", "Amsterdam"]
 NO_DATA = "No data"
+# Page format: PAGE_LOCATION location PAGE_DATE heading PAGE_REPORT report PAGE_REPORT_END,
+# then one table per section (TABLE_OPEN rows TABLE_END; a row is <tr> cells </tr>, a cell
+# <td> value </td>), then PAGE_END. A missing value prints as NULL_TEXT.
+PAGE_LOCATION = "<html> <p><strong>Location:</strong> "
+PAGE_DATE = "</p><p><strong>Date:</strong> "
+PAGE_REPORT = "</p><p><strong>Report:</strong> "
+PAGE_REPORT_END = "</p>"
+PAGE_END = "</html>"
+TABLE_OPEN = "<h3>{title}</h3><table border='1'><tr>{head}</tr>"
+TABLE_END = "</table>"
+NULL_TEXT = "None"
+DATA_URI_PREFIX = "data:text/html;charset=utf-8,"
+LINK = ('<a href="', '" target="_blank">View Report</a>')
 DEFAULT_BATCH_SUFFIX = "23052024"
 
 # Bytes of one exploded section key row, used for the broadcast size check.
@@ -347,30 +360,33 @@ def to_markdown(question: Column, answer: Column, query: Column, data: Column |
 
 
 def _cell(v: Column) -> Column:
-    return F.concat(F.lit("<td>"), F.coalesce(v.cast("string"), F.lit("None")), F.lit("</td>"))
+    return F.concat(F.lit("<td>"), F.coalesce(v.cast("string"), F.lit(NULL_TEXT)), F.lit("</td>"))
 
 
-def section_table(section: str, sec: Column) -> Column:
-    """One section as an HTML table with the 11 fixed headings; the rows'
-    HTML was built before the aggregation, so this is a native join."""
+def _table(section: str, body: Column) -> Column:
     head = "".join(f"<th>{h}</th>" for h in TABLE_HEADINGS)
+    return F.concat(F.lit(TABLE_OPEN.format(title=SECTION_TITLES[section], head=head)), body, F.lit(TABLE_END))
+
+
+def _page(tables: list[Column]) -> Column:
     return F.concat(
-        F.lit(f"<h3>{SECTION_TITLES[section]}</h3><table border='1'><tr>{head}</tr>"),
-        F.array_join(sec.getField("html"), ""),
-        F.lit("</table>"),
+        F.lit(PAGE_LOCATION), F.coalesce(F.col("location"), F.lit(NULL_TEXT)),
+        F.lit(PAGE_DATE), F.col("heading"),
+        F.lit(PAGE_REPORT), F.coalesce(F.col("report"), F.lit(NULL_TEXT)), F.lit(PAGE_REPORT_END),
+        *tables, F.lit(PAGE_END),
     )
 
 
+def section_table(section: str, sec: Column) -> Column:
+    """One section as an HTML table with the 11 fixed headings; the rows'
+    HTML was built before the aggregation, so this is a native join."""
+    return _table(section, F.array_join(sec.getField("html"), ""))
+
+
 def to_html(df: DataFrame) -> Column:
     """The whole report page (location, heading, report text, five tables).
     Needs ``assemble_report_rows(..., with_html=True)``."""
-    return F.concat(
-        F.lit("<html> <p><strong>Location:</strong> "), F.coalesce(F.col("location"), F.lit("None")),
-        F.lit("</p><p><strong>Date:</strong> "), F.col("heading"),
-        F.lit("</p><p><strong>Report:</strong> "), F.coalesce(F.col("report"), F.lit("None")), F.lit("</p>"),
-        *[section_table(s, F.col(f"sec_{s}")) for s in SECTIONS],
-        F.lit("</html>"),
-    )
+    return _page([section_table(s, F.col(f"sec_{s}")) for s in SECTIONS])
 
 
 def data_uri(html: Column) -> Column:
@@ -382,11 +398,11 @@ def data_uri(html: Column) -> Column:
     enc = F.replace(enc, F.lit("*"), F.lit("%2A"))
     enc = F.replace(enc, F.lit("%7E"), F.lit("~"))
     enc = F.replace(enc, F.lit("%2F"), F.lit("/"))
-    return F.concat(F.lit("data:text/html;charset=utf-8,"), enc)
+    return F.concat(F.lit(DATA_URI_PREFIX), enc)
 
 
 def link(uri: Column) -> Column:
-    return F.concat(F.lit('<a href="'), uri, F.lit('" target="_blank">View Report</a>'))
+    return F.concat(F.lit(LINK[0]), uri, F.lit(LINK[1]))
 
 
 def external_id(request_id: Column, suffix: str = DEFAULT_BATCH_SUFFIX) -> Column:
@@ -545,17 +561,7 @@ def render(rec: DataFrame, fn: Callable[[pd.DataFrame], pd.Series] | None = None
     else:
         rec = generate(rec.drop(*[f"sec_{s}" for s in SECTIONS]), fn).join(
             rec.select("request_id", *[f"sec_{s}" for s in SECTIONS]), "request_id")
-    head = "".join(f"<th>{h}</th>" for h in TABLE_HEADINGS)
-    tables = [
-        F.concat(F.lit(f"<h3>{SECTION_TITLES[s]}</h3><table border='1'><tr>{head}</tr>"), F.col(f"body_{s}"), F.lit("</table>"))
-        for s in SECTIONS
-    ]
-    page = F.concat(
-        F.lit("<html> <p><strong>Location:</strong> "), F.coalesce(F.col("location"), F.lit("None")),
-        F.lit("</p><p><strong>Date:</strong> "), F.col("heading"),
-        F.lit("</p><p><strong>Report:</strong> "), F.coalesce(F.col("report"), F.lit("None")), F.lit("</p>"),
-        *tables, F.lit("</html>"),
-    )
+    page = _page([_table(s, F.col(f"body_{s}")) for s in SECTIONS])
     rec = rec.withColumn("status", report_status(rec)).withColumn("html_report", page)
     rec = rec.withColumn("external_id", external_id(F.col("request_id"), suffix))
     drop = [f"{c}_{s}" for s in SECTIONS for c in ("sec", "text", "body", "json")]
