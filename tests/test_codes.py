@@ -157,3 +157,20 @@ def test_question_dates(spark):
     assert rows[5]["m"]["month_start"].isoformat() == "2023-02-01"
     assert rows[5]["m"]["month_end"].isoformat() == "2023-02-28"
     assert rows[6]["m"] is None
+
+
+def test_sql_functions_inline_and_match_columns(spark, sf_small, scratch):
+    from nimbus.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    got = spark.sql(
+        "SELECT beaufort(0.99) a, beaufort(118.0) b, beaufort(CAST(NULL AS DOUBLE)) c, beaufort_name(3) d, "
+        "wind_direction(45) e, part_of_day(24) f, season(1) g, normal_temperature(5) h, rating('a 3/5') i"
+    ).collect()[0]
+    assert tuple(got) == (0, 12, None, "Gentle Breeze", "NE", "Evening", "Winter", 12.95, 3)
+    from nimbus.plans.weather_queries import observations
+
+    observations(spark, sf_small).write.parquet(scratch)
+    spark.read.parquet(scratch).createOrReplaceTempView("obs_tmp")
+    plan = spark.sql("SELECT date FROM obs_tmp WHERE part_of_day(hour) = 'Morning'")._jdf.queryExecution().executedPlan().toString()
+    assert "PythonUDF" not in plan and "hour" in plan and "DataFilters" in plan
