@@ -74,7 +74,7 @@ MEAN_COLUMNS = [
 ]
 INFO_COLUMNS = ["MorningInfoGiven", "AfternoonInfoGiven", "EveningInfoGiven", "TomorrowInfoGiven"]
 
-DEFAULT_MAX_DEPTH = 8
+DEFAULT_MAX_DEPTH = 6
 
 _RADIO, _CHECKLIST, _UNDER_RADIO, _DIRECT = 0, 1, 2, 3
 
@@ -172,27 +172,48 @@ def _step(level: DataFrame) -> DataFrame:
     return level.select("label_key", F.explode(nxt).alias("r")).select("label_key", "r.*")
 
 
-def flatten_classifications(labels: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
+def _unroll(level: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    for _ in range(depth):
+        level = _step(level)
+    writes = level.where(F.col("node").isNull()).select("label_key", "question", "answer", "path")
+    return writes, level.where(F.col("node").isNotNull())
+
+
+def flatten_classifications(labels: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH,
+                            exact: bool = True) -> tuple[DataFrame, DataFrame]:
     """N3 + N4: every answer write ``(label_key, question, answer, path)``.
 
-    The unroll is one linear chain of ``max_depth`` explodes (no unions, so the
-    plan grows linearly and the input is read once). Returns (writes, deeper):
-    ``deeper`` holds nodes below ``max_depth`` levels; it is empty for trees
-    within the bound, and the caller should check it when trees may be deeper.
+    The unroll is a linear chain of ``max_depth`` explodes (no unions, so the
+    plan grows linearly and the input is read once). With ``exact`` (default),
+    one check looks for nodes still below that depth; if there are any, they
+    are checkpointed into the session's checkpoint folder and unrolled further,
+    as often as needed, so trees of any depth come out whole. Returns
+    (writes, deeper); ``deeper`` is empty when ``exact``, and otherwise holds
+    the nodes below ``max_depth`` for the caller to check.
     """
     level = labels.select(
         "label_key",
         F.explode(F.transform(F.coalesce("nodes", F.array().cast("array<variant>")),
                               lambda x, i: _item(x, F.array(i)))).alias("r"),
     ).select("label_key", "r.*")
-    for _ in range(max_depth):
-        level = _step(level)
-    writes = level.where(F.col("node").isNull()).select("label_key", "question", "answer", "path")
-    deeper = level.where(F.col("node").isNotNull())
-    return writes, deeper
-
-
-def flatten_labels(good: DataFrame, questions: dict[str, str] | None = None, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+    writes, deeper = _unroll(level, max_depth)
+    if not exact:
+        return writes, deeper
+    parts = [writes]
+    while not deeper.isEmpty():
+        from nimbus.session import checkpoint_root
+
+        checkpoint_root(deeper.sparkSession)
+        more, deeper = _unroll(deeper.checkpoint(), max_depth)
+        parts.append(more)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out, deeper
+
+
+def flatten_labels(good: DataFrame, questions: dict[str, str] | None = None, max_depth: int = DEFAULT_MAX_DEPTH,
+                   exact: bool = True) -> DataFrame:
     """N1-N5 + P2: one row per label, metadata plus one column per known question.
 
     Labels without answers keep their row. Question texts not in ``questions``
@@ -200,7 +221,7 @@ def flatten_labels(good: DataFrame, questions: dict[str, str] | None = None, max
     """
     questions = QUESTION_COLUMNS if questions is None else questions
     labels = explode_labels(good)
-    writes, _ = flatten_classifications(labels, max_depth)
+    writes, _ = flatten_classifications(labels, max_depth, exact)
     meta_cols = list(METADATA_COLUMNS)
     presence = labels.select("label_key", *meta_cols, F.lit(None).cast("string").alias("question"),
                              F.lit(None).cast("string").alias("answer"), F.lit(None).cast("array<int>").alias("path"))

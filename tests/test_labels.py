@@ -85,10 +85,15 @@ def test_depth_guard(spark):
         node = {"name": f"q{i}", "radio_answer": {"name": "a"}, "classifications": [node]}
     line = json.dumps({"data_row": {"id": "r"}, "projects": {"p": {"name": "P", "labels": [_label("l1", "a", 1.0, [node])]}}})
     good, _ = labels.parse_lines(spark.createDataFrame([(line,)], "value string"))
-    writes, deeper = labels.flatten_classifications(labels.explode_labels(good), max_depth=8)
+    writes, deeper = labels.flatten_classifications(labels.explode_labels(good), max_depth=8, exact=False)
     assert writes.count() == 8 and deeper.count() == 1
-    writes, deeper = labels.flatten_classifications(labels.explode_labels(good), max_depth=12)
+    writes, deeper = labels.flatten_classifications(labels.explode_labels(good), max_depth=12, exact=False)
     assert writes.count() == 12 and deeper.count() == 0
+    # exact (the default): a shallow bound is continued until the tree is whole
+    writes, deeper = labels.flatten_classifications(labels.explode_labels(good), max_depth=3)
+    assert writes.count() == 12 and deeper.count() == 0
+    flat = labels.flatten_labels(good, {"q0": "Q0", "q11": "Q11"}, max_depth=2).collect()[0]
+    assert flat["Q0"] == "a" and flat["Q11"] == "a"
 
 
 def test_shares_sum_to_100(spark, sf_mid):
