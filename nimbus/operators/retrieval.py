@@ -223,9 +223,14 @@ def route_table(questions: DataFrame, catalog: DataFrame, qid: str = "qid", qvec
     its size is checked; the questions stream through ``mapInPandas`` in Arrow
     batches, each batch scored against the whole catalog with one matrix
     product, so the work is linear in the number of questions and no shuffle
-    is needed."""
+    is needed. A catalog over ``max_catalog`` entries is handled exactly by
+    ``top_k`` with the questions as bucketed queries."""
     if _bounded_count(catalog, max_catalog) > max_catalog:
-        raise ValueError(f"catalog has more than {max_catalog} entries; use top_k with buckets")
+        # too large to broadcast: score the catalog as an index against the questions,
+        # taken in size-checked buckets (exact, same tie order)
+        best = top_k(questions.select(qid, qvec), catalog.select(table, tvec), k, qid=qid, iid=table,
+                     qvec=qvec, ivec=tvec).drop("rank")
+        return best.join(questions.select(qid, *keep), qid, "left") if keep else best
     rows = sorted(
         (r for r in catalog.select(table, unit(F.col(tvec)).alias("_t")).collect() if r["_t"] is not None and None not in r["_t"]),
         key=lambda r: r[table],

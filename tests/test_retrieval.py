@@ -123,3 +123,6 @@ def test_route_table_matches_brute_force(spark, sf_small):
         v = np.array(r["q_embedding"], dtype=float)
         sims = sorted((-round(float(np.dot(v, c) / (np.linalg.norm(v) * np.linalg.norm(c))), 9), n) for n, c in cents)
         assert got[r["qid"]] == sims[0][1]
+    # a catalog over the broadcast bound takes the exact bucketed path
+    big = {r["qid"]: r["table_name"] for r in retrieval.route_table(qs, cat, keep=("label",), max_catalog=3).collect()}
+    assert big == got
