@@ -117,3 +117,20 @@ def test_entry_and_all_queries_run(spark, sf_small):
         out = fn(spark, sf_small)
         assert out.columns, name
         assert name in sql or name in {"embed_hash", "route_table", "report_prompts"}
+
+
+def test_stream_state_survives_restart(spark, scratch):
+    """Two runs of the stream on one checkpoint: the second sees only new files and
+    continues each conversation's state (answer count, closed) from the first."""
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", "exit" if (c == 1 and t == 6) else f"q{c}-{t}")
+            for c in range(3) for t in range(10)]
+    first = [r for r in rows if r[1] < 5]
+    second = [r for r in rows if r[1] >= 5]
+    schema = "conv_id long, turn long, role string, text string"
+    src, sink, cp = f"{scratch}/src", f"{scratch}/sink", f"{scratch}/cp"
+    spark.createDataFrame(first, schema).write.mode("append").parquet(src)
+    run_chat_stream(spark, src, sink=sink, checkpoint=cp)
+    spark.createDataFrame(second, schema).write.mode("append").parquet(src)
+    out = run_chat_stream(spark, src, sink=sink, checkpoint=cp).select("conv_id", "turn", "question", "n_answered")
+    batch = conversations.answered_turns(spark.createDataFrame(rows, schema))
+    assert sorted(out.collect()) == sorted(batch.collect())
