@@ -9,6 +9,28 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from nimbus.functions.codes import BEAUFORT_LOWER_KMH, BEAUFORT_NAMES, MONTHLY_NORMAL_C
+from nimbus.functions.text import HTML_DROP_PATTERNS, HTML_ENTITIES
+from nimbus.operators.report import DATA_URI_PREFIX
+
+
+def _lit(text: str) -> str:
+    """A Spark SQL string literal (backslashes and quotes escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _html_to_text_sql(x: str) -> str:
+    for pat in HTML_DROP_PATTERNS:
+        x = f"regexp_replace({x}, {_lit(pat)}, '')"
+    for ent, ch in HTML_ENTITIES:
+        x = f"replace({x}, {_lit(ent)}, {_lit(ch)})"
+    return x
+
+
+def _data_uri_sql(x: str) -> str:
+    enc = f"url_encode({x})"
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        enc = f"replace({enc}, {_lit(a)}, {_lit(b)})"
+    return f"concat({_lit(DATA_URI_PREFIX)}, {enc})"
 
 
 def _beaufort_sql(x: str) -> str:
@@ -45,6 +67,8 @@ FUNCTIONS = {
         "CASE " + " ".join(f"WHEN m = {i + 1} THEN CAST({v} AS DOUBLE)" for i, v in enumerate(MONTHLY_NORMAL_C)) + " END",
     ),
     "rating": ("v STRING", "INT", "try_cast(nullif(regexp_extract(v, '(?U)\\\\b([1-5])\\\\b', 1), '') AS INT)"),
+    "html_to_text": ("html STRING", "STRING", _html_to_text_sql("html")),
+    "data_uri": ("html STRING", "STRING", _data_uri_sql("html")),
 }
 
 

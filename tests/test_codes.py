@@ -174,3 +174,14 @@ def test_sql_functions_inline_and_match_columns(spark, sf_small, scratch):
     spark.read.parquet(scratch).createOrReplaceTempView("obs_tmp")
     plan = spark.sql("SELECT date FROM obs_tmp WHERE part_of_day(hour) = 'Morning'")._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "hour" in plan and "DataFilters" in plan
+
+
+def test_sql_text_functions_match_columns(spark, sf_small):
+    from nimbus.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    spark.read.parquet(f"{sf_small}/pages.parquet").createOrReplaceTempView("pages_tmp")
+    a = spark.sql("SELECT page_id, html_to_text(html) t, data_uri(html) u FROM pages_tmp").collect()
+    b = spark.read.parquet(f"{sf_small}/pages.parquet").select(
+        "page_id", html_to_text(F.col("html")).alias("t"), data_uri(F.col("html")).alias("u")).collect()
+    assert sorted(a) == sorted(b)
