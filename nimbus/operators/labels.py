@@ -172,9 +172,15 @@ def _step(level: DataFrame) -> DataFrame:
     return level.select("label_key", F.explode(nxt).alias("r")).select("label_key", "r.*")
 
 
-def _unroll(level: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+def _unroll(level: DataFrame, depth: int, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     for _ in range(depth):
         level = _step(level)
+    if materialize:
+        # computed once, read twice (answers, and the check for deeper nodes)
+        from nimbus.session import checkpoint_root
+
+        checkpoint_root(level.sparkSession)
+        level = level.checkpoint()
     writes = level.where(F.col("node").isNull()).select("label_key", "question", "answer", "path")
     return writes, level.where(F.col("node").isNotNull())
 
@@ -185,9 +191,9 @@ def flatten_classifications(labels: DataFrame, max_depth: int = DEFAULT_MAX_DEPT
 
     The unroll is a linear chain of ``max_depth`` explodes (no unions, so the
     plan grows linearly and the input is read once). With ``exact`` (default),
-    one check looks for nodes still below that depth; if there are any, they
-    are checkpointed into the session's checkpoint folder and unrolled further,
-    as often as needed, so trees of any depth come out whole. Returns
+    the unrolled level is checkpointed once into the session's checkpoint
+    folder and checked for nodes still below that depth; any there are unrolled
+    further, as often as needed, so trees of any depth come out whole. Returns
     (writes, deeper); ``deeper`` is empty when ``exact``, and otherwise holds
     the nodes below ``max_depth`` for the caller to check.
     """
@@ -196,15 +202,12 @@ def flatten_classifications(labels: DataFrame, max_depth: int = DEFAULT_MAX_DEPT
         F.explode(F.transform(F.coalesce("nodes", F.array().cast("array<variant>")),
                               lambda x, i: _item(x, F.array(i)))).alias("r"),
     ).select("label_key", "r.*")
-    writes, deeper = _unroll(level, max_depth)
+    writes, deeper = _unroll(level, max_depth, materialize=exact)
     if not exact:
         return writes, deeper
     parts = [writes]
     while not deeper.isEmpty():
-        from nimbus.session import checkpoint_root
-
-        checkpoint_root(deeper.sparkSession)
-        more, deeper = _unroll(deeper.checkpoint(), max_depth)
+        more, deeper = _unroll(deeper, max_depth, materialize=True)
         parts.append(more)
     out = parts[0]
     for p in parts[1:]:
