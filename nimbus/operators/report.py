@@ -523,9 +523,8 @@ def report_records(
     keys = None
     if prune:
         keys = F.broadcast(
-            requests.select("station", d.alias("date"))
-            .unionByName(requests.select("station", nd.alias("date")))
-            .where(F.col("station").isNotNull())
+            requests.where(F.col("station").isNotNull())
+            .select("station", F.explode(F.array(d, nd)).alias("date"))
             .distinct()
         )
     b = day_bundles(obs, keys)
