@@ -145,3 +145,16 @@ def test_bundle_records_equal_row_level_assembly(spark, sf_small):
     assert sorted(a.collect()) == sorted(c.collect())
     plan = report.report_records(reqs, obs, n_requests=100, prune=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def test_row_level_rendering_equals_bundle_rendering(spark, sf_small):
+    from nimbus.plans.report_queries import requests_from_orders
+
+    reqs = requests_from_orders(spark, sf_small)
+    obs = observations(spark, sf_small)
+    rec = report.assemble_report_rows(report.section_rows(reqs, obs), with_html=True, with_summary=True)
+    rec = report.generate(rec)
+    rec = rec.withColumn("html_report", report.to_html(rec)).drop(*report.internal_columns(rec))
+    a = rec.select("request_id", "report", "html_report")
+    b = report.report_dataset(reqs, obs).select("request_id", "report", "html_report")
+    assert sorted(a.collect()) == sorted(b.collect())
