@@ -64,3 +64,47 @@ def test_top_k_with_hot_label(spark):
         cand = [(-round(float(np.dot(c, v) / (np.linalg.norm(c) * np.linalg.norm(v))), 9), i)
                 for i, v, l in rows if l == lab]
         assert [i for _, i in sorted(got[lab])] == [i for _, i in sorted(cand)[:4]]
+
+
+def test_records_invariant_to_partitioning(spark, sf_small):
+    from nimbus.plans.report_queries import requests_from_orders
+    from nimbus.plans.weather_queries import observations
+
+    cols = ["request_id", *[f"rows_{s}" for s in report.SECTIONS]]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        out = []
+        for n in ("1", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            reqs = requests_from_orders(spark, sf_small).repartition(int(n))
+            out.append(sorted(report.report_records(reqs, observations(spark, sf_small)).select(*cols).collect()))
+        assert out[0] == out[1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_alpha_property_against_pair_count(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from tests.test_labels import _brute_alpha
+
+    triple = st.tuples(st.sampled_from([f"u{i}" for i in range(6)]), st.sampled_from(["a", "b", "c", "d"]),
+                       st.integers(1, 4))
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(triple, min_size=2, max_size=40))
+    def check(triples):
+        df = spark.createDataFrame(triples, "unit string, ann string, v int")
+        r = agreement.krippendorff_alpha(df, "unit", "ann", ["v"]).collect()[0]
+        try:
+            want = _brute_alpha(triples, "nominal")
+        except ZeroDivisionError:
+            want = None
+        if r["status"] == "ok":
+            assert want is not None and abs(r["alpha"] - want) < 1e-9
+        else:
+            distinct = {v for _, _, v in triples}
+            assert want is None or len(distinct) < 2 or r["status"] == "insufficient_data"
+
+    check()
