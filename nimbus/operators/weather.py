@@ -66,16 +66,16 @@ def today_tomorrow_union(df: DataFrame, station: int | None = None, yyyymmdd: in
     distinct aggregation (one shuffle) instead of one query per day.
     """
     cols = [F.col(c) for c in SECTION_COLUMNS]
-    today = df.where(hour_in_ranges()).select("station", "date", *cols)
     prev = codes.date_to_int(F.date_sub("obs_date", 1))
-    tomorrow = df.select("station", prev.alias("date"), *cols)
     if station is not None:
-        today = today.where(F.col("station") == int(station))
-        tomorrow = tomorrow.where(F.col("station") == int(station))
+        df = df.where(F.col("station") == int(station))
+    # each reading belongs to its own day (when its hour is in the ranges) and, as
+    # the next day, to the day before: one pass over the observations, one distinct
+    anchors = F.array(F.when(hour_in_ranges(), F.col("date")), prev)
+    out = df.select("station", F.explode(anchors).alias("date"), *cols).where(F.col("date").isNotNull())
     if yyyymmdd is not None:
-        today = today.where(F.col("date") == int(yyyymmdd))
-        tomorrow = tomorrow.where(F.col("date") == int(yyyymmdd))
-    out = today.unionByName(tomorrow).distinct()
+        out = out.where(F.col("date") == int(yyyymmdd))
+    out = out.distinct()
     if station is not None and yyyymmdd is not None:
         return out.drop("station", "date").orderBy("Time_Category")
     return out
