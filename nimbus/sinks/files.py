@@ -73,3 +73,20 @@ def read_index(spark, path: str, namespace: str | None = None) -> DataFrame:
     """Read the index; a namespace filter prunes to that partition."""
     df = spark.read.parquet(path)
     return df.where(F.col("namespace") == namespace) if namespace is not None else df
+
+
+def write_observations(obs: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Cleaned observations as the lookup table: one directory per station
+    (a location view or request prunes to it), files holding whole months
+    sorted by date and hour, so a day or month lookup reads only the row groups
+    whose min/max statistics cover it. Rows are clustered by (station, month)
+    in one shuffle; a month of one station is at most 24 x 31 rows, so no task
+    gets more than the data of the months hashed to it."""
+    month = (F.col("date") / 100).cast("int")
+    (
+        obs.repartition(month, "station")
+        .sortWithinPartitions("station", "date", "hour")
+        .write.mode(mode)
+        .partitionBy("station")
+        .parquet(path)
+    )

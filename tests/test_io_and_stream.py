@@ -134,3 +134,18 @@ def test_stream_state_survives_restart(spark, scratch):
     out = run_chat_stream(spark, src, sink=sink, checkpoint=cp).select("conv_id", "turn", "question", "n_answered")
     batch = conversations.answered_turns(spark.createDataFrame(rows, schema))
     assert sorted(out.collect()) == sorted(batch.collect())
+
+
+def test_observation_table_layout_prunes(spark, sf_mid, scratch):
+    from nimbus.operators import weather
+    from nimbus.plans.weather_queries import observations
+
+    obs = observations(spark, sf_mid)
+    files.write_observations(obs, f"{scratch}/obs")
+    stored = spark.read.parquet(f"{scratch}/obs")
+    assert stored.count() == obs.count()
+    q = weather.on_date(stored.where(F.col("station") == 240), 20240105)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(station" in plan and "EqualTo(date,20240105)" in plan
+    assert sorted(map(repr, q.collect())) == sorted(map(repr, weather.on_date(obs.where(F.col("station") == 240), 20240105)
+                                                       .select(*stored.columns).collect()))
