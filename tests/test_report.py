@@ -158,3 +158,14 @@ def test_row_level_rendering_equals_bundle_rendering(spark, sf_small):
     a = rec.select("request_id", "report", "html_report")
     b = report.report_dataset(reqs, obs).select("request_id", "report", "html_report")
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_hottest_in_month_matches_all_months_form(spark, sf_small):
+    obs = observations(spark, sf_small)
+    per_month = {(r["station"], r["month"]): (r["date"], r["hour"], r["temperature"])
+                 for r in weather.hottest_hour(obs).collect()}
+    for (station, month), want in per_month.items():
+        got = weather.hottest_in_month(obs, station, month).collect()
+        assert len(got) == 1 and tuple(got[0]) == want
+    plan = weather.hottest_in_month(obs, 240, 202401)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
