@@ -103,44 +103,46 @@ def monthly_temperature(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def coldest_day(df: DataFrame) -> DataFrame:
-    """Per station: the coldest reading's date, month and temperature.
+# Ordered packing of a reading into one long: temperature (whole degrees, |t| < 10^8)
+# x 10^10 + date (yyyymmdd, 8 digits) x 100 + hour (2 digits). Comparing the packed
+# values compares (temperature, date, hour), so a plain min / max is a fixed-width
+# hash aggregate (partial before the shuffle) instead of a sort-based min_by of structs.
+_T, _D = 10**10, 100
 
-    Null temperatures are dropped first (a null sorts lowest in a struct). Ties
-    go to the earliest date and hour. ``min_by`` is a partial aggregate, so a hot
-    station costs one row per task in the shuffle.
-    """
-    return (
-        df.where(F.col("temperature").isNotNull())
-        .groupBy("station")
-        .agg(
-            F.min_by(
-                F.struct("date", "hour", "temperature"),
-                F.struct("temperature", "date", "hour"),
-            ).alias("m")
-        )
-        .select(
-            "station",
-            F.col("m.date").alias("date"),
-            (F.col("m.date") / 100 % 100).cast("int").alias("month"),
-            F.col("m.hour").alias("hour"),
-            F.col("m.temperature").alias("temperature"),
-        )
+
+def coldest_day(df: DataFrame) -> DataFrame:
+    """Per station: the coldest reading's date, month, hour and temperature.
+    Null temperatures are left out; ties go to the earliest date and hour."""
+    key = F.col("temperature").cast("long") * _T + F.col("date").cast("long") * _D + F.col("hour")
+    m = df.where(F.col("temperature").isNotNull()).groupBy("station").agg(F.min(key).alias("k"))
+    dh = F.pmod(F.col("k"), F.lit(_T))
+    date = (dh / _D).cast("int")
+    return m.select(
+        "station",
+        date.alias("date"),
+        (date / 100 % 100).cast("int").alias("month"),
+        (dh % _D).cast("int").alias("hour"),
+        F.floor(F.col("k") / _T).cast("long").alias("temperature"),
     )
 
 
 def hottest_hour(df: DataFrame) -> DataFrame:
-    """Per station and month: the first reading whose temperature is the month's maximum."""
-    return (
+    """Per station and month: the first reading whose temperature is the month's
+    maximum (earliest date and hour among equals)."""
+    # date and hour enter reversed, so the largest key is the earliest among the hottest
+    key = (F.col("temperature").cast("long") * _T + (99_999_999 - F.col("date").cast("long")) * _D
+           + (99 - F.col("hour")))
+    m = (
         df.where(F.col("temperature").isNotNull())
         .groupBy("station", (F.col("date") / 100).cast("int").alias("month"))
-        .agg(
-            F.max_by(
-                F.struct("date", "hour", "temperature"),
-                F.struct("temperature", (-F.col("date")).alias("d"), (-F.col("hour")).alias("h")),
-            ).alias("m")
-        )
-        .select("station", "month", "m.date", "m.hour", "m.temperature")
+        .agg(F.max(key).alias("k"))
+    )
+    dh = F.pmod(F.col("k"), F.lit(_T))
+    return m.select(
+        "station", "month",
+        (99_999_999 - (dh / _D).cast("long")).cast("int").alias("date"),
+        (99 - dh % _D).cast("int").alias("hour"),
+        F.floor(F.col("k") / _T).cast("long").alias("temperature"),
     )
 
 

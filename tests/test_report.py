@@ -169,3 +169,15 @@ def test_hottest_in_month_matches_all_months_form(spark, sf_small):
         assert len(got) == 1 and tuple(got[0]) == want
     plan = weather.hottest_in_month(obs, 240, 202401)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_coldest_and_hottest_with_negatives_and_ties(spark):
+    rows = [_raw_row(260, 20240101, 3, t=-50), _raw_row(260, 20240101, 2, t=-50), _raw_row(260, 20231231, 20, t=-50),
+            _raw_row(260, 20231231, 21, t=-49), _raw_row(260, 20240102, 5, t=None),
+            _raw_row(370, 20240110, 7, t=310), _raw_row(370, 20240103, 9, t=310), _raw_row(370, 20240103, 8, t=-999)]
+    o = _obs(spark, rows)
+    cold = {r["station"]: (r["date"], r["month"], r["hour"], r["temperature"]) for r in weather.coldest_day(o).collect()}
+    assert cold == {260: (20231231, 12, 20, -5), 370: (20240103, 1, 8, -99)}
+    hot = {(r["station"], r["month"]): (r["date"], r["hour"], r["temperature"]) for r in weather.hottest_hour(o).collect()}
+    assert hot[(370, 202401)] == (20240103, 9, 31)
+    assert hot[(260, 202312)] == (20231231, 21, -4) and hot[(260, 202401)] == (20240101, 2, -5)
