@@ -346,3 +346,49 @@ def q_label_alpha(spark, sf_dir):
         flat, "DataRowID", "LabelCreatedBy", labels.RATING_COLUMNS,
         order=F.struct("LabelCreatedAt", "LabelID"), digits=9,
     )
+
+
+def alpha_interval_sql(src: str, columns: list[str], unit: str, annotator: str, order: str, digits: int = 9) -> str:
+    """Krippendorff's alpha, interval metric, in DuckDB SQL over ``src``."""
+    long = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST({unit} AS VARCHAR) AS unit, CAST({annotator} AS VARCHAR) AS annotator, "
+        f"{order} AS ord, CAST({c} AS DOUBLE) AS value FROM ({src}) s"
+        for c in columns
+    )
+    cols = ", ".join(f"('{c}')" for c in columns)
+    return f"""WITH long AS (SELECT * FROM ({long}) x WHERE value IS NOT NULL),
+nv AS (SELECT col, count(DISTINCT value) AS n_values FROM long GROUP BY col),
+one AS (SELECT col, unit, annotator, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY col, unit, annotator ORDER BY ord, value) AS rn
+  FROM long WHERE annotator IS NOT NULL) y WHERE rn = 1),
+pu AS (SELECT col, unit, CAST(count(*) AS DOUBLE) AS m_u, sum(value) AS s1_u, sum(value * value) AS s2_u
+       FROM one GROUP BY col, unit),
+kept AS (SELECT * FROM pu WHERE m_u >= 2),
+agg AS (SELECT col, sum(m_u) AS N, sum(2 * (m_u * s2_u - s1_u * s1_u) / (m_u - 1)) AS D,
+          sum(s1_u) AS S1, sum(s2_u) AS S2, count(*) AS n_units FROM kept GROUP BY col),
+res AS (
+  SELECT nv.col, COALESCE(agg.n_units, 0) AS n_units, nv.n_values,
+    CASE WHEN nv.n_values < 2 THEN 'not_enough_values'
+         WHEN agg.N IS NULL OR agg.N < 2 OR (agg.N * agg.S2 - agg.S1 * agg.S1) = 0 THEN 'insufficient_data'
+         ELSE 'ok' END AS status,
+    1 - (agg.D / agg.N) / (2 * (agg.N * agg.S2 - agg.S1 * agg.S1) / (agg.N * (agg.N - 1))) AS a
+  FROM nv LEFT JOIN agg ON nv.col = agg.col)
+SELECT cl.col AS "column", CAST(COALESCE(res.n_units, 0) AS BIGINT) AS n_units,
+  CAST(COALESCE(res.n_values, 0) AS BIGINT) AS n_values,
+  CASE WHEN res.status = 'ok' THEN round_even(res.a, {digits}) END AS alpha,
+  COALESCE(res.status, 'not_enough_values') AS status
+FROM (VALUES {cols}) cl(col) LEFT JOIN res ON cl.col = res.col"""
+
+
+@register(
+    "label_alpha_interval", "A7 W3",
+    alpha_interval_sql(LABEL_FLAT_SQL, labels.RATING_COLUMNS, "DataRowID", "LabelCreatedBy",
+                       "struct_pack(a := LabelCreatedAt, b := LabelID)"),
+)
+def q_label_alpha_interval(spark, sf_dir):
+    """Agreement on the 1-5 ratings with the interval metric (distance = squared difference)."""
+    flat = label_table(spark, sf_dir)
+    return agreement.krippendorff_alpha(
+        flat, "DataRowID", "LabelCreatedBy", labels.RATING_COLUMNS,
+        order=F.struct("LabelCreatedAt", "LabelID"), metric="interval", digits=9,
+    )
