@@ -48,8 +48,10 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 # --- word hashes over raw UTF-8 buffers -------------------------------------
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between words, and bytes that are not letters (all bytes beyond ASCII count as letters).
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+NOT_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 _MULT = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_MULT, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
@@ -96,17 +98,18 @@ def buffer_chunks(column, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.n
         at = end
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word, A-Z read as a-z, and the word offset of every row.
 
-    A word's hash is a polynomial over its bytes, taken from one prefix sum over
-    the buffer, then mixed with its length; words never cross rows.
+    ``gaps`` marks the bytes between words. A word's hash is a polynomial over its
+    bytes, taken from one prefix sum over the buffer, then mixed with its length;
+    words never cross rows.
     """
     n = len(data)
     rows = len(offsets) - 1
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
-    inside = ~_SPACE[data]
+    inside = ~gaps[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     first = inside.copy()

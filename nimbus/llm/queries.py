@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import exact_dedup, fingerprints, source_mix, token_counts, url_filter
+from nimbus.llm import exact_dedup, fingerprints, packing, source_mix, token_counts, toxicity, url_filter
+from nimbus.llm.common import crc_mod
 from nimbus.sources.tables import load
 
 QUERIES: dict = {}
@@ -62,3 +63,17 @@ FROM documents"""
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.url_filter(load(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
+
+
+@query
+def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), keep=("doc_id",))
+    held = (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
