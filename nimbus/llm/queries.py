@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import exact_dedup, fingerprints, packing, source_mix, token_counts, toxicity, url_filter
+from nimbus.llm import exact_dedup, fingerprints, near_dedup, packing, source_mix, token_counts, toxicity, url_filter
 from nimbus.llm.common import crc_mod
 from nimbus.sources.tables import load
 
@@ -77,3 +77,9 @@ def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
