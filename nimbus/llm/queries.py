@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import exact_dedup, fingerprints, near_dedup, packing, source_mix, token_counts, toxicity, url_filter
+from nimbus.llm import exact_dedup, fingerprints, near_dedup, ngram_lm, packing, source_mix, token_counts, toxicity, url_filter
 from nimbus.llm.common import crc_mod
 from nimbus.sources.tables import load
 
@@ -83,3 +83,8 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(load(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op8_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(load(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
