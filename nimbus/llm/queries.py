@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import exact_dedup, fingerprints, near_dedup, ngram_lm, packing, source_mix, token_counts, toxicity, url_filter
+from nimbus.llm import exact_dedup, fingerprints, near_dedup, ngram_lm, packing, source_mix, substring_dedup, token_counts, toxicity, url_filter
 from nimbus.llm.common import crc_mod
 from nimbus.sources.tables import load
 
@@ -88,3 +88,8 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(load(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
