@@ -52,14 +52,15 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return mix64((total[size:] - total[: n - size + 1]) * inverse[: n - size + 1])
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first window, last window, hash) of every run of windows with one anchor.
+def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, first window, last window, place of the anchor from the first window on, its hash) of every
+    run of windows with one anchor.
 
     The minimum over each window comes from running minima forwards and backwards
     within blocks of SPAN hashes; a hash's last byte holds its place in the block,
     so that equal hashes resolve to the leftmost.
     """
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+    none = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
     n = len(data)
     if n < LEAST:
         return none
@@ -84,27 +85,28 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(place)) - 1
-    return row[first], place[first] - offsets[row[first]], place[last] - offsets[row[first]], hashes[at[first]]
+    begin = place[first]
+    return row[first], begin - offsets[row[first]], place[last] - offsets[row[first]], at[first] - begin, hashes[at[first]]
 
 
 def contexts(rows: DataFrame) -> DataFrame:
-    """(row, first, last, anchor, context) for every context of a frame (row, text): where its windows
-    start, its anchor's hash and the hash of its bytes."""
+    """(row, first, last, place, anchor, context) for every context of a frame (row, text): where its windows
+    start, where its anchor lies in it, its anchor's hash and the hash of its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("row").to_numpy()
             for begin, end, data, offsets in buffer_chunks(batch.column("text")):
-                row, first, last, hashes = anchors(data, offsets)
+                row, first, last, place, hashes = anchors(data, offsets)
                 raw = memoryview(data)
                 start = (offsets[row] + first).tolist()
                 stop = (offsets[row] + last + LEAST).tolist()
                 digest = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(start, stop)), np.uint64, len(start))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[begin:end][row]), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(digest.view(np.int64))],
-                    ["row", "first", "last", "anchor", "context"])
+                    [pa.array(names[begin:end][row]), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(digest.view(np.int64))],
+                    ["row", "first", "last", "place", "anchor", "context"])
 
-    return rows.select("row", "text").mapInArrow(run, "row long, first int, last int, anchor long, context long")
+    return rows.select("row", "text").mapInArrow(run, "row long, first int, last int, place int, anchor long, context long")
 
 
 # --- suffix order and common prefixes -------------------------------------------
@@ -152,30 +154,37 @@ def shares_least(data: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
     """
     n = len(data)
     # the empty suffix comes first; place 0 is its row
-    letters = np.zeros(n + 1, np.int64)
+    letters = np.zeros(n + 1, np.int16)
     letters[0] = int(data[-1]) + 1
-    letters[1:] = np.where(order > 0, data[order - 1].astype(np.int64) + 1, 0)
-    by_letter = np.argsort(letters, kind="stable")  # row j of the first column comes from this row of the last
+    letters[1:] = np.where(order > 0, data[order - 1].astype(np.int16) + 1, 0)
+    by_letter = np.argsort(letters, kind="stable").astype(np.int32)  # row j of the first column comes from this row of the last
     head = letters[by_letter]
-    open_ = np.flatnonzero(head[1:] == head[:-1]) + 1
+    open_ = (np.flatnonzero(head[1:] == head[:-1]) + 1).astype(np.int32)
     low, high = by_letter[open_ - 1], by_letter[open_]
     found = np.ones(n + 1, bool)
     found[open_] = False
-    value = np.flatnonzero(found)  # boundaries with common prefix 0
-    level = 0
-    while level < least - 1 and len(value) and len(open_):
-        if len(value) * 16 > n:
-            mark = np.zeros(n + 2, np.int32)
-            mark[value + 1] = 1
-            mark = np.cumsum(mark, dtype=np.int32)
-            reached = mark[high + 1] > mark[low + 1]
+    value = np.flatnonzero(found).astype(np.int32)  # boundaries with common prefix 0
+    # successors next to each other: one boundary between them, which passes its value on
+    single = high - low == 1
+    after = np.zeros(n + 1, np.int32)
+    after[high[single]] = open_[single]
+    open_, low, high = open_[~single], low[~single], high[~single]
+    for _ in range(least - 1):
+        if not len(value):
+            break
+        passed = after[value]
+        if len(value) * 64 > n:
+            below = np.zeros(n + 2, np.int32)
+            below[value + 1] = 1
+            np.cumsum(below, out=below)
+            reached = below[high + 1] > below[low + 1]
         else:
-            reached = np.searchsorted(value, high, "right") > np.searchsorted(value, low, "right")
-        value = open_[reached]
+            nearest = np.append(value, n + 1)[np.searchsorted(value, low, "right")]
+            reached = nearest <= high
+        value = np.sort(np.concatenate([passed[passed > 0], open_[reached]]))
         found[value] = True
         keep = ~reached
         open_, low, high = open_[keep], low[keep], high[keep]
-        level += 1
     return ~found[1:]
 
 
@@ -208,10 +217,28 @@ def _runs(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _MARKS = "anchor long, context long, begin int, stop int"
 
 
+def worth_comparing(anchor: list[int], place: list[int], texts: list[bytes]) -> list[int]:
+    """Contexts that share, with another of their anchor, half of what a window has beside it.
+
+    A window holds SPAN - 1 bytes beside its anchor, so at least half of them on one side; a
+    context whose bytes on neither side are shared that far has no repeated window.
+    """
+    half = (SPAN - 1) // 2
+    seen: dict = {}
+    for k, (a, p, t) in enumerate(zip(anchor, place, texts)):
+        if p >= half:
+            seen.setdefault((a, 0, t[p - half : p + GRAM]), []).append(k)
+        if p + GRAM + half <= len(t):
+            seen.setdefault((a, 1, t[p : p + GRAM + half]), []).append(k)
+    return sorted({k for ks in seen.values() if len(ks) > 1 for k in ks})
+
+
 def _compare(key, table):
     out = [[], [], [], []]
-    marks = repeated_windows([x.as_py() for x in table.column("bytes")])
-    for anchor, context, mark in zip(table.column("anchor").to_pylist(), table.column("context").to_pylist(), marks):
+    anchors, names, texts = (table.column(c).to_pylist() for c in ("anchor", "context", "bytes"))
+    chosen = worth_comparing(anchors, table.column("place").to_pylist(), texts)
+    marks = repeated_windows([texts[k] for k in chosen]) if chosen else []
+    for anchor, context, mark in zip([anchors[k] for k in chosen], [names[k] for k in chosen], marks):
         for a, b in zip(*_runs(mark)):
             for col, x in zip(out, (anchor, context, a, b)):
                 col.append(x)
@@ -232,28 +259,28 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     found = contexts(rows)
     groups = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi")).where("n > 1")
     found = written(found.join(groups.select("anchor", (F.col("lo") < F.col("hi")).alias("mixed")), "anchor"), "contexts")
-    mixed = found.where("mixed").groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "first", "last")).alias("at"))
+    mixed = found.where("mixed").groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "first", "last", "place")).alias("at"))
     mixed = written(mixed.select("anchor", "context", "n", "at.*"), "mixed")
     crowds = mixed.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > CROWD).select("anchor", F.lit(True).alias("crowd"))
-    wanted = mixed.join(crowds, "anchor", "left").groupBy("row").agg(F.collect_list(F.struct("anchor", "context", "first", "last", "crowd")).alias("wanted"))
+    wanted = mixed.join(crowds, "anchor", "left").groupBy("row").agg(F.collect_list(F.struct("anchor", "context", "first", "last", "place", "crowd")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, asked in zip(batch.column("text"), batch.column("wanted")):
                 text = text.as_py()
-                out += [{"anchor": w["anchor"], "context": w["context"], "crowd": bool(w["crowd"]), "bytes": text[w["first"] : w["last"] + LEAST]} for w in asked.as_py()]
-            kind = pa.schema([("anchor", pa.int64()), ("context", pa.int64()), ("crowd", pa.bool_()), ("bytes", pa.binary())])
+                out += [{"anchor": w["anchor"], "context": w["context"], "place": w["place"], "crowd": bool(w["crowd"]), "bytes": text[w["first"] : w["last"] + LEAST]} for w in asked.as_py()]
+            kind = pa.schema([("anchor", pa.int64()), ("context", pa.int64()), ("place", pa.int32()), ("crowd", pa.bool_()), ("bytes", pa.binary())])
             yield pa.RecordBatch.from_pylist(out, kind)
 
     # rows alike in every column have the same row hash; their contexts are cut once
     texts = written(
-        rows.join(wanted, "row").select("text", "wanted").mapInArrow(cut, "anchor long, context long, crowd boolean, bytes binary").dropDuplicates(["anchor", "context"]),
+        rows.join(wanted, "row").select("text", "wanted").mapInArrow(cut, "anchor long, context long, place int, crowd boolean, bytes binary").dropDuplicates(["anchor", "context"]),
         "context-bytes",
     )
     size = texts.where("NOT crowd").agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-size // BUCKET_BYTES))))
-    marks = texts.where("NOT crowd").select(bucket.alias("bucket"), "anchor", "context", "bytes").groupBy("bucket").applyInArrow(_compare, _MARKS)
+    marks = texts.where("NOT crowd").select(bucket.alias("bucket"), "anchor", "context", "place", "bytes").groupBy("bucket").applyInArrow(_compare, _MARKS)
     windows = texts.where("crowd").select("anchor", "context", "bytes").mapInArrow(_windows, "anchor long, context long, begin int, window binary")
     often = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     crowded = windows.join(often, "window").select("anchor", "context", "begin", (F.col("begin") + 1).alias("stop"))
