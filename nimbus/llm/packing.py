@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -35,48 +36,67 @@ BLOCK, ISLANDS, EPOCHS = 2048, 2, 2
 POPULATION, OFFSPRING = 5, 12
 #: Bins with more free room than this share of a sequence go to the next level.
 SLACK = 1 / 64
-CHUNKS_KEPT = 300_000
+#: What a worker remembers before it starts afresh (bounds its memory, not the result).
+CHUNKS_KEPT, WORDS_KEPT = 600_000, 800_000
 _WORKER: dict = {}
-_ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Visible ASCII and the letters of Latin-1 that have both cases there; the pre-tokenizer's words of such text.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: visible Latin-1 characters stand for themselves, other bytes for 256, 257, ..."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
 
 
 def _encoder(path: str):
-    """UTF-8 texts to little-endian unsigned 32-bit ids, through the worker's memory of chunks."""
+    """UTF-8 texts to little-endian unsigned 32-bit ids, through the worker's memory of chunks.
+
+    A chunk of ASCII and Latin-1 letters is cut into the words of the pre-tokenizer, and
+    each distinct word goes to the tokenizer's model once; any other chunk goes through the
+    whole tokenizer. Tokenizers that a probe shows to work otherwise encode whole texts.
+    """
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path)
-    pack = lambda ids: np.array(ids, "<u4").tobytes()
+    tokenize, letters, word_struct = whole.model.tokenize, _byte_letters(), {n: struct.Struct(f"<{n}I") for n in range(64)}
+    pack = lambda ids: word_struct[len(ids)].pack(*ids) if len(ids) < 64 else np.array(ids, "<u4").tobytes()
     library = lambda xs: [pack(e.ids) for e in whole.encode_batch_fast([x.decode() for x in xs], add_special_tokens=False)]
-    words: dict[bytes, bytes] = {}
+    words: dict[str, bytes] = {}
     chunks: dict[bytes, bytes] = {}
 
-    def learn(new: list[bytes], by_word: bool) -> None:
-        # an ASCII chunk is the sequence of its own words, so words are encoded once for all chunks
-        plain = {c: _ASCII_WORDS.findall(c.lower()) for c in new if by_word and c.isascii() and b"<|" not in c}
-        fresh = list({w for ws in plain.values() for w in ws if w not in words})
-        words.update(zip(fresh, library(fresh)))
-        chunks.update({c: b"".join([words[w] for w in ws]) for c, ws in plain.items()})
-        other = [c for c in new if c not in plain]
+    def word(w: str) -> bytes:
+        ids = words.get(w)
+        if ids is None:
+            seen = w if w.isascii() else w.encode().decode("latin-1").translate(letters)
+            ids = words[w] = pack([t.id for t in tokenize(seen)])
+        return ids
+
+    def learn(new: set[bytes]) -> None:
+        other = []
+        for c in new:
+            s = c.decode()
+            if _PLAIN.fullmatch(s) and "<|" not in s:
+                found = _WORDS.findall(s.lower())
+                chunks[c] = word(found[0]) if len(found) == 1 else b"".join([word(w) for w in found])
+            else:
+                other.append(c)
         chunks.update(zip(other, library(other)))
 
-    def encode(texts: list[bytes], by_word: bool = True) -> list[bytes]:
-        if len(chunks) > CHUNKS_KEPT or len(words) > CHUNKS_KEPT:
+    def encode(texts: list[bytes]) -> list[bytes]:
+        if len(chunks) > CHUNKS_KEPT:
             chunks.clear()
+        if len(words) > WORDS_KEPT:
             words.clear()
         cut = [t.split() for t in texts]
-        new = list({c for cs in cut for c in cs if c not in chunks})
-        if new:
-            learn(new, by_word)
+        learn({c for cs in cut for c in cs if c not in chunks})
         return [b"".join(map(chunks.__getitem__, cs)) for cs in cut]
 
-    # only for a tokenizer that gives the same ids by chunk and by word as for whole texts
-    probe = [b"It's we'll they'd 'tis a1b22 x--y... <|endoftext|> \xc3\xa9t\xc3\xa9, na\xc3\xafve!?\n\tA  b", b"don't 'S o'clock", b" \xe2\x80\x94 ok"]
-    for by_word in (True, False):
-        words.clear()
-        chunks.clear()
-        if encode(probe, by_word) == library(probe):
-            return lambda texts: encode(texts, by_word)
-    return library
+    probe = ["It's we'll they'd 'tis a1b22 x--y... <|endoftext|> \u00e9t\u00e9, NA\u00cfVE!?\n\tA  b", "don't 'S o'clock \u00a0x\u00b5\u00aa", " \u2014 ok e\u0301 \u4e2d\u6587"]
+    probe = [x.encode() for x in probe]
+    return encode if encode(probe) == library(probe) else library
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, length: int = LENGTH, id_col: str = "doc_id",
