@@ -9,10 +9,11 @@ similarity is first estimated from all registers by maximum likelihood, and
 confirmed on the full sets.
 
 Documents with the same set are one node. In each round every band group links
-its members to one pivot only, and only where they are not in one component
+its members to one pivot only (another one each round), and only where they are not in one component
 already, so no round makes more pairs than there are band rows. After ``PIVOTS``
 rounds the few groups that still hold several components compare members across
-components, so that no link between different texts is lost.
+components (large groups block against block inside tasks, without making the pairs),
+so that no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ REGISTERS = BANDS * ROWS
 PIVOTS = 3
 #: Estimates below this are not compared in full: five standard errors of the estimate under 0.8.
 LEAST_ESTIMATE = 0.66
+#: Band groups up to this size compare what is left as pairs, larger ones in blocks of this size.
+SMALL = 128
 _STEP = 1 << 15
 _rng = np.random.default_rng(77)
 _SEEDS = _rng.integers(0, 2**32, REGISTERS, dtype=np.uint32)
@@ -200,6 +203,48 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def linked_in_blocks(open_: DataFrame, sizes: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links (a, b) between components within large band groups, without making their pairs.
+
+    A group's members, and apart from them those outside its largest component, are dealt into
+    blocks of about ``SMALL``; every block of the former meets every block of the latter in one
+    task. There pairs are estimated at once from their registers, each in its first shared band
+    only, and the likely ones confirmed on the full sets. Only links leave the task.
+    """
+    loaded = open_.join(sizes, "key").join(nodes.select("node", "n", "registers"), "node").join(sets, "node")
+    blocks = F.ceil(F.col("size") / SMALL).cast("int")
+    others = F.greatest(F.lit(1), F.ceil((F.col("size") - F.col("most.n")) / SMALL).cast("int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    deal = lambda n: F.pmod(F.xxhash64("node", F.lit(5)), n).cast("int")
+    columns = ("key", "i", "j", "node", "component", "band", "n", "registers", "shingles")
+    left = loaded.withColumn("i", deal(blocks)).withColumn("j", every(others)).select(*[F.col(c).alias(c + "_") for c in columns]).toDF(*columns)
+    right = loaded.where("component <> most.component").withColumn("j", deal(others)).withColumn("i", every(blocks)).select(*[F.col(c).alias(c + "_") for c in columns]).toDF(*columns)
+
+    def meet(x, y):
+        nodes_x, nodes_y, home_x, home_y, size_x, size_y = (t.column(c).to_numpy() for c in ("node", "component", "n") for t in (x, y))
+        sketch_x, sketch_y = (np.frombuffer(b"".join(t.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS) for t in (x, y))
+        sets_x, sets_y = ([np.frombuffer(v, np.uint64) for v in t.column("shingles").to_pylist()] for t in (x, y))
+        links = []
+        for k in range(len(nodes_y)):
+            near = np.flatnonzero((home_x != home_y[k]) & (np.minimum(size_x, size_y[k]) * 100 >= np.maximum(size_x, size_y[k]) * SIMILAR))
+            if not len(near):
+                continue
+            band = y.column("band")[0].as_py()
+            equal = sketch_x[near] == sketch_y[k]
+            near = near[equal.reshape(len(near), BANDS, ROWS).all(2).argmax(1) == band]
+            if not len(near):
+                continue
+            one = np.broadcast_to(sketch_y[k], (len(near), REGISTERS))
+            near = near[estimate(sketch_x[near], one, size_x[near].astype(float), np.full(len(near), float(size_y[k]))) >= LEAST_ESTIMATE]
+            for i in near:
+                both = len(np.intersect1d(sets_x[i], sets_y[k], assume_unique=True))
+                if 100 * both >= SIMILAR * (len(sets_x[i]) + len(sets_y[k]) - both):
+                    links.append((int(nodes_x[i]), int(nodes_y[k])))
+        return pa.table([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
+
+    return left.groupBy("key", "i", "j").cogroup(right.groupBy("key", "i", "j")).applyInArrow(meet, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of a frame of links (a, b): the smallest node reachable from each.
 
@@ -241,7 +286,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = written(rows.where("n > 0").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("registers").alias("registers")), "nodes")
     width = 2 * ROWS
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("registers", k * width + 1, width)) for k in range(BANDS)])
-    bands = nodes.select("node", F.explode(keys).alias("key"))
+    bands = nodes.select("node", F.posexplode(keys).alias("band", "key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
     bands = written(bands.join(shared, "key"), "bands")
     # the full sets of every node that shares a band are made once
@@ -251,8 +296,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = bands.select("node").distinct().withColumn("component", F.col("node"))
     for turn in range(PIVOTS + 1):
         members = bands.join(labels, "node")
+        # at first the same pivot in as many groups as possible, then another one in each
+        draw = F.xxhash64("node", F.lit(turn)) if turn == 0 else F.xxhash64("node", "key", F.lit(turn))
         groups = written(members.groupBy("key").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("p"), F.min("component").alias("lo"), F.max("component").alias("hi")
+            F.min(F.struct(draw, "node", "component")).alias("p"), F.min("component").alias("lo"), F.max("component").alias("hi")
         ).where("lo < hi"), "groups")
         if groups.isEmpty():
             break
@@ -260,11 +307,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             met = members.join(groups.select("key", F.col("p.node").alias("pivot"), F.col("p.component").alias("home")), "key").where("component <> home")
             pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         else:
-            # what is left: members of different components within one group
+            # what is left: members of different components within one group, small groups as pairs
             open_ = written(members.join(groups.select("key"), "key"), "open")
-            other = open_.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = open_.select("key", F.col("node").alias("a"), "component").join(other, "key").where("component <> other AND a < b").select("a", "b")
-        found = written(confirmed(likely(pairs.distinct(), nodes), sets), "links")
+            sizes = written(open_.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
+                F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("most")), "sizes")
+            few = open_.join(sizes.where(F.col("size") <= SMALL).select("key"), "key")
+            other = few.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
+            pairs = few.select("key", F.col("node").alias("a"), "component").join(other, "key").where("component <> other AND a < b").select("a", "b")
+            crowd = linked_in_blocks(open_, sizes.where(F.col("size") > SMALL), nodes, sets)
+        found = confirmed(likely(pairs.distinct(), nodes), sets)
+        found = written(found if turn < PIVOTS else found.unionByName(crowd), "links")
         if found.isEmpty():
             continue
         links = found if links is None else links.unionByName(found)
