@@ -15,23 +15,24 @@ from pyspark.sql import functions as F
 EXIT_WORD = "exit"
 
 
-def is_exit(text: Column) -> Column:
-    """The session ends on 'exit' in any letter case."""
-    return F.lower(F.trim(text)) == EXIT_WORD
+def is_exit(role: Column, text: Column) -> Column:
+    """A session ends when the user says 'exit', in any letter case and nothing else."""
+    return (role == "user") & (F.lower(text) == EXIT_WORD)
 
 
-def is_blank(text: Column) -> Column:
-    return text.isNull() | (F.trim(text) == "")
+def is_empty(role: Column, text: Column) -> Column:
+    """An empty prompt is no turn (one of blanks is)."""
+    return (role == "user") & (text.isNull() | (text == ""))
 
 
 def kept_turns(conv: DataFrame) -> DataFrame:
     """Turns before the first exit of their conversation; empty user turns are
     not part of the history (the reference appends only non-empty prompts)."""
-    first_exit = conv.where(is_exit(F.col("text"))).groupBy("conv_id").agg(F.min("turn").alias("_exit"))
+    first_exit = conv.where(is_exit(F.col("role"), F.col("text"))).groupBy("conv_id").agg(F.min("turn").alias("_exit"))
     joined = conv.join(first_exit, "conv_id", "left")
     before = F.col("_exit").isNull() | (F.col("turn") < F.col("_exit"))
-    not_blank_user = ~((F.col("role") == "user") & is_blank(F.col("text")))
-    return joined.where(before & not_blank_user).drop("_exit")
+    empty = F.coalesce(is_empty(F.col("role"), F.col("text")), F.lit(False))
+    return joined.where(before & ~empty).drop("_exit")
 
 
 def open_turns(conv: DataFrame) -> DataFrame:

@@ -74,14 +74,15 @@ MEAN_COLUMNS = [
 ]
 INFO_COLUMNS = ["MorningInfoGiven", "AfternoonInfoGiven", "EveningInfoGiven", "TomorrowInfoGiven"]
 
-DEFAULT_MAX_DEPTH = 6
+DEFAULT_MAX_DEPTH = 12
+OTHER_QUESTIONS = "OtherQuestions"
 
 _RADIO, _CHECKLIST, _UNDER_RADIO, _DIRECT = 0, 1, 2, 3
 
 
 def read_labels(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """S3: NDJSON lines -> (good, bad). ``good`` has ``value`` (text), ``v``
-    (VARIANT) and ``line_id``; ``bad`` keeps the file and the offending text."""
+    """S3: NDJSON lines -> (good, bad). ``good`` has ``value`` (text) and ``v``
+    (VARIANT); ``bad`` keeps the file and the offending text."""
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file_path")
     )
@@ -90,9 +91,7 @@ def read_labels(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parse a frame with a ``value`` text column into (good, bad) frames."""
-    parsed = lines.withColumn("v", F.try_parse_json(F.trim("value"))).withColumn(
-        "line_id", F.monotonically_increasing_id()
-    )
+    parsed = lines.withColumn("v", F.try_parse_json(F.trim("value")))
     good = parsed.where(F.col("v").isNotNull())
     bad = parsed.where(F.col("v").isNull()).drop("v")
     return good, bad
@@ -107,17 +106,15 @@ def explode_labels(good: DataFrame) -> DataFrame:
     its top-level classification nodes. Missing fields give null (consensus
     score, details) or '' (data row id)."""
     proj = good.select(
-        "line_id",
         F.coalesce(_vs("v", "$.data_row.id"), F.lit("")).alias("data_row_id"),
         F.explode(F.try_variant_get("v", "$.projects", "map<string,variant>")).alias("project_id", "pd"),
     )
     lab = proj.select(
-        "line_id", "data_row_id", "project_id",
+        "data_row_id", "project_id",
         _vs("pd", "$.name").alias("project_name"),
-        F.posexplode(F.try_variant_get("pd", "$.labels", "array<variant>")).alias("label_pos", "lb"),
+        F.explode(F.try_variant_get("pd", "$.labels", "array<variant>")).alias("lb"),
     )
     return lab.select(
-        F.struct("line_id", "project_id", "label_pos").alias("label_key"),
         "data_row_id", "project_id", "project_name",
         _vs("lb", "$.id").alias("label_id"),
         _vs("lb", "$.label_details.created_at").alias("label_created_at"),
@@ -138,106 +135,80 @@ def _item(node: Column, path: Column, question: Column | None = None, answer: Co
     )
 
 
-def _step(level: DataFrame) -> DataFrame:
-    """One level down: a node becomes its answer writes (node = null) plus its
-    child nodes; rows that are already writes pass through unchanged."""
-    node, path = F.col("node"), F.col("path")
-    name = _vs(node, "$.name")
-    named = F.coalesce(name != "", F.lit(False))
-    radio = F.try_variant_get(node, "$.radio_answer", "map<string,variant>")
-    checklist = F.try_variant_get(node, "$.checklist_answers", "array<variant>")
-    no_node = F.lit(None).cast("variant")
-    radio_item = F.when(
-        named & (F.size(F.coalesce(radio, F.create_map().cast("map<string,variant>"))) > 0),
-        _item(no_node, F.concat(path, F.array(F.lit(_RADIO))), name,
-              F.coalesce(_vs(node, "$.radio_answer.name"), F.lit(""))),
-    )
-    check_item = F.when(
-        named & (F.size(F.coalesce(checklist, F.array().cast("array<variant>"))) > 0),
-        _item(no_node, F.concat(path, F.array(F.lit(_CHECKLIST))), name,
-              F.array_join(F.transform(checklist, lambda x: F.coalesce(F.try_variant_get(x, "$.name", "string"), F.lit(""))), ", ")),
-    )
+def _step(items: Column) -> Column:
+    """One level down, inside the row: a node becomes its answer writes (node = null)
+    plus its child nodes; items that are already writes pass through unchanged."""
+
+    def below(item: Column) -> Column:
+        node, path = item["node"], item["path"]
+        name = _vs(node, "$.name")
+        named = F.coalesce(name != "", F.lit(False))
+        radio = F.try_variant_get(node, "$.radio_answer", "map<string,variant>")
+        checklist = F.try_variant_get(node, "$.checklist_answers", "array<variant>")
+        no_node = F.lit(None).cast("variant")
+        radio_item = F.when(
+            named & (F.size(F.coalesce(radio, F.create_map().cast("map<string,variant>"))) > 0),
+            _item(no_node, F.concat(path, F.array(F.lit(_RADIO))), name,
+                  F.coalesce(_vs(node, "$.radio_answer.name"), F.lit(""))),
+        )
+        check_item = F.when(
+            named & (F.size(F.coalesce(checklist, F.array().cast("array<variant>"))) > 0),
+            _item(no_node, F.concat(path, F.array(F.lit(_CHECKLIST))), name,
+                  F.array_join(F.transform(checklist, lambda x: F.coalesce(F.try_variant_get(x, "$.name", "string"), F.lit(""))), ", ")),
+        )
+
+        def kids(field: str, step: int) -> Column:
+            arr = F.coalesce(F.try_variant_get(node, field, "array<variant>"), F.array().cast("array<variant>"))
+            return F.when(named, F.transform(arr, lambda x, i: _item(x, F.concat(path, F.array(F.lit(step), i)))))\
+                .otherwise(F.array().cast(f"array<{_ITEM}>"))
+
+        found = F.concat(F.array(radio_item, check_item), kids("$.radio_answer.classifications", _UNDER_RADIO),
+                         kids("$.classifications", _DIRECT))
+        return F.when(node.isNull(), F.array(item)).otherwise(F.filter(found, lambda x: x.isNotNull()))
+
+    return F.flatten(F.transform(items, below))
+
+
+def answer_writes(labels: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
+    """N3 + N4: ``labels`` with ``writes``, the answers of the label's tree as an array of
+    ``(path, question, answer)``, in place of ``nodes``.
+
+    The tree is walked inside the row, one array per level: no shuffle, no key to
+    join on, the same for any split of the input. A node left below ``max_depth``
+    is an error, not a silent loss.
+    """
+    first = F.transform(F.coalesce("nodes", F.array().cast("array<variant>")), lambda x, i: _item(x, F.array(i)))
+    level = labels.withColumn("_items", first)
+    for _ in range(max_depth):
+        level = level.withColumn("_items", _step(F.col("_items")))
+    deeper = F.exists("_items", lambda x: x["node"].isNotNull())
+    checked = F.when(deeper, F.raise_error(F.lit(f"classification tree deeper than max_depth={max_depth}")).cast(f"array<{_ITEM}>")).otherwise(F.col("_items"))
+    writes = F.transform(checked, lambda x: F.struct(x["path"].alias("path"), x["question"].alias("question"), x["answer"].alias("answer")))
+    return level.withColumn("writes", writes).drop("_items", "nodes")
 
-    def kids(field: str, step: int) -> Column:
-        arr = F.coalesce(F.try_variant_get(node, field, "array<variant>"), F.array().cast("array<variant>"))
-        return F.when(named, F.transform(arr, lambda x, i: _item(x, F.concat(path, F.array(F.lit(step), i)))))\
-            .otherwise(F.array().cast(f"array<{_ITEM}>"))
 
-    items = F.filter(
-        F.concat(F.array(radio_item, check_item), kids("$.radio_answer.classifications", _UNDER_RADIO),
-                 kids("$.classifications", _DIRECT)),
-        lambda x: x.isNotNull(),
-    )
-    nxt = F.when(node.isNull(), F.array(_item(node, path, F.col("question"), F.col("answer")))).otherwise(items)
-    return level.select("label_key", F.explode(nxt).alias("r")).select("label_key", "r.*")
-
-
-def _unroll(level: DataFrame, depth: int, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
-    for _ in range(depth):
-        level = _step(level)
-    if materialize:
-        # computed once, read twice (answers, and the check for deeper nodes)
-        from nimbus.session import checkpoint_root
-
-        checkpoint_root(level.sparkSession)
-        level = level.checkpoint()
-    writes = level.where(F.col("node").isNull()).select("label_key", "question", "answer", "path")
-    return writes, level.where(F.col("node").isNotNull())
-
-
-def flatten_classifications(labels: DataFrame, max_depth: int = DEFAULT_MAX_DEPTH,
-                            exact: bool = True) -> tuple[DataFrame, DataFrame]:
-    """N3 + N4: every answer write ``(label_key, question, answer, path)``.
-
-    The unroll is a linear chain of ``max_depth`` explodes (no unions, so the
-    plan grows linearly and the input is read once). With ``exact`` (default),
-    the unrolled level is checkpointed once into the session's checkpoint
-    folder and checked for nodes still below that depth; any there are unrolled
-    further, as often as needed, so trees of any depth come out whole. Returns
-    (writes, deeper); ``deeper`` is empty when ``exact``, and otherwise holds
-    the nodes below ``max_depth`` for the caller to check.
-    """
-    level = labels.select(
-        "label_key",
-        F.explode(F.transform(F.coalesce("nodes", F.array().cast("array<variant>")),
-                              lambda x, i: _item(x, F.array(i)))).alias("r"),
-    ).select("label_key", "r.*")
-    writes, deeper = _unroll(level, max_depth, materialize=exact)
-    if not exact:
-        return writes, deeper
-    parts = [writes]
-    while not deeper.isEmpty():
-        more, deeper = _unroll(deeper, max_depth, materialize=True)
-        parts.append(more)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out, deeper
-
-
-def flatten_labels(good: DataFrame, questions: dict[str, str] | None = None, max_depth: int = DEFAULT_MAX_DEPTH,
-                   exact: bool = True) -> DataFrame:
+def _last_answer(writes: Column, question: Column) -> Column:
+    """The answer written last (largest path) for a question; null without one."""
+    return F.array_max(F.filter(writes, lambda w: w["question"] == question))["answer"]
+
+
+def flatten_labels(good: DataFrame, questions: dict[str, str] | None = None, max_depth: int = DEFAULT_MAX_DEPTH) -> DataFrame:
     """N1-N5 + P2: one row per label, metadata plus one column per known question.
 
-    Labels without answers keep their row. Question texts not in ``questions``
-    are dropped (the column set is fixed, so no schema inference runs).
+    Labels without answers keep their row. Questions not in ``questions`` are
+    kept in the map column ``OtherQuestions`` (question text to last answer), so
+    the column set is fixed and no schema inference runs.
     """
     questions = QUESTION_COLUMNS if questions is None else questions
-    labels = explode_labels(good)
-    writes, _ = flatten_classifications(labels, max_depth, exact)
-    meta_cols = list(METADATA_COLUMNS)
-    presence = labels.select("label_key", *meta_cols, F.lit(None).cast("string").alias("question"),
-                             F.lit(None).cast("string").alias("answer"), F.lit(None).cast("array<int>").alias("path"))
-    answers = writes.select(
-        "label_key", *[F.lit(None).cast(labels.schema[c].dataType).alias(c) for c in meta_cols],
-        "question", "answer", "path",
+    rows = answer_writes(explode_labels(good), max_depth)
+    writes = F.col("writes")
+    known = F.array(*[F.lit(q) for q in questions]) if questions else F.array().cast("array<string>")
+    others = F.array_distinct(F.transform(F.filter(writes, lambda w: ~F.array_contains(known, w["question"])), lambda w: w["question"]))
+    return rows.select(
+        *[F.col(c).alias(out) for c, out in METADATA_COLUMNS.items()],
+        *[_last_answer(writes, F.lit(q)).alias(col) for q, col in questions.items()],
+        F.map_from_entries(F.transform(others, lambda q: F.struct(q.alias("key"), _last_answer(writes, q).alias("value")))).alias(OTHER_QUESTIONS),
     )
-    both = presence.unionByName(answers)
-    aggs = [F.max(c).alias(METADATA_COLUMNS[c]) for c in meta_cols]
-    aggs += [
-        F.max_by("answer", F.when(F.col("question") == q, F.col("path"))).alias(col) for q, col in questions.items()
-    ]
-    return both.groupBy("label_key").agg(*aggs).drop("label_key")
 
 
 def with_ratings(flat: DataFrame, columns: Sequence[str] = RATING_COLUMNS) -> DataFrame:

@@ -119,10 +119,10 @@ def _as_matrix(vectors) -> np.ndarray:
         return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def _scorer(bq, k: int, iid: str, ivec: str, on: str | None, qid: str):
+def _scorer(bq, k: int, iid: str, ivec: str, on: str | None, qid: str, margin: float):
     """mapInPandas body: score a batch of index rows against the broadcast query
     matrix and keep, per query, the candidates that can still be in its top k
-    (the k best plus anything tied with the k-th within the rounding margin)."""
+    (the k best plus anything that rounding can tie with the k-th)."""
 
     def run(batches):
         q_ids, q_mat, q_on = bq.value
@@ -147,7 +147,7 @@ def _scorer(bq, k: int, iid: str, ivec: str, on: str | None, qid: str):
                         continue
                     if cand.size > k:
                         kth = np.partition(col[cand], cand.size - k)[cand.size - k]
-                        cand = cand[col[cand] >= kth - _TIE_MARGIN]
+                        cand = cand[col[cand] >= kth - margin]
                     out_q.append(np.full(cand.size, qv, dtype=object))
                     out_i.append(ids[cand])
                     out_s.append(col[cand])
@@ -185,6 +185,7 @@ def top_k(queries: DataFrame, index: DataFrame, k: int, qid: str = "qid", iid: s
         buckets = [keyed.where(F.col("_b") == b).drop("_b") for b in range(nb)]
     types = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
     itypes = {f.name: f.dataType.simpleString() for f in index.schema.fields}
+    margin = max(_TIE_MARGIN, 10.0**-digits) if digits is not None else _TIE_MARGIN
     parts = []
     for qs in buckets:
         if method == "numpy":
@@ -199,7 +200,7 @@ def top_k(queries: DataFrame, index: DataFrame, k: int, qid: str = "qid", iid: s
                 np.array([r[on] for r in rows], dtype=object) if on else None,
             ))
             schema = _SIM_SCHEMA.format(qid=qid, qtype=types[qid], iid=iid, itype=itypes[iid])
-            scored = index.select(iid, ivec, *([on] if on else [])).mapInPandas(_scorer(bq, k, iid, ivec, on, qid), schema)
+            scored = index.select(iid, ivec, *([on] if on else [])).mapInPandas(_scorer(bq, k, iid, ivec, on, qid, margin), schema)
         else:
             idx = index.select(iid, unit(F.col(ivec)).alias("_iv"), *([on] if on else []))
             q = F.broadcast(qs.select(qid, unit(F.col(qvec)).alias("_qv"), *([on] if on else [])))

@@ -6,12 +6,22 @@ from pyspark.sql import functions as F
 
 from nimbus.operators import conversations
 from nimbus.plans.registry import register
+from nimbus.session import scratch_path
 from nimbus.sources.tables import load
 from nimbus.streaming.chat import run_chat_stream
 
-_KEPT = """fe AS (SELECT conv_id, min(turn) AS fx FROM conversations WHERE lower(trim(text)) = 'exit' GROUP BY conv_id),
-k AS (SELECT c.* FROM conversations c LEFT JOIN fe ON c.conv_id = fe.conv_id
-      WHERE (fe.fx IS NULL OR c.turn < fe.fx) AND NOT (c.role = 'user' AND (c.text IS NULL OR trim(c.text) = '')))"""
+# The table holds no exit and no empty prompt; both are derived from the turn's keys, for either role.
+_SAID = """CASE WHEN conv_id % 5 = 3 AND turn IN (2, 3) THEN 'Exit' WHEN (conv_id + turn) % 11 = 5 THEN ''
+  WHEN (conv_id + turn) % 13 = 4 THEN ' ' WHEN (conv_id + turn) % 17 = 6 THEN ' exit' ELSE text END"""
+_KEPT = f"""c AS (SELECT conv_id, turn, role, {_SAID} AS text FROM conversations),
+fe AS (SELECT conv_id, min(turn) AS fx FROM c WHERE role = 'user' AND lower(text) = 'exit' GROUP BY conv_id),
+k AS (SELECT c.* FROM c LEFT JOIN fe ON c.conv_id = fe.conv_id
+      WHERE (fe.fx IS NULL OR c.turn < fe.fx) AND NOT (c.role = 'user' AND (c.text IS NULL OR c.text = '')))"""
+
+
+def turns(spark, sf_dir):
+    """The conversations with exits, empty and blank prompts put in by key."""
+    return load(spark, sf_dir, "conversations").withColumn("text", F.expr(_SAID))
 
 
 @register(
@@ -21,7 +31,7 @@ k AS (SELECT c.* FROM conversations c LEFT JOIN fe ON c.conv_id = fe.conv_id
     GROUP BY conv_id HAVING arg_max(role, turn) <> 'assistant'""",
 )
 def q_open_turns(spark, sf_dir):
-    return conversations.open_turns(load(spark, sf_dir, "conversations"))
+    return conversations.open_turns(turns(spark, sf_dir))
 
 
 @register(
@@ -32,18 +42,21 @@ def q_open_turns(spark, sf_dir):
     FROM k WHERE role = 'user'""",
 )
 def q_answered_turns(spark, sf_dir):
-    return conversations.answered_turns(load(spark, sf_dir, "conversations"))
+    return conversations.answered_turns(turns(spark, sf_dir))
 
 
 @register(
     "conversation_stream", "T1",
     f"""WITH {_KEPT}
     SELECT conv_id, turn, text AS question,
-      CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS n_answered
+      CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS n_answered,
+      'received ' || len(regexp_extract_all(text, '\\S+')) || ' words' AS answer
     FROM k WHERE role = 'user'""",
 )
 def q_conversation_stream(spark, sf_dir):
-    """The streaming job over the conversations file (availableNow), read back;
-    equal to ``answered_turns`` on the same turns."""
-    out = run_chat_stream(spark, f"{sf_dir.rstrip('/')}/conversations*.parquet")
-    return out.select("conv_id", "turn", "question", F.col("n_answered"))
+    """The streaming job over the same turns as files (availableNow), read back;
+    equal to ``answered_turns``, with the answer of the default function."""
+    source = scratch_path(spark, "turns")
+    turns(spark, sf_dir).select("conv_id", "turn", "role", "text").write.parquet(source)
+    out = run_chat_stream(spark, source)
+    return out.select("conv_id", "turn", "question", "n_answered", "answer")

@@ -1,8 +1,8 @@
 """The chat loop as one keyed Structured Streaming job.
 
 Conversation turns arrive as files. Per ``conv_id`` the state holds how many
-questions were answered and whether the session was closed by 'exit'. Each
-non-empty user turn before the first exit is answered (by the caller's
+questions were answered and whether the user closed the session with 'exit'
+(the rule of ``operators.conversations``). Each non-empty user turn before the first exit is answered (by the caller's
 ``answer_fn``, e.g. a model client; the default only acknowledges), and one
 output row is appended per answered turn. Turns are expected in order within a
 conversation, as a chat produces them.
@@ -44,10 +44,10 @@ def _make_step(answer_fn: Callable[[str], str]):
             if role != "user":
                 continue
             t = "" if text is None else str(text)
-            if t.strip().lower() == EXIT_WORD:
+            if t.lower() == EXIT_WORD:
                 closed = True
                 break
-            if not t.strip():
+            if not t:
                 continue
             n_answered += 1
             rows.append((key[0], int(turn), t, n_answered, answer_fn(t)))

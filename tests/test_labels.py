@@ -85,15 +85,31 @@ def test_depth_guard(spark):
         node = {"name": f"q{i}", "radio_answer": {"name": "a"}, "classifications": [node]}
     line = json.dumps({"data_row": {"id": "r"}, "projects": {"p": {"name": "P", "labels": [_label("l1", "a", 1.0, [node])]}}})
     good, _ = labels.parse_lines(spark.createDataFrame([(line,)], "value string"))
-    writes, deeper = labels.flatten_classifications(labels.explode_labels(good), max_depth=8, exact=False)
-    assert writes.count() == 8 and deeper.count() == 1
-    writes, deeper = labels.flatten_classifications(labels.explode_labels(good), max_depth=12, exact=False)
-    assert writes.count() == 12 and deeper.count() == 0
-    # exact (the default): a shallow bound is continued until the tree is whole
-    writes, deeper = labels.flatten_classifications(labels.explode_labels(good), max_depth=3)
-    assert writes.count() == 12 and deeper.count() == 0
-    flat = labels.flatten_labels(good, {"q0": "Q0", "q11": "Q11"}, max_depth=2).collect()[0]
+    writes = labels.answer_writes(labels.explode_labels(good), max_depth=12).collect()[0]["writes"]
+    assert len(writes) == 12
+    with pytest.raises(Exception, match="deeper than max_depth=8"):
+        labels.answer_writes(labels.explode_labels(good), max_depth=8).collect()
+    flat = labels.flatten_labels(good, {"q0": "Q0", "q11": "Q11"}).collect()[0]
     assert flat["Q0"] == "a" and flat["Q11"] == "a"
+    assert flat["OtherQuestions"] == {f"q{i}": "a" for i in range(1, 11)}
+
+
+def test_flatten_is_independent_of_the_input_split(spark, tmp_path):
+    """The walk stays inside the row: other splits between building and reading give the same rows."""
+    path = str(tmp_path / "export")
+    rows = [(json.dumps({"data_row": {"id": f"r{i}"}, "projects": {"p": {"name": "P", "labels": [
+        _label(f"l{i}", f"a{i % 3}", 1.0, [{"name": QI, "radio_answer": {"name": f"answer {i}"}}])]}}}),) for i in range(300)]
+    spark.createDataFrame(rows, "value string").repartition(7).write.text(path)
+    good, _ = labels.read_labels(spark, path)
+    flat = labels.flatten_labels(good)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        got = {r["LabelID"]: r["MorningInfoGiven"] for r in flat.collect()}
+        other = {r["LabelID"]: r["MorningInfoGiven"] for r in labels.flatten_labels(good.repartition(11)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == other == {f"l{i}": f"answer {i}" for i in range(300)}
 
 
 def test_shares_sum_to_100(spark, sf_mid):

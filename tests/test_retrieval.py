@@ -126,3 +126,13 @@ def test_route_table_matches_brute_force(spark, sf_small):
     # a catalog over the broadcast bound takes the exact bucketed path
     big = {r["qid"]: r["table_name"] for r in retrieval.route_table(qs, cat, keep=("label",), max_catalog=3).collect()}
     assert big == got
+
+
+def test_top_k_with_few_digits_agrees(spark, sf_small):
+    """Rounding to two digits ties many items; both methods break the ties by id."""
+    emb = spark.read.parquet(f"{sf_small}/embeddings.parquet")
+    names = emb.columns
+    index = emb.select(F.col(names[0]).alias("item_id"), F.col("embedding"))
+    queries = index.limit(3).select(F.col("item_id").alias("qid"), F.col("embedding").alias("q_embedding"))
+    got = [sorted(map(tuple, retrieval.top_k(queries, index, 5, digits=2, method=m).collect())) for m in ("numpy", "native")]
+    assert got[0] == got[1]
