@@ -83,7 +83,8 @@ def train(texts: list[bytes], labels: np.ndarray, langs: list[str | None], prior
     """Fit on ``texts``; ``prior`` is the share of label 1 among all labelled rows (weights the classes).
 
     One text in five is held back to set the thresholds: per language where it has at least
-    20 texts of label 1, else over all. With one class only, the model answers that class's share.
+    20 texts of label 1, else over all. With one class only, the model answers that class's share
+    and its threshold rejects nothing.
     """
     rng = np.random.default_rng(seed)
     docs = []
@@ -102,6 +103,7 @@ def train(texts: list[bytes], labels: np.ndarray, langs: list[str | None], prior
     labels = np.asarray(labels, np.float32)
     if len(set(labels.tolist())) < 2:
         model.out[:] = 0
+        model.threshold = 2.0
         return model
     ids = [model.rows(d) for d in docs]
     held = rng.random(len(docs)) < 0.2
