@@ -253,19 +253,20 @@ def test_packing(docs, empty):
 
 def test_ngram_scores(docs, empty):
     train = [r for r in ROWS if zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 7 != 2]
-    tokens = lambda r: WORD.findall(low(r[1])) + ["</s>"]
+    end, start = 0, 1  # no words
+    tokens = lambda r: WORD.findall(low(r[1])) + [end]
     words, pairs = Counter(), Counter()
     for r in train:
         t = tokens(r)
         words.update(t)
-        pairs.update(zip(["<s>"] + t, t))
+        pairs.update(zip([start] + t, t))
     norm = sum(words.values()) + len(words) + 1
     want = {}
     for r in ROWS:
         t, base, score = tokens(r), 0.0, 0.0
-        for u, w in zip(["<s>"] + t, t):
+        for u, w in zip([start] + t, t):
             p = (words[w] + 1) / norm
-            n = words["</s>"] if u == "<s>" else words[u]
+            n = words[end] if u == start else words[u]
             m = ngram_lm.MASS * n**ngram_lm.POWER
             base += np.log10(p)
             score += np.log10((pairs[(u, w)] + m * p) / (n + m)) if n else np.log10(p)
