@@ -14,6 +14,7 @@ costs a few row lookups and additions.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -192,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         lang_col: str = "lang", label_col: str = "toxic") -> Model:
     """Train on labelled rows whose crc32(id as text) mod 4 is not 2, at most ``sample`` of each class.
 
-    The driver gets those texts only. Labels other than 0 and 1, and null ids, are passed over;
+    One task trains on that bounded sample; the driver gets the finished model. Labels other than 0 and 1, and null ids, are passed over;
     a row labelled both ways counts as 1. Without labels the model answers 0.5.
     """
     own = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
@@ -203,9 +204,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), lang.alias("lang"))
     rows = rows.join(F.broadcast(some), "id").groupBy("id").agg(F.min(F.struct("text", "lang")).alias("d"), F.max("y").alias("y"))
-    got = rows.select("id", "d.text", "d.lang", "y").orderBy("id").collect()
     prior = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
-    return train([r.text.encode() for r in got], np.array([r.y for r in got]), [r.lang for r in got], prior)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["id"])
+        model = train([r["text"].encode() for r in got], np.array([r["y"] for r in got]), [r["lang"] for r in got], prior)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    made = rows.select("id", "d.text", "d.lang", "y").repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(made["model"]) if made else train([], np.zeros(0), [], prior)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
