@@ -53,87 +53,95 @@ def read_stations(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
 def observations_from_events(events: DataFrame) -> DataFrame:
     """Raw hourly observations derived from the driver's ``events`` table.
 
-    Station from ``user_id``, date and hour from ``ts``, readings from
-    ``event_id``, ``value``, ``event_type`` and ``props.k``. One observation per
-    (station, date, hour): the event with the smallest ``event_id``.
-
-    The pick is a fixed-width ``min(event_id)`` hash aggregate (partial, so each
-    task ships at most one row per station-hour, however hot) followed by a
-    left-semi join on ``(station, date, hour, event_id)``; no sort of the events
-    is needed and the readings are computed for the winning rows only. The
-    winner table has one row per station-hour, so AQE broadcasts it when small.
+    Half of the users report to the five named stations, every other user is a
+    station of its own (``1000 + user_id``), so observations grow with the data.
+    An observation folds all events of its station, date and hour: readings come
+    from integer sums, flags from the parity of a count, so every event counts.
+    One scan and one hash aggregate; a hot station ships one row per hour and task.
     """
-    stn = (
-        F.when(F.col("user_id") % 5 == 0, 260)
-        .when(F.col("user_id") % 5 == 1, 370)
-        .when(F.col("user_id") % 5 == 2, 344)
-        .when(F.col("user_id") % 5 == 3, 240)
-        .otherwise(380)
-    )
-    key_cols = [
-        stn.alias("STN"),
+    stn = F.lit(None).cast("long")
+    for at, number in reversed(list(enumerate((260, 370, 344, 240, 380)))):
+        stn = F.when(F.col("user_id") % 10 == at, F.lit(number).cast("long")).otherwise(stn)
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    et = F.col("event_type")
+    seen = events.select(
+        F.coalesce(stn, 1000 + F.col("user_id")).cast("int").alias("STN"),
         (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).alias("YYYYMMDD"),
         (F.hour("ts") + 1).alias("HH"),
-    ]
-    keyed = events.select(*key_cols, "event_id")
-    winners = keyed.groupBy("STN", "YYYYMMDD", "HH").agg(F.min("event_id").alias("event_id"))
-    rows = events.select(*key_cols, "event_id", "event_type", "value", "props").join(
-        winners, ["STN", "YYYYMMDD", "HH", "event_id"], "left_semi"
+        F.floor("value").cast("long").alias("v"), F.col("event_id").alias("e"), et.alias("et"), k.alias("k"),
     )
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    et = F.col("event_type")
-    eid = F.col("event_id")
-    t = (
-        F.when((et == "error") & (k % 10 == 0), F.lit(None).cast("int"))
-        .otherwise(F.floor("value").cast("int") % 400 - 50)
+    count = lambda test: F.sum(F.when(test, 1).otherwise(0))
+    hours = seen.groupBy("STN", "YYYYMMDD", "HH").agg(
+        F.count("*").alias("n"),
+        F.sum("v").alias("v"),
+        F.sum("e").alias("e"),
+        F.sum(F.coalesce("k", F.lit(0)).cast("long")).alias("k"),
+        count(F.col("et") == "error").alias("errors"),
+        count((F.col("et") == "error") & (F.col("k") % 10 == 0)).alias("lost"),
+        count(F.col("et") == "view").alias("views"),
+        count(F.col("k") % 7 == 0).alias("fogs"),
+        count((F.col("et") == "signup") & (F.col("k") % 3 == 0)).alias("snows"),
+        count((F.col("et") == "purchase") & (F.col("k") % 4 == 0)).alias("storms"),
+        count(F.col("k") % 10 == 0).alias("ices"),
     )
-    fh = F.floor(F.col("value") / 10).cast("int") * 10
+    wet = F.col("views") % 2 == 1
+    # no temperature where every event of the hour lost it
+    t = F.when(F.col("lost") < F.col("n"), F.col("v") % 400 - 50)
     readings = {
-        "DD": F.when(et == "error", 990).otherwise((eid * 10 % 370).cast("int")),
-        "FH": fh,
-        "FX": fh + 30,
+        "DD": F.when(F.col("errors") * 2 > F.col("n"), 990).otherwise(F.col("e") * 10 % 370),
+        "FH": F.col("v") % 50 * 10,
+        "FX": F.col("v") % 50 * 10 + 30,
         "T": t,
         "T10N": t - 20,
         "TD": t - 35,
-        "SQ": (eid % 11).cast("int"),
-        "DR": F.when(et == "view", (eid % 11).cast("int")).otherwise(0),
-        "RH": F.when(et == "view", k % 25 - 1).otherwise(0),
-        "VV": (eid % 90).cast("int"),
-        "N": (eid % 10).cast("int"),
-        "M": F.when(k % 7 == 0, 1).otherwise(0),
-        "R": F.when(et == "view", 1).otherwise(0),
-        "S": F.when((et == "signup") & (k % 3 == 0), 1).otherwise(0),
-        "O": F.when((et == "purchase") & (k % 4 == 0), 1).otherwise(0),
-        "Y": F.when(k % 10 == 0, 1).otherwise(0),
+        "SQ": F.col("e") % 11,
+        "DR": F.when(wet, F.col("e") % 11).otherwise(0),
+        "RH": F.when(wet, F.col("k") % 25 - 1).otherwise(0),
+        "VV": F.col("e") % 90,
+        "N": F.col("e") % 10,
+        "M": F.col("fogs") % 2,
+        "R": F.col("views") % 2,
+        "S": F.col("snows") % 2,
+        "O": F.col("storms") % 2,
+        "Y": F.col("ices") % 2,
     }
-    return rows.select(*[F.col(c) if c in ("STN", "YYYYMMDD", "HH") else readings[c].alias(c) for c in RAW_COLUMNS])
+    return hours.select(*[F.col(c) if c in ("STN", "YYYYMMDD", "HH") else readings[c].cast("int").alias(c) for c in RAW_COLUMNS])
 
 
 # The same adapter in SQL (DuckDB dialect), used by the oracle queries.
 OBS_RAW_SQL = """
-SELECT STN, YYYYMMDD, HH, DD, FH, FX, T, T10N, TD, SQ, DR, RH, VV, N, M, R, S, O, Y FROM (
-  SELECT *, row_number() OVER (PARTITION BY STN, YYYYMMDD, HH ORDER BY event_id) AS rn FROM (
-    SELECT event_id,
-      CASE user_id % 5 WHEN 0 THEN 260 WHEN 1 THEN 370 WHEN 2 THEN 344 WHEN 3 THEN 240 ELSE 380 END AS STN,
-      CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS YYYYMMDD,
-      CAST(hour(ts) + 1 AS INTEGER) AS HH,
-      CASE WHEN event_type = 'error' THEN 990 ELSE CAST(event_id * 10 % 370 AS INTEGER) END AS DD,
-      CAST(floor(value / 10) AS INTEGER) * 10 AS FH,
-      CAST(floor(value / 10) AS INTEGER) * 10 + 30 AS FX,
-      CASE WHEN event_type = 'error' AND k % 10 = 0 THEN NULL ELSE CAST(floor(value) AS INTEGER) % 400 - 50 END AS T,
-      CASE WHEN event_type = 'error' AND k % 10 = 0 THEN NULL ELSE CAST(floor(value) AS INTEGER) % 400 - 50 END - 20 AS T10N,
-      CASE WHEN event_type = 'error' AND k % 10 = 0 THEN NULL ELSE CAST(floor(value) AS INTEGER) % 400 - 50 END - 35 AS TD,
-      CAST(event_id % 11 AS INTEGER) AS SQ,
-      CASE WHEN event_type = 'view' THEN CAST(event_id % 11 AS INTEGER) ELSE 0 END AS DR,
-      CASE WHEN event_type = 'view' THEN k % 25 - 1 ELSE 0 END AS RH,
-      CAST(event_id % 90 AS INTEGER) AS VV,
-      CAST(event_id % 10 AS INTEGER) AS N,
-      CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS M,
-      CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS R,
-      CASE WHEN event_type = 'signup' AND k % 3 = 0 THEN 1 ELSE 0 END AS S,
-      CASE WHEN event_type = 'purchase' AND k % 4 = 0 THEN 1 ELSE 0 END AS O,
-      CASE WHEN k % 10 = 0 THEN 1 ELSE 0 END AS Y
-    FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e0
-  ) e1
-) e2 WHERE rn = 1
+SELECT STN, YYYYMMDD, HH,
+  CASE WHEN errors * 2 > n THEN 990 ELSE CAST(e * 10 % 370 AS INTEGER) END AS DD,
+  CAST(v % 50 * 10 AS INTEGER) AS FH,
+  CAST(v % 50 * 10 + 30 AS INTEGER) AS FX,
+  CASE WHEN lost < n THEN CAST(v % 400 - 50 AS INTEGER) END AS T,
+  CASE WHEN lost < n THEN CAST(v % 400 - 50 AS INTEGER) END - 20 AS T10N,
+  CASE WHEN lost < n THEN CAST(v % 400 - 50 AS INTEGER) END - 35 AS TD,
+  CAST(e % 11 AS INTEGER) AS SQ,
+  CASE WHEN views % 2 = 1 THEN CAST(e % 11 AS INTEGER) ELSE 0 END AS DR,
+  CASE WHEN views % 2 = 1 THEN CAST(k % 25 - 1 AS INTEGER) ELSE 0 END AS RH,
+  CAST(e % 90 AS INTEGER) AS VV,
+  CAST(e % 10 AS INTEGER) AS N,
+  CAST(fogs % 2 AS INTEGER) AS M,
+  CAST(views % 2 AS INTEGER) AS R,
+  CAST(snows % 2 AS INTEGER) AS S,
+  CAST(storms % 2 AS INTEGER) AS O,
+  CAST(ices % 2 AS INTEGER) AS Y
+FROM (
+  SELECT
+    CAST(CASE user_id % 10 WHEN 0 THEN 260 WHEN 1 THEN 370 WHEN 2 THEN 344 WHEN 3 THEN 240 WHEN 4 THEN 380
+      ELSE 1000 + user_id END AS INTEGER) AS STN,
+    CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS YYYYMMDD,
+    CAST(hour(ts) + 1 AS INTEGER) AS HH,
+    count(*) AS n, sum(CAST(floor(value) AS BIGINT)) AS v, sum(event_id) AS e, sum(coalesce(k, 0)) AS k,
+    count(*) FILTER (WHERE event_type = 'error') AS errors,
+    count(*) FILTER (WHERE event_type = 'error' AND k % 10 = 0) AS lost,
+    count(*) FILTER (WHERE event_type = 'view') AS views,
+    count(*) FILTER (WHERE k % 7 = 0) AS fogs,
+    count(*) FILTER (WHERE event_type = 'signup' AND k % 3 = 0) AS snows,
+    count(*) FILTER (WHERE event_type = 'purchase' AND k % 4 = 0) AS storms,
+    count(*) FILTER (WHERE k % 10 = 0) AS ices
+  FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e0
+  GROUP BY 1, 2, 3
+) e1
 """
