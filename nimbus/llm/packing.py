@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nimbus.llm.common import row_hash, written
+from nimbus.llm.common import row_hash, shuffle_parts, written
 
 LENGTH = 2048
 BLOCK, ISLANDS, EPOCHS = 2048, 2, 2
@@ -228,7 +228,7 @@ def evolve(sizes: np.ndarray, start: list[np.ndarray], capacity: int, offspring:
 _STATE = "block long, island int, sizes array<int>, best array<array<int>>"
 
 
-def _islands(blocks: DataFrame, capacity: int, seed: int) -> DataFrame:
+def _islands(blocks: DataFrame, capacity: int, seed: int, tasks: int) -> DataFrame:
     """(block, sizes, bins) of a frame (block, sizes): the best grouping the islands found."""
     state = blocks.select("block", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island"), "sizes", F.array().cast("array<array<int>>").alias("best"))
     for epoch in range(EPOCHS):
@@ -242,7 +242,7 @@ def _islands(blocks: DataFrame, capacity: int, seed: int) -> DataFrame:
                     best = evolve(sizes, start, capacity, OFFSPRING, key)
                     yield pa.RecordBatch.from_pylist([row | {"best": [best.tolist()]}], batch.schema)
 
-        state = written(state.repartition("block", "island").mapInArrow(run, _STATE), "islands")
+        state = written(state.repartition(tasks, "block", "island").mapInArrow(run, _STATE), "islands")
         if epoch < EPOCHS - 1:  # each island's best also goes to the next island
             moved = state.select("block", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island"), "sizes", "best")
             state = state.unionByName(moved).groupBy("block", "island").agg(F.first("sizes").alias("sizes"), F.flatten(F.collect_list("best")).alias("best"))
@@ -269,11 +269,13 @@ def pack(items: DataFrame, capacity: int = LENGTH, seed: int = 11) -> DataFrame:
         else:
             n = left.count()
         blocks = max(1, -(-n // BLOCK))
+        # a block is few bytes and much work, so the tasks are not merged by size
+        tasks = min(blocks * ISLANDS, shuffle_parts(items.sparkSession))
         block = F.pmod(F.xxhash64(place, F.lit(level)), F.lit(blocks))
         order = Window.partitionBy("block").orderBy(F.col("length").desc(), "id", "row", "piece")
         numbered = written(left.withColumn("block", block).withColumn("nr", F.row_number().over(order)), f"pack-items-{level}")
         sizes = numbered.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("nr", F.col("length").cast("int").alias("length")))).alias("x"))
-        bins = _islands(sizes.select("block", F.col("x.length").alias("sizes")), capacity, seed + level)
+        bins = _islands(sizes.select("block", F.col("x.length").alias("sizes")), capacity, seed + level, tasks)
         cells = bins.select("block", F.posexplode(F.arrays_zip("sizes", "bins")).alias("nr", "x"))
         cells = cells.select("block", (F.col("nr") + 1).alias("nr"), F.col("x.bins").alias("bin"), F.col("x.sizes").cast("long").alias("size"))
         per_bin = Window.partitionBy("block", "bin")
