@@ -329,6 +329,10 @@ DEFAULT_GUIDANCE = (
 )
 
 
+#: A reading that is missing shows as null in JSON text.
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
+
 def build_prompts(df: DataFrame, guidance: str = DEFAULT_GUIDANCE) -> DataFrame:
     """One prompt per section (heading, part, guidance, rows) and a combined prompt."""
     parts = {"morning": "Morning", "afternoon": "Afternoon", "evening": "Evening", "night": "Night", "tomorrow": "full day"}
@@ -339,7 +343,7 @@ def build_prompts(df: DataFrame, guidance: str = DEFAULT_GUIDANCE) -> DataFrame:
         out = out.withColumn(
             f"prompt_{s}",
             F.concat_ws("\n", heading, F.lit(guidance),
-                        F.col(f"json_{s}") if f"json_{s}" in df.columns else F.to_json(F.col(f"rows_{s}"))),
+                        F.col(f"json_{s}") if f"json_{s}" in df.columns else F.to_json(F.col(f"rows_{s}"), KEEP_NULLS)),
         )
     return out.withColumn(
         "prompt",
@@ -456,7 +460,7 @@ def day_bundles(obs: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     for p in [*PARTS, _DAY]:
         title = p if p != _DAY else SECTION_TITLES["tomorrow"]
         out[f"body_{p}"] = F.array_join(F.col(f"arr_{p}").getField("html"), "")
-        out[f"json_{p}"] = F.to_json(F.col(f"arr_{p}").getField("r"))
+        out[f"json_{p}"] = F.to_json(F.col(f"arr_{p}").getField("r"), KEEP_NULLS)
         out[f"text_{p}"] = _section_text_of(p, title)
     b = b.withColumns(out)
     keep = ["station", "date"] + [f"{c}_{p}" for p in [*PARTS, _DAY] for c in ("arr", "body", "text", "json")]
@@ -558,8 +562,7 @@ def render(rec: DataFrame, fn: Callable[[pd.DataFrame], pd.Series] | None = None
     if fn is None:
         rec = rec.withColumn("report", F.concat_ws(" ", *[F.col(f"text_{s}") for s in SECTIONS]))
     else:
-        rec = generate(rec.drop(*[f"sec_{s}" for s in SECTIONS]), fn).join(
-            rec.select("request_id", *[f"sec_{s}" for s in SECTIONS]), "request_id")
+        rec = generate(rec.drop(*[f"sec_{s}" for s in SECTIONS]), fn)
     page = _page([_table(s, F.col(f"body_{s}")) for s in SECTIONS])
     rec = rec.withColumn("status", report_status(rec)).withColumn("html_report", page)
     rec = rec.withColumn("external_id", external_id(F.col("request_id"), suffix))

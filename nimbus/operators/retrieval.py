@@ -224,7 +224,7 @@ def route_table(questions: DataFrame, catalog: DataFrame, qid: str = "qid", qvec
     its size is checked; the questions stream through ``mapInPandas`` in Arrow
     batches, each batch scored against the whole catalog with one matrix
     product, so the work is linear in the number of questions and no shuffle
-    is needed. A catalog over ``max_catalog`` entries is handled exactly by
+    is needed. A question with a zero vector gets no row. A catalog over ``max_catalog`` entries is handled exactly by
     ``top_k`` with the questions as bucketed queries."""
     if _bounded_count(catalog, max_catalog) > max_catalog:
         # too large to broadcast: score the catalog as an index against the questions,
@@ -248,7 +248,10 @@ def route_table(questions: DataFrame, catalog: DataFrame, qid: str = "qid", qvec
             pdf = pdf[pdf[qvec].notna()]
             if pdf.empty or kk == 0:
                 continue
-            sims = np.round(_as_matrix(pdf[qvec].to_numpy()) @ cat.T, 9)
+            mat = _as_matrix(pdf[qvec].to_numpy())
+            # a zero vector is like nothing, here and in top_k
+            there = ~np.isnan(mat).any(axis=1)
+            pdf, sims = pdf[there], np.round(mat[there] @ cat.T, 9)
             # stable sort on -similarity keeps the name order among equal scores
             order = np.argsort(-np.nan_to_num(sims, nan=-np.inf), axis=1, kind="stable")[:, :kk]
             rr = np.repeat(np.arange(len(pdf)), kk)

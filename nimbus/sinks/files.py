@@ -19,7 +19,7 @@ def _json_arrays(df: DataFrame) -> DataFrame:
     """Array / struct / map columns -> JSON text (CSV has no nested types)."""
     nested = (T.ArrayType, T.StructType, T.MapType)
     return df.select(
-        *[F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema.fields]
+        *[F.to_json(F.col(f.name), {"ignoreNullFields": "false"}).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema.fields]
     )
 
 
@@ -32,7 +32,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_log(df: DataFrame, path: str, mode: str = "append") -> None:
     """K3: one JSON object per record (JSON lines)."""
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def write_html(df: DataFrame, directory: str, html: str = "html_report", name: str = "external_id",
