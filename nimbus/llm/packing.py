@@ -8,8 +8,10 @@ whole well-filled bins of one parent into the other, drops the bins that hold a
 piece twice and places the pieces this displaces by best fit, longest first.
 After each epoch an island's best individual moves to the next island (one
 shuffle). Pieces in bins the search couldn't fill well are dealt anew into
-blocks of their own, level by level, until one block is left; so the loss is one
-block's, whatever the number of documents.
+blocks of their own, level by level, until one block is left. A level that fills
+hardly any bin (pieces of 1300 tokens with nothing to put beside them) keeps its
+bins as they are, but for the emptiest of each block; so the levels end and the
+loss is about one block's, whatever the number of documents.
 
 Encoding remembers the ids of white-space separated chunks per worker: a
 pre-tokenizer that never crosses white space encodes a text as the chunks'
@@ -36,6 +38,8 @@ BLOCK, ISLANDS, EPOCHS = 2048, 2, 2
 POPULATION, OFFSPRING = 5, 12
 #: Bins with more free room than this share of a sequence go to the next level.
 SLACK = 1 / 64
+#: A level that leaves more than this share of its pieces has nothing to gain from being dealt anew.
+STALLED = 0.9
 #: What a worker remembers before it starts afresh (bounds its memory, not the result).
 CHUNKS_KEPT, WORDS_KEPT = 600_000, 800_000
 _WORKER: dict = {}
@@ -260,14 +264,8 @@ def pack(items: DataFrame, capacity: int = LENGTH, seed: int = 11) -> DataFrame:
     out = []
     left = items.where(F.col("length") < capacity)
     place = F.xxhash64("id", "row", "piece", F.lit(seed))
-    n, level = None, 0
-    while True:
-        if level:
-            n = left.count()
-            if not n:
-                break
-        else:
-            n = left.count()
+    n, level = left.count(), 0
+    while n:
         blocks = max(1, -(-n // BLOCK))
         # a block is few bytes and much work, so the tasks are not merged by size
         tasks = min(blocks * ISLANDS, shuffle_parts(items.sparkSession))
@@ -282,12 +280,17 @@ def pack(items: DataFrame, capacity: int = LENGTH, seed: int = 11) -> DataFrame:
         cells = cells.withColumn("fill", F.sum("size").over(per_bin)).withColumn(
             "offset", F.sum("size").over(per_bin.orderBy("nr").rowsBetween(Window.unboundedPreceding, -1)))
         placed = written(numbered.join(cells.drop("size"), ["block", "nr"]), f"pack-level-{level}")
-        last = blocks == 1
-        done = F.lit(True) if last else F.col("fill") >= capacity * (1 - SLACK)
-        number = F.lit(level << 56) + F.col("block") * F.lit(1 << 20) + F.col("bin")
+        done = F.lit(True) if blocks == 1 else F.col("fill") >= capacity * (1 - SLACK)
+        n, before = placed.where(~done).count(), n
+        if n > STALLED * before:
+            emptiest = placed.groupBy("block").agg(F.min(F.struct("fill", "bin")).alias("least"))
+            placed = placed.join(emptiest, "block")
+            done = done | (F.col("bin") != F.col("least.bin"))
+            n = placed.where(~done).count()
+            if n > STALLED * before:
+                done, n = F.lit(True), 0
+        number = F.lit(level << 52) + F.col("block") * F.lit(1 << 20) + F.col("bin")
         out.append(placed.where(done).select(*columns, number.alias("sequence_id"), F.coalesce("offset", F.lit(0)).cast("long").alias("offset")))
-        if last:
-            break
         left = placed.where(~done).select(*columns)
         level += 1
     # pieces of full length are numbered below zero, within small groups by hash

@@ -16,7 +16,7 @@ import numpy as np
 import pytest
 
 from nimbus.llm import exact_dedup, fingerprints, near_dedup, ngram_lm, packing, source_mix, substring_dedup, token_counts, toxicity, url_filter
-from nimbus.llm.common import crc_mod
+from nimbus.llm.common import crc_mod, written
 from nimbus.llm.queries import ORACLES, QUERIES, tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -251,6 +251,35 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, path).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["alone", "few beside", "pairs"])
+def test_packing_ends_where_no_bin_can_be_filled(spark, monkeypatch, kind):
+    """More than a block of pieces that cannot reach the fill a level asks for."""
+    levels = []
+
+    def counted(df, name):
+        levels.append(name.startswith("pack-level"))
+        assert sum(levels) < 12
+        return written(df, name)
+
+    monkeypatch.setattr(packing, "written", counted)
+    monkeypatch.setattr(packing, "BLOCK", 128)
+    rnd = random.Random(6)
+    sizes = {
+        "alone": [1300] * 600,
+        "few beside": [1300] * 400 + [rnd.randrange(5, 500) for _ in range(200)],
+        "pairs": [rnd.randrange(690, 1001) for _ in range(600)],
+    }[kind]
+    items = spark.createDataFrame([(i, i, 0, n) for i, n in enumerate(sizes)], "id long, row long, piece int, length int")
+    got = sorted(packing.pack(items).collect(), key=lambda r: (r["sequence_id"], r["offset"]))
+    assert sorted((r["id"], r["length"]) for r in got) == list(enumerate(sizes))
+    ends = {}
+    for r in got:
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048 and sum(n <= 1024 for n in ends.values()) <= 1
+    assert len(ends) <= {"alone": 600, "few beside": 402, "pairs": 301}[kind]
+
+
 def test_ngram_scores(docs, empty):
     train = [r for r in ROWS if zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 7 != 2]
     end, start = 0, 1  # no words
