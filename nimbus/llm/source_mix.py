@@ -11,8 +11,10 @@ its target by less than one document.
 The pairing runs as a reduction tree: units are dealt by hash into blocks of
 about 64 within their source, a block folds its units into at most one that is
 still fractional, and those residuals are dealt into the blocks of the next
-level. A source of any size is spread over as many blocks as it needs. All
-randomness is a hash of the rows and the seed, so reruns agree.
+level. A source of any size is spread over as many blocks as it needs. Rows equal
+in every column are rounded among themselves first, by their count: any number of
+them leaves at most one unit to the tree. All randomness is a hash of the rows and
+the seed, so reruns agree.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from nimbus.llm.common import WORD, row_hash, written
 
 BLOCK = 64
+#: Equal rows are written out again in runs of this length.
+RUN = 4096
 _UNIT = "struct<size:bigint,key:bigint,id:{id},row:bigint,p:double>"
 
 
@@ -82,14 +86,46 @@ def _meeting(seed: int):
     return lambda state, unit: _meet(state, unit, seed)
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """``rows`` (number, id, row, size, extra, times), each as often as ``times`` says.
+
+    What comes more than once is cut into runs that are dealt out, so that no task makes all of it.
+    """
+    columns = ["number", "id", "row", "size", "extra"]
+    runs = rows.where("times > 1").withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / RUN))))
+    runs = runs.repartition("number", "id", "row", "run")
+    length = F.least(F.lit(RUN), F.col("times") - F.col("run") * RUN)
+    many = runs.withColumn("nr", F.explode(F.sequence(F.lit(1).cast("long"), length.cast("long"))))
+    return rows.where("times = 1").select(*columns).unionByName(many.select(*columns))
+
+
+def round_equal(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pivotal rounding of rows equal in every column among themselves, by their count.
+
+    ``times`` such units have the mass of times * p copies: as many as its whole part are taken,
+    at most one is left fractional, the others are not taken. Gives the settled ones
+    (number, id, row, size, extra 0/1, times) and those left, in the columns of ``units``.
+    """
+    times = units.groupBy(*units.columns).agg(F.count("*").alias("times"))
+    groups = written(times, "mix-equal")
+    single, mass = groups.where("times = 1").drop("times"), F.col("times") * F.col("p")
+    shared = groups.where("times > 1").withColumn("taken", F.floor(mass).cast("long")).withColumn("rest", mass - F.floor(mass))
+    not_taken = F.col("times") - F.col("taken") - (F.col("rest") > 0).cast("long")
+    each = F.explode(F.array(F.struct(F.lit(1).alias("extra"), F.col("taken").alias("times")), F.struct(F.lit(0).alias("extra"), not_taken.alias("times"))))
+    settled = shared.select("number", "id", "row", "size", each.alias("x")).select("number", "id", "row", "size", "x.*").where("times > 0")
+    left = single.unionByName(shared.where("rest > 0").withColumn("p", F.col("rest")).select(*units.columns))
+    return settled, left
+
+
 def round_rates(units: DataFrame, largest: int, seed: int) -> DataFrame:
     """(number, id, row, size, extra 0/1) of a frame (number, n, size, id, row, p) with 0 < p < 1, size > 0.
 
     ``largest`` is the row count of the largest source; it sets the tree's height.
     """
     kind = _UNIT.format(id=units.schema["id"].dataType.simpleString())
-    left = units.withColumn("key", F.xxhash64("id", "row", F.lit(seed)))
-    done, level = [], 0
+    equal, left = round_equal(units)
+    left = left.withColumn("key", F.xxhash64("id", "row", F.lit(seed)))
+    done, level = [_repeated(equal)], 0
     while True:
         largest = -(-largest // BLOCK)
         left = left.withColumn("n", F.ceil(F.col("n") / BLOCK))
@@ -99,7 +135,7 @@ def round_rates(units: DataFrame, largest: int, seed: int) -> DataFrame:
         )
         start = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.element_at("units", 1).cast(kind).alias("carry"))
         # the fold starts from the first (largest) unit, so small ones are left for the fine adjustment
-        rest = F.slice("units", 2, BLOCK * 1024)
+        rest = F.slice("units", F.lit(2), F.size("units"))
         folded = blocks.select("number", "n", F.aggregate(rest, start, _meeting(seed + level)).alias("s"))
         out = written(
             folded.select("number", "n", F.explode(F.concat(

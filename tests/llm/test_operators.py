@@ -89,6 +89,25 @@ def test_source_mix(docs, empty):
     assert source_mix.source_mix(empty).count() == 0
 
 
+@pytest.mark.parametrize("weights", [(3,), (1, 2)])
+def test_source_mix_keeps_many_equal_rows(spark, monkeypatch, weights):
+    """More rows equal in every column than one block of the tree could ever hold."""
+    monkeypatch.setattr(source_mix, "BLOCK", 8)
+    same = spark.range(9001).selectExpr("7L AS doc_id", "'one two three' AS text", "'s1' AS source")
+    rest = spark.range(100).selectExpr("id + 10 AS doc_id", "repeat('w ', int(id % 9)) AS text", "if(id % 2 = 0, 's1', 's2') AS source")
+    frame = same.unionByName(rest)
+    got = source_mix.source_mix(frame, weights=weights, share=1.25).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter([7] * 9001 + list(range(10, 110)))
+    assert sorted(map(str, got)) == sorted(map(str, source_mix.source_mix(frame.repartition(5), weights=weights, share=1.25).collect()))
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r["source_size"]] += r["taken"]
+        target[r["source_size"]] = r["target"]
+    assert all(abs(taken[s] - t) <= 4 + 1e-6 for s, t in target.items())
+    mine = [r["copies"] for r in got if r["doc_id"] == 7]
+    assert max(mine) - min(mine) <= 1 and abs(np.mean(mine) - target[max(target)] / max(target)) < 0.01
+
+
 def brute_repeats(texts, least):
     seen = Counter(t[i : i + least] for t in texts for i in range(len(t) - least + 1))
     out = []
