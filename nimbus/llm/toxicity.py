@@ -7,7 +7,8 @@ logistic layer weighs the maxima. Only the winning windows get gradient, so a
 training step costs little more than a forward pass.
 
 Training takes a bounded sample of the labelled rows (``SAMPLE`` of each class,
-chosen by a hash of the id); everything else covers all rows. For scoring each
+chosen by a hash of the id); everything else covers all rows, the thresholds too:
+they come from counts of every labelled row's score. For scoring each
 filter tap is multiplied into the embedding table once per worker, so a window
 costs a few row lookups and additions.
 """
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from nimbus.llm.common import NOT_LETTER, buffer_chunks, crc_mod, word_hashes
 
@@ -29,6 +31,8 @@ from nimbus.llm.common import NOT_LETTER, buffer_chunks, crc_mod, word_hashes
 SAMPLE = 2000
 DIM, FILTERS, WIDTHS, EPOCHS, BATCH = 8, 12, (1, 2, 3), 12, 32
 _LAST = max(WIDTHS) - 1
+#: Thresholds to choose from, and the rows of label 1 a language needs for one of its own.
+GRID, LEAST_TOXIC = np.linspace(0.1, 0.9, 81), 20
 
 
 @dataclass
@@ -41,6 +45,7 @@ class Model:
     shift: float
     thresholds: dict[str, float] = field(default_factory=dict)
     threshold: float = 0.5
+    used: list = field(default_factory=list)  # places, then ids, of the texts it was fitted on
 
     def rows(self, hashes: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.words, hashes)
@@ -80,12 +85,11 @@ def _probability(model: Model, ids: np.ndarray, offsets: np.ndarray, products) -
     return _sigmoid(hidden @ model.out + model.shift)
 
 
-def train(texts: list[bytes], labels: np.ndarray, langs: list[str | None], prior: float, seed: int = 5) -> Model:
+def train(texts: list[bytes], labels: np.ndarray, prior: float, seed: int = 5) -> Model:
     """Fit on ``texts``; ``prior`` is the share of label 1 among all labelled rows (weights the classes).
 
-    One text in five is held back to set the thresholds: per language where it has at least
-    20 texts of label 1, else over all. With one class only, the model answers that class's share
-    and its threshold rejects nothing.
+    One text in five is held back, so that thresholds can be set even where all labelled rows are in
+    the sample. With one class only, the model answers that class's share and its threshold rejects nothing.
     """
     rng = np.random.default_rng(seed)
     docs = []
@@ -167,52 +171,79 @@ def train(texts: list[bytes], labels: np.ndarray, langs: list[str | None], prior
             touched, grad = touched[keep], grad[keep] + 1e-4 * model.table[touched[keep]]
             memory["table"][touched] += grad * grad
             model.table[touched] -= 0.05 * grad / np.sqrt(memory["table"][touched])
-    _calibrate(model, [ids[i] for i in np.flatnonzero(held)], labels[held], [langs[i] for i in np.flatnonzero(held)])
+    model.used = use.tolist()
     return model
 
 
-def _calibrate(model: Model, ids: list[np.ndarray], labels: np.ndarray, langs: list[str | None]) -> None:
-    """Per language the threshold with the fewest errors on the texts held back."""
-    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64)
-    scores = _probability(model, np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int64), offsets, model.products())
-    grid = np.linspace(0.1, 0.9, 81)
+def _labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(id, y) of the labels to learn from: 0 or 1, with an id whose crc32 as text mod 4 is not 2."""
+    own = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
+    return own.where(crc_mod(F.col("id"), 4) != 2).groupBy("id").agg(F.max("y").alias("y"))
+
+
+def _best(counts: np.ndarray, weight: np.ndarray) -> float:
+    """The threshold with the least weighted errors; ``counts[y, k]`` rows of label y reach k values of ``GRID``."""
+    below = np.cumsum(counts, 1)[:, :-1]  # rows under each threshold
+    errors = np.round(weight[0] * (counts[0].sum() - below[0]) + weight[1] * below[1], 6)
+    return float(np.median(GRID[errors == errors.min()]))
 
-    def best(mask: np.ndarray) -> float:
-        errors = np.array([((scores[mask] >= t) != (labels[mask] == 1)).sum() for t in grid])
-        return float(np.median(grid[errors == errors.min()]))
 
-    if len(labels):
-        model.threshold = best(np.ones(len(labels), bool))
-        for lang in {x for x in langs if x is not None}:
-            mask = np.array([x == lang for x in langs])
-            if (labels[mask] == 1).sum() >= 20:
-                model.thresholds[lang] = best(mask)
+def calibrate(model: Model, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              lang_col: str = "lang", label_col: str = "toxic") -> Model:
+    """``model`` with the thresholds of the fewest errors over all labelled rows (mod 4 not 2).
+
+    Per language where at least ``LEAST_TOXIC`` rows of label 1 can be judged, else over all. Rows the
+    model was fitted on are not judged; the others of their language and label count for them, so
+    that each label weighs what it does among all labelled rows, at any size.
+    """
+    if not model.used:
+        return model
+    spark = docs.sparkSession
+    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), lang.alias("lang")).join(_labelled(labels, id_col, label_col), "id")
+    used = spark.createDataFrame([(i,) for i in model.used], StructType([StructField("id", rows.schema["id"].dataType)])).withColumn("used", F.lit(True))
+    scored = score(rows.join(F.broadcast(used), "id", "left"), model, keep=("lang", "y", "used"))
+    # how many values of the grid the score reaches
+    place = F.size(F.filter(F.array(*[F.lit(float(t)) for t in GRID]), lambda t: t <= F.col("score")))
+    place = F.when(F.col("used").isNull(), place).otherwise(F.lit(-1))
+    every, judged = {}, {}
+    for r in scored.groupBy("lang", "y", place.alias("place")).count().collect():
+        for key in {(r["lang"],), ()}:
+            every.setdefault(key, np.zeros(2))[r["y"]] += r["count"]
+            if r["place"] >= 0:
+                judged.setdefault(key, np.zeros((2, len(GRID) + 1)))[r["y"], r["place"]] += r["count"]
+    for key, counts in judged.items():
+        limit = _best(counts, every[key] / np.maximum(counts.sum(1), 1))
+        if not key:
+            model.threshold = limit
+        elif key[0] is not None and counts[1].sum() >= LEAST_TOXIC:
+            model.thresholds[key[0]] = limit
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
-        lang_col: str = "lang", label_col: str = "toxic") -> Model:
+        label_col: str = "toxic") -> Model:
     """Train on labelled rows whose crc32(id as text) mod 4 is not 2, at most ``sample`` of each class.
 
     One task trains on that bounded sample; the driver gets the finished model. Labels other than 0 and 1, and null ids, are passed over;
-    a row labelled both ways counts as 1. Without labels the model answers 0.5.
+    a row labelled both ways counts as 1. Without labels the model answers 0.5. ``calibrate`` sets the thresholds.
     """
-    own = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id IS NOT NULL AND y IN (0, 1)")
-    own = own.where(crc_mod(F.col("id"), 4) != 2).groupBy("id").agg(F.max("y").alias("y"))
+    own = _labelled(labels, id_col, label_col)
     counts = {r.y: r["count"] for r in own.groupBy("y").count().collect()}
     order = F.xxhash64("id")
     some = own.where("y = 1").orderBy(order, "id").limit(sample).unionByName(own.where("y = 0").orderBy(order, "id").limit(sample))
-    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), lang.alias("lang"))
-    rows = rows.join(F.broadcast(some), "id").groupBy("id").agg(F.min(F.struct("text", "lang")).alias("d"), F.max("y").alias("y"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.join(F.broadcast(some), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
     prior = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["id"])
-        model = train([r["text"].encode() for r in got], np.array([r["y"] for r in got]), [r["lang"] for r in got], prior)
+        model = train([r["text"].encode() for r in got], np.array([r["y"] for r in got]), prior)
+        model.used = [got[i]["id"] for i in model.used]
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    made = rows.select("id", "d.text", "d.lang", "y").repartition(1).mapInArrow(run, "model binary").first()
-    return pickle.loads(made["model"]) if made else train([], np.zeros(0), [], prior)
+    made = rows.select("id", "text", "y").repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(made["model"]) if made else train([], np.zeros(0), prior)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -237,9 +268,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
     return rows.mapInArrow(run, schema)
 
 
-def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def reject(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``docs`` without the rows whose score reaches the threshold of their language; columns as they were."""
-    model = fit(docs, labels)
+    model = calibrate(fit(docs, labels, sample), docs, labels)
     limits = F.lit(model.threshold)
     for lang, limit in sorted(model.thresholds.items()):
         limits = F.when(F.col("lang") == lang, F.lit(limit)).otherwise(limits)

@@ -231,6 +231,39 @@ def test_toxicity_learns_and_rejects(spark, docs, empty):
     assert toxicity.reject(frame, marks.limit(0)).count() == 900  # no labels: nothing is rejected
 
 
+def test_toxicity_thresholds_cover_all_labelled_rows(spark, monkeypatch):
+    """However small the sample, the thresholds have the fewest errors of all rows it leaves, in the labels' mix."""
+    rnd = random.Random(4)
+    words = [f"v{i}" for i in range(200)]
+    rows, labels = [], []
+    for i in range(4000):
+        toxic = i % 10 == 0
+        text = [rnd.choice(words) for _ in range(20)]
+        if rnd.random() < (0.8 if toxic else 0.12):  # clean texts use the word too, and outnumber the others by far
+            text[3] = "vile"
+        rows.append((i, " ".join(text), ["en", "de", None][i % 3], "s", 0, None, None))
+        labels.append((i, 0, int(toxic)))
+    frame, marks = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    models = []
+    real = toxicity.score
+    monkeypatch.setattr(toxicity, "score", lambda docs, model, **k: models.append(model) or real(docs, model, **k))
+    left = {r["doc_id"] for r in toxicity.reject(frame, marks, sample=150).select("doc_id").collect()}
+    model = models[-1]
+    scores = {r["doc_id"]: r["score"] for r in real(frame, model, keep=("doc_id",)).collect()}
+    learn = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    judged = [i for i in learn if i not in set(model.used)]
+    assert 200 < len(model.used) < 280 and set(model.used) <= set(learn)
+
+    def least(keep):
+        weight = [sum(keep(i) and (i % 10 == 0) == y for i in learn) / sum(keep(i) and (i % 10 == 0) == y for i in judged) for y in (False, True)]
+        cost = np.array([sum(weight[i % 10 == 0] for i in judged if keep(i) and (scores[i] >= t) != (i % 10 == 0)) for t in np.linspace(0.1, 0.9, 81)])
+        return np.median(np.linspace(0.1, 0.9, 81)[np.abs(cost - cost.min()) < 1e-5])
+
+    assert abs(model.threshold - least(lambda i: True)) < 1e-9
+    assert model.thresholds == {lang: pytest.approx(least(lambda i: i % 3 == k)) for k, lang in enumerate(["en", "de"])}
+    assert left == {i for i in range(4000) if scores[i] < model.thresholds.get(["en", "de", None][i % 3], model.threshold)}
+
+
 def test_fingerprints(docs, empty, spark):
     unique = spark.createDataFrame([r for r in ROWS[:-1] if r[0] is not None], SCHEMA)
     texts = [r[1] or "" for r in ROWS[:-1] if r[0] is not None]
