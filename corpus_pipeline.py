@@ -13,6 +13,9 @@ from nimbus.llm.common import written
 from nimbus.llm.queries import tokenizer_path
 from nimbus.sources.tables import load
 
+#: Words of a shingle in the near dedup stage; the pairs of words of op3 are that query's own.
+NEAR_SHINGLE = 5
+
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose toxicity score reaches the threshold of their language."""
@@ -25,8 +28,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates one document stays."""
-    return near_dedup.drop_near(docs)
+    """Of near duplicates (by runs of five words) one document stays."""
+    return near_dedup.drop_near(docs, shingle=NEAR_SHINGLE)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

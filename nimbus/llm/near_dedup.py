@@ -124,20 +124,20 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return value
 
 
-def _sets_of(column):
+def _sets_of(column, shingle: int):
     for first, end, data, offsets in buffer_chunks(column, 1 << 19):
         words, at = word_hashes(data, offsets)
-        yield first, end, *distinct_sets(*shingles(words, at))
+        yield first, end, *distinct_sets(*shingles(words, at, shingle))
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
     """Per row: id, row, node (hash of its set), n (set size), registers (null for an empty set)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("id"), row_hash(docs).alias("row"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, values, at in _sets_of(batch.column(2)):
+            for first, end, values, at in _sets_of(batch.column(2), shingle):
                 registers = sketch(values, at)
                 n = np.diff(at)
                 filled = np.flatnonzero(n)
@@ -155,14 +155,14 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, f"id {kind}, row long, node long, n long, registers binary")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
+def full_sets(docs: DataFrame, wanted: DataFrame, text_col: str, shingle: int = SHINGLE) -> DataFrame:
     """(node, shingles) of a frame ``wanted`` (row, node): one row's whole set per node."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(row_hash(docs).alias("row"), text.alias("text")).join(wanted, "row").select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, values, at in _sets_of(batch.column(1)):
+            for first, end, values, at in _sets_of(batch.column(1), shingle):
                 sets = [values[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(sets, pa.binary())], ["node", "shingles"])
 
@@ -272,17 +272,17 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(roots.join(edges.select(F.col("v").alias("node")), "node", "left_anti"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """Per input row: id, row, n_shingles, component_id, kept, top_row, repeats.
 
-    Rows whose sets have 100 * |intersection| >= 80 * |union| are linked; ``component_id`` is the
+    A set holds the runs of ``shingle`` words. Rows whose sets have 100 * |intersection| >= 80 * |union| are linked; ``component_id`` is the
     smallest id reachable and ``kept`` marks its row. Rows without words (null, empty, blank)
     have an empty set and are linked with nothing. Null ids sort above all others, so they are
     kept only where no row of the component has an id. Of rows that share the smallest id the one
     with the smallest row hash (``top_row``) stands; ``repeats`` counts rows equal to it in every
     column.
     """
-    rows = written(sketches(docs, id_col, text_col), "sketches")
+    rows = written(sketches(docs, id_col, text_col, shingle), "sketches")
     nodes = written(rows.where("n > 0").groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("registers").alias("registers")), "nodes")
     width = 2 * ROWS
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("registers", k * width + 1, width)) for k in range(BANDS)])
@@ -291,7 +291,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = written(bands.join(shared, "key"), "bands")
     # the full sets of every node that shares a band are made once
     wanted = bands.select("node").distinct().join(nodes.select("node", "row"), "node")
-    sets = written(full_sets(docs, wanted, text_col), "sets")
+    sets = written(full_sets(docs, wanted, text_col, shingle), "sets")
     links = None
     labels = bands.select("node").distinct().withColumn("component", F.col("node"))
     for turn in range(PIVOTS + 1):
@@ -343,10 +343,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, columns as they were."""
     columns = docs.columns
-    verdict = near_duplicates(docs, id_col, text_col)
+    verdict = near_duplicates(docs, id_col, text_col, shingle)
     gone = verdict.where("NOT kept").select("row").distinct()
     same = verdict.where("kept AND repeats > 1").select("row").distinct()
     rows = docs.withColumn("__row", row_hash(docs))

@@ -171,6 +171,22 @@ def test_near_duplicates(docs, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_pipeline_stage_compares_runs_of_five_words(spark, sf_small):
+    """Four words of a hundred changed: a near copy by pairs of words, another text by runs of five."""
+    import corpus_pipeline
+
+    base = [f"b{i}" for i in range(100)]
+    edited = lambda *at: " ".join(f"e{i}" if i in at else w for i, w in enumerate(base))
+    rows = [(1, edited()), (2, edited(20, 40, 60, 80)), (3, edited(50)), (4, "b1 b2 b3"), (5, "b1 b2 b3"), (6, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    runs = [set(zip(*[t.split()[k:] for k in range(5)])) for _, t in rows[:3]]
+    assert 100 * len(runs[0] & runs[1]) < 80 * len(runs[0] | runs[1]) and 100 * len(runs[0] & runs[2]) >= 80 * len(runs[0] | runs[2])
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near(spark, frame, sf_small).collect()) == [1, 2, 4, 6]
+    got = near_dedup.near_duplicates(frame, shingle=5).collect()
+    assert [(r["n_shingles"], r["component_id"]) for r in sorted(got, key=lambda r: r["doc_id"])] == [(96, 1), (96, 2), (96, 1), (1, 4), (1, 4), (0, 6)]
+    assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame).collect()}[2] == 1
+
+
 def test_large_groups_in_blocks(spark, monkeypatch):
     """A crowd of variants around the threshold gives the same components in blocks as in pairs."""
     rnd = random.Random(8)
