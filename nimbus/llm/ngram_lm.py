@@ -8,11 +8,13 @@ Rows are dealt by hash into blocks of about ``BLOCK_BYTES``. A block sends its
 distinct words and bigrams (as sorted hashes with their training counts, packed
 per shard) to shards; a shard adds them up and builds one trie: contexts, monotone
 pointers and context-relative successors as Elias-Fano sequences, counts quantised
-to eight bits by a logarithmic codebook (exact up to 64). It answers the very
+to eight bits by a logarithmic codebook (exact up to 64, steps of 8 % above, wider ones
+only where a word comes so often that its count would not fit). It answers the very
 n-grams each block sent, in their order, and the block scores its rows. So counts
 and queries travel once, texts are shuffled once for both uses, and neither a
 shard nor a block grows with the corpus. A context's successors are spread over
-``SPREAD`` shards, so a very common word is no hot spot.
+``SPREAD`` shards, those of a word that comes ``HOT`` times or more over all shards, so
+a very common word is no hot spot, whatever share of the corpus it has.
 """
 
 from __future__ import annotations
@@ -33,22 +35,29 @@ from nimbus.llm.common import buffer_chunks, mix64, row_hash, word_hashes
 
 BLOCK_BYTES = 12 << 20
 SPREAD = 8
+#: About the tokens of two blocks; there are no more such words than half the blocks.
+HOT = 1 << 22
 MASS, POWER = 3.0, 0.85
 #: Hashes of the sentence end and of the context before the first word.
 END, START = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x7C1F36B5A9E0D283)
-_LOG_STEP = math.log(1.08)
+_FACTOR = 1.08
 
 
 # --- quantised counts ---------------------------------------------------------
 
 
-def codebook() -> np.ndarray:
-    """Counts of the 256 codes: 0 to 64 exactly, then a factor of 1.08 a code."""
-    return np.concatenate([np.arange(65), 64 * 1.08 ** np.arange(1, 192)])
+def factor(top: int) -> float:
+    """The step of the codebook that reaches counts up to ``top``."""
+    return max(_FACTOR, (max(top, 64) / 64) ** (1 / 191))
 
 
-def quantise(counts: np.ndarray) -> np.ndarray:
-    above = np.rint(np.log(np.maximum(counts, 64) / 64) / _LOG_STEP).astype(np.int64)
+def codebook(top: int = 0) -> np.ndarray:
+    """Counts of the 256 codes: 0 to 64 exactly, then a constant factor a code."""
+    return np.concatenate([np.arange(65), 64 * factor(top) ** np.arange(1, 192)])
+
+
+def quantise(counts: np.ndarray, top: int = 0) -> np.ndarray:
+    above = np.rint(np.log(np.maximum(counts, 64) / 64) / math.log(factor(top))).astype(np.int64)
     return np.where(counts <= 64, counts, np.minimum(64 + above, 255)).astype(np.uint8)
 
 
@@ -129,13 +138,13 @@ class Trie:
         self.contexts, self.pointers, self.successors, self.codes = contexts, pointers, successors, codes
 
     @staticmethod
-    def dump(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    def dump(keys: np.ndarray, counts: np.ndarray, top: int = 0) -> bytes:
         contexts, first, place = np.unique(keys >> np.uint64(32), return_index=True, return_inverse=True)
         # a successor is stored relative to its context's number, which keeps the level monotone
         successors = (place.astype(np.uint64) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
         pointers = np.append(first, len(keys)).astype(np.uint64)
         levels = [EliasFano.build(x) for x in (contexts, pointers, successors)]
-        return b"".join(p for level in levels for p in level.parts()) + quantise(counts).tobytes()
+        return b"".join(p for level in levels for p in level.parts()) + quantise(counts, top).tobytes()
 
     @classmethod
     def load(cls, data: np.ndarray) -> Trie:
@@ -197,7 +206,7 @@ def _tokens(texts) -> tuple[np.ndarray, np.ndarray]:
 class Block:
     """A block's distinct words and bigrams, in the order they are sent to the shards."""
 
-    def __init__(self, table: pa.Table, shards: int):
+    def __init__(self, table: pa.Table, shards: int, hot: np.ndarray):
         tokens, self.offsets = _tokens(table.column("text"))
         held = table.column("held").to_numpy(zero_copy_only=False)
         train = np.repeat(~held, np.diff(self.offsets))
@@ -212,6 +221,8 @@ class Block:
         counts = np.bincount(pair_of, weights=train, minlength=len(keys)).astype(np.uint32)
         context = mix64(keys >> np.uint64(32)) >> np.uint64(32)
         shard = (((context * np.uint64(shards)) >> np.uint64(32)) + (keys & np.uint64(SPREAD - 1))) % np.uint64(shards)
+        whole = (mix64(keys) >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+        shard = np.where(np.isin(keys >> np.uint64(32), hot), whole, shard)
         order = np.argsort(shard, kind="stable")
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
@@ -225,7 +236,7 @@ class Block:
                     yield int(shard[a]), pairs, _pack(keys[a:b]), _pack(counts[a:b])
 
 
-def _reduce(table: pa.Table) -> Iterator[tuple[int, bytes]]:
+def _reduce(table: pa.Table, top: int) -> Iterator[tuple[int, bytes]]:
     """A shard: counts added up, its model built, every block's n-grams answered in order."""
     sent = [_unpack(b.as_py(), np.uint64) for b in table.column("keys")]
     counts = [_unpack(b.as_py(), np.uint32) for b in table.column("counts")]
@@ -233,7 +244,7 @@ def _reduce(table: pa.Table) -> Iterator[tuple[int, bytes]]:
     total = np.bincount(at, weights=np.concatenate(counts), minlength=len(everything)).astype(np.int64)
     seen, n = everything[total > 0], total[total > 0]
     if table.column("pairs")[0].as_py():
-        with mapped(Trie.dump(seen, n)) as data:
+        with mapped(Trie.dump(seen, n, top)) as data:
             trie = Trie.load(data)
             for block, keys in zip(table.column("block").to_pylist(), sent):
                 yield block, zstandard.compress(trie.lookup(keys).tobytes(), 1)
@@ -245,22 +256,28 @@ def _reduce(table: pa.Table) -> Iterator[tuple[int, bytes]]:
             yield block, _pack(n[level.find(keys)].astype(np.uint32))
 
 
-def corpus_totals(docs: DataFrame) -> tuple[int, int, int]:
-    """(N, V, bytes): tokens and distinct tokens of the training rows, bytes of all rows of (text, held)."""
+def corpus_totals(docs: DataFrame) -> tuple[int, int, int, int, list[int]]:
+    """(N, V, bytes, top, hot) of (text, held): tokens and distinct tokens of the training rows, bytes
+    of all rows, the largest count of a training token, the tokens that come ``HOT`` times in all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 0
         for batch in batches:
             size += batch.column("text").nbytes
-            words = _tokens(batch.filter(pa.array(~batch.column("held").to_numpy(zero_copy_only=False))).column("text"))[0]
-            words, n = np.unique(words, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([size], pa.int64())], ["word", "n"])
-
-    words = docs.select("text", "held").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+            words, offsets = _tokens(batch.column("text"))
+            train = np.repeat(~batch.column("held").to_numpy(zero_copy_only=False), np.diff(offsets))
+            words, at, every = np.unique(words, return_inverse=True, return_counts=True)
+            n = np.bincount(at, weights=train, minlength=len(words)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n), pa.array(every)], ["word", "n", "every"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([size], pa.int64()), pa.array([0], pa.int64())], ["word", "n", "every"])
+
+    words = docs.select("text", "held").mapInArrow(run, "word long, n long, every long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("every").alias("every"))
     known = F.col("word").isNotNull()
-    row = words.agg(F.sum(F.when(known, F.col("n"))), F.count("word"), F.sum(F.when(~known, F.col("n")))).first()
-    return tuple(int(x or 0) for x in row)
+    row = words.agg(
+        F.sum(F.when(known, F.col("n"))), F.count(F.when(known & (F.col("n") > 0), 1)), F.sum(F.when(~known, F.col("n"))),
+        F.max(F.when(known, F.col("n"))), F.collect_list(F.when(F.col("every") >= HOT, F.col("word"))),
+    ).first()
+    return *(int(x or 0) for x in row[:4]), row[4]
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -272,13 +289,16 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"), text.alias("text"), row_hash(docs).alias("row"))
-    tokens, distinct, size = corpus_totals(rows)
+    tokens, distinct, size, top, common = corpus_totals(rows)
+    common = np.array(common, np.int64).view(np.uint64)
+    # contexts are known by the upper half of their hash; the start comes as often as the end
+    hot = np.append(common, START if END in common else common[:0]) >> np.uint64(32)
     blocks = max(1, -(-size // BLOCK_BYTES))
     norm = tokens + distinct + 1
     dealt = rows.select("id", "held", "text", F.pmod(F.xxhash64("row", F.lit(3)), F.lit(blocks)).alias("block"))
 
     def send(key, table):
-        out = list(Block(table, blocks).sent())
+        out = list(Block(table, blocks, hot).sent())
         return pa.table({
             "shard": pa.array([x[0] for x in out], pa.int64()), "pairs": pa.array([x[1] for x in out], pa.bool_()),
             "block": pa.array([key[0].as_py()] * len(out), pa.int64()),
@@ -286,14 +306,14 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         })
 
     def answer(key, table):
-        out = list(_reduce(table))
+        out = list(_reduce(table, top))
         return pa.table({
             "block": pa.array([x[0] for x in out], pa.int64()), "shard": pa.array([key[0].as_py()] * len(out), pa.int64()),
             "pairs": pa.array([key[1].as_py()] * len(out), pa.bool_()), "reply": pa.array([x[1] for x in out], pa.binary()),
         })
 
     def finish(key, table, replies):
-        block = Block(table, blocks)
+        block = Block(table, blocks, hot)
         got = sorted(zip(replies.column("pairs").to_pylist(), replies.column("shard").to_pylist(), replies.column("reply").to_pylist()))
         count = np.concatenate([_unpack(r, np.uint32) for pairs, _, r in got if not pairs]).astype(np.float64)
         pair = np.concatenate([np.frombuffer(zstandard.decompress(r), np.uint8) for pairs, _, r in got if pairs])
@@ -303,7 +323,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         context[block.offsets[:-1]] = count[np.searchsorted(block.words, END)]  # one start for each end
         unigram = (c + 1) / norm
         mass = MASS * context**POWER
-        joint = codebook()[pair][block.pair_of]
+        joint = codebook(top)[pair][block.pair_of]
         p = np.where(context > 0, (joint + mass * unigram) / np.maximum(context + mass, 1e-300), unigram)
         at = block.offsets[:-1]
         return pa.table({

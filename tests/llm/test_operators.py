@@ -377,6 +377,30 @@ def test_ngram_scores(docs, empty):
     assert ngram_lm.score(empty, crc_mod(empty["doc_id"], 7) == 2).count() == 0
 
 
+def test_common_context_is_spread_over_all_shards(docs, monkeypatch):
+    import pyarrow as pa
+
+    text = " ".join(f"the w{i}" for i in range(20000))
+    table = pa.table({"text": pa.array([text.encode()], pa.binary()), "held": pa.array([False])})
+    the = ngram_lm._tokens(pa.array([b"the"], pa.binary()))[0][:1] >> np.uint64(32)
+    load = lambda hot: np.bincount(ngram_lm.Block(table, 400, hot).key_shard.astype(int), minlength=400).max()
+    assert load(the) < 200 < 2000 < load(the[:0])  # 40,000 bigrams over 400 shards: 100 each
+    held = crc_mod(docs["doc_id"], 7) == 2
+    monkeypatch.setattr(ngram_lm, "BLOCK_BYTES", 4000)
+    want = sorted(map(str, ngram_lm.score(docs, held).collect()))
+    monkeypatch.setattr(ngram_lm, "HOT", 20)
+    assert len(ngram_lm.corpus_totals(docs.selectExpr("cast(coalesce(text, '') as binary) AS text", "false AS held"))[4]) > 5
+    assert sorted(map(str, ngram_lm.score(docs, held).collect())) == want
+
+
+def test_codebook_reaches_the_largest_count():
+    for top in (0, 10**6, 10**8, 10**9, 10**11):
+        counts = np.unique(np.geomspace(1, max(top, 64), 500).astype(np.int64))
+        back = ngram_lm.codebook(top)[ngram_lm.quantise(counts, top)]
+        assert (back[counts <= 64] == counts[counts <= 64]).all() and np.abs(back / counts - 1).max() < 0.065
+    assert (ngram_lm.codebook(10**6) == ngram_lm.codebook()).all()
+
+
 def test_elias_fano_and_trie_lookup():
     rng = np.random.default_rng(2)
     for n, top in ((0, 1), (1, 9), (500, 10**6), (2000, 2**63)):
