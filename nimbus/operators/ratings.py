@@ -56,13 +56,12 @@ def answer_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def answer_matrix(df: DataFrame, columns: Sequence[str], answers: Sequence[str], digits: int = 9) -> DataFrame:
-    """A4: question x answer percentage matrix; an absent answer gives 0.
-    ``pivot`` gets the explicit answer list, so no job runs to find the values."""
-    shares = answer_shares(df, columns)
-    out = shares.groupBy("question").pivot("answer", list(answers)).agg(F.first(F.bround("pct", digits)))
-    for a in answers:
-        out = out.withColumnRenamed(a, f"pct_{a}")
-    return out.fillna(0.0)
+    """A4: question x answer percentage matrix; an absent answer gives 0. What ``answers`` does not
+    list is summed up in ``other_pct``. The list is explicit, so no job runs to find the values."""
+    answer, pct = F.col("answer"), F.col("pct")
+    listed = [F.max(F.when(answer == a, F.bround(pct, digits))).alias(f"pct_{a}") for a in answers]
+    other = F.bround(F.sum(F.when(~answer.isin(*answers), pct)), digits).alias("other_pct")
+    return answer_shares(df, columns).groupBy("question").agg(*listed, other).fillna(0.0)
 
 
 def max_share(df: DataFrame, columns: Sequence[str], digits: int = 9) -> DataFrame:

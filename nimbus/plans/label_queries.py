@@ -304,7 +304,8 @@ def q_value_share(spark, sf_dir):
     FROM s GROUP BY question""",
 )
 def q_answer_matrix(spark, sf_dir):
-    return ratings.answer_matrix(load(spark, sf_dir, "labels"), ["quality", "toxic"], ["0", "1", "2"])
+    # the SQL has the listed answers only; the labels hold no other
+    return ratings.answer_matrix(load(spark, sf_dir, "labels"), ["quality", "toxic"], ["0", "1", "2"]).drop("other_pct")
 
 
 @register(

@@ -122,6 +122,13 @@ def test_shares_sum_to_100(spark, sf_mid):
         assert abs(r["pct_0"] + r["pct_1"] - 100.0) < 1e-6
 
 
+def test_answer_matrix_keeps_answers_outside_the_list(spark):
+    df = spark.createDataFrame([(0, 1), (1, 1), (3, 1), (4, None)], "quality int, toxic int")
+    m = {r["question"]: r.asDict() for r in ratings.answer_matrix(df, ["quality", "toxic"], ["0", "1", "2"]).collect()}
+    assert m["quality"] == {"question": "quality", "pct_0": 25.0, "pct_1": 25.0, "pct_2": 0.0, "other_pct": 50.0}
+    assert m["toxic"] == {"question": "toxic", "pct_0": 0.0, "pct_1": 100.0, "pct_2": 0.0, "other_pct": 0.0}
+
+
 # --- agreement ---------------------------------------------------------------------
 
 def _alpha(spark, triples, metric="nominal"):
