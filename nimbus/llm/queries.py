@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import exact_dedup, fingerprints, near_dedup, ngram_lm, packing, source_mix, substring_dedup, token_counts, toxicity, url_filter
+from nimbus.llm import exact_dedup, fingerprints, jaccard_join, near_dedup, ngram_lm, packing, source_mix, substring_dedup, token_counts, toxicity, url_filter
 from nimbus.llm.common import crc_mod
 from nimbus.sources.tables import load
 
@@ -93,3 +93,20 @@ def op8_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(load(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_NORM}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS t FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.t = b.t AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+r(doc_id, reach) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, p.y FROM r JOIN p ON p.x = r.reach)
+SELECT s.doc_id, CAST(any_value(len(s.sh)) AS BIGINT) AS n_shingles, min(r.reach) AS component_id
+FROM s JOIN r ON r.doc_id = s.doc_id GROUP BY s.doc_id"""
