@@ -6,9 +6,11 @@ A document's set holds its distinct n-word shingles; sets with
 Shingles are ordered by a corpus-wide frequency sketch (a fixed number of hash
 buckets counted over all documents, so its size never grows), rare ones first.
 Linked sets share a shingle of their prefixes in this order, whatever the order
-is. An index list is a prefix shingle's nodes; the node with the smallest hash is
-the list's hub, and lists of one hub are one bucket, so linked sets meet in a
-bucket at least.
+is. An index list holds a prefix shingle's nodes of two neighbouring size classes;
+the node with the smallest hash is the list's hub, and lists of one hub are one
+bucket, so linked sets meet in a bucket at least. Members of a bucket that differ
+from every other in more parity bits than a link allows share that shingle by
+chance and go before any set is read.
 
 Within a bucket the hub's answers are computed first: the overlap of every member
 with the hub, kept as what the member lacks of the hub and what it has besides.
@@ -109,8 +111,20 @@ def set_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple
     return out.where("counts IS NULL").drop("counts"), sketch
 
 
+def _parity(values: np.ndarray) -> bytes:
+    """Parity of the number of shingles in each of a power of two of hash buckets, half as many as shingles.
+
+    Two sets differ in at least as many shingles as their parities differ in bits.
+    """
+    size = 64
+    while size * 2 < len(values):
+        size *= 2
+    odd = np.bincount(((values >> np.uint64(24)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
 def prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, shingle: int, similar: int) -> DataFrame:
-    """(node, n, tokens): every node's prefix, rare shingles first."""
+    """(node, n, tokens, parity): every node's prefix, rare shingles first."""
     order = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,9 +139,10 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, shingle: int, s
                 taken = np.arange(len(values)) - at[owner] < length[owner]
                 tokens = values[ranked][taken].view(np.int64)
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(length[filled])]).astype(np.int32), pa.array(tokens))
-                yield pa.RecordBatch.from_arrays([_node_keys(values, at).take(pa.array(filled)), pa.array(n[filled], pa.int64()), lists], ["node", "n", "tokens"])
+                parity = pa.array([_parity(values[at[k] : at[k + 1]]) for k in filled], pa.binary())
+                yield pa.RecordBatch.from_arrays([_node_keys(values, at).take(pa.array(filled)), pa.array(n[filled], pa.int64()), lists, parity], ["node", "n", "tokens", "parity"])
 
-    found = docs.select(_text(text_col).alias("text")).mapInArrow(run, "node binary, n long, tokens array<bigint>")
+    found = docs.select(_text(text_col).alias("text")).mapInArrow(run, "node binary, n long, tokens array<bigint>, parity binary")
     return written(found.dropDuplicates(["node"]), "join-prefixes")
 
 
@@ -147,15 +162,27 @@ def full_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, text_col: str,
     return written(once.mapInArrow(run, "node binary, shingles binary"), "join-sets")
 
 
-def buckets(found: DataFrame) -> DataFrame:
-    """(hub, node, n, members): the nodes of every hub with two members at least.
+def _size_class(similar: int):
+    """Sizes of linked sets are at most one class apart (classes are a trifle wider, for rounding)."""
+    width = max(-np.log(similar / 100), 1e-3) * (1 + 1e-9)
+    return F.floor(F.log("n") / width).cast("int")
 
-    ``hub`` is the 64-bit hash of the hub's node, which is a member itself.
+
+def buckets(found: DataFrame, similar: int) -> DataFrame:
+    """(hub, node, n, parity, members): the nodes of every hub with two members at least.
+
+    ``hub`` is the 64-bit hash of the hub's node, which is a member itself. A node is in the
+    lists of its size class and of the next, where it meets the sets one class larger.
     """
-    lists = found.select("node", "n", F.xxhash64("node").alias("h"), F.explode("tokens").alias("token"))
-    hubs = lists.groupBy("token").agg(F.min("h").alias("hub"), F.count("*").alias("length")).where("length > 1").select("token", "hub")
-    members = written(lists.join(hubs, "token").select("hub", "node", "n").distinct(), "join-members")
-    return members.join(members.groupBy("hub").agg(F.count("*").alias("members")), "hub")
+    own = F.xxhash64("node").alias("h")
+    lists = found.select(own, _size_class(similar).alias("class"), F.explode("tokens").alias("token"))
+    shared = lists.groupBy("token").agg(F.count("*").alias("length")).where("length > 1").select("token")
+    entries = lists.join(shared, "token").select("token", "h", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"))
+    entries = written(entries, "join-lists")
+    hubs = entries.groupBy("token", "class").agg(F.min("h").alias("hub"), F.count("*").alias("length")).where("length > 1").drop("length")
+    pairs = written(entries.join(hubs, ["token", "class"]).select("hub", "h").distinct(), "join-members")
+    sizes = pairs.groupBy("hub").agg(F.count("*").alias("members"))
+    return pairs.join(found.select(own, "node", "n", "parity"), "h").drop("h").join(sizes, "hub")
 
 
 def _grouped(column: np.ndarray) -> Iterator[np.ndarray]:
@@ -165,6 +192,52 @@ def _grouped(column: np.ndarray) -> Iterator[np.ndarray]:
     return iter(np.split(order, edges)) if len(order) else iter(())
 
 
+def _partnered(n: np.ndarray, parity: list[np.ndarray], similar: int) -> np.ndarray:
+    """Whether size and parity leave a member any partner; members are in order of size."""
+    out = np.zeros(len(n), bool)
+    lengths = np.array([len(p) for p in parity])
+    folded: dict[int, np.ndarray] = {}
+    for k in range(len(n)):
+        end = int(np.searchsorted(n * similar, n[k] * 100, "right"))
+        if end <= k + 1:
+            continue
+        words = int(lengths[k])
+        if words not in folded:
+            # longer parities fold to this length by their halves
+            folded = {words: np.zeros((len(n), words), np.uint64)}
+            for j in range(k, len(n)):
+                folded[words][j] = np.bitwise_xor.reduce(parity[j].reshape(-1, words))
+        differ = np.bitwise_count(folded[words][k + 1 : end] ^ parity[k]).sum(1)
+        near = differ <= (n[k] + n[k + 1 : end]) * (100 - similar) // (100 + similar)
+        out[k + 1 : end] |= near
+        out[k] |= near.any()
+    return out
+
+
+def plausible(members: DataFrame, similar: int) -> DataFrame:
+    """``members`` (hub, node, n, members) of which size and parity allow a link, and their hubs.
+
+    Buckets above ``BLOCK`` members stay as they are: there links are decided block by block.
+    """
+    few = members.where(F.col("members") <= BLOCK)
+    bins = max(1, few.count() // (BLOCK * BIN) + 1)
+    names = ["hub", "node", "n", "members"]
+
+    def sift(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("hub", "ascending"), ("n", "ascending")]).combine_chunks()
+        n, own = table.column("n").to_numpy(), table.column("own").to_numpy().astype(bool)
+        parity = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("parity")]
+        keep = np.zeros(len(n), bool)
+        for rows in _grouped(table.column("hub").to_numpy()):
+            near = _partnered(n[rows], [parity[k] for k in rows], similar)
+            keep[rows] = near | (own[rows] & near.any())
+        return table.select(names).filter(pa.array(keep))
+
+    own = (F.xxhash64("node") == F.col("hub")).alias("own")
+    sifted = few.select(F.pmod("hub", F.lit(bins)).alias("bin"), *names, "parity", own).groupBy("bin").applyInArrow(sift, "hub long, node binary, n long, members long")
+    return written(sifted.unionByName(members.where(F.col("members") > BLOCK).select(*names)), "join-buckets")
+
+
 def differences(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """The hub's answers: per member (hub, node, n, members, size, lacks, extra, settled).
 
@@ -277,8 +350,7 @@ def links(found: DataFrame, similar: int) -> DataFrame:
     """(a, b) nodes: a spanning forest of the links within buckets, from the frame ``differences``."""
     d, e = F.length("lacks") / 4, F.length("extra") / 8
     single = F.col("members") <= BLOCK
-    step = F.floor(F.log("n") / -np.log(similar / 100))  # linked sets are at most one size class apart
-    cell = F.when(single, F.lit(0)).otherwise(F.xxhash64(step, F.floor(d * 16 / F.col("size"))))
+    cell = F.when(single, F.lit(0)).otherwise(F.xxhash64(_size_class(similar), F.floor(d * 16 / F.col("size"))))
     placed = found.select("*", cell.alias("cell"), d.alias("d"), e.alias("e"))
     cells = placed.groupBy("hub", "cell").agg(F.count("*").alias("held"))
     spread = placed.join(cells, ["hub", "cell"]).withColumn(
@@ -334,13 +406,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns are ignored, whatever their names. An empty table gives no rows.
     """
     rows, sketch = set_rows(docs, id_col, text_col, shingle)
-    members = written(buckets(prefixes(docs, sketch, text_col, shingle, similar)), "join-buckets")
+    found = written(buckets(prefixes(docs, sketch, text_col, shingle, similar), similar), "join-candidates")
+    members = plausible(found, similar)
     sets = full_sets(docs, rows, members.select("node").distinct(), text_col, shingle)
     label = components(links(differences(members, sets, similar), similar))
     named = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(label, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     first = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = rows.join(named.join(first, "component").select("node", "component_id"), "node", "left")
-    return found.select(
+    out = rows.join(named.join(first, "component").select("node", "component_id"), "node", "left")
+    return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
