@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import exact_dedup, fingerprints, jaccard_join, near_dedup, ngram_lm, packing, source_mix, substring_dedup, token_counts, toxicity, url_filter
+from nimbus.llm import conversation_audit, exact_dedup, fingerprints, hard_negatives, jaccard_join, near_dedup, ngram_lm, packing, source_mix, substring_dedup, token_counts, toxicity, url_filter
 from nimbus.llm.common import crc_mod
 from nimbus.sources.tables import load
 
@@ -110,3 +110,35 @@ p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.t = b.t AND a.d
 r(doc_id, reach) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, p.y FROM r JOIN p ON p.x = r.reach)
 SELECT s.doc_id, CAST(any_value(len(s.sh)) AS BIGINT) AS n_shingles, min(r.reach) AS component_id
 FROM s JOIN r ON r.doc_id = s.doc_id GROUP BY s.doc_id"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+  s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 5"""
+
+
+@query
+def op13_conversation_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = load(spark, sf_dir, "conversations")
+    return conversation_audit.audit(conversation_audit.damaged(turns), turns)
