@@ -41,8 +41,10 @@ SHINGLE, SIMILAR = 3, 90
 COUNTERS = 1 << 18
 #: Vectors of the sketch summed in one task.
 FAN_IN = 64
-#: Members of a block; also how many members of small buckets share a task, in blocks.
-BLOCK, BIN = 2048, 8
+#: Bits of the filter of wanted nodes (8 MB, the same at every size), and the parts it is made in.
+FILTER, FILTER_PARTS = 1 << 26, 64
+#: Members of a block; about as many members of small buckets share a task.
+BLOCK = 2048
 _COLUMNS = 2048
 
 
@@ -69,13 +71,12 @@ def _node_keys(values: np.ndarray, at: np.ndarray) -> pa.Array:
 
 
 def set_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple[DataFrame, np.ndarray]:
-    """Per row (id, t1, t2, node, n), and the frequency sketch of all shingles.
+    """Per row (id, node, n), and the frequency sketch of all shingles.
 
-    ``t1, t2`` hash the text, ``node`` the set (null when empty), ``n`` is its size.
+    ``node`` is the key of the set (null when empty), ``n`` its size.
     """
-    text = _text(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text, F.lit(1)).alias("t1"), F.xxhash64(text, F.lit(2)).alias("t2"))
-    names = ["id", "t1", "t2", "node", "n", "counts"]
+    rows = docs.select(F.col(id_col).alias("id"), _text(text_col).alias("text"))
+    names = ["id", "node", "n", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, kind = np.zeros(COUNTERS, np.uint32), None
@@ -85,13 +86,13 @@ def set_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple
                 counts += np.bincount((values & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
                 part = batch.slice(first, end - first)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), part.column(3), _node_keys(values, at), pa.array(np.diff(at), pa.int64()), pa.nulls(end - first, pa.binary())], names)
+                    [part.column(0), _node_keys(values, at), pa.array(np.diff(at), pa.int64()), pa.nulls(end - first, pa.binary())], names)
         if kind is not None:
-            one = [pa.nulls(1, t) for t in (kind, pa.int64(), pa.int64(), pa.binary(), pa.int64())]
+            one = [pa.nulls(1, t) for t in (kind, pa.binary(), pa.int64())]
             yield pa.RecordBatch.from_arrays([*one, pa.array([counts.tobytes()], pa.binary())], names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = written(rows.mapInArrow(run, f"id {kind}, t1 long, t2 long, node binary, n long, counts binary"), "join-rows")
+    out = written(rows.mapInArrow(run, f"id {kind}, node binary, n long, counts binary"), "join-rows")
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(COUNTERS, np.uint64)
@@ -146,20 +147,54 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, shingle: int, s
     return written(found.dropDuplicates(["node"]), "join-prefixes")
 
 
-def full_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """(node, shingles): the whole set of every node of the frame ``nodes`` (node), made from one text."""
-    pick = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("t1", "t2")).alias("t")).select("t.*")
-    text = _text(text_col)
-    texts = docs.select(F.xxhash64(text, F.lit(1)).alias("t1"), F.xxhash64(text, F.lit(2)).alias("t2"), text.alias("text"))
-    once = texts.join(pick, ["t1", "t2"], "left_semi").dropDuplicates(["t1", "t2"]).select("text")
+def _bits_of(nodes: pa.Array) -> np.ndarray:
+    """Place of every node key in the filter of wanted nodes (keys must not be null)."""
+    return np.frombuffer(b"".join(nodes.to_pylist()), "<u8")[::2] & np.uint64(FILTER - 1)
+
+
+def wanted_bits(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of ``FILTER`` bits, the same size for any number of nodes, set for those of a frame (node)."""
+    part = FILTER // FILTER_PARTS
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _bits_of(batch.column(0)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at // part).astype(np.int32)), pa.array((at % part).astype(np.int32))], ["part", "bit"])
+
+    def collect(key: tuple, table: pa.Table) -> pa.Table:
+        bits = np.zeros(part, bool)
+        bits[table.column("bit").to_numpy()] = True
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": [np.packbits(bits).tobytes()]})
+
+    blobs = nodes.mapInArrow(places, "part int, bit int").distinct().groupBy("part").applyInArrow(collect, "part int, bits binary").collect()
+    out = np.zeros(FILTER // 8, np.uint8)
+    for row in blobs:
+        out[row["part"] * part // 8 : (row["part"] + 1) * part // 8] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return out
+
+
+def full_sets(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """(node, shingles): the whole set of every node of the frame ``nodes`` (node), and of few others.
+
+    Texts stay where they are: their sets are made again, and what the bitmap of wanted nodes
+    rules out goes at once, as do further copies of a node within a task.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(wanted_bits(nodes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, seen = wanted.value, set()
         for batch in batches:
             for _, _, values, at in _sets_of(batch.column(0), shingle):
-                sets = [values[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays([_node_keys(values, at), pa.array(sets, pa.binary())], ["node", "shingles"])
+                keys = _node_keys(values, at)
+                filled = np.flatnonzero(np.diff(at))
+                places = _bits_of(keys.take(pa.array(filled))).astype(np.int64) if len(filled) else filled
+                hits = [int(k) for k in filled[(bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 == 1]]
+                fresh = [k for k in hits if (key := keys[k].as_py()) not in seen and not seen.add(key)]
+                sets = [values[at[k] : at[k + 1]].tobytes() for k in fresh]
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(fresh, pa.int64())), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    return written(once.mapInArrow(run, "node binary, shingles binary"), "join-sets")
+    found = docs.select(_text(text_col).alias("text")).mapInArrow(run, "node binary, shingles binary")
+    return written(found.dropDuplicates(["node"]), "join-sets")
 
 
 def _size_class(similar: int):
@@ -220,7 +255,7 @@ def plausible(members: DataFrame, similar: int) -> DataFrame:
     Buckets above ``BLOCK`` members stay as they are: there links are decided block by block.
     """
     few = members.where(F.col("members") <= BLOCK)
-    bins = max(1, few.count() // (BLOCK * BIN) + 1)
+    bins = max(1, few.count() // BLOCK + 1)
     names = ["hub", "node", "n", "members"]
 
     def sift(table: pa.Table) -> pa.Table:
@@ -245,7 +280,7 @@ def differences(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     it has not; ``settled`` says that member and hub are linked.
     """
     parts = F.ceil(F.col("members") / BLOCK)
-    bins = max(1, members.where(F.col("members") <= BLOCK).count() // (BLOCK * BIN) + 1)
+    bins = max(1, members.where(F.col("members") <= BLOCK).count() // BLOCK + 1)
     single = F.col("members") <= BLOCK
     keys = [F.when(single, F.pmod("hub", F.lit(bins))).otherwise(F.col("hub")).alias("k1")]
     own = members.select("*", *keys, F.when(single, F.lit(-1)).otherwise(F.pmod(F.xxhash64("node", F.lit(3)), parts)).cast("int").alias("k2")).join(sets, "node")
@@ -367,7 +402,7 @@ def links(found: DataFrame, similar: int) -> DataFrame:
     met = met.select("hub", F.col("x_block").alias("i"), F.col("y_block").alias("j"))
     sides = [spread.withColumnRenamed("block", "i").join(met, ["hub", "i"]).withColumn("side", F.lit(0)),
              spread.withColumnRenamed("block", "j").join(met.where("i <> j"), ["hub", "j"]).withColumn("side", F.lit(1))]
-    bins = max(1, found.where(single).count() // (BLOCK * BIN) + 1)
+    bins = max(1, found.where(single).count() // BLOCK + 1)
     key = F.when(single, F.pmod("hub", F.lit(bins))).otherwise(F.col("hub")).alias("key")
     columns = ["i", "j", "hub", "node", "n", "size", "lacks", "extra", "settled", "side"]
     rows = sides[0].select(key, *columns).unionByName(sides[1].select(key, *columns))
@@ -408,7 +443,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows, sketch = set_rows(docs, id_col, text_col, shingle)
     found = written(buckets(prefixes(docs, sketch, text_col, shingle, similar), similar), "join-candidates")
     members = plausible(found, similar)
-    sets = full_sets(docs, rows, members.select("node").distinct(), text_col, shingle)
+    sets = full_sets(docs, members.select("node").distinct(), text_col, shingle)
     label = components(links(differences(members, sets, similar), similar))
     named = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(label, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
