@@ -161,3 +161,50 @@ def question_month(q: Column | str) -> Column:
         "MMMM yyyy",
     )
     return F.when(start.isNotNull(), F.struct(start.alias("month_start"), F.last_day(start).alias("month_end")))
+
+
+# --- names inside free text -----------------------------------------------------------
+
+def name_key(c: Column | str) -> Column:
+    """A name as it is compared: lower case, blanks collapsed."""
+    return F.lower(F.trim(F.regexp_replace(_col(c), r"\s+", " ")))
+
+
+def names_pattern(names: list[str], plural: bool = False) -> str:
+    """One regular expression for many names, case-insensitive, at word boundaries.
+
+    The names are folded into a tree by their common beginnings, so a text position is
+    given up at the first letter no name goes on with, however many names there are, and
+    the longest name wins. Blanks in a name match any white space; ``plural`` lets an s follow.
+    """
+    tree: dict = {}
+    for name in names:
+        at = tree
+        for ch in " ".join(name.lower().split()):
+            at = at.setdefault(ch, {})
+        at[""] = {}
+
+    def letter(ch: str) -> str:
+        return r"\s+" if ch == " " else ch if ch.isalnum() else "\\" + ch
+
+    def write(at: dict) -> str:
+        branches = [letter(ch) + write(below) for ch, below in sorted(at.items()) if ch]
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 and "" not in at else "(?:" + "|".join(branches) + ")"
+        return body + "?" if "" in at else body
+
+    body = write(tree)
+    if not body:
+        return r"(?!)"
+    return rf"(?iu)(?<![\p{{L}}\p{{N}}]){body}{'s?' if plural else ''}(?![\p{{L}}\p{{N}}])"
+
+
+def names_in(text: Column | str, names: list[str], plural: bool = False) -> Column:
+    """The distinct ``names`` (as ``name_key`` gives them) found in a text, in order of appearance."""
+    found = F.regexp_extract_all(_col(text), F.lit(names_pattern(names, plural)), F.lit(0))
+    keys = F.transform(F.coalesce(found, F.array().cast("array<string>")), name_key)
+    if plural:
+        known = F.array(*[F.lit(" ".join(n.lower().split())) for n in names]) if names else F.array().cast("array<string>")
+        keys = F.transform(keys, lambda x: F.when(F.array_contains(known, x), x).otherwise(F.regexp_replace(x, "s$", "")))
+    return F.array_distinct(keys)

@@ -43,12 +43,30 @@ def open_turns(conv: DataFrame) -> DataFrame:
     return last.where(F.col("last_role") != "assistant")
 
 
+#: Turn numbers of one range while turns are numbered.
+TURN_RANGE = 1024
+
+
+def numbered(turns: DataFrame, key: str = "conv_id", turn: str = "turn", out: str = "n") -> DataFrame:
+    """``turns`` with the place of each row within its key by ``turn``, from 1, as a distributed prefix sum.
+
+    Rows are numbered within ranges of ``TURN_RANGE`` turn numbers, and a range starts after
+    the rows of all ranges before it: only one count per (key, range) is sorted by key, so
+    a key that holds a third of all rows is spread over its ranges. Rows of one turn are
+    numbered in any order; null turns come first, null keys are one key.
+    """
+    ranged = turns.withColumn("_range", F.floor(F.col(turn) / TURN_RANGE).cast("long"))
+    counts = ranged.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col(key).alias("_key"), F.col("_range").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy(key, "_range").orderBy(turn))
+    placed = ranged.withColumn("_within", within)
+    same = placed[key].eqNullSafe(starts["_key"]) & placed["_range"].eqNullSafe(starts["_at"])
+    return placed.join(starts, same).withColumn(out, (F.col("_start") + F.col("_within")).cast("long")).select(*turns.columns, out)
+
+
 def answered_turns(conv: DataFrame) -> DataFrame:
     """Batch twin of the streaming chat: every non-empty user turn before the
     first exit, numbered within its conversation."""
-    users = kept_turns(conv).where(F.col("role") == "user")
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return users.select(
-        "conv_id", "turn", F.col("text").alias("question"),
-        F.row_number().over(w).cast("long").alias("n_answered"),
-    )
+    users = kept_turns(conv).where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+    return numbered(users, out="n_answered")

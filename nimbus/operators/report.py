@@ -62,6 +62,8 @@ DATA_URI_PREFIX = "data:text/html;charset=utf-8,"
 LINK = ('<a href="', '" target="_blank">View Report</a>')
 DEFAULT_BATCH_SUFFIX = "23052024"
 
+# Stations one report batch may name.
+MAX_STATIONS = 10_000
 # Bytes of one exploded section key row, used for the broadcast size check.
 _SECTION_ROW_BYTES = 64
 
@@ -169,9 +171,9 @@ def section_rows(
     return found.unionByName(placeholders)
 
 
-def _html_row() -> Column:
-    """One observation as an HTML table row (native, built before the shuffle)."""
-    return F.concat(F.lit("<tr>"), *[_cell(F.col(c)) for c in SECTION_COLUMNS], F.lit("</tr>"))
+def _html_row(row: Column | None = None) -> Column:
+    """One observation (the row's columns, or a struct of them) as an HTML table row."""
+    return F.concat(F.lit("<tr>"), *[_cell(F.col(c) if row is None else row[c]) for c in SECTION_COLUMNS], F.lit("</tr>"))
 
 
 def assemble_report_rows(rows: DataFrame, with_html: bool = False, with_summary: bool = False) -> DataFrame:
@@ -416,55 +418,55 @@ def external_id(request_id: Column, suffix: str = DEFAULT_BATCH_SUFFIX) -> Colum
 
 # --- station-day bundles --------------------------------------------------------------
 
-PARTS = ["Morning", "Afternoon", "Evening", "Night"]
-_DAY = "Day"
-_SECTION_OF_PART = {"Morning": "morning", "Afternoon": "afternoon", "Evening": "evening", "Night": "night"}
+PART_OF_SECTION = {"morning": "Morning", "afternoon": "Afternoon", "evening": "Evening", "night": "Night"}
 
 
 def day_bundles(obs: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """Observations folded to one row per ``(station, date)``.
-
-    For every part of the day and for the whole day (``Day``): ``arr_<p>``
-    (sorted ``struct<hour, r, html>``), ``body_<p>`` (the HTML table body) and
-    ``text_<p>`` (the section sentence; the whole day is titled 'Tomorrow', the
-    only section that uses it). ``keys`` (station, date), when given, restricts
-    the fold to the days some request needs (a left-semi join, so a few hundred
-    requests do not fold a whole archive).
-
-    One aggregation over observations; its output has one row per station-day,
-    so what requests later join to is bounded by the calendar, not by the data
-    volume, and a day that many requests share is folded, rendered and worded
-    once.
+    """Observations folded to one row per ``(station, date)``: what a report of that day shows.
+
+    For every section ``arr_<s>`` (sorted ``struct<hour, r>``), ``body_<s>`` (the HTML table
+    body), ``json_<s>`` and ``text_<s>`` (the section sentence). A reading counts for its own
+    day, in the section of its part, and for the day before, in section ``tomorrow``: one pass
+    and one aggregation. ``keys`` (station, date), when given, restricts the fold to the days
+    some request asks for (a left-semi join, so a few hundred requests do not fold an archive).
+
+    The output has one row per station-day, so what requests later join to is bounded by the
+    calendar, not by the data volume, and a day that many requests share is folded, rendered
+    and worded once.
     """
+    day = lambda d, later: F.struct(d.alias("date"), F.lit(later).alias("later"))
+    days = F.array(day(F.col("date"), False), day(codes.date_to_int(F.date_sub("obs_date", 1)), True))
+    rows = obs.select("station", F.explode(days).alias("_d"), "hour", *SECTION_COLUMNS).select("station", "_d.date", "_d.later", "hour", *SECTION_COLUMNS)
     if keys is not None:
-        obs = obs.join(keys, ["station", "date"], "left_semi")
-    item = F.struct(F.col("hour"), F.struct(*SECTION_COLUMNS).alias("r"), _html_row().alias("html"))
+        rows = rows.join(keys, ["station", "date"], "left_semi")
+    item = F.struct(F.col("hour"), F.struct(*SECTION_COLUMNS).alias("r"))
     aggs = []
-    for p in [*PARTS, _DAY]:
-        cond = F.col("Time_Category") == p if p != _DAY else F.lit(True)
+    for s in SECTIONS:
+        cond = F.col("later") if s == "tomorrow" else ~F.col("later") & (F.col("Time_Category") == PART_OF_SECTION[s])
+        pick = lambda c: F.when(cond, c)  # noqa: B023, E731
         aggs += [
-            F.sort_array(F.collect_list(F.when(cond, item))).alias(f"arr_{p}"),
-            F.count(F.when(cond, F.lit(1))).alias(f"n_{p}"),
-            F.avg(F.when(cond, F.col("sunshine"))).alias(f"sun_{p}"),
-            F.avg(F.when(cond, F.least(F.col("cloudcover"), F.lit(8)))).alias(f"cloud_{p}"),
-            F.max(F.when(cond, F.col("rain"))).alias(f"rain_{p}"),
-            F.max(F.when(cond, F.col("snow"))).alias(f"snow_{p}"),
-            F.max(F.when(cond, F.col("fog"))).alias(f"fog_{p}"),
-            F.max(F.when(cond, F.col("thunderstorm"))).alias(f"thunder_{p}"),
-            F.min(F.when(cond, F.col("temperature"))).alias(f"tmin_{p}"),
-            F.max(F.when(cond, F.col("temperature"))).alias(f"tmax_{p}"),
-            F.max(F.when(cond, F.col("beaufort"))).alias(f"bmax_{p}"),
+            F.collect_list(pick(item)).alias(f"arr_{s}"),
+            F.count(pick(F.lit(1))).alias(f"n_{s}"),
+            F.avg(pick(F.col("sunshine"))).alias(f"sun_{s}"),
+            F.avg(pick(F.least(F.col("cloudcover"), F.lit(8)))).alias(f"cloud_{s}"),
+            F.max(pick(F.col("rain"))).alias(f"rain_{s}"),
+            F.max(pick(F.col("snow"))).alias(f"snow_{s}"),
+            F.max(pick(F.col("fog"))).alias(f"fog_{s}"),
+            F.max(pick(F.col("thunderstorm"))).alias(f"thunder_{s}"),
+            F.min(pick(F.col("temperature"))).alias(f"tmin_{s}"),
+            F.max(pick(F.col("temperature"))).alias(f"tmax_{s}"),
+            F.max(pick(F.col("beaufort"))).alias(f"bmax_{s}"),
         ]
-    b = obs.groupBy("station", "date").agg(*aggs)
+    b = rows.groupBy("station", "date").agg(*aggs)
+    b = b.withColumns({f"arr_{s}": F.sort_array(F.col(f"arr_{s}")) for s in SECTIONS})
     out = {}
-    for p in [*PARTS, _DAY]:
-        title = p if p != _DAY else SECTION_TITLES["tomorrow"]
-        out[f"body_{p}"] = F.array_join(F.col(f"arr_{p}").getField("html"), "")
-        out[f"json_{p}"] = F.to_json(F.col(f"arr_{p}").getField("r"), KEEP_NULLS)
-        out[f"text_{p}"] = _section_text_of(p, title)
+    for s in SECTIONS:
+        # rendered from the rows, so a bundle carries them once until something asks for more
+        out[f"body_{s}"] = F.array_join(F.transform(f"arr_{s}", lambda x: _html_row(x["r"])), "")
+        out[f"json_{s}"] = F.to_json(F.col(f"arr_{s}").getField("r"), KEEP_NULLS)
+        out[f"text_{s}"] = _section_text_of(s, SECTION_TITLES[s])
     b = b.withColumns(out)
-    keep = ["station", "date"] + [f"{c}_{p}" for p in [*PARTS, _DAY] for c in ("arr", "body", "text", "json")]
-    return b.select(*keep)
+    return b.select("station", "date", *[f"{c}_{s}" for s in SECTIONS for c in ("arr", "body", "text", "json")])
 
 
 def _section_text_of(p: str, title: str) -> Column:
@@ -506,43 +508,35 @@ def report_records(
     n_requests: int | None = None,
     broadcast_bytes: int = 64 << 20,
     prune: bool | None = None,
+    stations: DataFrame | None = None,
 ) -> DataFrame:
-    """J1 + J2 + A13 over day bundles: each request takes its day's bundle
-    (four sections) and the next day's (tomorrow) by two equi left joins on
-    ``(station, date)``. Output: the request columns, ``sec_<section>``
-    (sorted ``struct<hour, r, html>``), ``rows_<section>`` (the 11 columns),
-    ``text_<section>`` and ``body_<section>``.
-
-    ``prune`` (default: when ``n_requests`` is known and small) folds only the
-    days requests need; the request keys are then broadcast into a semi join.
-    Otherwise the bundle side is whatever size the calendar gives, and AQE
-    broadcasts it when it measures it small, else both sides are shuffled on
-    ``(station, date)`` (a hot day is one bundle row, so skew stays on the
+    """J1 + J2 + A13 over day bundles: each request takes its day's bundle (five
+    sections) by one equi left join on ``(station, date)``. Output: the request columns,
+    ``sec_<section>`` (sorted ``struct<hour, r>``), ``rows_<section>`` (the 11 columns),
+    ``text_<section>``, ``json_<section>`` and ``body_<section>``.
+
+    ``stations`` (station) names all stations a request can have, at most ``MAX_STATIONS``,
+    which is checked; the observations of others are not folded. ``prune`` (default: when
+    ``n_requests`` is known and small) folds only the days requests need; the request keys
+    are then broadcast into a semi join. Otherwise the bundle side is whatever size the
+    calendar gives, and AQE broadcasts it when it measures it small, else both sides are
+    shuffled on ``(station, date)`` (a hot day is one bundle row, so skew stays on the
     streamed request side, where AQE can split it).
     """
     d = codes.date_to_int("date")
-    nd = codes.date_to_int("next_date")
+    if stations is not None:
+        known = [r[0] for r in stations.select("station").distinct().limit(MAX_STATIONS + 1).collect()]
+        if len(known) > MAX_STATIONS:
+            raise ValueError(f"more than {MAX_STATIONS} stations")
+        obs = obs.where(F.col("station").isin(known))
     if prune is None:
-        prune = n_requests is not None and n_requests * 2 * _SECTION_ROW_BYTES <= broadcast_bytes
+        prune = n_requests is not None and n_requests * _SECTION_ROW_BYTES <= broadcast_bytes
     keys = None
     if prune:
-        keys = F.broadcast(
-            requests.where(F.col("station").isNotNull())
-            .select("station", F.explode(F.array(d, nd)).alias("date"))
-            .distinct()
-        )
-    b = day_bundles(obs, keys)
-    today = b.select(
-        F.col("station").alias("_t_station"), F.col("date").alias("_t_date"),
-        *[F.col(f"{c}_{p}").alias(f"{c}_{_SECTION_OF_PART[p]}") for p in PARTS for c in ("arr", "body", "text", "json")],
-    )
-    tomorrow = b.select(
-        F.col("station").alias("_m_station"), F.col("date").alias("_m_date"),
-        *[F.col(f"{c}_{_DAY}").alias(f"{c}_tomorrow") for c in ("arr", "body", "text", "json")],
-    )
-    rec = requests.join(today, (requests["station"] == today["_t_station"]) & (d == today["_t_date"]), "left")
-    rec = rec.join(tomorrow, (rec["station"] == tomorrow["_m_station"]) & (nd == tomorrow["_m_date"]), "left")
-    item_type = b.schema["arr_Day"].dataType
+        keys = F.broadcast(requests.where(F.col("station").isNotNull()).select("station", d.alias("date")).distinct())
+    b = day_bundles(obs, keys).withColumnsRenamed({"station": "_station", "date": "_date"})
+    rec = requests.join(b, (requests["station"] == b["_station"]) & (d == b["_date"]), "left")
+    item_type = b.schema["arr_tomorrow"].dataType
     cols = {}
     for sct in SECTIONS:
         arr = F.coalesce(F.col(f"arr_{sct}"), F.array().cast(item_type))
@@ -552,8 +546,7 @@ def report_records(
         cols[f"text_{sct}"] = F.coalesce(F.col(f"text_{sct}"), F.lit(f"{title}: {NO_DATA}."))
         cols[f"body_{sct}"] = F.coalesce(F.col(f"body_{sct}"), F.lit(""))
         cols[f"json_{sct}"] = F.coalesce(F.col(f"json_{sct}"), F.lit("[]"))
-    rec = rec.withColumns(cols)
-    return rec.drop("_t_station", "_t_date", "_m_station", "_m_date", *[f"arr_{sct}" for sct in SECTIONS])
+    return rec.withColumns(cols).drop("_station", "_date", *[f"arr_{sct}" for sct in SECTIONS])
 
 
 def render(rec: DataFrame, fn: Callable[[pd.DataFrame], pd.Series] | None = None,
@@ -576,8 +569,9 @@ def report_dataset(
     fn: Callable[[pd.DataFrame], pd.Series] | None = None,
     suffix: str = DEFAULT_BATCH_SUFFIX,
     n_requests: int | None = None,
+    stations: DataFrame | None = None,
 ) -> DataFrame:
     """The whole report record per request, lazily (sinks write it).
     Columns: the request columns, ``rows_<section>`` x5, ``report``, ``status``,
     ``html_report``, ``external_id``."""
-    return render(report_records(requests, obs, n_requests=n_requests), fn, suffix)
+    return render(report_records(requests, obs, n_requests=n_requests, stations=stations), fn, suffix)

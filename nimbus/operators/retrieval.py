@@ -1,30 +1,36 @@
 """Chunks, embeddings and top-k similarity search.
 
 * Chunking (V1) is a narrow ``explode``: no shuffle, whole texts.
-* Embeddings (V2) are a caller hook (a pandas UDF returning array<float>); the
-  built-in one is hashed term counts, L2-normalised, computed in the JVM.
-* Top-k (V3-V5): the query side is broadcast only after its row count is
-  checked against a bound; a larger query set is cut into hash buckets of that
-  bound, each answered by its own broadcast join (exact, every query scored
-  against every candidate). Per query only the best k survive: the row_number
-  filter becomes a partial WindowGroupLimit before the shuffle, so each task
-  ships at most k rows per query, whatever the index size.
+* Embeddings (V2) are a caller hook (a pandas UDF returning array<float>); built in
+  are hashed term counts, L2-normalised, computed in the JVM, and the same with a
+  digest any SQL engine has.
+* Top-k (V3-V5): queries and items are dealt into blocks of bounded size and every
+  block of queries meets every block of items in one task (with ``on``, only the rows
+  of one metadata value meet). A task multiplies the two matrices and keeps the best k
+  per query, so each ships at most k rows per query, whatever the index size, and
+  neither side passes through the driver.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nimbus.session import materialised
+
 DEFAULT_CHUNK_TOKENS = 256
 DEFAULT_OVERLAP = 20
 DEFAULT_MAX_BROADCAST_QUERIES = 20_000
+#: Queries and items of a block: the two matrices one task multiplies.
+QUERY_BLOCK, ITEM_BLOCK = 4_096, 65_536
 
 
 def tokens(text: Column | str) -> Column:
@@ -65,6 +71,29 @@ def embed_hash(df: DataFrame, text: str = "text", dim: int = 256, out: str = "em
     return nv.withColumn(out, vector_to_array("_nv", "float32")).drop("_toks", "_tf", "_nv")
 
 
+def embed_digest(df: DataFrame, text: str = "text", dim: int = 256, out: str = "embedding") -> DataFrame:
+    """V2 built-in: like ``embed_hash``, but a term's place is the first 32 bits of its MD5
+    modulo ``dim``, which every SQL engine can compute. Each Arrow batch hashes its distinct
+    terms once. A null text has the zero vector. Components are double."""
+    empty = F.array().cast("array<string>")
+    terms = F.coalesce(tokens(F.lower(F.col(text))), empty)
+
+    @F.pandas_udf("array<double>")
+    def place(lists: pd.Series) -> pd.Series:
+        counts = np.array([len(x) for x in lists], dtype=np.int64)
+        flat = [t for x in lists for t in x]
+        names, which = np.unique(np.array(flat, dtype=object), return_inverse=True) if flat else (np.array([]), np.zeros(0, np.int64))
+        at = np.array([int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dim for t in names], dtype=np.int64)
+        owner = np.repeat(np.arange(len(lists)), counts)
+        rows = np.zeros((len(lists), dim))
+        if flat:
+            np.add.at(rows, (owner, at[which]), 1)
+        size = np.sqrt((rows**2).sum(1, keepdims=True))
+        return pd.Series(list(rows / np.where(size == 0, 1, size)))
+
+    return df.withColumn(out, place(terms))
+
+
 def embed(df: DataFrame, fn: Callable | None = None, text: str = "text", out: str = "embedding") -> DataFrame:
     """V2 hook: ``fn`` is a pandas UDF (Series[str] -> Series[list[float]]), e.g. a
     model client; without it the built-in hashed embedding is used."""
@@ -101,16 +130,6 @@ def centroids(df: DataFrame, key: str, vec: str = "embedding", out: str = "embed
     )
 
 
-def _bounded_count(df: DataFrame, bound: int) -> int:
-    """Row count of ``df`` up to ``bound + 1`` (reads no more than that)."""
-    return df.limit(bound + 1).count()
-
-
-_SIM_SCHEMA = "{qid} {qtype}, {iid} {itype}, similarity double"
-_TIE_MARGIN = 1e-9
-_QUERY_BLOCK = 512
-
-
 def _as_matrix(vectors) -> np.ndarray:
     """Array column values of one Arrow batch -> float64 matrix of unit rows
     (rows of a zero vector become NaN and never rank)."""
@@ -119,101 +138,105 @@ def _as_matrix(vectors) -> np.ndarray:
         return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def _scorer(bq, k: int, iid: str, ivec: str, on: str | None, qid: str, margin: float):
-    """mapInPandas body: score a batch of index rows against the broadcast query
-    matrix and keep, per query, the candidates that can still be in its top k
-    (the k best plus anything that rounding can tie with the k-th)."""
+def _unit_rows(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers with a usable vector (no null in it, not all zero) and their unit rows."""
+    lists = table.column(column).combine_chunks()
+    sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    rows = np.flatnonzero(sizes > 0)
+    if not len(rows):
+        return rows, np.zeros((0, 0))
+    matrix = _as_matrix([np.array(lists[int(k)].as_py(), dtype=np.float64) for k in rows]) if len(set(sizes[rows])) > 1 else None
+    if matrix is None:
+        flat = lists.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            matrix = flat.reshape(len(rows), -1)
+            matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    usable = np.isfinite(matrix).all(1)
+    return rows[usable], matrix[usable]
+
+
+def block_scorer(k: int, qid: str, iid: str, qvec: str, ivec: str, digits: int | None):
+    """cogroup body: a block of queries against a block of items, the best ``k`` items per
+    query (cosine, ties to the smaller item id). Items go through in tiles, so the score
+    matrix stays small."""
+
+    def meet(queries: pa.Table, items: pa.Table) -> pa.Table:
+        items = items.take(pc.sort_indices(items, sort_keys=[(iid, "ascending")])) if len(items) else items
+        rows, x = _unit_rows(items, ivec) if len(items) else (np.zeros(0, int), None)
+        asked, q = _unit_rows(queries, qvec) if len(queries) else (np.zeros(0, int), None)
+        picked: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(asked)
+        for low in range(0, len(rows) if len(asked) else 0, 8_192):
+            sims = x[low : low + 8_192] @ q.T
+            if digits is not None:
+                sims = np.round(sims, digits)
+            for j in range(len(asked)):
+                column = sims[:, j]
+                near = np.arange(len(column))
+                if len(near) > k:
+                    near = np.flatnonzero(column >= np.partition(column, len(column) - k)[len(column) - k])
+                at, score = np.concatenate([picked[j][0], near + low]), np.concatenate([picked[j][1], column[near]])
+                best = np.argsort(-score, kind="stable")[:k]  # items are in order of id
+                picked[j] = at[best], score[best]
+        which = pa.array(np.repeat(asked, [len(a) for a, _ in picked]).astype(np.int64))
+        found = pa.array(rows[np.concatenate([a for a, _ in picked])] if len(asked) and len(rows) else np.zeros(0, np.int64))
+        score = np.concatenate([v for _, v in picked]) if len(asked) and len(rows) else np.zeros(0)
+        return pa.table([queries.column(qid).take(which), items.column(iid).take(found), pa.array(score)], [qid, iid, "similarity"])
+
+    return meet
+
+
+def ranked(scored: DataFrame, k: int, qid: str, iid: str) -> DataFrame:
+    """The best ``k`` per query of (qid, iid, similarity); row_number's limit runs before the shuffle."""
+    w = Window.partitionBy(qid).orderBy(F.desc("similarity"), F.asc(iid))
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(qid, "rank", iid, "similarity")
 
-    def run(batches):
-        q_ids, q_mat, q_on = bq.value
-        for pdf in batches:
-            pdf = pdf[pdf[ivec].notna()]
-            if pdf.empty:
-                continue
-            x = _as_matrix(pdf[ivec].to_numpy())
-            ids = pdf[iid].to_numpy()
-            labels = pdf[on].to_numpy() if on else None
-            out_q, out_i, out_s = [], [], []
-            for start in range(0, len(q_ids), _QUERY_BLOCK):
-                block = slice(start, start + _QUERY_BLOCK)
-                sims = x @ q_mat[block].T
-                for j, qv in enumerate(q_ids[block]):
-                    col = sims[:, j]
-                    ok = ~np.isnan(col)
-                    if on:
-                        ok &= labels == q_on[block][j]
-                    cand = np.nonzero(ok)[0]
-                    if cand.size == 0:
-                        continue
-                    if cand.size > k:
-                        kth = np.partition(col[cand], cand.size - k)[cand.size - k]
-                        cand = cand[col[cand] >= kth - margin]
-                    out_q.append(np.full(cand.size, qv, dtype=object))
-                    out_i.append(ids[cand])
-                    out_s.append(col[cand])
-            if out_q:
-                yield pd.DataFrame({qid: np.concatenate(out_q), iid: np.concatenate(out_i), "similarity": np.concatenate(out_s)})
-
-    return run
+
+def own_columns(df: DataFrame) -> DataFrame:
+    """The same columns as new attributes, so that a cogroup of two frames of one source is not ambiguous."""
+    return df.select(*[F.col(f"`{c}`").alias(f"_own_{k}") for k, c in enumerate(df.columns)]).toDF(*df.columns)
 
 
 def top_k(queries: DataFrame, index: DataFrame, k: int, qid: str = "qid", iid: str = "item_id",
-          qvec: str = "q_embedding", ivec: str = "embedding", on: str | None = None,
-          max_broadcast_queries: int = DEFAULT_MAX_BROADCAST_QUERIES, digits: int | None = 9,
-          method: str = "numpy") -> DataFrame:
+          qvec: str = "q_embedding", ivec: str = "embedding", on: str | None = None, digits: int | None = 9,
+          method: str = "numpy", query_block: int = QUERY_BLOCK, item_block: int = ITEM_BLOCK,
+          max_broadcast_queries: int = DEFAULT_MAX_BROADCAST_QUERIES) -> DataFrame:
     """V3 (+ V4 with ``on``): for each query the ``k`` most similar index items
     (cosine). ``on`` names a metadata column on both sides; only items with an
-    equal value are candidates. Ties go to the smaller item id. Output:
+    equal value are candidates, and only they meet. Ties go to the smaller item id. Output:
     ``qid, rank, iid, similarity``.
 
-    The query side is checked to hold at most ``max_broadcast_queries`` rows
-    (a larger one is split into hash buckets of that size, each its own pass).
-    ``method='numpy'``: each task multiplies its Arrow batches of index rows
-    with the broadcast query matrix (BLAS) and keeps per query only the
-    candidates for its top k; ``method='native'``: a broadcast join scored with
-    Spark array expressions (no Python, but interpreted per pair). Both end in
-    the same window: row_number per query, whose partial WindowGroupLimit runs
-    before the shuffle.
+    ``method='numpy'``: the queries are written once, both sides are dealt into blocks
+    and each pair of blocks is one task (see the module). ``method='native'``: a broadcast
+    join scored with Spark array expressions (no Python, but interpreted per pair), for at
+    most ``max_broadcast_queries`` queries, which is checked.
     """
-    n_q = _bounded_count(queries, max_broadcast_queries)
-    if n_q <= max_broadcast_queries:
-        buckets = [queries]
-    else:
-        n_total = queries.count()
-        nb = math.ceil(n_total / max_broadcast_queries) * 2  # hash buckets are not exactly even
-        keyed = queries.withColumn("_b", F.pmod(F.xxhash64(qid), F.lit(nb)))
-        buckets = [keyed.where(F.col("_b") == b).drop("_b") for b in range(nb)]
-    types = {f.name: f.dataType.simpleString() for f in queries.schema.fields}
-    itypes = {f.name: f.dataType.simpleString() for f in index.schema.fields}
-    margin = max(_TIE_MARGIN, 10.0**-digits) if digits is not None else _TIE_MARGIN
-    parts = []
-    for qs in buckets:
-        if method == "numpy":
-            # the bucket is size-checked above; it travels like a broadcast join's build side
-            rows = qs.select(qid, unit(F.col(qvec)).alias("_qv"), *([on] if on else [])).collect()
-            rows = [r for r in rows if r["_qv"] is not None and None not in r["_qv"]]
-            if not rows:
-                continue
-            bq = index.sparkSession.sparkContext.broadcast((
-                np.array([r[qid] for r in rows], dtype=object),
-                np.array([r["_qv"] for r in rows], dtype=np.float64),
-                np.array([r[on] for r in rows], dtype=object) if on else None,
-            ))
-            schema = _SIM_SCHEMA.format(qid=qid, qtype=types[qid], iid=iid, itype=itypes[iid])
-            scored = index.select(iid, ivec, *([on] if on else [])).mapInPandas(_scorer(bq, k, iid, ivec, on, qid, margin), schema)
-        else:
-            idx = index.select(iid, unit(F.col(ivec)).alias("_iv"), *([on] if on else []))
-            q = F.broadcast(qs.select(qid, unit(F.col(qvec)).alias("_qv"), *([on] if on else [])))
-            pairs = idx.join(q, on=on, how="inner") if on else idx.join(q, how="inner")
-            scored = pairs.select(qid, iid, dot(F.col("_qv"), F.col("_iv")).alias("similarity"))
-        parts.append(scored.select(qid, iid, (F.bround("similarity", digits) if digits is not None else F.col("similarity")).alias("similarity")))
-    if not parts:
-        return index.sparkSession.createDataFrame([], f"{qid} {types[qid]}, rank int, {iid} {itypes[iid]}, similarity double")
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    w = Window.partitionBy(qid).orderBy(F.desc("similarity"), F.asc(iid))
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(qid, "rank", iid, "similarity")
+    if method == "native":
+        if queries.limit(max_broadcast_queries + 1).count() > max_broadcast_queries:
+            raise ValueError("too many queries to broadcast; use method='numpy'")
+        idx = index.select(iid, unit(F.col(ivec)).alias("_iv"), *([on] if on else []))
+        q = F.broadcast(queries.select(qid, unit(F.col(qvec)).alias("_qv"), *([on] if on else [])))
+        pairs = idx.join(q, on=on, how="inner") if on else idx.join(q, how="inner")
+        scored = pairs.select(qid, iid, dot(F.col("_qv"), F.col("_iv")).alias("similarity"))
+        if digits is not None:
+            scored = scored.withColumn("similarity", F.bround("similarity", digits))
+        return ranked(scored.where("similarity IS NOT NULL"), k, qid, iid)
+    spark = index.sparkSession
+    extra = [on] if on and on != qid else []
+    asked = materialised(queries.select(qid, qvec, *extra), "top-k-queries")
+    query_blocks = max(1, -(-asked.count() // query_block))
+    item_blocks = max(-(-index.count() // item_block), spark.sparkContext.defaultParallelism)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    deal = lambda c, v, n: F.pmod(F.xxhash64(c, v), F.lit(n)).cast("int")
+    left = asked.withColumn("_qb", deal(qid, qvec, query_blocks)).withColumn("_ib", every(item_blocks))
+    right = index.select(iid, ivec, *([on] if on else [])).where(F.col(ivec).isNotNull()).withColumn("_ib", deal(iid, ivec, item_blocks)).withColumn("_qb", every(query_blocks))
+    if on:  # a null value equals nothing, as in a join
+        left, right = left.where(F.col(on).isNotNull()), right.where(F.col(on).isNotNull())
+    right = own_columns(right)
+    keys = ["_qb", "_ib", *([on] if on else [])]
+    types = {f.name: f.dataType.simpleString() for f in [*index.schema.fields, *queries.schema.fields]}
+    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        block_scorer(k, qid, iid, qvec, ivec, digits), f"{qid} {types[qid]}, {iid} {types[iid]}, similarity double")
+    return ranked(scored, k, qid, iid)
 
 
 def route_table(questions: DataFrame, catalog: DataFrame, qid: str = "qid", qvec: str = "q_embedding",
@@ -225,17 +248,15 @@ def route_table(questions: DataFrame, catalog: DataFrame, qid: str = "qid", qvec
     batches, each batch scored against the whole catalog with one matrix
     product, so the work is linear in the number of questions and no shuffle
     is needed. A question with a zero vector gets no row. A catalog over ``max_catalog`` entries is handled exactly by
-    ``top_k`` with the questions as bucketed queries."""
-    if _bounded_count(catalog, max_catalog) > max_catalog:
+    ``top_k`` with the questions as queries."""
+    rows = catalog.select(table, unit(F.col(tvec)).alias("_t")).limit(max_catalog + 1).collect()
+    if len(rows) > max_catalog:
         # too large to broadcast: score the catalog as an index against the questions,
-        # taken in size-checked buckets (exact, same tie order)
+        # block by block (exact, same tie order)
         best = top_k(questions.select(qid, qvec), catalog.select(table, tvec), k, qid=qid, iid=table,
                      qvec=qvec, ivec=tvec).drop("rank")
         return best.join(questions.select(qid, *keep), qid, "left") if keep else best
-    rows = sorted(
-        (r for r in catalog.select(table, unit(F.col(tvec)).alias("_t")).collect() if r["_t"] is not None and None not in r["_t"]),
-        key=lambda r: r[table],
-    )
+    rows = sorted((r for r in rows if r["_t"] is not None and None not in r["_t"]), key=lambda r: r[table])
     names = np.array([r[table] for r in rows], dtype=object)
     bc = questions.sparkSession.sparkContext.broadcast((names, np.array([r["_t"] for r in rows], dtype=np.float64)))
     qtype = dict((f.name, f.dataType.simpleString()) for f in questions.schema.fields)[qid]

@@ -37,7 +37,11 @@ def requests_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.report_dataset(requests_from_orders(spark, sf_dir), observations(spark, sf_dir))
+    return report.report_dataset(requests_from_orders(spark, sf_dir), observations(spark, sf_dir), stations=report.station_dim(spark))
+
+
+def _day_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.report_records(requests_from_orders(spark, sf_dir), observations(spark, sf_dir), stations=report.station_dim(spark))
 
 
 # --- SQL ----------------------------------------------------------------------------
@@ -126,7 +130,7 @@ FROM req JOIN rec ON req.request_id = rec.request_id"""
     FROM rows GROUP BY request_id, section""",
 )
 def q_report_sections(spark, sf_dir):
-    rec = report.report_records(requests_from_orders(spark, sf_dir), observations(spark, sf_dir))
+    rec = _day_records(spark, sf_dir)
     secs = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"rows_{s}").alias("rows")) for s in report.SECTIONS])
     x = rec.select("request_id", F.explode(secs).alias("x"))
     return x.select(
@@ -145,7 +149,7 @@ def q_report_sections(spark, sf_dir):
     FROM rows WHERE hour IS NOT NULL""",
 )
 def q_report_rows(spark, sf_dir):
-    rec = report.report_records(requests_from_orders(spark, sf_dir), observations(spark, sf_dir))
+    rec = _day_records(spark, sf_dir)
     # one explode over the five sections (a single pass over the records)
     secs = F.array(*[F.struct(F.lit(s).alias("section"), F.col(f"sec_{s}").alias("arr")) for s in report.SECTIONS])
     x = rec.select("request_id", F.explode(secs).alias("x"))
@@ -175,7 +179,7 @@ def q_report_uri(spark, sf_dir):
 def q_report_prompts(spark, sf_dir):
     """Section prompts and the combined prompt per request (the input a text
     generator would get), with question / answer / data as Markdown."""
-    rec = report.report_records(requests_from_orders(spark, sf_dir), observations(spark, sf_dir))
+    rec = _day_records(spark, sf_dir)
     rec = report.build_prompts(rec.withColumn("report", F.concat_ws(" ", *[F.col(f"text_{s}") for s in report.SECTIONS])))
     md = report.to_markdown(F.col("heading"), F.col("report"), F.lit("lookup by (station, date, part of day)"),
                             F.col("json_morning"))

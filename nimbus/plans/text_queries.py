@@ -147,13 +147,13 @@ def questions_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     form = F.when(k % 7 == 0, F.lit(6)).otherwise((k % 6).cast("int"))
     ordinal = F.element_at(F.array(*[F.lit(w) for w in ORDINAL_WORDS]), day)
     q = (
-        F.when(form == 0, F.concat(F.lit("Is "), month, F.lit(" "), day.cast("string"), F.lit(", "), year, F.lit(" a good day for a barbecue?")))
+        F.when(form == 0, F.concat(F.lit("Would "), month, F.lit(" "), day.cast("string"), F.lit(", "), year, F.lit(" have suited a picnic?")))
         .when(form == 1, F.concat(F.lit("What does the weather look like on "), month, F.lit(" "), day.cast("string"), suffix, F.lit(", "), year, F.lit("?")))
         .when(form == 2, F.concat(F.lit("Weather report for "), F.date_format(d, "yyyyMMdd")))
         .when(form == 3, F.concat(F.lit("Report for "), F.date_format(d, "yyyy-MM-dd"), F.lit(" please")))
         .when(form == 4, F.concat(F.lit("Can you generate the weather report for "), ordinal, F.lit(" day of "), month, F.lit(", "), year, F.lit(" in De Bilt?")))
         .when(form == 5, F.concat(F.lit("How many days did it rain in "), month, F.lit(", "), year, F.lit(" in Eindhoven?")))
-        .otherwise(F.concat(F.lit("What should I pack for a trip in mid "), month, F.lit("?")))
+        .otherwise(F.concat(F.lit("Which coat do people wear in "), month, F.lit("?")))
     )
     return o.select(F.col("o_orderkey").alias("qid"), q.alias("question"))
 
@@ -172,13 +172,13 @@ q1 AS (
 qs AS (
   SELECT qid, form, d,
     CASE form
-      WHEN 0 THEN 'Is ' || mon || ' ' || CAST(dd AS VARCHAR) || ', ' || yr || ' a good day for a barbecue?'
+      WHEN 0 THEN 'Would ' || mon || ' ' || CAST(dd AS VARCHAR) || ', ' || yr || ' have suited a picnic?'
       WHEN 1 THEN 'What does the weather look like on ' || mon || ' ' || CAST(dd AS VARCHAR) || sfx || ', ' || yr || '?'
       WHEN 2 THEN 'Weather report for ' || strftime(d, '%Y%m%d')
       WHEN 3 THEN 'Report for ' || strftime(d, '%Y-%m-%d') || ' please'
       WHEN 4 THEN 'Can you generate the weather report for ' || list_element({_ORD_LIST}, dd) || ' day of ' || mon || ', ' || yr || ' in De Bilt?'
       WHEN 5 THEN 'How many days did it rain in ' || mon || ', ' || yr || ' in Eindhoven?'
-      ELSE 'What should I pack for a trip in mid ' || mon || '?' END AS question
+      ELSE 'Which coat do people wear in ' || mon || '?' END AS question
   FROM q1)"""
 
 

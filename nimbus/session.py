@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library wants. AQE re-plans joins and shuffle
 # partition counts at run time and splits skewed partitions of sort-merge joins.
@@ -101,3 +101,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the checkpoint root for one job's output."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once into the shared scratch folder and read back: what is used several
+    times runs once, and a lost executor costs a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,47 +7,48 @@ Raw observation columns (one row per station, date and hour):
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nimbus.session import materialised
+
 RAW_COLUMNS = "STN YYYYMMDD HH DD FH FX T T10N TD SQ DR RH VV N M R S O Y".split()
 # Columns that may arrive as blank text and are coerced to numbers.
 _SOFT_NUMERIC = {"T", "T10N", "TD"}
 
 
+def _cells(line: Column) -> Column:
+    """The cells of a line, without blanks and quotes around them."""
+    return F.transform(F.split(F.ltrim(line, F.lit("# ")), ","), lambda c: F.btrim(c, F.lit(" \t\r\"")))
+
+
 def read_stations(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Read hourly station CSVs (comma, header, header names padded with blanks).
 
-    Every file is read as text (a schema given to the CSV reader binds columns by
-    position, and the files need not agree on order), header names are trimmed,
-    and each required column is cast by name with ``try_cast`` so a blank or
-    broken cell becomes null instead of failing the job. The files are unioned
-    by name into one frame; ``STN`` tells the stations apart.
+    ``paths`` are files, directories or globs; every file may have its columns in an order
+    of its own. The text is scanned once for the rows: each line finds its columns through the
+    places its own file's header gives them. Those places (one row per file) come from a pass
+    over the header lines before, are written once and joined by file name, so a thousand files
+    make one scan, not a thousand. A header is a line that names STN and YYYYMMDD; lines before
+    it that are no rows (comments) are dropped with it. A blank, broken or missing cell is null.
+    A file without such a line, or without one of the required columns, is an error.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    frames = []
-    for path in paths:
-        raw = (
-            spark.read.option("header", True)
-            .option("ignoreLeadingWhiteSpace", True)
-            .option("ignoreTrailingWhiteSpace", True)
-            .csv(path)
-        )
-        raw = raw.toDF(*[c.strip() for c in raw.columns])
-        frames.append(
-            raw.select(
-                *[
-                    F.trim(F.col(c)).try_cast("int").alias(c)
-                    if c not in _SOFT_NUMERIC
-                    else F.trim(F.col(c)).try_cast("double").alias(c)
-                    for c in RAW_COLUMNS
-                ]
-            )
-        )
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    lines = spark.read.text([paths] if isinstance(paths, str) else list(paths)).select("value", F.col("_metadata.file_path").alias("file"))
+    names = _cells(F.col("value"))
+    heads = lines.where(F.col("value").contains("YYYYMMDD") & F.col("value").contains("STN")).select("file", names.alias("names"))
+    places = F.array(*[F.array_position("names", c).cast("int") for c in RAW_COLUMNS])
+    heads = materialised(heads.groupBy("file").agg(F.min("names").alias("names")).select("file", places.alias("at")), "station-headers")
+    lacking = heads.where(F.array_min("at") == 0).limit(1).collect()
+    if lacking:
+        raise ValueError(f"{lacking[0]['file']}: no column {RAW_COLUMNS[lacking[0]['at'].index(0)]}")
+    # only rows start with a number
+    rows = lines.where(F.col("value").rlike(r'^[\s"]*[0-9]')).select("file", _cells(F.col("value")).alias("cells"))
+    found = rows.join(heads.withColumnRenamed("file", "head_file"), F.col("file") == F.col("head_file"), "left")
+    at = F.coalesce("at", F.raise_error(F.concat(F.lit("no header in "), F.col("file"))).cast("array<int>"))
+    placed = found.select("cells", at.alias("at"))
+    cell = lambda k: F.try_element_at("cells", F.col("at")[k])
+    return placed.select(*[cell(k).try_cast("double" if c in _SOFT_NUMERIC else "int").alias(c) for k, c in enumerate(RAW_COLUMNS)])
 
 
 def observations_from_events(events: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def test_top_k_bucketed_equals_single_broadcast(spark, sf_small):
     emb = _emb(spark, sf_small)
     q = emb.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("q_embedding")).where(F.col("label") < 3)
     one = retrieval.top_k(q, emb, 2, qid="qid", iid="vec_id")
-    many = retrieval.top_k(q, emb, 2, qid="qid", iid="vec_id", max_broadcast_queries=7)
+    many = retrieval.top_k(q, emb, 2, qid="qid", iid="vec_id", query_block=7, item_block=11)
     assert sorted(one.collect()) == sorted(many.collect())
 
 
@@ -81,7 +81,7 @@ def test_top_k_plan_limits_before_shuffle(spark, sf_small):
     emb = _emb(spark, sf_small)
     q = retrieval.centroids(emb, "label", out="q_embedding").withColumnRenamed("label", "qid")
     plan = retrieval.top_k(q, emb, 3, qid="qid", iid="vec_id")._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "MapInPandas" in plan
+    assert "WindowGroupLimit" in plan and "FlatMapCoGroupsInArrow" in plan and "Broadcast" not in plan
     native = retrieval.top_k(q, emb, 3, qid="qid", iid="vec_id", method="native")
     assert "WindowGroupLimit" in native._jdf.queryExecution().executedPlan().toString()
     assert sorted(native.collect()) == sorted(retrieval.top_k(q, emb, 3, qid="qid", iid="vec_id").collect())
