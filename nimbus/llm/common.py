@@ -32,9 +32,34 @@ def lower_az(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """Every column by its literal name, dots and backticks included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def _values_and_nulls(df: DataFrame) -> list[Column]:
+    """What a row is: its values and, as the hash passes over nulls, which of them are null."""
+    columns = columns_of(df)
+    return [*columns, F.concat(*[F.when(c.isNull(), F.lit("0")).otherwise(F.lit("1")) for c in columns])]
+
+
 def row_hash(df: DataFrame) -> Column:
     """64-bit hash of a whole row; tells rows that share an id apart."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return F.xxhash64(*_values_and_nulls(df))
+
+
+def row_key(df: DataFrame) -> Column:
+    """128-bit hash of a whole row as text: what verdicts on rows are joined back by."""
+    parts = _values_and_nulls(df)
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(k), *parts)), 16, "0") for k in (1, 2)])
+
+
+def with_row_key(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with its row key in a new column, and that column's name."""
+    name = "__row"
+    while name in df.columns:
+        name += "_"
+    return df.select(*columns_of(df), row_key(df).alias(name)), name
 
 
 def crc_mod(id_col: Column, n: int) -> Column:

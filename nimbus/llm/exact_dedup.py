@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbus.llm.common import lower_az, mix64, row_hash, written
+from nimbus.llm.common import columns_of, lower_az, mix64, row_key, with_row_key, written
 
 KEYS_PER_SHARD = 200_000
 
@@ -131,7 +131,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stays; ``repeats`` counts rows equal in every column to the one that stays (all of
     which are marked kept, being one and the same row). An empty table gives no rows.
     """
-    docs = docs.select("*", row_hash(docs).alias("__row"), lower_az(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("__norm"))
+    docs = docs.select(F.col(id_col).alias(id_col), row_key(docs).alias("__row"), lower_az(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("__norm"))
     # the check hash tells apart texts whose digests collide, once the byte check has found them
     digest, check = F.unhex(F.sha2(F.col("__norm"), 256)), F.xxhash64("__norm")
     rows = written(
@@ -170,11 +170,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without exact copies: of every class one row stays, with its columns."""
-    columns = docs.columns
     verdict = exact_dedup(docs, id_col, text_col)
     gone = verdict.where("NOT kept").select("row").distinct()
     same = verdict.where("kept AND repeats > 1").select("row").distinct()
-    rows = docs.withColumn("__row", row_hash(docs))
-    once = rows.join(same.withColumnRenamed("row", "__row"), "__row", "left_semi").dropDuplicates(["__row"])
-    drop = gone.unionByName(same).withColumnRenamed("row", "__row")
-    return rows.join(drop, "__row", "left_anti").unionByName(once).select(*columns)
+    rows, key = with_row_key(docs)
+    once = rows.join(same.withColumnRenamed("row", key), key, "left_semi").dropDuplicates([key])
+    drop = gone.unionByName(same).withColumnRenamed("row", key)
+    return rows.join(drop, key, "left_anti").unionByName(once).select(*columns_of(docs))

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from nimbus.llm.common import buffer_chunks, mix64, row_hash, word_hashes, written
+from nimbus.llm.common import buffer_chunks, columns_of, mix64, row_key, with_row_key, word_hashes, written
 
 SHINGLE, SIMILAR = 2, 80
 BANDS, ROWS, BASE = 40, 6, 1.02
@@ -35,6 +35,8 @@ PIVOTS = 3
 LEAST_ESTIMATE = 0.66
 #: Band groups up to this size compare what is left as pairs, larger ones in blocks of this size.
 SMALL = 128
+#: Edges of a file while components are found.
+EDGES = 200_000
 _STEP = 1 << 15
 _rng = np.random.default_rng(77)
 _SEEDS = _rng.integers(0, 2**32, REGISTERS, dtype=np.uint32)
@@ -133,7 +135,7 @@ def _sets_of(column, shingle: int):
 def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
     """Per row: id, row, node (hash of its set), n (set size), registers (null for an empty set)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).alias("id"), row_hash(docs).alias("row"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), row_key(docs).alias("row"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,13 +154,13 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE
                     ["id", "row", "node", "n", "registers"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, row long, node long, n long, registers binary")
+    return rows.mapInArrow(run, f"id {kind}, row string, node long, n long, registers binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, text_col: str, shingle: int = SHINGLE) -> DataFrame:
     """(node, shingles) of a frame ``wanted`` (row, node): one row's whole set per node."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(row_hash(docs).alias("row"), text.alias("text")).join(wanted, "row").select("node", "text")
+    rows = docs.select(row_key(docs).alias("row"), text.alias("text")).join(wanted, "row").select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,19 +254,22 @@ def components(links: DataFrame) -> DataFrame:
     neighbours to the smallest one it sees, until nothing changes. Each step is partially
     aggregated, so a node with very many links is no hot spot.
     """
-    edges = written(links.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "edges")
-    state = None
+    def step(df: DataFrame, parts: int | None) -> tuple[DataFrame, tuple]:
+        """Written edges, in few files once few are left, with their number and checksum."""
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+        out = written(df if parts is None else df.coalesce(parts), "edges")
+        return out, (seen.get["n"], seen.get["sum"])
+
+    edges, state = step(links.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), None)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.join(low, "u").where("v > u").select("v", "m").distinct()  # v keeps a link to the smallest around u
         small = large.where("v <> m").groupBy("v").agg(F.min("m").alias("least"))
         star = large.where("v <> m").join(small, "v")
-        edges = written(
-            star.select(F.col("least").alias("u"), "v").unionByName(star.where("m <> least").select(F.col("least").alias("u"), F.col("m").alias("v"))).distinct(),
-            "edges",
-        )
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        joined = star.select(F.col("least").alias("u"), "v").unionByName(star.where("m <> least").select(F.col("least").alias("u"), F.col("m").alias("v")))
+        edges, now = step(joined.distinct(), state[0] // EDGES + 1)
         if now == state:
             break
         state = now
@@ -292,8 +297,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the full sets of every node that shares a band are made once
     wanted = bands.select("node").distinct().join(nodes.select("node", "row"), "node")
     sets = written(full_sets(docs, wanted, text_col, shingle), "sets")
-    links = None
-    labels = bands.select("node").distinct().withColumn("component", F.col("node"))
+    labels = written(bands.select("node").distinct().withColumn("component", F.col("node")), "labels")
     for turn in range(PIVOTS + 1):
         members = bands.join(labels, "node")
         # at first the same pivot in as many groups as possible, then another one in each
@@ -319,9 +323,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = written(found if turn < PIVOTS else found.unionByName(crowd), "links")
         if found.isEmpty():
             continue
-        links = found if links is None else links.unionByName(found)
-        label = components(links)
-        labels = written(bands.select("node").distinct().join(label, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "labels")
+        # only what the links join anew: components of components
+        ends = [labels.select(F.col("node").alias(c), F.col("component").alias(f"home_{c}")) for c in ("a", "b")]
+        anew = found.join(ends[0], "a").join(ends[1], "b").select(F.col("home_a").alias("a"), F.col("home_b").alias("b"))
+        moved = components(anew).select(F.col("node").alias("component"), F.col("component").alias("to"))
+        labels = written(labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
     tagged = rows.drop("registers").join(labels.where("component IS NOT NULL"), "node", "left")
     # documents without words stand alone, as do sets that share no band
     group = F.when(F.col("n") == 0, F.xxhash64("row", F.lit("alone"))).otherwise(F.coalesce("component", "node"))
@@ -345,11 +351,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, columns as they were."""
-    columns = docs.columns
     verdict = near_duplicates(docs, id_col, text_col, shingle)
     gone = verdict.where("NOT kept").select("row").distinct()
     same = verdict.where("kept AND repeats > 1").select("row").distinct()
-    rows = docs.withColumn("__row", row_hash(docs))
-    once = rows.join(same.withColumnRenamed("row", "__row"), "__row", "left_semi").dropDuplicates(["__row"])
-    drop = gone.unionByName(same).withColumnRenamed("row", "__row")
-    return rows.join(drop, "__row", "left_anti").unionByName(once).select(*columns)
+    rows, key = with_row_key(docs)
+    once = rows.join(same.withColumnRenamed("row", key), key, "left_semi").dropDuplicates([key])
+    drop = gone.unionByName(same).withColumnRenamed("row", key)
+    return rows.join(drop, key, "left_anti").unionByName(once).select(*columns_of(docs))

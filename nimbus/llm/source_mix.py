@@ -22,12 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nimbus.llm.common import WORD, row_hash, written
+from nimbus.llm.common import WORD, columns_of, row_key, with_row_key, written
 
 BLOCK = 64
 #: Equal rows are written out again in runs of this length.
 RUN = 4096
-_UNIT = "struct<size:bigint,key:bigint,id:{id},row:bigint,p:double>"
+_UNIT = "struct<size:bigint,key:bigint,id:{id},row:string,p:double>"
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
@@ -168,7 +168,7 @@ def source_mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: f
     """
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     sizes = written(
-        docs.select(F.col(id_col).alias("id"), row_hash(docs).alias("row"), F.col(source_col).cast("string").alias("source"), size.alias("size")),
+        docs.select(F.col(id_col).alias("id"), row_key(docs).alias("row"), F.col(source_col).cast("string").alias("source"), size.alias("size")),
         "mix-sizes",
     )
     sources = written(source_targets(sizes, weights, share, cap), "mix-sources")
@@ -185,10 +185,10 @@ def source_mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: f
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it, columns as they were."""
-    columns = docs.columns
-    taken = source_mix(docs, **options).groupBy("row").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__equal")).withColumnRenamed("row", "__row")
-    rows = docs.withColumn("__row", row_hash(docs)).join(taken.where("__copies > 0"), "__row")
+    rows, key = with_row_key(docs)
+    copies, equal, copy = (f"{key}_{c}" for c in ("copies", "equal", "copy"))
+    taken = source_mix(docs, **options).groupBy(F.col("row").alias(key)).agg(F.sum("copies").alias(copies), F.count("*").alias(equal))
+    rows = rows.join(taken.where(F.col(copies) > 0), key)
     # rows equal in every column share their copies: one of them stands for all
-    single = rows.where("__equal = 1")
-    shared = rows.where("__equal > 1").dropDuplicates(["__row"])
-    return single.unionByName(shared).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*columns)
+    single, shared = rows.where(F.col(equal) == 1), rows.where(F.col(equal) > 1).dropDuplicates([key])
+    return single.unionByName(shared).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*columns_of(docs))

@@ -271,8 +271,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
 def reject(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``docs`` without the rows whose score reaches the threshold of their language; columns as they were."""
     model = calibrate(fit(docs, labels, sample), docs, labels)
+    # columns by place: a document's own may be called score, or hold dots
+    places = [f"__{k}" for k in range(len(docs.columns))]
+    at = dict(zip(docs.columns, places))
     limits = F.lit(model.threshold)
-    for lang, limit in sorted(model.thresholds.items()):
-        limits = F.when(F.col("lang") == lang, F.lit(limit)).otherwise(limits)
-    marked = score(docs, model, keep=tuple(docs.columns))
-    return marked.where(F.col("score") < limits).select(*docs.columns)
+    for lang, limit in sorted(model.thresholds.items()) if "lang" in at else ():
+        limits = F.when(F.col(at["lang"]) == lang, F.lit(limit)).otherwise(limits)
+    marked = score(docs.toDF(*places), model, at["text"], keep=tuple(places))
+    return marked.where(F.col("score") < limits).select(*places).toDF(*docs.columns)
