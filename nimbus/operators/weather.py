@@ -8,6 +8,7 @@ Every operator is a lazy DataFrame transformation.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,6 +70,10 @@ def today_tomorrow_union(df: DataFrame, station: int | None = None, yyyymmdd: in
     prev = codes.date_to_int(F.date_sub("obs_date", 1))
     if station is not None:
         df = df.where(F.col("station") == int(station))
+    if yyyymmdd is not None:
+        # the two days themselves, so that the test reaches the scan
+        day = datetime.strptime(str(int(yyyymmdd)), "%Y%m%d")
+        df = df.where(F.col("date").isin(int(yyyymmdd), int((day + timedelta(days=1)).strftime("%Y%m%d"))))
     # each reading belongs to its own day (when its hour is in the ranges) and, as
     # the next day, to the day before: one pass over the observations, one distinct
     anchors = F.array(F.when(hour_in_ranges(), F.col("date")), prev)

@@ -15,6 +15,7 @@ from nimbus.operators import answers, retrieval, routing
 from nimbus.operators.report import station_dim
 from nimbus.plans.registry import register
 from nimbus.plans.sqltext import WITH_OBS, date_to_int
+from nimbus.plans.text_queries import digest_terms_sql
 from nimbus.plans.weather_queries import observations
 from nimbus.sources.tables import load
 
@@ -130,14 +131,6 @@ def q_titled_chunks(spark, sf_dir):
     return articles(spark, sf_dir)
 
 
-def digest_terms_sql(source: str, key: str, column: str) -> str:
-    """(key, bucket, v): the non-zero components of ``embed_digest`` of a relation's text column."""
-    bucket = "CAST(('0x' || substr(md5(t), 1, 8)) AS BIGINT) % 256"
-    return f"""SELECT {key}, bucket, n / sqrt(sum(n * n) OVER (PARTITION BY {key})) AS v FROM (
-      SELECT {key}, {bucket} AS bucket, CAST(count(*) AS DOUBLE) AS n
-      FROM (SELECT {key}, unnest(list_filter(string_split_regex(lower({column}), '\\s+'), lambda x: x <> '')) AS t FROM {source}) GROUP BY 1, 2)"""
-
-
 _SEASON_OF = "CASE c % 4 WHEN 0 THEN 'Spring' WHEN 1 THEN 'Summer' WHEN 2 THEN 'Autumn' ELSE 'Winter' END"
 CHUNKS_SQL = f"""{TITLED_SQL},
 asked AS (SELECT DISTINCT r.question, CASE WHEN r.form = 4 THEN {_SEASON_OF.replace('c %', 'a1.c %')} END AS wanted FROM routes r JOIN a1 ON a1.qid = r.qid WHERE r.route <> 'observations'),

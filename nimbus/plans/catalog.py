@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from nimbus.plans import (  # noqa: F401  (registers)
-    answer_queries, conversation_queries, label_queries, report_queries, text_queries, weather_queries,
+    answer_queries, conversation_queries, label_queries, report_queries, storage_queries, text_queries, weather_queries,
 )
 from nimbus.plans.registry import REGISTRY, Query
 

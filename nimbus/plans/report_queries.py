@@ -175,12 +175,34 @@ def q_report_uri(spark, sf_dir):
     return pages.select("page_id", report.data_uri(F.col("html")).alias("uri"))
 
 
-@register("report_prompts", "G2 G5")
+_TEXTS = ("Time_Category", "winddirection")
+_JSON_ROW = "'{' || " + " || ',' || ".join(
+    f"'\"{c}\":' || COALESCE({repr(chr(34))} || {c} || {repr(chr(34))}, 'null')" if c in _TEXTS else f"'\"{c}\":' || COALESCE(CAST({c} AS VARCHAR), 'null')"
+    for c in SECTION_COLUMNS) + " || '}'"
+_GUIDANCE = report.DEFAULT_GUIDANCE.replace("'", "''")
+_PROMPT_CTES = f"""{REPORT_RECORD_CTES.rsplit("SELECT req.request_id, req.location", 1)[0].rstrip()},
+js AS (SELECT request_id, section, ord, any_value(title) AS title,
+    '[' || COALESCE(string_agg(CASE WHEN hour IS NOT NULL THEN {_JSON_ROW} END, ',' ORDER BY hour), '') || ']' AS js
+  FROM rows GROUP BY request_id, section, ord),
+pr AS (SELECT js.request_id, string_agg(js.title || ':' || chr(10) || 'location - ' || req.location || ', date - ' ||
+      strftime(CASE WHEN section = 'tomorrow' THEN req.next_date ELSE req.date END, '%B %d, %Y') || ', time - ' ||
+      CASE WHEN section = 'tomorrow' THEN 'full day' ELSE js.title END || chr(10) || '{_GUIDANCE}' || chr(10) || js.js, chr(10) || chr(10) ORDER BY ord) AS prompt
+  FROM js JOIN req ON req.request_id = js.request_id GROUP BY js.request_id)"""
+
+
+@register(
+    "report_prompts", "G2 G5",
+    f"""{_PROMPT_CTES}
+    SELECT pr.request_id, CAST(length(pr.prompt) AS INTEGER) AS prompt_chars, md5(pr.prompt) AS prompt_md5,
+      '## Question' || chr(10) || '> ' || req.heading || chr(10) || chr(10) || '## Answer' || chr(10) || rec.report || chr(10) || chr(10) || '## Query' || chr(10) ||
+      '```' || chr(10) || 'lookup by (station, date, part of day)' || chr(10) || '```' || chr(10) || chr(10) || '## Data' || chr(10) || js.js || chr(10) AS markdown
+    FROM pr JOIN req ON req.request_id = pr.request_id JOIN rec ON rec.request_id = pr.request_id JOIN js ON js.request_id = pr.request_id AND js.section = 'morning'""",
+)
 def q_report_prompts(spark, sf_dir):
     """Section prompts and the combined prompt per request (the input a text
-    generator would get), with question / answer / data as Markdown."""
+    generator would get; shown by length and digest), with question / answer / data as Markdown."""
     rec = _day_records(spark, sf_dir)
     rec = report.build_prompts(rec.withColumn("report", F.concat_ws(" ", *[F.col(f"text_{s}") for s in report.SECTIONS])))
     md = report.to_markdown(F.col("heading"), F.col("report"), F.lit("lookup by (station, date, part of day)"),
                             F.col("json_morning"))
-    return rec.select("request_id", F.length("prompt").alias("prompt_chars"), md.alias("markdown"))
+    return rec.select("request_id", F.length("prompt").alias("prompt_chars"), F.md5("prompt").alias("prompt_md5"), md.alias("markdown"))

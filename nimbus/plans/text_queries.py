@@ -10,7 +10,7 @@ from nimbus.operators import retrieval, routing
 from nimbus.plans.registry import register
 from nimbus.plans.sqltext import WITH_OBS, season_case
 from nimbus.plans.weather_queries import observations
-from nimbus.session import checkpoint_root
+from nimbus.session import materialised
 from nimbus.sources import reports
 from nimbus.sources.tables import load
 
@@ -100,13 +100,30 @@ def q_top_k_filtered(spark, sf_dir):
     return retrieval.top_k(_label_queries(spark, sf_dir), emb, TOP_K, qid="query_label", iid="vec_id", on="query_label")
 
 
-@register("route_table", "V5")
+def digest_terms_sql(source: str, key: str, column: str) -> str:
+    """(key, bucket, v): the non-zero components of ``embed_digest`` of a relation's text column."""
+    bucket = "CAST(('0x' || substr(md5(t), 1, 8)) AS BIGINT) % 256"
+    return f"""SELECT {key}, bucket, n / sqrt(sum(n * n) OVER (PARTITION BY {key})) AS v FROM (
+      SELECT {key}, {bucket} AS bucket, CAST(count(*) AS DOUBLE) AS n
+      FROM (SELECT {key}, unnest(list_filter(string_split_regex(lower({column}), '\\s+'), lambda x: x <> '')) AS t FROM {source}) GROUP BY 1, 2)"""
+
+
+@register(
+    "route_table", "V5 V2",
+    f"""WITH dv AS ({digest_terms_sql('documents', 'doc_id', 'text')}),
+    held AS (SELECT lang, CAST(count(*) AS DOUBLE) AS n FROM documents GROUP BY lang),
+    cv AS (SELECT d.lang AS table_name, dv.bucket, sum(dv.v) / any_value(held.n) AS v FROM dv JOIN documents d ON d.doc_id = dv.doc_id JOIN held ON held.lang = d.lang GROUP BY 1, 2),
+    cn AS (SELECT table_name, sqrt(sum(v * v)) AS size FROM cv GROUP BY 1),
+    sims AS (SELECT dv.doc_id, cv.table_name, round_even(sum(dv.v * cv.v) / any_value(cn.size), 9) AS similarity
+      FROM dv JOIN cv ON cv.bucket = dv.bucket JOIN cn ON cn.table_name = cv.table_name GROUP BY 1, 2)
+    SELECT s.doc_id AS qid, s.table_name, s.similarity, d.lang FROM sims s JOIN documents d ON d.doc_id = s.doc_id
+    QUALIFY row_number() OVER (PARTITION BY s.doc_id ORDER BY s.similarity DESC, s.table_name) = 1""",
+)
 def q_route_table(spark, sf_dir):
     """Each document routed to the language whose centroid (of hashed
     embeddings) is closest: the catalog has one entry per language."""
-    checkpoint_root(spark)
-    # embedded once, then read twice (catalog and routing): a reliable checkpoint cuts the lineage
-    docs = retrieval.embed_hash(load(spark, sf_dir, "documents").select("doc_id", "lang", "text")).checkpoint()
+    # embedded once, then read twice (catalog and routing)
+    docs = materialised(retrieval.embed_digest(load(spark, sf_dir, "documents").select("doc_id", "lang", "text")), "embedded")
     catalog = retrieval.centroids(docs, "lang").withColumnRenamed("lang", "table_name")
     qs = docs.select(F.col("doc_id").alias("qid"), F.col("embedding").alias("q_embedding"), "lang")
     return retrieval.route_table(qs, catalog, keep=("lang",))
