@@ -125,7 +125,11 @@ def _parity(values: np.ndarray) -> bytes:
 
 
 def prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, shingle: int, similar: int) -> DataFrame:
-    """(node, n, tokens, parity): every node's prefix, rare shingles first."""
+    """(node, n, tokens, early, parity): every node's prefix, rare shingles first.
+
+    Of two linked sets the smaller has the first shared shingle among its ``early`` first ones:
+    behind them too few are left for the overlap a link with a larger set needs.
+    """
     order = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,33 +144,47 @@ def prefixes(docs: DataFrame, sketch: np.ndarray, text_col: str, shingle: int, s
                 taken = np.arange(len(values)) - at[owner] < length[owner]
                 tokens = values[ranked][taken].view(np.int64)
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(length[filled])]).astype(np.int32), pa.array(tokens))
+                early = pa.array((n - -(-2 * similar * n // (100 + similar)) + 1)[filled], pa.int64())
                 parity = pa.array([_parity(values[at[k] : at[k + 1]]) for k in filled], pa.binary())
-                yield pa.RecordBatch.from_arrays([_node_keys(values, at).take(pa.array(filled)), pa.array(n[filled], pa.int64()), lists, parity], ["node", "n", "tokens", "parity"])
+                yield pa.RecordBatch.from_arrays([_node_keys(values, at).take(pa.array(filled)), pa.array(n[filled], pa.int64()), lists, early, parity], ["node", "n", "tokens", "early", "parity"])
 
-    found = docs.select(_text(text_col).alias("text")).mapInArrow(run, "node binary, n long, tokens array<bigint>, parity binary")
+    found = docs.select(_text(text_col).alias("text")).mapInArrow(run, "node binary, n long, tokens array<bigint>, early long, parity binary")
     return written(found.dropDuplicates(["node"]), "join-prefixes")
 
 
-def _bits_of(nodes: pa.Array) -> np.ndarray:
-    """Place of every node key in the filter of wanted nodes (keys must not be null)."""
-    return np.frombuffer(b"".join(nodes.to_pylist()), "<u8")[::2] & np.uint64(FILTER - 1)
+def _bits_of(keys: pa.Array) -> np.ndarray:
+    """Place of every key (a node's, or a shingle's hash) in a bitmap; keys must not be null."""
+    if pa.types.is_integer(keys.type):
+        return mix64(keys.to_numpy(zero_copy_only=False).view(np.uint64)) & np.uint64(FILTER - 1)
+    return np.frombuffer(b"".join(keys.to_pylist()), "<u8")[::2] & np.uint64(FILTER - 1)
+
 
+def _hits(bits: np.ndarray, keys: pa.Array) -> np.ndarray:
+    """Whether each key's bit is set."""
+    at = _bits_of(keys).astype(np.int64)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
-def wanted_bits(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of ``FILTER`` bits, the same size for any number of nodes, set for those of a frame (node)."""
+
+def wanted_bits(keys: DataFrame) -> np.ndarray:
+    """A bitmap of ``FILTER`` bits, the same size for any number of keys, set for those of a one-column frame."""
     part = FILTER // FILTER_PARTS
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}  # the parts of the bitmap this task sets
         for batch in batches:
             at = _bits_of(batch.column(0)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((at // part).astype(np.int32)), pa.array((at % part).astype(np.int32))], ["part", "bit"])
+            for k in np.unique(at // part):
+                own.setdefault(int(k), np.zeros(part, bool))[at[at // part == k] % part] = True
+        for k, bits in own.items():
+            set_ = np.flatnonzero(bits).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(set_), k, np.int32)), pa.array(set_)], ["part", "bit"])
 
     def collect(key: tuple, table: pa.Table) -> pa.Table:
         bits = np.zeros(part, bool)
         bits[table.column("bit").to_numpy()] = True
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": [np.packbits(bits).tobytes()]})
 
-    blobs = nodes.mapInArrow(places, "part int, bit int").distinct().groupBy("part").applyInArrow(collect, "part int, bits binary").collect()
+    blobs = keys.mapInArrow(places, "part int, bit int").groupBy("part").applyInArrow(collect, "part int, bits binary").collect()
     out = np.zeros(FILTER // 8, np.uint8)
     for row in blobs:
         out[row["part"] * part // 8 : (row["part"] + 1) * part // 8] = np.frombuffer(bytes(row["bits"]), np.uint8)
@@ -177,7 +195,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int) ->
     """(node, shingles): the whole set of every node of the frame ``nodes`` (node), and of few others.
 
     Texts stay where they are: their sets are made again, and what the bitmap of wanted nodes
-    rules out goes at once, as do further copies of a node within a task.
+    rules out goes at once, as do further copies of a node within a task; copies in other tasks stay.
     """
     wanted = docs.sparkSession.sparkContext.broadcast(wanted_bits(nodes))
 
@@ -187,14 +205,13 @@ def full_sets(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int) ->
             for _, _, values, at in _sets_of(batch.column(0), shingle):
                 keys = _node_keys(values, at)
                 filled = np.flatnonzero(np.diff(at))
-                places = _bits_of(keys.take(pa.array(filled))).astype(np.int64) if len(filled) else filled
-                hits = [int(k) for k in filled[(bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 == 1]]
+                hits = [int(k) for k in filled[_hits(bits, keys.take(pa.array(filled)))]] if len(filled) else []
                 fresh = [k for k in hits if (key := keys[k].as_py()) not in seen and not seen.add(key)]
                 sets = [values[at[k] : at[k + 1]].tobytes() for k in fresh]
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(fresh, pa.int64())), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     found = docs.select(_text(text_col).alias("text")).mapInArrow(run, "node binary, shingles binary")
-    return written(found.dropDuplicates(["node"]), "join-sets")
+    return written(found, "join-sets")
 
 
 def _size_class(similar: int):
@@ -210,11 +227,22 @@ def buckets(found: DataFrame, similar: int) -> DataFrame:
     lists of its size class and of the next, where it meets the sets one class larger.
     """
     own = F.xxhash64("node").alias("h")
-    lists = found.select(own, _size_class(similar).alias("class"), F.explode("tokens").alias("token"))
-    shared = lists.groupBy("token").agg(F.count("*").alias("length")).where("length > 1").select("token")
-    entries = lists.join(shared, "token").select("token", "h", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"))
-    entries = written(entries, "join-lists")
-    hubs = entries.groupBy("token", "class").agg(F.min("h").alias("hub"), F.count("*").alias("length")).where("length > 1").drop("length")
+    lists = found.select(own, _size_class(similar).alias("class"), "early", F.posexplode("tokens").alias("place", "token"))
+    lists = lists.select("token", "h", "class", (F.col("place") < F.col("early")).alias("early"))
+    several = (F.count(F.lit(1)) > 1) & F.max("early")
+    shared = written(lists.groupBy("token").agg(several.alias("shared")).where("shared").select("token"), "join-shared")
+    # a bitmap keeps most shingles of one set alone from the join
+    bitmap = found.sparkSession.sparkContext.broadcast(wanted_bits(shared))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = bitmap.value
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(_hits(bits, batch.column(0))))
+
+    kept = lists.mapInArrow(likely, "token long, h long, class int, early boolean").join(shared, "token")
+    entries = written(kept.select("token", "h", "early", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class")), "join-lists")
+    hubs = entries.groupBy("token", "class").agg(F.min("h").alias("hub"), several.alias("shared")).where("shared").select("token", "class", "hub")
     pairs = written(entries.join(hubs, ["token", "class"]).select("hub", "h").distinct(), "join-members")
     sizes = pairs.groupBy("hub").agg(F.count("*").alias("members"))
     return pairs.join(found.select(own, "node", "n", "parity"), "h").drop("h").join(sizes, "hub")
@@ -293,6 +321,11 @@ def differences(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         cores = {h: np.frombuffer(s, np.uint64) for h, s in zip(right.column("hub").to_pylist(), right.column("core").to_pylist())}
         size, lacks, extra, settled = [], [], [], []
+        # a set may have come from several tasks
+        rows: dict = {}
+        for k, pair in enumerate(zip(left.column("hub").to_pylist(), left.column("node").to_pylist())):
+            rows.setdefault(pair, k)
+        left = left.take(pa.array(list(rows.values()), pa.int64()))
         for hub, blob in zip(left.column("hub").to_pylist(), left.column("shingles")):
             core, own = cores[hub], np.frombuffer(blob.as_buffer(), np.uint64)
             at = np.searchsorted(core, own)
