@@ -79,7 +79,7 @@ def build(vectors: DataFrame, path: str, lists: int, iid: str = "item_id", vec:
     spark.createDataFrame(rows, "list_id int, centroid array<double>").write.mode("overwrite").parquet(f"{path}/centroids")
     usable = _usable(vectors.select(iid, vec, *keep), vec)
     if not len(centres):
-        usable.withColumn("list_id", F.lit(0)).limit(0).write.mode("overwrite").partitionBy("list_id").parquet(f"{path}/lists")
+        usable.withColumn("list_id", F.lit(0)).limit(0).write.mode("overwrite").parquet(f"{path}/lists")  # the schema alone
         return
     placed = usable.withColumn("list_id", _closest(centres, 1)(vec)[0])
     # a list is written by ``files_per_list`` tasks
