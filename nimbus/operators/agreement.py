@@ -11,12 +11,13 @@ m_u >= 2 (pairable), N = sum m_u, n_c = sum_u n_uc:
 Every rating column is handled in the same job (the columns are unpivoted into
 a ``column`` key). Plan, per column:
 
-1. one value per (unit, annotator): ``min_by(value, order)`` - partial aggregate;
-2. counts per (unit, value) - partial aggregate, so a unit with a third of all
-   ratings still ships only (#values x #tasks) rows;
-3. per-unit totals by a window over (column, unit): rows per unit = distinct
-   values in it, small;
-4. per-value totals, then one global row per column.
+1. one value per (unit, annotator): ``min_by(value, order)``;
+2. counts per (unit, value), so a unit with a third of all ratings still ships
+   only (#values x #tasks) rows;
+3. per-unit totals, and per-value totals less the units that hold one rating;
+4. one global row per column.
+
+All of them are partial aggregates, without a window or a join.
 
 No pair of ratings is ever materialised, no group is collected.
 """
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STATUS_OK = "ok"
@@ -68,50 +69,38 @@ def krippendorff_alpha(
         raise ValueError("metric must be 'nominal' or 'interval'")
     vtype = "string" if metric == "nominal" else "double"
     long = _long(df, unit, annotator, columns, order, vtype)
+    # what everything else is counted from: one row per value an annotator gave a unit
+    given = long.groupBy("column", "unit", "annotator", "value").agg(F.min("ord").alias("ord"))
     # distinct values of the whole column, as the gate before the computation
-    n_values = long.groupBy("column").agg(F.count_distinct("value").alias("n_values"))
-    one = long.where(F.col("annotator").isNotNull()).groupBy("column", "unit", "annotator").agg(
+    n_values = given.groupBy("column").agg(F.count_distinct("value").alias("n_values"))
+    one = given.groupBy("column", "unit", "annotator").agg(
         (F.min_by("value", F.struct("ord", "value")) if order is not None else F.min("value")).alias("value")
     )
-    counts = one.groupBy("column", "unit", "value").agg(F.count(F.lit(1)).cast("double").alias("n_uc"))
-    w = Window.partitionBy("column", "unit")
-    per_unit = counts.withColumn("m_u", F.sum("n_uc").over(w))
+    # ratings without annotator count for the gate only; left out here and not before, both read one exchange
+    counts = one.groupBy("column", "unit", "value").agg(F.count("annotator").cast("double").alias("n")).where("n > 0")
+    # per unit its ratings m and its part of the observed disagreement, by partial aggregation
+    n_uc = F.col("n")
     if metric == "nominal":
-        per_unit = per_unit.withColumn("sq_u", F.sum(F.col("n_uc") * F.col("n_uc")).over(w))
-        # this row's share of the unit's observed disagreement term
-        d_term = (F.col("m_u") * F.col("m_u") - F.col("sq_u")) / (F.col("m_u") - 1) * F.col("n_uc") / F.col("m_u")
+        sums = [F.sum(n_uc * n_uc).alias("sq")]
+        part = (F.col("m") * F.col("m") - F.col("sq")) / (F.col("m") - 1)
     else:
-        # interval: sum over pairs of (c - k)^2 n_uc n_uk = 2 (m_u S2 - S1^2)
-        per_unit = per_unit.withColumn("s1_u", F.sum(F.col("n_uc") * F.col("value")).over(w)).withColumn(
-            "s2_u", F.sum(F.col("n_uc") * F.col("value") * F.col("value")).over(w)
-        )
-        d_term = (
-            2 * (F.col("m_u") * F.col("s2_u") - F.col("s1_u") * F.col("s1_u")) / (F.col("m_u") - 1)
-            * F.col("n_uc") / F.col("m_u")
-        )
-    pairable = F.col("m_u") >= 2
-    per_value = per_unit.groupBy("column", "value").agg(
-        F.sum(F.when(pairable, F.col("n_uc")).otherwise(0.0)).alias("n_c"),
-        F.sum(F.when(pairable, d_term).otherwise(0.0)).alias("d"),
-        # a unit's rows carry n_uc / m_u summing to 1, so this sums to the pairable units
-        F.sum(F.when(pairable, F.col("n_uc") / F.col("m_u")).otherwise(0.0)).alias("u"),
-    )
+        # interval: sum over pairs of (c - k)^2 n_uc n_uk = 2 (m S2 - S1^2)
+        sums = [F.sum(n_uc * F.col("value")).alias("s1"), F.sum(n_uc * F.col("value") * F.col("value")).alias("s2")]
+        part = 2 * (F.col("m") * F.col("s2") - F.col("s1") * F.col("s1")) / (F.col("m") - 1)
+    units = counts.groupBy("column", "unit").agg(F.sum("n").alias("m"), F.min("value").alias("value"), *sums)
+    pairable = F.col("m") >= 2
+    # a value's count over pairable units: over all units, less the units that hold a single rating
+    alone = units.select("column", "value", F.when(pairable, 0.0).otherwise(-1.0).alias("n"),
+                         F.when(pairable, part).otherwise(0.0).alias("d"), pairable.cast("long").alias("u"))
+    every = counts.select("column", "value", "n", F.lit(0.0).alias("d"), F.lit(0).cast("long").alias("u"))
+    per_value = every.unionByName(alone).groupBy("column", "value").agg(F.sum("n").alias("n_c"), F.sum("d").alias("d"), F.sum("u").alias("u"))
+    totals = [F.sum("n_c").alias("N"), F.sum("d").alias("D"), F.sum("u").alias("n_units")]
     if metric == "nominal":
-        final = per_value.groupBy("column").agg(
-            F.sum("n_c").alias("N"),
-            F.sum(F.col("n_c") * F.col("n_c")).alias("S"),
-            F.sum("d").alias("D"),
-            F.round(F.sum("u")).cast("long").alias("n_units"),
-        )
+        final = per_value.groupBy("column").agg(*totals, F.sum(F.col("n_c") * F.col("n_c")).alias("S"))
         de_num = F.col("N") * F.col("N") - F.col("S")
     else:
         final = per_value.groupBy("column").agg(
-            F.sum("n_c").alias("N"),
-            F.sum(F.col("n_c") * F.col("value")).alias("S1"),
-            F.sum(F.col("n_c") * F.col("value") * F.col("value")).alias("S2"),
-            F.sum("d").alias("D"),
-            F.round(F.sum("u")).cast("long").alias("n_units"),
-        )
+            *totals, F.sum(F.col("n_c") * F.col("value")).alias("S1"), F.sum(F.col("n_c") * F.col("value") * F.col("value")).alias("S2"))
         de_num = 2 * (F.col("N") * F.col("S2") - F.col("S1") * F.col("S1"))
     n, d = F.col("N"), F.col("D")
     de = F.try_divide(de_num, n * (n - 1))
@@ -122,7 +111,10 @@ def krippendorff_alpha(
         .when(n.isNull() | (n < 2) | de.isNull() | (de == 0), STATUS_INSUFFICIENT)
         .otherwise(STATUS_OK)
     )
-    out = final.join(n_values, "column", "right").select(
+    # one row per column from each; a join would filter one side's input and part what both read
+    both = final.unionByName(n_values, allowMissingColumns=True)
+    both = both.groupBy("column").agg(*[F.max(c).alias(c) for c in both.columns if c != "column"])
+    out = both.select(
         "column",
         F.coalesce(F.col("n_units"), F.lit(0)).alias("n_units"),
         F.col("n_values").cast("long").alias("n_values"),

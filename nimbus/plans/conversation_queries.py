@@ -60,3 +60,23 @@ def q_conversation_stream(spark, sf_dir):
     turns(spark, sf_dir).select("conv_id", "turn", "role", "text").write.parquet(source)
     out = run_chat_stream(spark, source)
     return out.select("conv_id", "turn", "question", "n_answered", "answer")
+
+
+GREETING = "Ask me about the weather."
+
+
+@register(
+    "conversation_greetings", "T1",
+    f"""WITH {_KEPT}
+    SELECT conv_id, turn, text AS question, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS n_answered,
+      'received ' || len(regexp_extract_all(text, '\\S+')) || ' words' AS answer FROM k WHERE role = 'user'
+    UNION ALL SELECT DISTINCT conv_id, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(0 AS BIGINT), '{GREETING}' FROM conversations""",
+)
+def q_conversation_greetings(spark, sf_dir):
+    """The stream with greetings over files dealt by turn, a few files per micro-batch, so that
+    conversations go on from one batch to the next."""
+    source = scratch_path(spark, "turns-by-range")
+    for low in (0, 2, 4):
+        part = (F.col("turn") >= low) & (F.col("turn") < low + 2 if low < 4 else F.lit(True))
+        turns(spark, sf_dir).where(part).select("conv_id", "turn", "role", "text").coalesce(1).write.mode("append").parquet(source)
+    return run_chat_stream(spark, source, greeting=GREETING, max_files=1)

@@ -7,8 +7,11 @@ questions were answered and whether the user closed the session with 'exit'
 output row is appended per answered turn. Turns are expected in order within a
 conversation, as a chat produces them.
 
+A session opens with the assistant's greeting, if there is one, and may end by being idle.
+
 State is small and bounded per key (two numbers), the history itself is the
-append-only output, so the state store does not grow with conversation length.
+append-only output, so the state store does not grow with conversation length;
+with ``idle`` the keys of sessions long over leave it too.
 Exactly-once: file source + checkpointed state + file sink.
 """
 
@@ -33,11 +36,18 @@ def default_answer(question: str) -> str:
     return f"received {len(question.split())} words"
 
 
-def _make_step(answer_fn: Callable[[str], str]):
+def _make_step(answer_fn: Callable[[str], str], greeting: str | None, idle: str | None):
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        columns = ["conv_id", "turn", "question", "n_answered", "answer"]
+        if state.hasTimedOut:
+            # nothing came for a while: the session is over, its state goes
+            state.remove()
+            return
+        rows = []
+        if not state.exists and greeting is not None:
+            rows.append((key[0], None, None, 0, greeting))
         n_answered, closed = state.get if state.exists else (0, False)
         pdf = pd.concat(list(batches), ignore_index=True).sort_values("turn")
-        rows = []
         for turn, role, text in zip(pdf["turn"], pdf["role"], pdf["text"]):
             if closed:
                 break
@@ -52,15 +62,27 @@ def _make_step(answer_fn: Callable[[str], str]):
             n_answered += 1
             rows.append((key[0], int(turn), t, n_answered, answer_fn(t)))
         state.update((n_answered, closed))
-        yield pd.DataFrame(rows, columns=["conv_id", "turn", "question", "n_answered", "answer"])
+        if idle is not None:
+            state.setTimeoutDuration(idle)
+        if rows:
+            out = pd.DataFrame(rows, columns=columns)
+            out["turn"] = out["turn"].astype("Int64")
+            yield out
 
     return step
 
 
-def chat_stream(turns: DataFrame, answer_fn: Callable[[str], str] = default_answer) -> DataFrame:
-    """The streaming transformation (no sink): answered turns, append mode."""
+def chat_stream(turns: DataFrame, answer_fn: Callable[[str], str] = default_answer, greeting: str | None = None,
+                idle: str | None = None) -> DataFrame:
+    """The streaming transformation (no sink): answered turns, append mode.
+
+    ``greeting`` is the assistant's first row of a session (turn and question null, nothing answered),
+    sent when its key is first seen. ``idle`` ('2 hours') ends a session nothing arrived for
+    (processing time) and drops its state; a turn after that opens a new one, with its greeting.
+    """
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle is not None else GroupStateTimeout.NoTimeout
     return turns.groupBy("conv_id").applyInPandasWithState(
-        _make_step(answer_fn), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        _make_step(answer_fn, greeting, idle), OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout
     )
 
 
@@ -71,16 +93,22 @@ def run_chat_stream(
     sink: str | None = None,
     checkpoint: str | None = None,
     fmt: str = "parquet",
+    greeting: str | None = None,
+    idle: str | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Run the chat stream over every file available at ``source`` (a path or
     glob) with an ``availableNow`` trigger, then return the sink as a batch
     frame. Sink and checkpoint default to fresh folders under the session's
-    checkpoint root; pass the same ones again to continue a stream."""
+    checkpoint root; pass the same ones again to continue a stream. ``max_files``
+    bounds the files of one micro-batch, so a backlog goes through in many."""
     sink = sink or scratch_path(spark, "chat-sink")
     checkpoint = checkpoint or scratch_path(spark, "chat-checkpoint")
-    turns = spark.readStream.schema(TURN_SCHEMA).format(fmt).load(source)
+    reader = spark.readStream.schema(TURN_SCHEMA).format(fmt)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     query = (
-        chat_stream(turns, answer_fn)
+        chat_stream(reader.load(source), answer_fn, greeting, idle)
         .writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)

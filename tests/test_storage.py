@@ -137,3 +137,24 @@ def test_station_file_without_a_column(spark, scratch):
         out.write(",".join(RAW_COLUMNS[:-1]) + "\n" + ",".join("1" for _ in RAW_COLUMNS[:-1]) + "\n")
     with pytest.raises(ValueError, match="no column Y"):
         read_stations(spark, f"{scratch}/broken")
+
+
+# --- chat stream ------------------------------------------------------------------------
+
+def test_greeting_once_over_batches_and_restarts(spark, scratch):
+    from nimbus.streaming.chat import run_chat_stream
+
+    def put(rows):
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+
+    put([(1, 0, "user", "hi there"), (2, 0, "assistant", "x")])
+    put([(1, 1, "user", "more"), (3, 0, "user", "EXIT")])
+    where = dict(sink=f"{scratch}/out", checkpoint=f"{scratch}/state", greeting="hello", max_files=1)
+    first = run_chat_stream(spark, f"{scratch}/in", **where)
+    greeted = lambda df: sorted(r["conv_id"] for r in df.where("n_answered = 0 AND answer = 'hello' AND turn IS NULL").collect())
+    assert greeted(first) == [1, 2, 3]
+    put([(1, 2, "user", "and more"), (3, 1, "user", "after the end"), (4, 0, "user", "new")])
+    again = run_chat_stream(spark, f"{scratch}/in", **where)
+    assert greeted(again) == [1, 2, 3, 4]
+    said = sorted((r["conv_id"], r["turn"], r["n_answered"]) for r in again.where("turn IS NOT NULL").collect())
+    assert said == [(1, 0, 1), (1, 1, 2), (1, 2, 3), (4, 0, 1)]
