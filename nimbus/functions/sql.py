@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from nimbus.functions.codes import BEAUFORT_LOWER_KMH, BEAUFORT_NAMES, MONTHLY_NORMAL_C
-from nimbus.functions.text import HTML_DROP_PATTERNS, HTML_ENTITIES
+from nimbus.functions.text import HTML_DROP_PATTERNS, _REFERENCE, character_references
 from nimbus.operators.report import DATA_URI_PREFIX
 
 
@@ -18,12 +18,23 @@ def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _references_sql(x: str) -> str:
+    """``text.decode_references`` as SQL text."""
+    table = "map(" + ", ".join(f"{_lit(n)}, {_lit(c)}" for n, c in character_references().items()) + ")"
+    name = f"regexp_extract(p, {_lit(_REFERENCE)}, 1)"
+    code = f"CAST(CASE WHEN {name} RLIKE '^#[xX]' THEN conv(substring({name}, 3, 6), 16, 10) ELSE substring({name}, 2, 7) END AS INT)"
+    odd = f"({code} = 0 OR {code} > 1114111 OR {code} BETWEEN 55296 AND 57343)"
+    old = f"CASE WHEN {code} BETWEEN 128 AND 159 THEN try_element_at({table}, concat('#', CAST({code} AS STRING))) END"
+    number = f"CASE WHEN {odd} THEN {_lit(chr(0xFFFD))} ELSE coalesce({old}, decode(unhex(lpad(hex(CASE WHEN {odd} THEN 32 ELSE {code} END), 8, '0')), 'UTF-32')) END"
+    found = f"CASE WHEN {name} = '' THEN NULL WHEN startswith({name}, '#') THEN {number} ELSE try_element_at({table}, {name}) END"
+    piece = f"CASE WHEN i = 0 THEN p ELSE coalesce(concat({found}, substr(p, length({name}) + 2)), concat('&', p)) END"
+    return f"array_join(transform(split({x}, '&'), (p, i) -> {piece}), '')"
+
+
 def _html_to_text_sql(x: str) -> str:
     for pat in HTML_DROP_PATTERNS:
         x = f"regexp_replace({x}, {_lit(pat)}, '')"
-    for ent, ch in HTML_ENTITIES:
-        x = f"replace({x}, {_lit(ent)}, {_lit(ch)})"
-    return x
+    return _references_sql(x)
 
 
 def _data_uri_sql(x: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.functions.text import HTML_DROP_PATTERNS, HTML_ENTITIES, ORDINAL_WORDS, html_to_text
+from nimbus.functions.text import ORDINAL_WORDS, html_to_text
 from nimbus.operators import retrieval, routing
 from nimbus.plans.registry import register
 from nimbus.plans.sqltext import WITH_OBS, season_case
@@ -19,8 +19,15 @@ TITLE_WORDS = ["Nicht", "with"]
 TOP_K = 5
 
 
+# What the pages of the tables hold, in the oracle's regular expressions (which know no possessive
+# ones); & last, so that &amp;lt; stays &lt;.
+_DROPPED = [r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>", r"(?is)<template\b[^>]*>.*?</template\s*>",
+            r"(?s)<!--.*?-->", r"(?s)<![^>]*>", r"(?s)</?[a-zA-Z][^>]*>"]
+HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+
+
 def _sql_html_to_text(x: str) -> str:
-    for pat in HTML_DROP_PATTERNS:
+    for pat in _DROPPED:
         x = f"regexp_replace({x}, '{pat}', '', 'g')"
     for ent, ch in HTML_ENTITIES:
         x = f"replace({x}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
@@ -32,6 +39,22 @@ def q_html_to_text(spark, sf_dir):
     return load(spark, sf_dir, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
 
 
+#: How the known texts are written as HTML: characters as references, tags with > in quotes.
+_WRITTEN = [("&", "&amp;"), ("<", "&lt;"), ("é", "&eacute;"), ("ü", "&#252;"), ("ö", "&#xF6;"), ("ß", "&szlig;"), ("ç", "&#231;"), (".", "&#46;")]
+_BEFORE = "<p title=\"a > b\" class='x>y' id=z><!-- no > text --><script>if (a < b) { c = '&amp;' }</script>"
+_AFTER = "<br/></p ><style>p > a { }</style> &euro;&#8364;&#x1F600;&#150;&bogus; &amp;lt; AT&T &"
+
+
+@register("html_references", "F12", "SELECT doc_id, text || ' €€😀–&bogus; &lt; AT&T &' AS text FROM documents")
+def q_html_references(spark, sf_dir):
+    """Every document as HTML with references and quoted attributes, back to its text."""
+    html = F.col("text")
+    for ch, ref in _WRITTEN:
+        html = F.replace(html, F.lit(ch), F.lit(ref))
+    page = F.concat(F.lit(_BEFORE), html, F.lit(_AFTER))
+    return load(spark, sf_dir, "documents").select("doc_id", html_to_text(page).alias("text"))
+
+
 @register(
     "archive_parts", "S2 F8 P8 F5",
     f"""SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H:%M:%S') AS time,
