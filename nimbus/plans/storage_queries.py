@@ -18,7 +18,7 @@ from nimbus.plans.sqltext import WITH_OBS, beaufort_case, beaufort_name_case, di
 from nimbus.plans.text_queries import _sql_html_to_text
 from nimbus.plans.weather_queries import observations
 from nimbus.session import scratch_path
-from nimbus.sinks import chunk_index, files
+from nimbus.sinks import chunk_index, files, html_pages
 from nimbus.sources import reports
 from nimbus.sources.stations import RAW_COLUMNS, observations_from_events, read_stations
 from nimbus.sources.tables import load, register_views
@@ -104,6 +104,16 @@ def q_log_roundtrip(spark, sf_dir):
     return _hours(spark.read.schema(days.schema).json(path))
 
 
+@register("pages_roundtrip", "K2", "SELECT CAST(page_id AS VARCHAR) AS external_id, md5(html) AS page FROM pages")
+def q_pages_roundtrip(spark, sf_dir):
+    """Every page as a file of its own, published in one commit and read back as files."""
+    path = scratch_path(spark, "pages")
+    rows = load(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("external_id"), "html")
+    names = html_pages.write_pages(rows, path, html="html")
+    files_ = spark.read.text(f"{path}/part-*/*.HTML", wholetext=True).select(F.col("_metadata.file_path").alias("filename"), F.md5("value").alias("page"))
+    return names.join(files_, "filename").select("external_id", "page")
+
+
 _CHUNKS = """c AS (SELECT lang AS namespace, doc_id, CAST(n AS INTEGER) AS chunk_no, substr(text, 1 + 400 * n, 400) AS text
   FROM (SELECT lang, doc_id, text, unnest(range(0, 3)) AS n FROM documents WHERE lang IS NOT NULL) d)"""
 

@@ -158,3 +158,28 @@ def test_greeting_once_over_batches_and_restarts(spark, scratch):
     assert greeted(again) == [1, 2, 3, 4]
     said = sorted((r["conv_id"], r["turn"], r["n_answered"]) for r in again.where("turn IS NOT NULL").collect())
     assert said == [(1, 0, 1), (1, 1, 2), (1, 2, 3), (4, 0, 1)]
+
+
+# --- HTML pages -------------------------------------------------------------------------
+
+def test_pages_are_published_together_or_not_at_all(spark, scratch):
+    import os
+
+    from nimbus.sinks import html_pages
+
+    uri = f"file://{scratch}/pages"
+    rows = spark.range(40).select(F.concat(F.col("id").cast("string"), F.lit("_x")).alias("external_id"),
+                                  F.when(F.col("id") != 3, F.concat(F.lit("<p>é"), F.col("id").cast("string"))).alias("html_report")).repartition(5)
+    broken = rows.withColumn("external_id", F.when(F.col("external_id") == "33_x", "a/b").otherwise(F.col("external_id")))
+    with pytest.raises(Exception, match="name a file"):
+        html_pages.write_pages(broken, uri)
+    left = [f for _, _, names in os.walk(f"{scratch}/pages") for f in names]
+    assert left == []  # a failed write leaves no file
+    found = {r["external_id"]: r["filename"] for r in html_pages.write_pages(rows, uri).collect()}
+    on_disk = {f for _, _, names in os.walk(f"{scratch}/pages") for f in names if f.endswith(".HTML")}
+    assert on_disk == {f"{k}.HTML" for k in found} and len(found) == 40
+    assert not [d for d in os.listdir(f"{scratch}/pages") if d.startswith("_staging")]
+    read = lambda k: open(found[k].replace("file:", "", 1).replace("//", "", 1) if found[k].startswith("file://") else found[k].replace("file:", ""), encoding="utf-8").read()
+    assert read("7_x") == "<p>é7" and read("3_x") == ""
+    with pytest.raises(Exception, match="URI"):
+        html_pages.write_pages(rows, f"{scratch}/plain")
