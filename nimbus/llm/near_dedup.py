@@ -11,9 +11,9 @@ confirmed on the full sets.
 Documents with the same set are one node. In each round every band group links
 its members to one pivot only (another one each round), and only where they are not in one component
 already, so no round makes more pairs than there are band rows. After ``PIVOTS``
-rounds the few groups that still hold several components compare members across
-components (large groups block against block inside tasks, without making the pairs),
-so that no link between different texts is lost.
+rounds the groups that still hold several components compare members across
+components inside tasks (small groups whole, large ones block against block), without
+making the pairs as rows, so that no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -33,8 +33,10 @@ REGISTERS = BANDS * ROWS
 PIVOTS = 3
 #: Estimates below this are not compared in full: five standard errors of the estimate under 0.8.
 LEAST_ESTIMATE = 0.66
-#: Band groups up to this size compare what is left as pairs, larger ones in blocks of this size.
+#: Band groups up to this size compare what is left whole, larger ones in blocks of this size.
 SMALL = 128
+#: Members of small groups that share a task.
+BIN = 30_000
 #: Edges of a file while components are found.
 EDGES = 200_000
 _STEP = 1 << 15
@@ -247,6 +249,58 @@ def linked_in_blocks(open_: DataFrame, sizes: DataFrame, nodes: DataFrame, sets:
     return left.groupBy("key", "i", "j").cogroup(right.groupBy("key", "i", "j")).applyInArrow(meet, "a long, b long")
 
 
+def _near_links(rows: np.ndarray, others: np.ndarray, home: np.ndarray, band: int, size: np.ndarray, sketches_: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """The links (row, other) between components, each pair in its first shared band only."""
+    links = []
+    for k in rows:
+        near = others[(home[others] != home[k]) & (np.minimum(size[others], size[k]) * 100 >= np.maximum(size[others], size[k]) * SIMILAR)]
+        if len(near):
+            equal = sketches_[near] == sketches_[k]
+            near = near[equal.reshape(len(near), BANDS, ROWS).all(2).argmax(1) == band]
+        if len(near):
+            one = np.broadcast_to(sketches_[k], (len(near), REGISTERS))
+            near = near[estimate(sketches_[near], one, size[near].astype(float), np.full(len(near), float(size[k]))) >= LEAST_ESTIMATE]
+        for i in near:
+            both = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+            if 100 * both >= SIMILAR * (len(sets[i]) + len(sets[k]) - both):
+                links.append((int(k), int(i)))
+    return links
+
+
+def linked_in_bins(few: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links (a, b) between components within small band groups, without making their pairs.
+
+    Groups are dealt into bins of about ``BIN`` members; a node comes into a bin once, however
+    many of its groups are there, with its registers and its full set. Only links leave the task.
+    """
+    bins = max(1, few.count() // BIN + 1)
+    members = few.select(F.pmod("key", F.lit(bins)).alias("bin"), "key", "node", "component", "band")
+    data = members.select("bin", "node").distinct().join(nodes.select("node", "n", "registers"), "node").join(sets, "node")
+    # columns of their own, apart from those of ``members``, which has the same ancestors
+    data = data.select(*[F.col(c).alias(c + "_") for c in data.columns]).toDF(*data.columns)
+
+    def meet(groups: pa.Table, held: pa.Table) -> pa.Table:
+        known = held.column("node").to_numpy()
+        order = np.argsort(known)
+        known, held = known[order], held.take(pa.array(order)).combine_chunks()
+        size = held.column("n").to_numpy()
+        sketches_ = np.frombuffer(b"".join(held.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        full = [np.frombuffer(v.as_buffer(), np.uint64) for v in held.column("shingles")]
+        at = np.searchsorted(known, groups.column("node").to_numpy())
+        key, component, band = (groups.column(c).to_numpy() for c in ("key", "component", "band"))
+        home = np.zeros(len(known), np.int64)
+        home[at] = component
+        by_key = np.argsort(key, kind="stable")
+        links = []
+        for rows in np.split(by_key, np.flatnonzero(np.diff(key[by_key])) + 1) if len(by_key) else ():
+            inside = at[rows]
+            for j in range(1, len(inside)):
+                links += _near_links(inside[j : j + 1], inside[:j], home, int(band[rows[0]]), size, sketches_, full)
+        return pa.table([pa.array([known[a] for a, _ in links], pa.int64()), pa.array([known[b] for _, b in links], pa.int64())], ["a", "b"])
+
+    return members.groupBy("bin").cogroup(data.groupBy("bin")).applyInArrow(meet, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of a frame of links (a, b): the smallest node reachable from each.
 
@@ -311,16 +365,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             met = members.join(groups.select("key", F.col("p.node").alias("pivot"), F.col("p.component").alias("home")), "key").where("component <> home")
             pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         else:
-            # what is left: members of different components within one group, small groups as pairs
+            # what is left: members of different components within one group, compared inside tasks
             open_ = written(members.join(groups.select("key"), "key"), "open")
             sizes = written(open_.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
                 F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("most")), "sizes")
-            few = open_.join(sizes.where(F.col("size") <= SMALL).select("key"), "key")
-            other = few.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-            pairs = few.select("key", F.col("node").alias("a"), "component").join(other, "key").where("component <> other AND a < b").select("a", "b")
+            small = open_.join(sizes.where(F.col("size") <= SMALL).select("key"), "key")
             crowd = linked_in_blocks(open_, sizes.where(F.col("size") > SMALL), nodes, sets)
-        found = confirmed(likely(pairs.distinct(), nodes), sets)
-        found = written(found if turn < PIVOTS else found.unionByName(crowd), "links")
+        found = confirmed(likely(pairs.distinct(), nodes), sets) if turn < PIVOTS else linked_in_bins(small, nodes, sets).unionByName(crowd)
+        found = written(found, "links")
         if found.isEmpty():
             continue
         # only what the links join anew: components of components
