@@ -13,12 +13,11 @@ Shape of a line::
 Lines are parsed with ``try_parse_json`` into VARIANT; a line that does not
 parse (or is empty) goes to the ``bad`` frame, the rest go on. Projects and
 labels are exploded (a project without labels gives no row). The recursive
-classification tree is unrolled level by level, each level two explodes of the
-previous one; every answer carries a sortable ``path`` (positions, with 0 for a
-node's radio answer, 1 for its checklist, 2 for nodes under its radio answer and
-3 for nodes directly under it), so "a later answer overwrites an earlier one"
-is ``max_by(answer, path)`` in one aggregation per label. Nothing is collected:
-a label's answers meet in one group of the shuffle on the label key.
+classification tree is walked inside the row, level by level, as one array of
+nodes; every answer carries a sortable ``path`` (positions, with 0 for a node's
+radio answer, 1 for its checklist, 2 for nodes under its radio answer and 3 for
+nodes directly under it), so "a later answer overwrites an earlier one" is the
+answer of the largest path. No key, shuffle or action.
 """
 
 from __future__ import annotations

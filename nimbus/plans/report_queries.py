@@ -123,7 +123,7 @@ FROM req JOIN rec ON req.request_id = rec.request_id"""
 
 
 @register(
-    "report_sections", "J1 J2 J3 G1",
+    "report_sections", "J1 J2 J3",
     f"""{REPORT_CTES}
     SELECT request_id, section, CAST(count(hour) AS BIGINT) AS n_rows,
       min(temperature) AS min_temperature, max(temperature) AS max_temperature

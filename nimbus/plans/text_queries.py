@@ -56,7 +56,7 @@ def q_html_references(spark, sf_dir):
 
 
 @register(
-    "archive_parts", "S2 F8 P8 F5",
+    "archive_parts", "F8 P8 F5",
     f"""SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H:%M:%S') AS time,
       {season_case('month(ts)')} AS season
     FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2025-01-01'""",

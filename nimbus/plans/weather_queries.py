@@ -23,7 +23,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- codings --------------------------------------------------------------------
 
-@register("clean_observations", "S1 P1 P2 P4 P5 P6 P7 F1 F3 F4 F6 F7", f"{WITH_OBS} SELECT * FROM obs")
+@register("clean_observations", "P1 P2 P4 P5 P6 P7 F1 F3 F4 F6 F7", f"{WITH_OBS} SELECT * FROM obs")
 def q_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(spark, sf_dir)
 
@@ -99,7 +99,7 @@ _SECTION = "Time_Category, temperature, winddirection, beaufort, precipitation,
 
 
 @register(
-    "today_tomorrow_union", "P9 P10 U1 R1",
+    "today_tomorrow_union", "P10 U1",
     f"""{WITH_OBS}
     SELECT station, date, {_SECTION} FROM obs
       WHERE hour BETWEEN 5 AND 17 OR hour BETWEEN 18 AND 23 OR hour BETWEEN 0 AND 4
@@ -111,7 +111,7 @@ def q_today_tomorrow_union(spark, sf_dir):
 
 
 @register(
-    "period_lookup", "P11 R1",
+    "period_lookup", "R1",
     f"""{WITH_OBS} SELECT station, date, Time_Category,
     string_agg(CAST(hour AS VARCHAR) || ':' || COALESCE(CAST(temperature AS VARCHAR), 'None') || ':' || winddirection
                || ':' || CAST(beaufort AS VARCHAR), ';' ORDER BY hour) AS rows_text
@@ -134,7 +134,7 @@ def q_period_lookup(spark, sf_dir):
 
 
 @register(
-    "full_day_lookup", "P11",
+    "full_day_lookup", "A6",
     f"""{WITH_OBS} SELECT station, date, CAST(count(*) AS BIGINT) AS n_hours,
     CAST(count(DISTINCT Time_Category) AS BIGINT) AS n_parts,
     min(temperature) AS min_temperature, max(temperature) AS max_temperature
@@ -157,7 +157,7 @@ def q_full_day_lookup(spark, sf_dir):
 # --- monthly analytics -------------------------------------------------------------
 
 @register(
-    "rain_days", "A9 P12",
+    "rain_days", "A9",
     f"""{WITH_OBS} SELECT station, CAST(date // 100 AS INTEGER) AS month,
     CAST(count(DISTINCT date) AS BIGINT) AS rain_days
     FROM obs WHERE rain = 1 GROUP BY station, CAST(date // 100 AS INTEGER)""",
