@@ -301,48 +301,87 @@ def plausible(members: DataFrame, similar: int) -> DataFrame:
     return written(sifted.unionByName(members.where(F.col("members") > BLOCK).select(*names)), "join-buckets")
 
 
+def _compared(core: np.ndarray, own: np.ndarray, similar: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """What a member lacks of its hub (places in the hub's set), what it has besides, and whether the two are linked."""
+    at = np.searchsorted(core, own)
+    shared = core[np.minimum(at, len(core) - 1)] == own
+    missing = np.ones(len(core), bool)
+    missing[at[shared]] = False
+    both = int(shared.sum())
+    return np.flatnonzero(missing), own[~shared], 100 * both >= similar * (len(core) + len(own) - both)
+
+
+def _first_of_each(table: pa.Table) -> pa.Table:
+    """One row per hub and node: a set may have come from several tasks."""
+    rows: dict = {}
+    for k, pair in enumerate(zip(table.column("hub").to_pylist(), table.column("node").to_pylist())):
+        rows.setdefault(pair, k)
+    return table.take(pa.array(list(rows.values()), pa.int64())).combine_chunks()
+
+
+def _with_sets(members: DataFrame, sets: DataFrame, keys: list, places) -> tuple[DataFrame, DataFrame]:
+    """Members and hubs with their sets, both by ``keys``; a hub goes to all ``places`` (array of k2) of its members."""
+    own = members.select("hub", "node", "n", "members", *keys).join(sets, "node")
+    each = members.where(F.xxhash64("node") == F.col("hub")).groupBy("hub", "members").agg(F.min("node").alias("node"))
+    hubs = each.select("hub", "node", keys[0], F.explode(places).alias("k2")).join(sets, "node")
+    # columns of their own, apart from those of ``own``, which has the same ancestors
+    return own, hubs.select(*[F.col(c).alias(f"{c}_") for c in ("k1", "k2", "hub", "node", "shingles")]).toDF("k1", "k2", "hub", "head", "core")
+
+
+def small_links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """(a, b) nodes: a spanning forest of the links within buckets of at most ``BLOCK`` members, each in one task."""
+    bins = max(1, members.count() // BLOCK + 1)
+    own, hubs = _with_sets(members, sets, [F.pmod("hub", F.lit(bins)).alias("k1"), F.lit(0).alias("k2")], F.array(F.lit(0)))
+
+    def settle(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = _first_of_each(left)
+        heads = dict(zip(right.column("hub").to_pylist(), zip(right.column("head").to_pylist(), right.column("core").to_pylist())))
+        node, shingles_, n = left.column("node").to_pylist(), left.column("shingles"), left.column("n").to_numpy()
+        a, b = [], []
+        for rows in _grouped(left.column("hub").to_numpy()):
+            head, core = heads[left.column("hub")[int(rows[0])].as_py()]
+            core = np.frombuffer(core, np.uint64)
+            lacks, extra, linked = zip(*[_compared(core, np.frombuffer(shingles_[int(k)].as_buffer(), np.uint64), similar) for k in rows])
+            settled = np.array(linked)
+            for k in rows[settled]:
+                a.append(node[k])
+                b.append(head)
+            if not settled.all():
+                root = _links(n[rows], len(core), [x.astype(np.uint64) for x in lacks], list(extra), settled, np.zeros(len(rows), int), similar)
+                for k in np.flatnonzero(root != np.arange(len(rows))):
+                    a.append(node[rows[k]])
+                    b.append(node[rows[root[k]]])
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return own.groupBy("k1", "k2").cogroup(hubs.groupBy("k1", "k2")).applyInArrow(settle, "a binary, b binary")
+
+
 def differences(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """The hub's answers: per member (hub, node, n, members, size, lacks, extra, settled).
+    """The hub's answers in buckets above ``BLOCK`` members: (hub, node, n, size, lacks, extra, settled).
 
-    ``size`` is the hub's; ``lacks`` holds positions in the hub's set, ``extra`` the shingles
-    it has not; ``settled`` says that member and hub are linked.
+    ``size`` is the hub's; ``lacks`` holds places in the hub's set, ``extra`` the shingles
+    it has not; ``settled`` says that member and hub are linked. A bucket is spread over tasks.
     """
     parts = F.ceil(F.col("members") / BLOCK)
-    bins = max(1, members.where(F.col("members") <= BLOCK).count() // BLOCK + 1)
-    single = F.col("members") <= BLOCK
-    keys = [F.when(single, F.pmod("hub", F.lit(bins))).otherwise(F.col("hub")).alias("k1")]
-    own = members.select("*", *keys, F.when(single, F.lit(-1)).otherwise(F.pmod(F.xxhash64("node", F.lit(3)), parts)).cast("int").alias("k2")).join(sets, "node")
-    each = members.where(F.xxhash64("node") == F.col("hub")).groupBy("hub", "members").agg(F.min("node").alias("node"))
-    every = F.when(single, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), parts.cast("int") - 1))
-    hubs = each.select("hub", "node", *keys, F.explode(every).alias("k2")).join(sets, "node")
-    # columns of their own, apart from those of ``own``, which has the same ancestors
-    hubs = hubs.select(*[F.col(c).alias(f"{c}_") for c in ("k1", "k2", "hub", "shingles")]).toDF("k1", "k2", "hub", "core")
+    keys = [F.col("hub").alias("k1"), F.pmod(F.xxhash64("node", F.lit(3)), parts).cast("int").alias("k2")]
+    own, hubs = _with_sets(members, sets, keys, F.sequence(F.lit(0), parts.cast("int") - 1))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = _first_of_each(left)
         cores = {h: np.frombuffer(s, np.uint64) for h, s in zip(right.column("hub").to_pylist(), right.column("core").to_pylist())}
         size, lacks, extra, settled = [], [], [], []
-        # a set may have come from several tasks
-        rows: dict = {}
-        for k, pair in enumerate(zip(left.column("hub").to_pylist(), left.column("node").to_pylist())):
-            rows.setdefault(pair, k)
-        left = left.take(pa.array(list(rows.values()), pa.int64()))
         for hub, blob in zip(left.column("hub").to_pylist(), left.column("shingles")):
-            core, own = cores[hub], np.frombuffer(blob.as_buffer(), np.uint64)
-            at = np.searchsorted(core, own)
-            shared = core[np.minimum(at, len(core) - 1)] == own
-            missing = np.ones(len(core), bool)
-            missing[at[shared]] = False
-            both = int(shared.sum())
-            size.append(len(core))
-            lacks.append(np.flatnonzero(missing).astype(np.uint32).tobytes())
-            extra.append(own[~shared].tobytes())
-            settled.append(100 * both >= similar * (len(core) + len(own) - both))
-        columns = [left.column(c) for c in ("hub", "node", "n", "members")]
+            missing, besides, linked = _compared(cores[hub], np.frombuffer(blob.as_buffer(), np.uint64), similar)
+            size.append(len(cores[hub]))
+            lacks.append(missing.astype(np.uint32).tobytes())
+            extra.append(besides.tobytes())
+            settled.append(linked)
+        columns = [left.column(c) for c in ("hub", "node", "n")]
         return pa.table([*columns, pa.array(size, pa.int64()), pa.array(lacks, pa.binary()), pa.array(extra, pa.binary()), pa.array(settled, pa.bool_())],
-                        ["hub", "node", "n", "members", "size", "lacks", "extra", "settled"])
+                        ["hub", "node", "n", "size", "lacks", "extra", "settled"])
 
     out = own.groupBy("k1", "k2").cogroup(hubs.groupBy("k1", "k2")).applyInArrow(
-        compare, "hub long, node binary, n long, members long, size long, lacks binary, extra binary, settled boolean")
+        compare, "hub long, node binary, n long, size long, lacks binary, extra binary, settled boolean")
     return written(out, "join-differences")
 
 
@@ -414,31 +453,26 @@ def _links(n: np.ndarray, size: int, lacks: list, extra: list, settled: np.ndarr
     return _spanning(linked | linked.T)
 
 
-def links(found: DataFrame, similar: int) -> DataFrame:
-    """(a, b) nodes: a spanning forest of the links within buckets, from the frame ``differences``."""
+def large_links(found: DataFrame, similar: int) -> DataFrame:
+    """(a, b) nodes: a spanning forest of the links within large buckets, from the frame ``differences``."""
     d, e = F.length("lacks") / 4, F.length("extra") / 8
-    single = F.col("members") <= BLOCK
-    cell = F.when(single, F.lit(0)).otherwise(F.xxhash64(_size_class(similar), F.floor(d * 16 / F.col("size"))))
+    cell = F.xxhash64(_size_class(similar), F.floor(d * 16 / F.col("size")))
     placed = found.select("*", cell.alias("cell"), d.alias("d"), e.alias("e"))
     cells = placed.groupBy("hub", "cell").agg(F.count("*").alias("held"))
-    spread = placed.join(cells, ["hub", "cell"]).withColumn(
-        "block", F.when(single, F.lit(0).cast("long")).otherwise(F.xxhash64("cell", F.pmod(F.xxhash64("node", F.lit(11)), F.ceil(F.col("held") / BLOCK)))))
-    spread = written(spread.drop("cell", "held"), "join-blocks")
-    ranges = spread.groupBy("hub", "members", "block").agg(
+    block = F.xxhash64("cell", F.pmod(F.xxhash64("node", F.lit(11)), F.ceil(F.col("held") / BLOCK)))
+    spread = written(placed.join(cells, ["hub", "cell"]).withColumn("block", block).drop("cell", "held"), "join-blocks")
+    ranges = spread.groupBy("hub", "block").agg(
         *[f(c).alias(f"{name}_{c}") for c in ("n", "d", "e") for name, f in (("lo", F.min), ("hi", F.max))], F.min("settled").alias("done"))
-    left, right = (ranges.select("hub", "members", *[F.col(c).alias(f"{s}_{c}") for c in ranges.columns if c not in ("hub", "members")]) for s in "xy")
+    left, right = (ranges.select("hub", *[F.col(c).alias(f"{s}_{c}") for c in ranges.columns if c != "hub"]) for s in "xy")
     gap = lambda c: F.greatest(F.col(f"x_lo_{c}") - F.col(f"y_hi_{c}"), F.col(f"y_lo_{c}") - F.col(f"x_hi_{c}"), F.lit(0))
     # |y - z| + |z - y| is at least the gaps in what is lacking and in what is extra
     room = (F.col("x_hi_n") + F.col("y_hi_n")) * (100 - similar) / (100 + similar)
     able = (F.greatest("x_lo_n", "y_lo_n") * similar <= F.least("x_hi_n", "y_hi_n") * 100) & (gap("d") + gap("e") <= room)
-    met = left.join(right, ["hub", "members"]).where("x_block <= y_block AND NOT (x_done AND y_done)").where(able)
+    met = left.join(right, "hub").where("x_block <= y_block AND NOT (x_done AND y_done)").where(able)
     met = met.select("hub", F.col("x_block").alias("i"), F.col("y_block").alias("j"))
-    sides = [spread.withColumnRenamed("block", "i").join(met, ["hub", "i"]).withColumn("side", F.lit(0)),
-             spread.withColumnRenamed("block", "j").join(met.where("i <> j"), ["hub", "j"]).withColumn("side", F.lit(1))]
-    bins = max(1, found.where(single).count() // BLOCK + 1)
-    key = F.when(single, F.pmod("hub", F.lit(bins))).otherwise(F.col("hub")).alias("key")
     columns = ["i", "j", "hub", "node", "n", "size", "lacks", "extra", "settled", "side"]
-    rows = sides[0].select(key, *columns).unionByName(sides[1].select(key, *columns))
+    rows = spread.withColumnRenamed("block", "i").join(met, ["hub", "i"]).withColumn("side", F.lit(0)).select(*columns).unionByName(
+        spread.withColumnRenamed("block", "j").join(met.where("i <> j"), ["hub", "j"]).withColumn("side", F.lit(1)).select(*columns))
 
     def meet(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -457,7 +491,7 @@ def links(found: DataFrame, similar: int) -> DataFrame:
         pick = lambda parts: node.take(pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
         return pa.table([pick(a), pick(b)], ["a", "b"])
 
-    others = rows.groupBy("key", "i", "j").applyInArrow(meet, "a binary, b binary")
+    others = rows.groupBy("hub", "i", "j").applyInArrow(meet, "a binary, b binary")
     heads = found.where(F.xxhash64("node") == F.col("hub")).groupBy("hub").agg(F.min("node").alias("b"))
     to_hub = found.where("settled").join(heads, "hub").select(F.col("node").alias("a"), "b")
     return to_hub.unionByName(others)
@@ -477,7 +511,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = written(buckets(prefixes(docs, sketch, text_col, shingle, similar), similar), "join-candidates")
     members = plausible(found, similar)
     sets = full_sets(docs, members.select("node").distinct(), text_col, shingle)
-    label = components(links(differences(members, sets, similar), similar))
+    few = F.col("members") <= BLOCK
+    found = small_links(members.where(few), sets, similar).unionByName(large_links(differences(members.where(~few), sets, similar), similar))
+    label = components(found)
     named = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(label, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
     first = named.groupBy("component").agg(F.min("least").alias("component_id"))
