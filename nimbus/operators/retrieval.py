@@ -31,6 +31,8 @@ DEFAULT_OVERLAP = 20
 DEFAULT_MAX_BROADCAST_QUERIES = 20_000
 #: Queries and items of a block: the two matrices one task multiplies.
 QUERY_BLOCK, ITEM_BLOCK = 4_096, 65_536
+#: Texts and characters of a step of ``embed_digest``: what a task hashes at once.
+TEXTS_STEP, CHARS_STEP = 1_024, 1 << 21
 
 
 def tokens(text: Column | str) -> Column:
@@ -73,27 +75,48 @@ def embed_hash(df: DataFrame, text: str = "text", dim: int = 256, out: str = "em
 
 def embed_digest(df: DataFrame, text: str = "text", dim: int = 256, out: str = "embedding") -> DataFrame:
     """V2 built-in: like ``embed_hash``, but a term's place is the first 32 bits of its MD5
-    modulo ``dim``, which every SQL engine can compute. Each Arrow batch hashes its distinct
-    terms once. A null text has the zero vector. Components are double."""
-    empty = F.array().cast("array<string>")
-    terms = F.coalesce(tokens(F.lower(F.col(text))), empty)
+    modulo ``dim``, which every SQL engine can compute. A batch goes through in steps of bounded
+    size, each of which hashes its distinct terms once. A null text has the zero vector. Components are double."""
+    # one string per text: its terms do not leave Arrow, and no term holds a blank
+    terms = F.coalesce(F.array_join(tokens(F.lower(F.col(text))), " "), F.lit(""))
 
     @F.pandas_udf("array<double>")
-    def place(lists: pd.Series) -> pd.Series:
-        counts = np.array([len(x) for x in lists], dtype=np.int64)
-        flat = [t for x in lists for t in x]
-        names, which = np.unique(np.array(flat, dtype=object), return_inverse=True) if flat else (np.array([]), np.zeros(0, np.int64))
-        at = np.array([int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dim for t in names], dtype=np.int64)
-        owner = np.repeat(np.arange(len(lists)), counts)
-        rows = np.zeros((len(lists), dim))
-        if flat:
-            np.add.at(rows, (owner, at[which]), 1)
-        size = np.sqrt((rows**2).sum(1, keepdims=True))
-        return pd.Series(list(rows / np.where(size == 0, 1, size)))
+    def place(texts: pd.Series) -> pd.Series:
+        rows: list[np.ndarray] = []
+        for some in _steps(texts):
+            rows.extend(_digest_rows(some, dim))
+        return pd.Series(rows, dtype=object)
 
     return df.withColumn(out, place(terms))
 
 
+def _steps(texts: pd.Series):
+    """The texts in order, a bounded number of texts and (but for a longer single text) characters at a time."""
+    ends = np.cumsum(texts.str.len().to_numpy(np.int64)) if len(texts) else np.zeros(0, np.int64)
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        end = int(np.searchsorted(ends, before + CHARS_STEP, "right"))
+        end = min(max(end, at + 1), at + TEXTS_STEP)
+        yield texts.iloc[at:end]
+        at = end
+
+
+def _digest_rows(texts: pd.Series, dim: int) -> np.ndarray:
+    """(texts, dim): the unit rows of ``embed_digest``, of terms joined by one blank."""
+    lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    coded = pc.dictionary_encode(lists.flatten())
+    names = coded.dictionary.to_pylist()
+    at = np.array([int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dim for t in names], dtype=np.int64)
+    owner = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+    which = coded.indices.to_numpy(zero_copy_only=False)
+    # the one empty piece of a text without terms
+    held = np.array([bool(t) for t in names], dtype=bool)[which]
+    rows = np.bincount(owner[held] * dim + at[which[held]], minlength=len(texts) * dim).reshape(len(texts), dim).astype(np.float64)
+    size = np.sqrt((rows**2).sum(1, keepdims=True))
+    return rows / np.where(size == 0, 1, size)
+
+
 def embed(df: DataFrame, fn: Callable | None = None, text: str = "text", out: str = "embedding") -> DataFrame:
     """V2 hook: ``fn`` is a pandas UDF (Series[str] -> Series[list[float]]), e.g. a
     model client; without it the built-in hashed embedding is used."""

@@ -136,3 +136,17 @@ def test_top_k_with_few_digits_agrees(spark, sf_small):
     queries = index.limit(3).select(F.col("item_id").alias("qid"), F.col("embedding").alias("q_embedding"))
     got = [sorted(map(tuple, retrieval.top_k(queries, index, 5, digits=2, method=m).collect())) for m in ("numpy", "native")]
     assert got[0] == got[1]
+
+
+def test_digest_embedding_goes_in_steps(monkeypatch):
+    """Texts are hashed a bounded number of characters at a time, and none is left out."""
+    import pandas as pd
+
+    monkeypatch.setattr(retrieval, "CHARS_STEP", 50)
+    monkeypatch.setattr(retrieval, "TEXTS_STEP", 4)
+    texts = pd.Series(["wind rain", "", "x" * 200, "a", "b", "c", "d", "e", "wind", "é wind é"])
+    steps = list(retrieval._steps(texts))
+    assert [t for s in steps for t in s] == list(texts)
+    assert all(len(s) <= 4 and (len(s) == 1 or s.str.len().sum() <= 50) for s in steps)
+    rows = np.concatenate([retrieval._digest_rows(s, 16) for s in steps])
+    assert np.allclose(rows, retrieval._digest_rows(texts, 16)) and not rows[1].any() and np.isclose(np.linalg.norm(rows[9]), 1)
