@@ -29,8 +29,12 @@ from nimbus.session import materialised
 DEFAULT_CHUNK_TOKENS = 256
 DEFAULT_OVERLAP = 20
 DEFAULT_MAX_BROADCAST_QUERIES = 20_000
-#: Queries and items of a block: the two matrices one task multiplies.
-QUERY_BLOCK, ITEM_BLOCK = 4_096, 65_536
+#: Queries and items of a block at most: what one task of a search holds.
+QUERY_BLOCK, ITEM_BLOCK = 16_384, 65_536
+#: Numbers in the vectors of a block at most (32 MB of doubles): long vectors make smaller blocks.
+BLOCK_VALUES = 1 << 22
+#: Queries and items whose scores a task holds at once.
+QUERY_TILE, ITEM_TILE = 1_024, 2_048
 #: Texts and characters of a step of ``embed_digest``: what a task hashes at once.
 TEXTS_STEP, CHARS_STEP = 1_024, 1 << 21
 
@@ -170,7 +174,7 @@ def _unit_rows(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
         return rows, np.zeros((0, 0))
     matrix = _as_matrix([np.array(lists[int(k)].as_py(), dtype=np.float64) for k in rows]) if len(set(sizes[rows])) > 1 else None
     if matrix is None:
-        flat = lists.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        flat = lists.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
         with np.errstate(invalid="ignore", divide="ignore"):
             matrix = flat.reshape(len(rows), -1)
             matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -178,36 +182,70 @@ def _unit_rows(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
     return rows[usable], matrix[usable]
 
 
+def _better(score: np.ndarray, sims: np.ndarray, k: int, digits: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, similarity) of a tile's scores that may enter the rows' best ``k``, of which
+    ``score`` has those so far (-inf: none). The tile's items come after all before it, so an
+    equal score does not enter."""
+    least = score[:, -1]
+    slack = 0.0 if digits is None else 10.0**-digits
+    width = sims.shape[1]
+    if width > k and np.isinf(least).any():
+        # no bound yet: the tile's own k-th score is one
+        bound = np.partition(sims, width - k, axis=1)[:, width - k] - slack
+        row, column = np.nonzero(sims >= np.maximum(bound, least)[:, None])
+    else:
+        # what rounds to more than the bound, which is rounded
+        row, column = np.nonzero(sims > (least + 0.4 * slack)[:, None])
+    found = sims[row, column]
+    if digits is not None:
+        found = np.round(found, digits)
+    enters = found > least[row]
+    return row[enters], column[enters], found[enters]
+
+
 def block_scorer(k: int, qid: str, iid: str, qvec: str, ivec: str, digits: int | None):
     """cogroup body: a block of queries against a block of items, the best ``k`` items per
-    query (cosine, ties to the smaller item id). Items go through in tiles, so the score
-    matrix stays small."""
+    query (cosine, ties to the smaller item id). Items and queries go through in tiles, so that
+    beside the two blocks only a tile's scores and the best so far are held."""
 
     def meet(queries: pa.Table, items: pa.Table) -> pa.Table:
-        items = items.take(pc.sort_indices(items, sort_keys=[(iid, "ascending")])) if len(items) else items
-        rows, x = _unit_rows(items, ivec) if len(items) else (np.zeros(0, int), None)
-        asked, q = _unit_rows(queries, qvec) if len(queries) else (np.zeros(0, int), None)
-        picked: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(asked)
-        for low in range(0, len(rows) if len(asked) else 0, 8_192):
-            sims = x[low : low + 8_192] @ q.T
-            if digits is not None:
-                sims = np.round(sims, digits)
-            for j in range(len(asked)):
-                column = sims[:, j]
-                near = np.arange(len(column))
-                if len(near) > k:
-                    near = np.flatnonzero(column >= np.partition(column, len(column) - k)[len(column) - k])
-                at, score = np.concatenate([picked[j][0], near + low]), np.concatenate([picked[j][1], column[near]])
-                best = np.argsort(-score, kind="stable")[:k]  # items are in order of id
-                picked[j] = at[best], score[best]
-        which = pa.array(np.repeat(asked, [len(a) for a, _ in picked]).astype(np.int64))
-        found = pa.array(rows[np.concatenate([a for a, _ in picked])] if len(asked) and len(rows) else np.zeros(0, np.int64))
-        score = np.concatenate([v for _, v in picked]) if len(asked) and len(rows) else np.zeros(0)
-        return pa.table([queries.column(qid).take(which), items.column(iid).take(found), pa.array(score)], [qid, iid, "similarity"])
+        asked, q = _unit_rows(queries, qvec) if len(queries) and len(items) else (np.zeros(0, int), np.zeros((0, 0)))
+        order = pc.sort_indices(items, sort_keys=[(iid, "ascending")]).to_numpy() if len(asked) and k > 0 else np.zeros(0, int)
+        score, place = np.full((len(asked), k), -np.inf), np.full((len(asked), k), -1, np.int64)
+        vectors = items.column(ivec)
+        for low in range(0, len(order), ITEM_TILE):
+            some = order[low : low + ITEM_TILE]
+            rows, x = _unit_rows(pa.table({ivec: vectors.take(pa.array(some))}), ivec)
+            if not len(rows):
+                continue
+            for first in range(0, len(asked), QUERY_TILE):
+                last = min(first + QUERY_TILE, len(asked))
+                row, column, found = _better(score[first:last], q[first:last] @ x.T, k, digits)
+                if not len(row):
+                    continue
+                # the best k of those so far and the new ones; earlier items stand first
+                hit, own = np.unique(row, return_inverse=True)
+                held_score, held_place = score[first + hit], place[first + hit]
+                owner = np.concatenate([np.repeat(np.arange(len(hit)), k), own])
+                every = np.concatenate([held_score.reshape(-1), found])
+                at = np.concatenate([held_place.reshape(-1), low + rows[column]])
+                best = np.lexsort((at, -every, owner))
+                starts = np.searchsorted(owner[best], np.arange(len(hit)))
+                best = best[starts[:, None] + np.arange(k)]
+                score[first + hit], place[first + hit] = every[best], at[best]
+        query, rank = np.nonzero(place >= 0)
+        which = pa.array(asked[query].astype(np.int64))
+        found = pa.array(order[place[query, rank]].astype(np.int64))
+        return pa.table([queries.column(qid).take(which), items.column(iid).take(found), pa.array(score[query, rank])], [qid, iid, "similarity"])
 
     return meet
 
 
+def block_rows(dim: int | None) -> int:
+    """Vectors of ``dim`` numbers that a block holds at most."""
+    return max(1, BLOCK_VALUES // max(1, dim or 1))
+
+
 def ranked(scored: DataFrame, k: int, qid: str, iid: str) -> DataFrame:
     """The best ``k`` per query of (qid, iid, similarity); row_number's limit runs before the shuffle."""
     w = Window.partitionBy(qid).orderBy(F.desc("similarity"), F.asc(iid))
@@ -246,7 +284,10 @@ def top_k(queries: DataFrame, index: DataFrame, k: int, qid: str = "qid", iid: s
     spark = index.sparkSession
     extra = [on] if on and on != qid else []
     asked = materialised(queries.select(qid, qvec, *extra), "top-k-queries")
-    query_blocks = max(1, -(-asked.count() // query_block))
+    held, dim = asked.agg(F.count(F.lit(1)), F.max(F.size(qvec))).first()
+    most = block_rows(dim)
+    query_block, item_block = min(query_block, most), min(item_block, most)
+    query_blocks = max(1, -(-held // query_block))
     item_blocks = max(-(-index.count() // item_block), spark.sparkContext.defaultParallelism)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     deal = lambda c, v, n: F.pmod(F.xxhash64(c, v), F.lit(n)).cast("int")

@@ -28,6 +28,8 @@ MAX_LISTS = 65_536
 #: Vectors the centroids are trained on, per list (a sample by hash of the id; the index holds every vector).
 TRAINED_PER_LIST = 256
 _SEED, _ROUNDS = 5, 12
+#: Scores of vectors against centroids a task holds at once.
+_SCORES = 1 << 20
 
 
 def _usable(df: DataFrame, vec: str) -> DataFrame:
@@ -62,8 +64,13 @@ def _closest(centres: np.ndarray, n: int):
     def closest(vectors: pd.Series) -> pd.Series:
         if not len(vectors):
             return pd.Series([], dtype=object)
-        near = np.argsort(-(np.stack([np.asarray(v, np.float64) for v in vectors]) @ centres.T), axis=1, kind="stable")[:, :n]
-        return pd.Series(list(near.astype(np.int32)))
+        # a bounded number of scores at a time, however many lists there are
+        step = max(1, _SCORES // len(centres))
+        near: list[np.ndarray] = []
+        for low in range(0, len(vectors), step):
+            some = np.stack([np.asarray(v, np.float64) for v in vectors.iloc[low : low + step]]) @ centres.T
+            near.extend(np.argsort(-some, axis=1, kind="stable")[:, :n].astype(np.int32))
+        return pd.Series(near, dtype=object)
 
     return closest
 
@@ -113,6 +120,8 @@ def search(queries: DataFrame, path: str, k: int, probes: int, qid: str = "qid",
         return spark.createDataFrame([], f"{qid} {types[qid]}, rank int, {iid} {types.get(iid, 'long')}, similarity double")
     usable = _usable(queries.select(qid, qvec), qvec)
     probing = materialised(usable.withColumn("list_id", F.explode(_closest(centres, min(probes, len(centres)))(qvec))), "probing")
+    most = retrieval.block_rows(centres.shape[1])
+    query_block, item_block = min(query_block, most), min(item_block, most)
     # one number per list on either side
     asked = probing.groupBy("list_id").agg(F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("_qn"))
     lists = sorted(r["list_id"] for r in asked.select("list_id").collect())

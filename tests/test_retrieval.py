@@ -138,6 +138,37 @@ def test_top_k_with_few_digits_agrees(spark, sf_small):
     assert got[0] == got[1]
 
 
+def test_block_scorer_holds_a_tile_of_scores():
+    """What a task of a search holds beside its blocks does not grow with them, and the result is brute force's, ties included."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(3)
+    pool = rnd.normal(size=(300, 8))  # most vectors come several times
+    q, x = pool[rnd.integers(0, 300, 3_000)], pool[rnd.integers(0, 300, 9_000)]
+    ids = rnd.permutation(9_000)
+    queries = pa.table({"qid": np.arange(3_000), "v": pa.array(list(q), pa.list_(pa.float64()))})
+    items = pa.table({"item_id": ids, "e": pa.array(list(x), pa.list_(pa.float64()))})
+    tracemalloc.start()
+    got = retrieval.block_scorer(4, "qid", "item_id", "v", "e", 9)(queries, items).to_pydict()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20  # the scores of 3,000 queries and 8,192 items alone take 197 MB
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    order = np.argsort(ids)
+    sims = np.round(unit(q) @ unit(x[order]).T, 9)
+    want = np.argsort(-sims, axis=1, kind="stable")[:, :4]
+    found = {}
+    for a, b in zip(got["qid"], got["item_id"]):
+        found.setdefault(a, []).append(b)
+    assert all(sorted(found[i]) == sorted(want[i].tolist()) for i in range(3_000))
+
+
+def test_block_of_long_vectors_is_smaller(spark, sf_small):
+    assert retrieval.block_rows(256) * 256 <= retrieval.BLOCK_VALUES and retrieval.block_rows(None) > 1 and retrieval.block_rows(1 << 30) == 1
+
+
 def test_digest_embedding_goes_in_steps(monkeypatch):
     """Texts are hashed a bounded number of characters at a time, and none is left out."""
     import pandas as pd
