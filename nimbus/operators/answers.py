@@ -104,7 +104,8 @@ def answer_chunks(questions: DataFrame, chunks: DataFrame, k: int = 3, titles: d
     embed = embed or (lambda df, column, out: retrieval.embed_digest(df, column, out=out))
     texts = questions.select(F.col(question).alias("_q")).where("_q IS NOT NULL").distinct().withColumn("_qid", F.xxhash64("_q"))
     asked = embed(texts, "_q", "_qv")
-    index = chunks if "embedding" in chunks.columns else embed(chunks, "chunk", "embedding")
+    # embedded once; both searches and the join that shows the chunks read it
+    index = chunks if "embedding" in chunks.columns else materialised(embed(chunks, "chunk", "embedding"), "embedded-chunks")
     # ties go to the smaller document, then the earlier chunk
     digits = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
     index = index.withColumn("_key", F.concat_ws(":", digits("doc_id", 20), digits("chunk_no", 10)))

@@ -119,3 +119,21 @@ def test_report_folds_once_and_joins_once(spark, sf_small):
     # the station dimension's broadcast join and the join with the bundles
     assert len(folds) == 1 and len(joins) == 2
     assert "IN (" in plan or "INSET" in plan  # stations pruned before the fold
+
+
+def test_chunks_are_embedded_once(spark, chunks):
+    """Both searches and the join that shows the chunks read one embedding of them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def embed(df, column, out):
+        @F.udf("array<double>")
+        def count(t):
+            seen.add(1)
+            return [1.0, float(len(t))]
+
+        return df.withColumn(out, count(column))
+
+    questions = spark.createDataFrame([(1, "what about the winters?"), (2, "ice or beach?")], "qid long, question string")
+    found = answers.answer_chunks(questions, chunks, k=2, titles={"winter": "Winter"}, embed=embed)
+    asked_and_chunks = 2 * 2 + chunks.count()  # the questions of either search
+    assert found.count() == 3 and seen.value <= asked_and_chunks
