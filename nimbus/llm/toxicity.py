@@ -277,5 +277,5 @@ def reject(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     limits = F.lit(model.threshold)
     for lang, limit in sorted(model.thresholds.items()) if "lang" in at else ():
         limits = F.when(F.col(at["lang"]) == lang, F.lit(limit)).otherwise(limits)
-    marked = score(docs.toDF(*places), model, at["text"], keep=tuple(places))
+    marked = score(docs.toDF(*places), model, text_col=at["text"], keep=tuple(places))
     return marked.where(F.col("score") < limits).select(*places).toDF(*docs.columns)
