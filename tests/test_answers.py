@@ -137,3 +137,21 @@ def test_chunks_are_embedded_once(spark, chunks):
     found = answers.answer_chunks(questions, chunks, k=2, titles={"winter": "Winter"}, embed=embed)
     asked_and_chunks = 2 * 2 + chunks.count()  # the questions of either search
     assert found.count() == 3 and seen.value <= asked_and_chunks
+
+
+def test_few_observations_are_sent_to_the_questions(spark, sf_small, monkeypatch):
+    """Questions, whose days are few keys, are not shuffled by day for a bounded number of observations; the rows are the same either way."""
+    gazetteer = report.station_dim(spark).withColumnRenamed("location", "place")
+    routed = answers.dated(spark.createDataFrame(QUESTIONS + [(None, "Ede or Eindhoven on January 5, 2024"), (1, "Eindhoven in January, 2024")], "qid long, question string"))
+    assert routed.count() == len(QUESTIONS) + 2
+    obs = observations(spark, sf_small)
+    rows, routes = [], []
+    for most in (answers.MAX_SENT, 0):
+        monkeypatch.setattr(answers, "MAX_SENT", most)
+        found = answers.answer_rows(routed, obs, gazetteer, default=["Maastricht"])
+        final = answers.final_routes(routed, obs, gazetteer, default=["Maastricht"])
+        if most:
+            assert "hashpartitioning(station" not in found._jdf.queryExecution().executedPlan().toString()
+        rows.append(sorted(found.collect(), key=repr))
+        routes.append(sorted(final.collect(), key=repr))
+    assert rows[0] == rows[1] and len(rows[0]) > 0 and routes[0] == routes[1]
