@@ -8,9 +8,10 @@ buckets counted over all documents, so its size never grows), rare ones first.
 Linked sets share a shingle of their prefixes in this order, whatever the order
 is. An index list holds a prefix shingle's nodes of two neighbouring size classes;
 the node with the smallest hash is the list's hub, and lists of one hub are one
-bucket, so linked sets meet in a bucket at least. Members of a bucket that differ
-from every other in more parity bits than a link allows share that shingle by
-chance and go before any set is read.
+bucket, so linked sets meet in a bucket at least. Two members that differ in more
+parity bits than a link allows share that shingle by chance: before any set is read
+a bucket falls apart into what the other pairs join, each with a hub of its own, and
+the same set of nodes from many buckets is one bucket again.
 
 Within a bucket the hub's answers are computed first: the overlap of every member
 with the hub, kept as what the member lacks of the hub and what it has besides.
@@ -191,11 +192,25 @@ def wanted_bits(keys: DataFrame) -> np.ndarray:
     return out
 
 
+def likely(frame: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``frame`` whose first column is among ``keys`` (a one-column frame), and few others; nothing is shuffled."""
+    bitmap = frame.sparkSession.sparkContext.broadcast(wanted_bits(keys))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = bitmap.value
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(_hits(bits, batch.column(0))))
+
+    return frame.mapInArrow(run, frame.schema)
+
+
 def full_sets(docs: DataFrame, nodes: DataFrame, text_col: str, shingle: int) -> DataFrame:
     """(node, shingles): the whole set of every node of the frame ``nodes`` (node), and of few others.
 
     Texts stay where they are: their sets are made again, and what the bitmap of wanted nodes
-    rules out goes at once, as do further copies of a node within a task; copies in other tasks stay.
+    rules out goes at once, as do further copies of a node within a task; copies in other tasks stay
+    in the table and go on the way to a join.
     """
     wanted = docs.sparkSession.sparkContext.broadcast(wanted_bits(nodes))
 
@@ -232,20 +247,17 @@ def buckets(found: DataFrame, similar: int) -> DataFrame:
     several = (F.count(F.lit(1)) > 1) & F.max("early")
     shared = written(lists.groupBy("token").agg(several.alias("shared")).where("shared").select("token"), "join-shared")
     # a bitmap keeps most shingles of one set alone from the join
-    bitmap = found.sparkSession.sparkContext.broadcast(wanted_bits(shared))
-
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(_hits(bits, batch.column(0))))
-
-    kept = lists.mapInArrow(likely, "token long, h long, class int, early boolean").join(shared, "token")
+    kept = likely(lists, shared).join(shared, "token")
     entries = written(kept.select("token", "h", "early", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class")), "join-lists")
     hubs = entries.groupBy("token", "class").agg(F.min("h").alias("hub"), several.alias("shared")).where("shared").select("token", "class", "hub")
     pairs = written(entries.join(hubs, ["token", "class"]).select("hub", "h").distinct(), "join-members")
-    sizes = pairs.groupBy("hub").agg(F.count("*").alias("members"))
-    return pairs.join(found.select(own, "node", "n", "parity"), "h").drop("h").join(sizes, "hub")
+    # the thin rows are counted before parities, the most of a member, come to them
+    return _counted(pairs).join(found.select(own, "node", "n", "parity"), "h").drop("h")
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number of members of their hub."""
+    return rows.join(rows.groupBy("hub").agg(F.count("*").alias("members")), "hub")
 
 
 def _grouped(column: np.ndarray) -> Iterator[np.ndarray]:
@@ -255,9 +267,9 @@ def _grouped(column: np.ndarray) -> Iterator[np.ndarray]:
     return iter(np.split(order, edges)) if len(order) else iter(())
 
 
-def _partnered(n: np.ndarray, parity: list[np.ndarray], similar: int) -> np.ndarray:
-    """Whether size and parity leave a member any partner; members are in order of size."""
-    out = np.zeros(len(n), bool)
+def _near_classes(n: np.ndarray, parity: list[np.ndarray], similar: int) -> np.ndarray:
+    """Per member the first of those that pairs of fitting size and parity join it with (itself, if none); members are in order of size."""
+    label = np.arange(len(n))
     lengths = np.array([len(p) for p in parity])
     folded: dict[int, np.ndarray] = {}
     for k in range(len(n)):
@@ -272,33 +284,40 @@ def _partnered(n: np.ndarray, parity: list[np.ndarray], similar: int) -> np.ndar
                 folded[words][j] = np.bitwise_xor.reduce(parity[j].reshape(-1, words))
         differ = np.bitwise_count(folded[words][k + 1 : end] ^ parity[k]).sum(1)
         near = differ <= (n[k] + n[k + 1 : end]) * (100 - similar) // (100 + similar)
-        out[k + 1 : end] |= near
-        out[k] |= near.any()
-    return out
+        met = label[k + 1 : end][near]
+        if (met != label[k]).any():
+            met = np.append(met, label[k])
+            label[np.isin(label, met)] = met.min()
+    return label
 
 
 def plausible(members: DataFrame, similar: int) -> DataFrame:
-    """``members`` (hub, node, n, members) of which size and parity allow a link, and their hubs.
+    """(hub, node, n, members): the buckets that are left where size and parity allow a link.
 
+    Members that such pairs join stay together, under the one of smallest hash among them; so the nodes of
+    a link, which share many shingles, are one bucket, whatever others held these shingles by chance.
     Buckets above ``BLOCK`` members stay as they are: there links are decided block by block.
     """
     few = members.where(F.col("members") <= BLOCK)
     bins = max(1, few.count() // BLOCK + 1)
-    names = ["hub", "node", "n", "members"]
 
     def sift(table: pa.Table) -> pa.Table:
         table = table.sort_by([("hub", "ascending"), ("n", "ascending")]).combine_chunks()
-        n, own = table.column("n").to_numpy(), table.column("own").to_numpy().astype(bool)
+        n, hub, own = (table.column(c).to_numpy() for c in ("n", "hub", "own"))
         parity = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("parity")]
-        keep = np.zeros(len(n), bool)
-        for rows in _grouped(table.column("hub").to_numpy()):
-            near = _partnered(n[rows], [parity[k] for k in rows], similar)
-            keep[rows] = near | (own[rows] & near.any())
-        return table.select(names).filter(pa.array(keep))
+        keep, least = np.zeros(len(n), bool), np.zeros(len(n), np.int64)
+        for rows in _grouped(hub):
+            label = _near_classes(n[rows], [parity[k] for k in rows], similar)
+            keep[rows] = np.bincount(label, minlength=len(rows))[label] > 1
+            low = np.full(len(rows), np.iinfo(np.int64).max)
+            np.minimum.at(low, label, own[rows])
+            least[rows] = low[label]
+        return pa.table([pa.array(least), table.column("node"), table.column("n")], ["hub", "node", "n"]).filter(pa.array(keep))
 
-    own = (F.xxhash64("node") == F.col("hub")).alias("own")
-    sifted = few.select(F.pmod("hub", F.lit(bins)).alias("bin"), *names, "parity", own).groupBy("bin").applyInArrow(sift, "hub long, node binary, n long, members long")
-    return written(sifted.unionByName(members.where(F.col("members") > BLOCK).select(*names)), "join-buckets")
+    sifted = few.select(F.pmod("hub", F.lit(bins)).alias("bin"), "hub", "node", "n", "parity", F.xxhash64("node").alias("own")).groupBy("bin").applyInArrow(
+        sift, "hub long, node binary, n long")
+    left = written(sifted.unionByName(members.where(F.col("members") > BLOCK).select("hub", "node", "n")).distinct(), "join-sifted")
+    return written(_counted(left), "join-buckets")
 
 
 def _compared(core: np.ndarray, own: np.ndarray, similar: int) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -311,41 +330,25 @@ def _compared(core: np.ndarray, own: np.ndarray, similar: int) -> tuple[np.ndarr
     return np.flatnonzero(missing), own[~shared], 100 * both >= similar * (len(core) + len(own) - both)
 
 
-def _first_of_each(table: pa.Table) -> pa.Table:
-    """One row per hub and node: a set may have come from several tasks."""
-    rows: dict = {}
-    for k, pair in enumerate(zip(table.column("hub").to_pylist(), table.column("node").to_pylist())):
-        rows.setdefault(pair, k)
-    return table.take(pa.array(list(rows.values()), pa.int64())).combine_chunks()
-
-
-def _with_sets(members: DataFrame, sets: DataFrame, keys: list, places) -> tuple[DataFrame, DataFrame]:
-    """Members and hubs with their sets, both by ``keys``; a hub goes to all ``places`` (array of k2) of its members."""
-    own = members.select("hub", "node", "n", "members", *keys).join(sets, "node")
-    each = members.where(F.xxhash64("node") == F.col("hub")).groupBy("hub", "members").agg(F.min("node").alias("node"))
-    hubs = each.select("hub", "node", keys[0], F.explode(places).alias("k2")).join(sets, "node")
-    # columns of their own, apart from those of ``own``, which has the same ancestors
-    return own, hubs.select(*[F.col(c).alias(f"{c}_") for c in ("k1", "k2", "hub", "node", "shingles")]).toDF("k1", "k2", "hub", "head", "core")
-
-
 def small_links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """(a, b) nodes: a spanning forest of the links within buckets of at most ``BLOCK`` members, each in one task."""
     bins = max(1, members.count() // BLOCK + 1)
-    own, hubs = _with_sets(members, sets, [F.pmod("hub", F.lit(bins)).alias("k1"), F.lit(0).alias("k2")], F.array(F.lit(0)))
+    head = (F.xxhash64("node") == F.col("hub")).alias("head")
+    own = members.select(F.pmod("hub", F.lit(bins)).alias("bin"), "hub", "node", "n", head).join(sets.dropDuplicates(["node"]), "node")
 
-    def settle(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = _first_of_each(left)
-        heads = dict(zip(right.column("hub").to_pylist(), zip(right.column("head").to_pylist(), right.column("core").to_pylist())))
-        node, shingles_, n = left.column("node").to_pylist(), left.column("shingles"), left.column("n").to_numpy()
+    def settle(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, n, head = table.column("node").to_pylist(), table.column("n").to_numpy(), table.column("head").to_numpy().astype(bool)
+        own = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles")]
         a, b = [], []
-        for rows in _grouped(left.column("hub").to_numpy()):
-            head, core = heads[left.column("hub")[int(rows[0])].as_py()]
-            core = np.frombuffer(core, np.uint64)
-            lacks, extra, linked = zip(*[_compared(core, np.frombuffer(shingles_[int(k)].as_buffer(), np.uint64), similar) for k in rows])
+        for rows in _grouped(table.column("hub").to_numpy()):
+            top = rows[np.argmax(head[rows])]
+            core = own[top]
+            lacks, extra, linked = zip(*[_compared(core, own[k], similar) for k in rows])
             settled = np.array(linked)
             for k in rows[settled]:
                 a.append(node[k])
-                b.append(head)
+                b.append(node[top])
             if not settled.all():
                 root = _links(n[rows], len(core), [x.astype(np.uint64) for x in lacks], list(extra), settled, np.zeros(len(rows), int), similar)
                 for k in np.flatnonzero(root != np.arange(len(rows))):
@@ -353,7 +356,7 @@ def small_links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
                     b.append(node[rows[root[k]]])
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    return own.groupBy("k1", "k2").cogroup(hubs.groupBy("k1", "k2")).applyInArrow(settle, "a binary, b binary")
+    return own.groupBy("bin").applyInArrow(settle, "a binary, b binary")
 
 
 def differences(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
@@ -363,11 +366,17 @@ def differences(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     it has not; ``settled`` says that member and hub are linked. A bucket is spread over tasks.
     """
     parts = F.ceil(F.col("members") / BLOCK)
-    keys = [F.col("hub").alias("k1"), F.pmod(F.xxhash64("node", F.lit(3)), parts).cast("int").alias("k2")]
-    own, hubs = _with_sets(members, sets, keys, F.sequence(F.lit(0), parts.cast("int") - 1))
+    sets = likely(sets, members.select("node").distinct()).dropDuplicates(["node"])
+    place = F.pmod(F.xxhash64("node", F.lit(3)), parts).cast("int").alias("place")
+    own = members.select("hub", "node", "n", place).join(sets, "node")
+    # a hub goes to all places of its members
+    each = members.where(F.xxhash64("node") == F.col("hub")).groupBy("hub", "members").agg(F.min("node").alias("node"))
+    hubs = each.join(sets, "node").select("hub", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)).alias("place"), F.col("shingles").alias("core"))
+    # columns of their own, apart from those of ``own``, which has the same ancestors
+    hubs = hubs.select(*[F.col(c).alias(f"{c}_") for c in hubs.columns]).toDF(*hubs.columns)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = _first_of_each(left)
+        left = left.combine_chunks()
         cores = {h: np.frombuffer(s, np.uint64) for h, s in zip(right.column("hub").to_pylist(), right.column("core").to_pylist())}
         size, lacks, extra, settled = [], [], [], []
         for hub, blob in zip(left.column("hub").to_pylist(), left.column("shingles")):
@@ -380,7 +389,7 @@ def differences(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
         return pa.table([*columns, pa.array(size, pa.int64()), pa.array(lacks, pa.binary()), pa.array(extra, pa.binary()), pa.array(settled, pa.bool_())],
                         ["hub", "node", "n", "size", "lacks", "extra", "settled"])
 
-    out = own.groupBy("k1", "k2").cogroup(hubs.groupBy("k1", "k2")).applyInArrow(
+    out = own.groupBy("hub", "place").cogroup(hubs.groupBy("hub", "place")).applyInArrow(
         compare, "hub long, node binary, n long, size long, lacks binary, extra binary, settled boolean")
     return written(out, "join-differences")
 
@@ -511,8 +520,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = written(buckets(prefixes(docs, sketch, text_col, shingle, similar), similar), "join-candidates")
     members = plausible(found, similar)
     sets = full_sets(docs, members.select("node").distinct(), text_col, shingle)
-    few = F.col("members") <= BLOCK
-    found = small_links(members.where(few), sets, similar).unionByName(large_links(differences(members.where(~few), sets, similar), similar))
+    few, crowds = members.where(F.col("members") <= BLOCK), members.where(F.col("members") > BLOCK)
+    found = small_links(few, sets, similar)
+    if not crowds.isEmpty():
+        found = found.unionByName(large_links(differences(crowds, sets, similar), similar))
     label = components(found)
     named = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(label, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +78,26 @@ def test_join_equals_all_pairs(spark, monkeypatch, block, shingle, similar):
     assert rows_of(jaccard_join.jaccard_join(docs, shingle=shingle, similar=similar)) == expected
 
 
+def test_join_sends_a_set_to_one_bucket(spark):
+    """Near copies that share shingles with others by chance are one bucket, however many lists they meet in."""
+    rnd = random.Random(3)
+    base = np.array([rnd.getrandbits(63) for _ in range(400)], np.uint64)
+    near = [np.concatenate([base[: len(base) - k], np.array([rnd.getrandbits(63) for _ in range(k)], np.uint64)]) for k in range(1, 4)]
+    others = [np.array([rnd.getrandbits(63) for _ in range(400)], np.uint64) for _ in range(40)]
+    node = lambda kind, k: f"{kind}{k:015d}".encode()
+    keys = [node("n", k) for k in range(3)] + [node("o", k) for k in range(40)]
+    nodes = spark.createDataFrame([(key, len(v), jaccard_join._parity(v)) for key, v in zip(keys, near + others)], "node binary, n long, parity binary")
+    nodes = nodes.withColumn("h", F.xxhash64("node"))
+    hashes = {bytes(r.node): r.h for r in nodes.collect()}
+    # every other text holds one shingle of the near copies, and is the hub of that list if its hash is smaller
+    lists = [(min(hashes[key] for key in [*keys[:3], other]), hashes[key]) for other in keys[3:] for key in [*keys[:3], other]]
+    pairs = spark.createDataFrame(sorted(set(lists)), "hub long, h long")
+    assert pairs.select("hub").distinct().count() > 5
+    found = jaccard_join.plausible(jaccard_join._counted(pairs).join(nodes, "h").drop("h"), 90)
+    least = min(hashes[key] for key in keys[:3])
+    assert rows_of(found.select("hub", "node", "members")) == Counter((least, key, 3) for key in keys[:3])
+
+
 def test_join_of_nothing(spark):
     assert jaccard_join.jaccard_join(spark.createDataFrame([], SCHEMA)).count() == 0
 
