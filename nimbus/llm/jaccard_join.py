@@ -44,8 +44,10 @@ COUNTERS = 1 << 18
 FAN_IN = 64
 #: Bits of the filter of wanted nodes (8 MB, the same at every size), and the parts it is made in.
 FILTER, FILTER_PARTS = 1 << 26, 64
-#: Members of a block; about as many members of small buckets share a task.
+#: Members of a block, and of a large bucket at least.
 BLOCK = 2048
+#: Members of small buckets that are settled together, about.
+BIN = 256
 _COLUMNS = 2048
 
 
@@ -299,7 +301,7 @@ def plausible(members: DataFrame, similar: int) -> DataFrame:
     Buckets above ``BLOCK`` members stay as they are: there links are decided block by block.
     """
     few = members.where(F.col("members") <= BLOCK)
-    bins = max(1, few.count() // BLOCK + 1)
+    bins = few.count() // BIN + 1
 
     def sift(table: pa.Table) -> pa.Table:
         table = table.sort_by([("hub", "ascending"), ("n", "ascending")]).combine_chunks()
@@ -332,7 +334,7 @@ def _compared(core: np.ndarray, own: np.ndarray, similar: int) -> tuple[np.ndarr
 
 def small_links(members: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     """(a, b) nodes: a spanning forest of the links within buckets of at most ``BLOCK`` members, each in one task."""
-    bins = max(1, members.count() // BLOCK + 1)
+    bins = members.count() // BIN + 1
     head = (F.xxhash64("node") == F.col("hub")).alias("head")
     own = members.select(F.pmod("hub", F.lit(bins)).alias("bin"), "hub", "node", "n", head).join(sets.dropDuplicates(["node"]), "node")
 
