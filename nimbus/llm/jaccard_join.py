@@ -40,7 +40,7 @@ from nimbus.llm.near_dedup import components, distinct_sets, shingles
 SHINGLE, SIMILAR = 3, 90
 #: Counters of the frequency sketch (4 bytes each, the same at every size).
 COUNTERS = 1 << 18
-#: Vectors of the sketch summed in one task.
+#: Vectors of the sketch summed in one task, about.
 FAN_IN = 64
 #: Bits of the filter of wanted nodes (8 MB, the same at every size), and the parts it is made in.
 FILTER, FILTER_PARTS = 1 << 26, 64
@@ -73,6 +73,16 @@ def _node_keys(values: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.array([raw[16 * k : 16 * k + 16] if size else None for k, size in enumerate(n)], pa.binary())
 
 
+def _dealt(vectors: DataFrame, slots: int) -> DataFrame:
+    """``vectors`` with ``slot``, a number below ``slots``, each about as often.
+
+    Row numbers are hashed: those of a partition start at a multiple of 2**33, so by themselves
+    they fall on few slots, on one if ``slots`` is a power of two and a partition holds one row.
+    """
+    slot = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(slots)) if slots > 1 else F.lit(0).cast("long")
+    return vectors.withColumn("slot", slot)
+
+
 def set_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple[DataFrame, np.ndarray]:
     """Per row (id, node, n), and the frequency sketch of all shingles.
 
@@ -107,8 +117,7 @@ def set_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> tuple
     left = vectors.count()
     while left > 1:
         left = -(-left // FAN_IN)
-        slot = F.pmod(F.monotonically_increasing_id() if left > 1 else F.lit(0), F.lit(left)).alias("slot")
-        vectors = written(vectors.select("counts", slot).groupBy("slot").applyInArrow(add, "counts binary"), "join-sketch")
+        vectors = written(_dealt(vectors.select("counts"), left).groupBy("slot").applyInArrow(add, "counts binary"), "join-sketch")
         left = min(left, vectors.count())
     found = vectors.first()
     sketch = np.frombuffer(bytes(found[0]), np.uint32) if found else np.zeros(COUNTERS, np.uint32)

@@ -98,6 +98,15 @@ def test_join_sends_a_set_to_one_bucket(spark):
     assert rows_of(found.select("hub", "node", "members")) == Counter((least, key, 3) for key in keys[:3])
 
 
+def test_join_sketch_vectors_are_dealt_out(spark):
+    """However many slots there are, none gets the vectors of all tasks."""
+    for slots in (1, 2, 8, 30):
+        held = jaccard_join._dealt(spark.range(0, 256, 1, 64).repartition(64), slots).groupBy("slot").count().collect()
+        assert len(held) == slots and max(r["count"] for r in held) <= 3 * 256 / slots
+    one_each = jaccard_join._dealt(spark.range(0, 64, 1, 64), 8).groupBy("slot").count().collect()
+    assert len(one_each) > 4 and max(r["count"] for r in one_each) <= 24
+
+
 def test_join_of_nothing(spark):
     assert jaccard_join.jaccard_join(spark.createDataFrame([], SCHEMA)).count() == 0
 
