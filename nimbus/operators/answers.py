@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nimbus.functions import codes, text
@@ -65,6 +65,23 @@ def _sent(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(held) if held.count() <= MAX_SENT else held
 
 
+def _asked_places(routed: DataFrame, gazetteer: DataFrame, qid: str, question: str, default: Sequence[str]) -> DataFrame:
+    """Per dated question and named place: (qid, place, station) and the question's day or month."""
+    known = _bounded(gazetteer.select("place", "station"), MAX_NAMES)
+    names = [r["place"] for r in known]
+    every = F.array(*[F.lit(" ".join(n.lower().split())) for n in (default or names)])
+    when = ("q_date", "month_start", "month_end")
+    asked = routed.where(F.col("route") == routing.ROUTE_OBSERVATIONS).select(qid, text.names_in(question, names).alias("_named"), *when)
+    named = asked.select(qid, F.explode(F.when(F.size("_named") > 0, F.col("_named")).otherwise(every)).alias("_name"), *when)
+    return named.join(F.broadcast(gazetteer.select(text.name_key("place").alias("_name"), "place", "station")), "_name").select(qid, "place", "station", *when)
+
+
+def _day_by_day(places: DataFrame, qid: str) -> DataFrame:
+    """(qid, place, station, date) of ``_asked_places``; a month gives all its days."""
+    days = F.when(F.col("q_date").isNotNull(), F.array("q_date")).otherwise(F.sequence("month_start", "month_end"))
+    return places.select(qid, "place", "station", F.explode(days).alias("_day")).select(qid, "place", "station", codes.date_to_int("_day").alias("date"))
+
+
 def place_dates(routed: DataFrame, gazetteer: DataFrame, qid: str = "qid", question: str = "question",
                 default: Sequence[str] = ()) -> DataFrame:
     """Per dated question (of ``dated``), named place and day: (qid, place, station, date).
@@ -72,14 +89,12 @@ def place_dates(routed: DataFrame, gazetteer: DataFrame, qid: str = "qid", quest
     ``gazetteer`` is (place, station). A month gives all its days. A question that names no
     place asks for the places ``default`` (all of the gazetteer, if none are given).
     """
-    known = _bounded(gazetteer.select("place", "station"), MAX_NAMES)
-    names = [r["place"] for r in known]
-    every = F.array(*[F.lit(" ".join(n.lower().split())) for n in (default or names)])
-    days = F.when(F.col("q_date").isNotNull(), F.array("q_date")).otherwise(F.sequence("month_start", "month_end"))
-    asked = routed.where(F.col("route") == routing.ROUTE_OBSERVATIONS).select(qid, text.names_in(question, names).alias("_named"), days.alias("_days"))
-    named = asked.select(qid, "_days", F.explode(F.when(F.size("_named") > 0, F.col("_named")).otherwise(every)).alias("_name"))
-    found = named.join(F.broadcast(gazetteer.select(text.name_key("place").alias("_name"), "place", "station")), "_name")
-    return found.select(qid, "place", "station", F.explode("_days").alias("_day")).select(qid, "place", "station", codes.date_to_int("_day").alias("date"))
+    return _day_by_day(_asked_places(routed, gazetteer, qid, question, default), qid)
+
+
+def _at_places(obs: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """The observations of the gazetteer's stations."""
+    return obs.join(F.broadcast(gazetteer.select("station").distinct()), "station", "left_semi").select("station", "date", "hour", *READINGS)
 
 
 def answer_rows(routed: DataFrame, obs: DataFrame, gazetteer: DataFrame, qid: str = "qid", question: str = "question",
@@ -88,26 +103,29 @@ def answer_rows(routed: DataFrame, obs: DataFrame, gazetteer: DataFrame, qid: st
     names, as (qid, place, station, date, hour, readings). The gazetteer's stations prune
     the observations before the join."""
     keys = place_dates(routed, gazetteer, qid, question, default)
-    known = F.broadcast(gazetteer.select("station").distinct())
-    seen = obs.join(known, "station", "left_semi").select("station", "date", "hour", *READINGS)
-    return keys.join(_sent(seen, "seen"), ["station", "date"]).select(qid, "place", "station", "date", "hour", *READINGS)
+    return keys.join(_sent(_at_places(obs, gazetteer), "seen"), ["station", "date"]).select(qid, "place", "station", "date", "hour", *READINGS)
+
+
+def _answered(keys: DataFrame, seen: DataFrame, qid: str) -> DataFrame:
+    """The (qid) that have an observation at one of their places and days."""
+    held = seen.select("station", "date").distinct()
+    return keys.join(_sent(held, "station-days"), ["station", "date"], "left_semi").select(qid).distinct()
 
 
 def final_routes(routed: DataFrame, obs: DataFrame, gazetteer: DataFrame, qid: str = "qid", question: str = "question",
                  default: Sequence[str] = ()) -> DataFrame:
     """``routed`` with route ``both`` where a dated question's lookup is empty at all its places."""
     keys = place_dates(routed, gazetteer, qid, question, default)
-    held = obs.join(F.broadcast(gazetteer.select("station").distinct()), "station", "left_semi").select("station", "date").distinct()
-    answered = keys.join(_sent(held, "station-days"), ["station", "date"], "left_semi").select(qid).distinct().withColumn("_rows", F.lit(True))
+    answered = _answered(keys, _at_places(obs, gazetteer), qid).withColumn("_rows", F.lit(True))
     empty = (F.col("route") == routing.ROUTE_OBSERVATIONS) & F.col("_rows").isNull()
     return routed.join(answered, qid, "left").withColumn("route", F.when(empty, routing.ROUTE_BOTH).otherwise(F.col("route"))).drop("_rows")
 
 
 def answer_chunks(questions: DataFrame, chunks: DataFrame, k: int = 3, titles: dict[str, str] | None = None,
                   embed: Callable[[DataFrame, str, str], DataFrame] | None = None, qid: str = "qid",
-                  question: str = "question") -> DataFrame:
+                  question: str = "question", keep: Sequence[str] = ()) -> DataFrame:
     """V7, article branch: the ``k`` chunks closest to each question, as (qid, rank, title,
-    doc_id, chunk_no, similarity, chunk).
+    doc_id, chunk_no, similarity, chunk) and the questions' columns ``keep``.
 
     ``chunks`` is (doc_id, title, chunk_no, chunk) or carries an ``embedding`` already;
     ``embed(df, text column, out column)`` adds one (hashed terms by default). ``titles`` maps
@@ -116,7 +134,6 @@ def answer_chunks(questions: DataFrame, chunks: DataFrame, k: int = 3, titles: d
     """
     embed = embed or (lambda df, column, out: retrieval.embed_digest(df, column, out=out))
     texts = questions.select(F.col(question).alias("_q")).where("_q IS NOT NULL").distinct().withColumn("_qid", F.xxhash64("_q"))
-    asked = embed(texts, "_q", "_qv")
     # embedded once; both searches and the join that shows the chunks read it
     index = chunks if "embedding" in chunks.columns else materialised(embed(chunks, "chunk", "embedding"), "embedded-chunks")
     # ties go to the smaller document, then the earlier chunk
@@ -126,30 +143,54 @@ def answer_chunks(questions: DataFrame, chunks: DataFrame, k: int = 3, titles: d
     names = F.array(*[F.lit(t) for t in titles.values()]) if titles else F.array().cast("array<string>")
     words = F.array(*[F.lit(" ".join(w.lower().split())) for w in titles]) if titles else names
     named = F.array_distinct(F.transform(text.names_in("_q", list(titles), plural=True), lambda w: F.element_at(names, F.array_position(words, w).cast("int"))))
-    asked = asked.withColumn("_titles", named)
+    # the distinct texts are found, embedded and matched with titles once
+    asked = materialised(embed(texts, "_q", "_qv").withColumn("_titles", named), "asked-texts")
     items = index.select("_key", F.col("title").alias("_title"), "embedding")
     free = retrieval.top_k(asked.where(F.size("_titles") == 0), items, k, qid="_qid", iid="_key", qvec="_qv")
     bound = retrieval.top_k(asked.where(F.size("_titles") > 0).withColumn("_title", F.explode("_titles")), items, k, qid="_qid", iid="_key", qvec="_qv", on="_title")
     best = free.unionByName(bound)
     shown = index.select("_key", "doc_id", "chunk_no", "title", "chunk")
-    found = best.join(shown, "_key").join(texts, "_qid")
-    asks = questions.select(qid, F.col(question).alias("_q"))
-    return asks.join(found, "_q").select(qid, "rank", "title", "doc_id", "chunk_no", "similarity", "chunk")
+    found = best.join(shown, "_key").join(asked.select("_qid", "_q"), "_qid")
+    asks = questions.select(qid, F.col(question).alias("_q"), *keep)
+    return asks.join(found, "_q").select(qid, *keep, "rank", "title", "doc_id", "chunk_no", "similarity", "chunk")
+
+
+def _open(routed: DataFrame, answered: DataFrame, qid: str, question: str) -> DataFrame:
+    """(qid, question, route) of the questions that chunks answer: undated ones, and dated ones
+    whose key has no rows. A key that comes several times has each of its questions with each of its routes."""
+    columns = [qid, question, "route"]
+    dated_ = routed.where(F.col("route") == routing.ROUTE_OBSERVATIONS).select(*columns)
+    empty = dated_.join(answered, qid, "left_anti").withColumn("route", F.lit(routing.ROUTE_BOTH))
+    left = routed.where(F.col("route") != routing.ROUTE_OBSERVATIONS).select(*columns).unionByName(empty).where(F.col(qid).isNotNull())
+    same = Window.partitionBy(qid)
+    routes = (routing.ROUTE_ARTICLES, routing.ROUTE_BOTH)
+    counts = [F.count(F.when(F.col("route") == r, 1)).over(same).cast("int") for r in routes]
+    each = left.select(qid, question, *[n.alias(f"_n{i}") for i, n in enumerate(counts)])
+    every = F.concat(*[F.array_repeat(F.lit(r), F.col(f"_n{i}")) for i, r in enumerate(routes)])
+    return each.select(qid, question, F.explode(every).alias("route"))
 
 
 def answers(questions: DataFrame, obs: DataFrame, gazetteer: DataFrame, chunks: DataFrame, k: int = 3,
             titles: dict[str, str] | None = None, default: Sequence[str] = (), qid: str = "qid", question: str = "question",
-            embed: Callable[[DataFrame, str, str], DataFrame] | None = None) -> DataFrame:
+            embed: Callable[[DataFrame, str, str], DataFrame] | None = None,
+            read: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """V7 in one frame: per question its rows or its chunks (or both) as (qid, route, kind, title,
     date, hour, rank, similarity, text). ``kind`` is row or chunk; a row's title is its place and
-    its text the readings as JSON."""
+    its text the readings as JSON. ``read`` adds columns made from a row's text (null for chunks).
+
+    Questions are parsed, looked up for places and routed once each; an observation's text is
+    written, and read again, once per observation and not once per question that it answers."""
+    read = read or {}
     routed = dated(questions, qid, question)
-    final = final_routes(routed, obs, gazetteer, qid, question, default)
-    rows = answer_rows(routed, obs, gazetteer, qid, question, default).select(
+    places = materialised(_asked_places(routed, gazetteer, qid, question, default), "asked-places")
+    shown = F.to_json(F.struct(*READINGS), {"ignoreNullFields": "false"})
+    seen = materialised(_at_places(obs, gazetteer).select("station", "date", "hour", shown.alias("text")), "seen")
+    open_ = materialised(_open(routed, _answered(_day_by_day(places, qid), seen, qid), qid, question), "open-questions")
+    told = seen.select("*", *[f(F.col("text")).alias(c) for c, f in read.items()])
+    rows = _day_by_day(places, qid).join(_sent(told, "told"), ["station", "date"]).select(
         qid, F.lit(routing.ROUTE_OBSERVATIONS).alias("route"), F.lit("row").alias("kind"), F.col("place").alias("title"), "date", "hour",
-        F.lit(None).cast("int").alias("rank"), F.lit(None).cast("double").alias("similarity"),
-        F.to_json(F.struct(*READINGS), {"ignoreNullFields": "false"}).alias("text"))
-    open_ = final.where(F.col("route") != routing.ROUTE_OBSERVATIONS)
-    found = answer_chunks(open_.select(qid, question), chunks, k, titles, embed, qid, question).join(open_.select(qid, "route"), qid)
+        F.lit(None).cast("int").alias("rank"), F.lit(None).cast("double").alias("similarity"), "text", *read)
+    found = answer_chunks(open_, chunks, k, titles, embed, qid, question, keep=["route"])
     return rows.unionByName(found.select(qid, "route", F.lit("chunk").alias("kind"), "title", F.lit(None).cast("int").alias("date"),
-                                         F.lit(None).cast("int").alias("hour"), "rank", "similarity", F.col("chunk").alias("text")))
+                                         F.lit(None).cast("int").alias("hour"), "rank", "similarity", F.col("chunk").alias("text"),
+                                         *[F.lit(None).cast(told.schema[c].dataType).alias(c) for c in read]))

@@ -159,9 +159,10 @@ def q_answer_chunks(spark, sf_dir):
     UNION ALL SELECT qid, route, 'chunk', title, NULL, NULL, rank, similarity, NULL FROM chosen""")
 def q_answers(spark, sf_dir):
     """The text column (readings as JSON, or the chunk) is shown by its temperature; ``answer_rows`` and ``answer_chunks`` show it whole."""
-    found = answers.answers(asked_questions(spark, sf_dir), observations(spark, sf_dir), _gazetteer(spark), articles(spark, sf_dir), TOP, TITLE_WORDS, DEFAULT_PLACES)
-    read = F.when(F.col("kind") == "row", F.get_json_object("text", "$.temperature").cast("long"))
-    return found.withColumn("temperature", read).drop("text")
+    temperature = lambda t: F.get_json_object(t, "$.temperature").cast("long")
+    found = answers.answers(asked_questions(spark, sf_dir), observations(spark, sf_dir), _gazetteer(spark), articles(spark, sf_dir), TOP, TITLE_WORDS, DEFAULT_PLACES,
+                            read={"temperature": temperature})
+    return found.drop("text")
 
 
 @register("embed_digest", "V2", f"SELECT doc_id, CAST(bucket AS INTEGER) AS pos, round_even(v, 9) AS value FROM ({digest_terms_sql('documents', 'doc_id', 'text')})")

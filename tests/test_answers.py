@@ -71,6 +71,32 @@ def test_answers_in_one_frame(spark, sf_small, chunks):
     assert '"temperature":' in of(1, "row")[0]["text"]
 
 
+def test_readings_are_written_once_per_observation(spark, sf_small, chunks):
+    """A question's rows bring the text of an observation along; it is not written, nor questions parsed, per row."""
+    gazetteer = report.station_dim(spark).withColumnRenamed("location", "place")
+    obs = observations(spark, sf_small)
+    questions = spark.createDataFrame(QUESTIONS, "qid long, question string")
+    found = answers.answers(questions, obs, gazetteer, chunks, k=2, titles={"winter": "Winter"}, default=["Maastricht"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "to_json" not in plan and "structstojson" not in plan and "regexp" not in plan
+    read = {"wind": lambda t: F.get_json_object(t, "$.beaufort").cast("int")}
+    told = answers.answers(questions, obs, gazetteer, chunks, k=2, titles={"winter": "Winter"}, default=["Maastricht"], read=read)
+    assert "get_json_object" not in told.drop("text")._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    force = {(r["station"], r["date"], r["hour"]): r["beaufort"] for r in obs.collect()}
+    at = {"De Bilt": 260, "Eindhoven": 370, "Maastricht": 380, "Rotterdam": 344}
+    for r in told.collect():
+        assert r["wind"] == (force[at[r["title"]], r["date"], r["hour"]] if r["kind"] == "row" else None)
+
+
+def test_keys_that_come_twice_have_every_route(spark, sf_small, chunks):
+    """Questions of one key: each with each of the key's routes; those without a key have no chunks."""
+    gazetteer = report.station_dim(spark).withColumnRenamed("location", "place")
+    rows = [(1, "ice or beach?"), (1, "June 5th, 2024: beach and sun in july"), (2, "ice or beach?"), (2, "ice or beach?"), (3, "Ede or Eindhoven on January 5, 2024"), (3, "June 5th, 2024: snow"),
+            (None, "ice or beach?")]
+    got = answers.answers(spark.createDataFrame(rows, "qid long, question string"), observations(spark, sf_small), gazetteer, chunks, k=1).where("kind = 'chunk'").collect()
+    assert sorted((r["qid"], r["route"]) for r in got) == [(1, "articles")] * 2 + [(1, "both")] * 2 + [(2, "articles")] * 4
+
+
 def test_gazetteer_bound(spark, monkeypatch):
     monkeypatch.setattr(answers, "MAX_NAMES", 3)
     routed = spark.createDataFrame([(1, "x", None, None, None, "articles")], "qid long, question string, q_date date, month_start date, month_end date, route string")
