@@ -182,21 +182,39 @@ def _unit_rows(table: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
     return rows[usable], matrix[usable]
 
 
-def _better(score: np.ndarray, sims: np.ndarray, k: int, digits: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, similarity) of a tile's scores that may enter the rows' best ``k``, of which
+def _alike(vectors: np.ndarray) -> np.ndarray:
+    """An order in which rows with the same places other than zero stand together."""
+    there = vectors != 0
+    often = np.ascontiguousarray(np.packbits(there[:, np.argsort(-there.sum(0), kind="stable")], axis=1))
+    return np.argsort(often.view(f"S{often.shape[1]}")[:, 0], kind="stable") if often.size else np.arange(len(vectors))
+
+
+def _better(score: np.ndarray, q: np.ndarray, x: np.ndarray, sims: np.ndarray, k: int, digits: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, similarity) of a tile's pairs that may enter the rows' best ``k``, of which
     ``score`` has those so far (-inf: none). The tile's items come after all before it, so an
-    equal score does not enter."""
+    equal score does not enter.
+
+    ``q`` and ``x`` (one column an item) are unit vectors and ``sims`` their products in single precision,
+    which only choose: what may enter by them, give or take their error, is computed in double."""
     least = score[:, -1]
     slack = 0.0 if digits is None else 10.0**-digits
+    wrong = (q.shape[1] + 4) * 2.0**-23
+    # what rounds to more than the bound, which is rounded
+    bound = least + 0.4 * slack - wrong
     width = sims.shape[1]
-    if width > k and np.isinf(least).any():
-        # no bound yet: the tile's own k-th score is one
-        bound = np.partition(sims, width - k, axis=1)[:, width - k] - slack
-        row, column = np.nonzero(sims >= np.maximum(bound, least)[:, None])
-    else:
-        # what rounds to more than the bound, which is rounded
-        row, column = np.nonzero(sims > (least + 0.4 * slack)[:, None])
-    found = sims[row, column]
+    if width > 2 * k and np.isinf(least).any():
+        # no bound yet: the k-th of the largest of 2 k parts of the tile is one
+        part = width // (2 * k)
+        tops = sims[:, : 2 * k * part].reshape(len(sims), 2 * k, part).max(2)
+        bound = np.maximum(bound, np.partition(tops, k, axis=1)[:, k].astype(np.float64) - 2 * wrong - slack)
+    some = np.flatnonzero(sims.max(1) > bound)
+    # in single precision, and not above the bound by that
+    bound = np.nextafter(bound[some].astype(np.float32), np.float32(-np.inf))
+    near = sims[some] > bound[:, None]
+    at = np.flatnonzero(near)
+    row, column = some[at // width], at % width
+    # pair by pair, unless their vectors are more numbers than the tile's scores
+    found = np.einsum("ij,ij->i", q[row], x.T[column]) if len(at) * q.shape[1] <= near.size else (q[some] @ x).reshape(-1)[at]
     if digits is not None:
         found = np.round(found, digits)
     enters = found > least[row]
@@ -206,21 +224,30 @@ def _better(score: np.ndarray, sims: np.ndarray, k: int, digits: int | None) ->
 def block_scorer(k: int, qid: str, iid: str, qvec: str, ivec: str, digits: int | None):
     """cogroup body: a block of queries against a block of items, the best ``k`` items per
     query (cosine, ties to the smaller item id). Items and queries go through in tiles, so that
-    beside the two blocks only a tile's scores and the best so far are held."""
+    beside the two blocks only a tile's scores and the best so far are held. Queries with the same
+    places other than zero stand together: a tile is multiplied only where any of its queries is not zero."""
 
     def meet(queries: pa.Table, items: pa.Table) -> pa.Table:
         asked, q = _unit_rows(queries, qvec) if len(queries) and len(items) else (np.zeros(0, int), np.zeros((0, 0)))
+        alike = _alike(q) if len(asked) else np.zeros(0, int)
+        asked, q = asked[alike], q[alike] if len(asked) else q
         order = pc.sort_indices(items, sort_keys=[(iid, "ascending")]).to_numpy() if len(asked) and k > 0 else np.zeros(0, int)
         score, place = np.full((len(asked), k), -np.inf), np.full((len(asked), k), -1, np.int64)
         vectors = items.column(ivec)
+        tiles = [(first, min(first + QUERY_TILE, len(asked))) for first in range(0, len(asked), QUERY_TILE)]
+        places = [np.flatnonzero((q[first:last] != 0).any(0)) for first, last in tiles]
         for low in range(0, len(order), ITEM_TILE):
             some = order[low : low + ITEM_TILE]
             rows, x = _unit_rows(pa.table({ivec: vectors.take(pa.array(some))}), ivec)
             if not len(rows):
                 continue
-            for first in range(0, len(asked), QUERY_TILE):
-                last = min(first + QUERY_TILE, len(asked))
-                row, column, found = _better(score[first:last], q[first:last] @ x.T, k, digits)
+            if x.shape[1] != q.shape[1]:
+                raise ValueError(f"vectors of {q.shape[1]} and of {x.shape[1]} numbers")
+            x = np.ascontiguousarray(x.T)
+            single = x.astype(np.float32)
+            for (first, last), there in zip(tiles, places):
+                some_q, some_x = q[first:last][:, there], x[there]
+                row, column, found = _better(score[first:last], some_q, some_x, some_q.astype(np.float32) @ single[there], k, digits)
                 if not len(row):
                     continue
                 # the best k of those so far and the new ones; earlier items stand first

@@ -165,6 +165,33 @@ def test_block_scorer_holds_a_tile_of_scores():
     assert all(sorted(found[i]) == sorted(want[i].tolist()) for i in range(3_000))
 
 
+def test_sparse_queries_are_multiplied_where_they_are_not_zero(monkeypatch):
+    """Queries of few terms meet only those places of the items; the result is brute force's, copies of items included."""
+    import pyarrow as pa
+    import pytest
+
+    monkeypatch.setattr(retrieval, "QUERY_TILE", 64)
+    widths, better = [], retrieval._better
+    monkeypatch.setattr(retrieval, "_better", lambda score, q, *rest: widths.append(q.shape[1]) or better(score, q, *rest))
+    rnd = np.random.default_rng(5)
+    q = np.zeros((640, 200))
+    for i in range(640):  # ten kinds of questions, dealt out, with a term of their own
+        q[i, i % 10 * 20 + np.append(rnd.integers(1, 20, 5), 0)] = 1
+    x = rnd.poisson(0.6, size=(5_000, 200)).astype(float)
+    x[1000:3000] = x[999]
+    table = lambda key, name, m: pa.table({key: np.arange(len(m)), name: pa.array(list(m), pa.list_(pa.float64()))})
+    for digits in (9, 3):
+        got = retrieval.block_scorer(3, "qid", "item_id", "v", "e", digits)(table("qid", "v", q), table("item_id", "e", x)).to_pydict()
+        unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+        sims = np.round(unit(q) @ unit(x).T, digits)
+        want = np.argsort(-sims, axis=1, kind="stable")[:, :3]
+        assert sorted(zip(got["qid"], got["item_id"])) == sorted((i, int(j)) for i in range(640) for j in want[i])
+        assert np.allclose(got["similarity"], sims[got["qid"], got["item_id"]], atol=1e-12)
+    assert widths and max(widths) <= 20
+    with pytest.raises(ValueError):
+        retrieval.block_scorer(3, "qid", "item_id", "v", "e", 9)(table("qid", "v", q), table("item_id", "e", x[:, :50]))
+
+
 def test_block_of_long_vectors_is_smaller(spark, sf_small):
     assert retrieval.block_rows(256) * 256 <= retrieval.BLOCK_VALUES and retrieval.block_rows(None) > 1 and retrieval.block_rows(1 << 30) == 1
 
