@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -148,24 +149,25 @@ def date_matches(q: Column) -> dict[str, Column]:
     }
 
 
+def _when_found(match: str, parse: Callable[[Column], Column]) -> Column:
+    """``parse`` of a match, if there is one. It stands in a lambda: in the projection's generated code the
+    parsing of all forms makes a method of over 8,000 bytes, which the JVM does not compile."""
+    return F.when(F.col(match) != "", F.transform(F.array(match), parse)[0])
+
+
 def date_from_matches() -> Column:
     """Parse only the forms that matched (most questions match one or none)."""
-    def when_found(c: str, parsed: Column) -> Column:
-        return F.when(F.col(c) != "", parsed)
-
     return F.coalesce(
-        when_found("_q_mdy", _parse_mdy(F.col("_q_mdy"))),
-        when_found("_q_compact", F.try_to_date(F.col("_q_compact"), "yyyyMMdd")),
-        when_found("_q_iso", F.try_to_date(F.col("_q_iso"), "yyyy-MM-dd")),
-        when_found("_q_ord", _parse_ordinal(F.col("_q_ord"))),
+        _when_found("_q_mdy", _parse_mdy),
+        _when_found("_q_compact", lambda m: F.try_to_date(m, "yyyyMMdd")),
+        _when_found("_q_iso", lambda m: F.try_to_date(m, "yyyy-MM-dd")),
+        _when_found("_q_ord", _parse_ordinal),
     )
 
 
 def month_from_matches() -> Column:
-    start = F.try_to_date(
-        F.nullif(F.initcap(F.trim(F.regexp_replace(F.col("_q_month"), r"[,\s]+", " "))), F.lit("")), "MMMM yyyy"
-    )
-    return F.when(start.isNotNull(), F.struct(start.alias("month_start"), F.last_day(start).alias("month_end")))
+    """The first day of the month that matched."""
+    return _when_found("_q_month", lambda m: F.try_to_date(F.nullif(F.initcap(F.trim(F.regexp_replace(m, r"[,\s]+", " "))), F.lit("")), "MMMM yyyy"))
 
 
 def question_date(q: Column | str) -> Column:

@@ -97,6 +97,17 @@ def test_keys_that_come_twice_have_every_route(spark, sf_small, chunks):
     assert sorted((r["qid"], r["route"]) for r in got) == [(1, "articles")] * 2 + [(1, "both")] * 2 + [(2, "articles")] * 4
 
 
+def test_date_parsing_is_compiled(spark):
+    """The JVM leaves methods of over 8,000 bytes to its interpreter."""
+    from nimbus.operators import routing
+
+    asked = routing.route(spark.range(3).selectExpr("id AS qid", "concat('rain on January ', id, ', 2024') AS question"))
+    debug = getattr(getattr(spark.sparkContext._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    code = debug.codegenString(asked._jdf.queryExecution().executedPlan())
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8_000
+
+
 def test_gazetteer_bound(spark, monkeypatch):
     monkeypatch.setattr(answers, "MAX_NAMES", 3)
     routed = spark.createDataFrame([(1, "x", None, None, None, "articles")], "qid long, question string, q_date date, month_start date, month_end date, route string")
